@@ -77,7 +77,8 @@ class Workspace:
         self.buckets = buckets
         self.log = EventLog(spark, f"{self.root}/_event_log", self.pipeline_id)
         self.catalog: dict[str, TableInfo] = {}
-        self._load_catalog()
+        if root is not None:  # an existing workspace: its tables and versions
+            self._load_catalog()
         self.update_id: str | None = None
         self._full_refresh = False
         self._continuous = False
