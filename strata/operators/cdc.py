@@ -72,7 +72,13 @@ def _truncate_point(ev: DataFrame, order: list[str]):
 
 
 def _after(order: list[str], point) -> Column:
-    return F.struct(*order) > F.struct(*[F.lit(v) for v in point])
+    """``(order...) > point`` lexicographically; NULL-safe on the tie columns."""
+    cond = None
+    for i in reversed(range(len(order))):
+        c, v = F.col(order[i]), F.lit(point[i])
+        gt = c > v if point[i] is not None else c.isNotNull()
+        cond = gt if cond is None else gt | (c.eqNullSafe(v) & cond)
+    return cond
 
 
 def scd1(df: DataFrame, spec: ChangeSpec) -> DataFrame:

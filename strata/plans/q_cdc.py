@@ -1,3 +1,177 @@
-"""Registered queries."""
+"""Change data capture: type 1 and type 2 targets, deletes, truncates, order, dedup,
+composite keys, change counts and the insert-only stream (L1-L8, B17)."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..fixtures import cte
+from ..sources.files import read_files_stream
+from .common import setup, view
+from .finance import write_arrivals
+from .registry import query
+
+DELETE_WHEN = "update_type = 'DELETE'"
+TRUNCATE_WHEN = "value >= 450"
+MID = "2024-01-15"
+
+SCD1_ORACLE = cte("cdc_feed") + """
+SELECT id, update_date, event_id, value, update_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY update_date DESC, event_id DESC) AS r FROM cdc_feed)
+WHERE r = 1 AND update_type <> 'DELETE'"""
+
+
+def _feed_files(spark, t, ws, parts, name="suppliers_cdc", extra=None):
+    feed = view(spark, t, "cdc_feed")
+    if extra is not None:
+        feed = extra(feed)
+    path = f"{ws.root}/files/{name}"
+    write_arrivals(feed, path, parts, format="parquet")
+    return path, feed.schema
+
+
+def _apply(ws, path, schema, scd_type=1, keys=("id",), target="s_suppliers", files_per_trigger=None, **kw):
+    """``b_suppliers_cdc`` (stream of the change files) → ``APPLY CHANGES INTO target``."""
+    src = read_files_stream(ws.spark, path, schema, "parquet", max_files_per_trigger=files_per_trigger)
+    kw.setdefault("delete_when", DELETE_WHEN)
+    kw.setdefault("tie_break", ["event_id"])
+    return ws.apply_changes(target, src, keys=list(keys), sequence_by="update_date", scd_type=scd_type, **kw)
+
+
+@query("cdc_scd1", SCD1_ORACLE)
+def cdc_scd1(spark, sf_dir):
+    """L1: ``APPLY CHANGES ... KEYS (id) SEQUENCE BY update_date`` (type 1), fed in three
+    micro-batches of interleaved times."""
+    t, ws = setup(spark, sf_dir)
+    path, schema = _feed_files(spark, t, ws, [F.col("event_id") % 3 == k for k in range(3)])
+    _apply(ws, path, schema, files_per_trigger=1)
+    return ws.read("s_suppliers")
+
+
+@query("cdc_scd2", cte("cdc_feed") + """
+SELECT id, update_date, event_id, value, update_type, valid_from, valid_to FROM (
+  SELECT *, update_date AS valid_from,
+    lead(update_date) OVER (PARTITION BY id ORDER BY update_date, event_id) AS valid_to FROM cdc_feed)
+WHERE update_type <> 'DELETE'""")
+def cdc_scd2(spark, sf_dir):
+    """L2/F2: ``STORED AS SCD TYPE 2``: one version per change, closed by the next change
+    of the key; deletes close a version and open none. Three runs of interleaved times."""
+    t, ws = setup(spark, sf_dir)
+    path = f"{ws.root}/files/suppliers_cdc"
+    feed = view(spark, t, "cdc_feed")
+    for k in range(3):
+        write_arrivals(feed, path, [F.col("event_id") % 3 == k], format="parquet")
+        with ws.update():
+            _apply(ws, path, feed.schema, scd_type=2)
+    return ws.read("s_suppliers")
+
+
+@query("cdc_delete", SCD1_ORACLE)
+def cdc_delete(spark, sf_dir):
+    """L3: ``APPLY AS DELETE WHEN update_type = "DELETE"``: the deletes arrive in a later
+    run than the rows they remove (and than later upserts of the same keys)."""
+    t, ws = setup(spark, sf_dir)
+    path = f"{ws.root}/files/suppliers_cdc"
+    feed = view(spark, t, "cdc_feed")
+    is_delete = F.col("update_type") == "DELETE"
+    for cond in (~is_delete, is_delete):
+        write_arrivals(feed, path, [cond], format="parquet")
+        with ws.update():
+            _apply(ws, path, feed.schema)
+    return ws.read("s_suppliers")
+
+
+@query("cdc_truncate", cte("cdc_feed") + f"""
+, point AS (SELECT arg_max(update_date, (update_date, event_id)) AS tu, arg_max(event_id, (update_date, event_id)) AS te
+  FROM cdc_feed WHERE {TRUNCATE_WHEN})
+, kept AS (SELECT f.* FROM cdc_feed f, point p WHERE NOT ({TRUNCATE_WHEN})
+  AND (p.tu IS NULL OR f.update_date > p.tu OR (f.update_date = p.tu AND f.event_id > p.te)))
+SELECT id, update_date, event_id, value, update_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY update_date DESC, event_id DESC) AS r FROM kept)
+WHERE r = 1 AND update_type <> 'DELETE'""")
+def cdc_truncate(spark, sf_dir):
+    """L4: ``APPLY AS TRUNCATE WHEN``: a truncate event empties the target as of its
+    sequence; older events arriving later stay out."""
+    t, ws = setup(spark, sf_dir)
+    path, schema = _feed_files(spark, t, ws, [F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1])
+    _apply(ws, path, schema, truncate_when=TRUNCATE_WHEN, files_per_trigger=1)
+    return ws.read("s_suppliers")
+
+
+@query("cdc_out_of_order", SCD1_ORACLE)
+def cdc_out_of_order(spark, sf_dir):
+    """The newer half of the feed arrives first; the sequence column decides."""
+    t, ws = setup(spark, sf_dir)
+    path = f"{ws.root}/files/suppliers_cdc"
+    feed = view(spark, t, "cdc_feed")
+    for cond in (F.col("update_date") >= F.lit(MID), F.col("update_date") < F.lit(MID)):
+        write_arrivals(feed, path, [cond], format="parquet")
+        with ws.update():
+            _apply(ws, path, feed.schema)
+    return ws.read("s_suppliers")
+
+
+@query("cdc_dedup", SCD1_ORACLE)
+def cdc_dedup(spark, sf_dir):
+    """Exact duplicate change rows (within and across batches) collapse."""
+    t, ws = setup(spark, sf_dir)
+    dup = F.col("event_id") % 5 == 0
+    path, schema = _feed_files(spark, t, ws, [F.lit(True), dup], extra=lambda f: f.unionByName(f.where(dup)))
+    _apply(ws, path, schema)
+    return ws.read("s_suppliers")
+
+
+@query("cdc_composite_key", cte("cdc_feed") + """
+SELECT id, update_date, event_id, value, update_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY id, update_type ORDER BY update_date DESC, event_id DESC) AS r
+  FROM cdc_feed) WHERE r = 1""")
+def cdc_composite_key(spark, sf_dir):
+    """``KEYS (id, update_type)``: latest change per user and kind (no delete rule)."""
+    t, ws = setup(spark, sf_dir)
+    path, schema = _feed_files(spark, t, ws, [F.lit(True)])
+    _apply(ws, path, schema, keys=("id", "update_type"), delete_when=None)
+    return ws.read("s_suppliers")
+
+
+TWO_RUNS = cte("cdc_feed") + f"""
+, r1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY update_date DESC, event_id DESC) AS r
+    FROM cdc_feed WHERE update_date < TIMESTAMP '{MID} 00:00:00') WHERE r = 1 AND update_type <> 'DELETE')
+, r2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY update_date DESC, event_id DESC) AS r
+    FROM cdc_feed) WHERE r = 1 AND update_type <> 'DELETE')
+, k2 AS (SELECT DISTINCT id FROM cdc_feed WHERE update_date >= TIMESTAMP '{MID} 00:00:00')
+"""
+
+
+def _two_runs(spark, sf_dir):
+    t, ws = setup(spark, sf_dir)
+    path = f"{ws.root}/files/suppliers_cdc"
+    feed = view(spark, t, "cdc_feed")
+    for cond in (F.col("update_date") < F.lit(MID), F.col("update_date") >= F.lit(MID)):
+        write_arrivals(feed, path, [cond], format="parquet")
+        with ws.update():
+            _apply(ws, path, feed.schema)
+    return ws
+
+
+@query("cdc_op_counts", TWO_RUNS + """
+SELECT 'insert' AS op, CAST((SELECT count(*) FROM r1) + (SELECT count(*) FROM r2 WHERE id NOT IN (SELECT id FROM r1))
+  AS BIGINT) AS num_rows
+UNION ALL SELECT 'update', CAST(count(*) AS BIGINT) FROM r1 WHERE id IN (SELECT id FROM r2) AND id IN (SELECT id FROM k2)
+UNION ALL SELECT 'delete', CAST(count(*) AS BIGINT) FROM r1 WHERE id NOT IN (SELECT id FROM r2)""")
+def cdc_op_counts(spark, sf_dir):
+    """Inserts, updates and deletes the two runs made, from the change log."""
+    ws = _two_runs(spark, sf_dir)
+    return ws.read_changes("s_suppliers").groupBy(F.col("_op").alias("op")).agg(F.count(F.lit(1)).alias("num_rows"))
+
+
+@query("stream_skip_changes", TWO_RUNS + """
+SELECT id, update_date, event_id, value, update_type FROM r1
+UNION ALL SELECT id, update_date, event_id, value, update_type FROM r2 WHERE id NOT IN (SELECT id FROM r1)""")
+def stream_skip_changes(spark, sf_dir):
+    """A stream from a table that gets updates and deletes, taking only appended
+    rows (first appearance of a key), as ``skipChangeCommits`` does."""
+    ws = _two_runs(spark, sf_dir)
+    inserts = ws.read_changes("s_suppliers", stream=True).where(F.col("_op") == "insert").drop("_op", "_batch")
+    with ws.update():
+        ws.streaming_table_as("new_suppliers", inserts)
+    return ws.read("new_suppliers")
