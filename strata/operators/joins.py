@@ -69,11 +69,13 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 
 def interval_join(left: DataFrame, right: DataFrame, on, left_time: str, right_time: str,
                   lower: str, upper: str, how: str = "inner") -> DataFrame:
-    """Equi-join plus ``right_time BETWEEN left_time + lower AND left_time + upper``.
+    """Equi-join on ``on`` (names, or ``(left, right)`` name pairs) plus
+    ``right_time BETWEEN left_time + lower AND left_time + upper``.
 
     On two streams with watermarks, the time bounds let the state of both sides be
     dropped once the watermark passes them."""
-    cond = [left[k] == right[k] for k in ([on] if isinstance(on, str) else on)]
+    pairs = [(k, k) if isinstance(k, str) else k for k in ([on] if isinstance(on, str) else on)]
+    cond = [left[a] == right[b] for a, b in pairs]
     cond.append(right[right_time] >= left[left_time] + F.expr(f"INTERVAL {lower}"))
     cond.append(right[right_time] <= left[left_time] + F.expr(f"INTERVAL {upper}"))
     c = cond[0]

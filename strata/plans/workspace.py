@@ -424,7 +424,7 @@ class Workspace:
                 i = self._declare(name, "cdc", comment, properties)
                 i.schema = i.schema or df.schema.json()
                 i.cdc = i.cdc or {"keys": list(keys), "sequence_by": cdc_ops.BATCH, "tie_break": [],
-                                  "scd_type": 1, "except_columns": [cdc_ops.BATCH], "buckets": self.buckets}
+                                  "scd_type": 1, "buckets": self.buckets}
                 applier = self._applier(i)
 
                 def upsert(batch: DataFrame, batch_id: int) -> None:
