@@ -1,3 +1,128 @@
-"""Registered queries."""
+"""Run-log queries (W1-W5) and validation."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..fixtures import cte
+from ..operators.quality import expect, expect_or_drop, expect_or_fail
+from ..plans import eventlog as L
+from .common import ingest_lines, line_files, setup, view
+from .finance import enrich_lines, sales_by_customer
+from .q_dq import INVALID_NAME, VALID_NAME, VALID_PRICE
+from .registry import query
+from .validate import Definition, validate
+
+
+def _logged(spark, sf_dir):
+    """A small pipeline with two updates, the second failing on a FAIL rule."""
+    t, ws = setup(spark, sf_dir)
+    path = line_files(ws, t)
+    with ws.update():
+        ingest_lines(ws, path)
+        ws.streaming_table_as("s_orders", enrich_lines(ws.read_stream("b_orders"), t.orders, t.customer, t.part))
+        ws.materialized_view("s_items", view(spark, t, "dq_items"),
+                             expectations=[expect("valid_unit_price", VALID_PRICE)])
+        ws.materialized_view("g_sales_summary_by_customer", sales_by_customer(ws.read("s_orders")))
+    try:
+        with ws.update():
+            ws.materialized_view("validate_customer_names_by_failing", view(spark, t, "dq_customers"),
+                                 expectations=[expect_or_fail("valid_customer_name", VALID_NAME)])
+    except Exception:  # noqa: BLE001 - the failed update is part of the log
+        pass
+    return t, ws
+
+
+LOG_COLUMNS = ["timestamp", "event_type", "level", "table_name", "flow_name", "message", "details"]
+
+
+@query("eventlog_by_pipeline")
+def eventlog_by_pipeline(spark, sf_dir):
+    """``event_log(pipeline_id)``."""
+    _, ws = _logged(spark, sf_dir)
+    ws.log.flush()
+    return L.event_log(spark, ws.log.path, ws.pipeline_id).select(*LOG_COLUMNS)
+
+
+@query("eventlog_by_table")
+def eventlog_by_table(spark, sf_dir):
+    """``event_log(TABLE(g_sales_summary_by_customer))``: the log of the pipeline
+    that manages the table."""
+    _, ws = _logged(spark, sf_dir)
+    ws.log.flush()
+    return L.event_log_for_table(spark, ws.log.path, "g_sales_summary_by_customer").select(*LOG_COLUMNS)
+
+
+@query("eventlog_user_actions")
+def eventlog_user_actions(spark, sf_dir):
+    """``details:user_action:action``, ``details:user_action:user_name`` of the
+    ``user_action`` events."""
+    _, ws = _logged(spark, sf_dir)
+    return L.user_actions(ws.log.read())
+
+
+@query("eventlog_table_metrics", cte("s_orders") + """
+SELECT 'b_orders' AS table_name, CAST(count(*) AS BIGINT) AS num_output_rows, CAST(1 AS BIGINT) AS flow_runs
+FROM lineitem
+UNION ALL SELECT 's_orders', CAST(count(*) AS BIGINT), CAST(1 AS BIGINT) FROM s_orders
+UNION ALL SELECT 's_items', CAST(count(*) AS BIGINT), CAST(1 AS BIGINT) FROM part
+UNION ALL SELECT 'g_sales_summary_by_customer', CAST(count(DISTINCT customer_id) AS BIGINT), CAST(1 AS BIGINT)
+FROM s_orders""")
+def eventlog_table_metrics(spark, sf_dir):
+    """Rows written and completed flow runs per table, from the log."""
+    _, ws = _logged(spark, sf_dir)
+    return L.table_metrics(ws.log.read()).select("table_name", "num_output_rows", "flow_runs")
+
+
+@query("eventlog_breaches")
+def eventlog_breaches(spark, sf_dir):
+    """What a notification would fire on: failed updates and flows, and rules whose
+    failed share is above zero."""
+    _, ws = _logged(spark, sf_dir)
+    return L.breaches(ws.log.read(), 0.0)
+
+
+VALIDATE_ORACLE = """
+SELECT * FROM (VALUES
+  ('b_items', 'definition', 'OK'), ('b_customers', 'definition', 'OK'), ('b_orders', 'definition', 'OK'),
+  ('s_orders', 'definition', 'OK'), ('g_sales_summary_by_customer', 'definition', 'OK'),
+  ('s_items', 'definition', 'OK'), ('s_items', 'expectation:valid_unit_price', 'OK'),
+  ('validated_customer_names_by_dropping', 'definition', 'OK'),
+  ('validated_customer_names_by_dropping', 'expectation:valid_customer_name', 'OK'),
+  ('quarantined_customer_names', 'definition', 'OK'),
+  ('quarantined_customer_names', 'expectation:invalid_customer_name', 'OK'),
+  ('validate_customer_names_by_failing', 'definition', 'OK'),
+  ('validate_customer_names_by_failing', 'expectation:valid_customer_id', 'FAILED'),
+  ('quarantined_order_fks', 'definition', 'OK'),
+  ('g_recent_customer_orders', 'definition', 'FAILED')
+) AS v(dataset, "check", status)"""
+
+
+@query("validate_contracts", VALIDATE_ORACLE)
+def validate_contracts(spark, sf_dir):
+    """Check every definition and its rules against its inputs, with no job: the
+    rule on a column the input lacks (``customer_id`` on customers) and a read of a
+    dataset not defined before are reported."""
+    t, _ = setup(spark, sf_dir)
+    sources = {"items": view(spark, t, "dq_items"), "customers": view(spark, t, "dq_customers"),
+               "lines": t.lineitem, "orders": t.orders, "customer": t.customer, "part": t.part}
+    defs = [
+        Definition("b_items", lambda r: r.read("items")),
+        Definition("b_customers", lambda r: r.read("customers")),
+        Definition("b_orders", lambda r: r.read("lines")),
+        Definition("s_orders", lambda r: enrich_lines(r.read("b_orders"), r.read("orders"), r.read("customer"),
+                                                      r.read("part"))),
+        Definition("g_sales_summary_by_customer", lambda r: sales_by_customer(r.read("s_orders"))),
+        Definition("s_items", lambda r: r.read("b_items"), [expect("valid_unit_price", VALID_PRICE)]),
+        Definition("validated_customer_names_by_dropping", lambda r: r.read("b_customers"),
+                   [expect_or_drop("valid_customer_name", VALID_NAME)]),
+        Definition("quarantined_customer_names", lambda r: r.read("b_customers"),
+                   [expect_or_drop("invalid_customer_name", INVALID_NAME)]),
+        Definition("validate_customer_names_by_failing", lambda r: r.read("b_customers"),
+                   [expect_or_fail("valid_customer_id", "customer_id IS NOT NULL")]),
+        Definition("quarantined_order_fks",
+                   lambda r: r.read("b_orders").join(r.read("b_items").select(F.col("id").alias("fk_item_id")),
+                                                     F.col("l_partkey") == F.col("fk_item_id"), "left")),
+        Definition("g_recent_customer_orders", lambda r: r.read("s_orders_latest")),
+    ]
+    return validate(spark, defs, sources).select("dataset", "check", "status")
