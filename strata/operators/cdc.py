@@ -17,7 +17,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+from ..fs import exists
 
 from .sequence import latest_per_key, next_in_order
 
@@ -127,13 +128,12 @@ class ChangeApplier:
 
     # -- storage ----------------------------------------------------------------
     def _read(self, path: str, schema=None) -> DataFrame | None:
-        try:
-            r = self.spark.read
-            if schema is not None:
-                r = r.schema(schema)
-            return r.parquet(path)
-        except AnalysisException:
+        if not exists(self.spark, path):
             return None
+        r = self.spark.read
+        if schema is not None:
+            r = r.schema(schema)
+        return r.parquet(path)
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.spec.keys]), F.lit(self.buckets)).cast("int")

@@ -25,8 +25,8 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
+from ..fs import exists
 from ..functions.params import Params
 from ..operators import cdc as cdc_ops
 from ..operators.layout import Layout
@@ -96,10 +96,9 @@ class Workspace:
         return f"{self.root}/_catalog"
 
     def _load_catalog(self) -> None:
-        try:
-            rows = self.spark.read.text(self._catalog_path()).collect()  # one row per table
-        except AnalysisException:
+        if not exists(self.spark, self._catalog_path()):
             return
+        rows = self.spark.read.text(self._catalog_path()).collect()  # one row per table
         for r in rows:
             d = json.loads(r[0])
             self.catalog[d["name"]] = TableInfo(**d)
@@ -194,13 +193,12 @@ class Workspace:
             if df is None:
                 return self.spark.createDataFrame([], i.struct())
             return df.select(*i.struct().fieldNames())
-        try:
-            if i.kind == "st":
-                df = self.spark.read.schema(self._stored_schema(i)).parquet(path)
-            else:
-                df = self.spark.read.parquet(path)
-        except AnalysisException:
+        if not exists(self.spark, path):
             return self.spark.createDataFrame([], i.struct())
+        if i.kind == "st":
+            df = self.spark.read.schema(self._stored_schema(i)).parquet(path)
+        else:
+            df = self.spark.read.parquet(path)
         return df.select(*i.struct().fieldNames())
 
     def read_stream(self, name: str, **options) -> DataFrame:
@@ -219,10 +217,9 @@ class Workspace:
                                                    T.StructField(cdc_ops.BATCH, T.LongType())])
         if stream:
             return self.spark.readStream.schema(schema).parquet(path)
-        try:
-            return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException:
+        if not exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
 
     def _stored_schema(self, i: TableInfo) -> T.StructType:
         s = i.struct()
@@ -263,7 +260,6 @@ class Workspace:
                 metrics["num_input_rows"] = int(m.get("rows", 0))
                 metrics["dropped_records"] = metrics["num_input_rows"] - metrics["num_output_rows"]
             self._flow_event(name, name, "COMPLETED", metrics, report)
-            self._save_catalog()
         return self.read(name)
 
     # -- streaming tables and flows ------------------------------------------------------
@@ -280,20 +276,13 @@ class Workspace:
         empty = self.spark.createDataFrame([], self._stored_schema(i))
         empty.write.mode("append").partitionBy(FLOW, BATCH).parquet(self.data_path(i.name))
 
-    def _batch_exists(self, path: str) -> bool:
-        try:
-            self.spark.read.parquet(path)
-            return True
-        except AnalysisException:
-            return False
-
     def _flow_writer(self, i: TableInfo, flow: str):
         layout = i.layout()
         path = self.data_path(i.name)
         columns = i.struct().fieldNames()
 
         def write(df: DataFrame, batch_id: int) -> None:
-            if self._batch_exists(f"{path}/{FLOW}={flow}/{BATCH}={batch_id}"):
+            if exists(self.spark, f"{path}/{FLOW}={flow}/{BATCH}={batch_id}"):
                 return  # committed by an earlier attempt of this batch
             out = df.withColumn(FLOW, F.lit(flow)).withColumn(BATCH, F.lit(batch_id).cast("long"))
             w = (layout.arrange(out).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -348,7 +337,6 @@ class Workspace:
         if once and flow not in i.once_done:
             i.once_done.append(flow)
         self._flow_event(i.name, flow, "COMPLETED", metrics, report)
-        self._save_catalog()
 
     @staticmethod
     def _by_name(df: DataFrame, i: TableInfo, allow_new_columns: bool) -> DataFrame:

@@ -66,9 +66,26 @@ def new_scratch(spark: SparkSession, tag: str = "ws") -> str:
     return f"{scratch_root(spark)}/strata/{tag}-{uuid.uuid4().hex[:12]}"
 
 
-def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> SimpleNamespace:
-    """Lazy readers of the given Parquet tables (pruning and pushdown stay with the scan)."""
-    return SimpleNamespace(**{n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names})
+class Tables(SimpleNamespace):
+    """Readers of the given Parquet tables, each made on first use (pruning and pushdown
+    stay with the scan)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, names=TABLES):
+        super().__init__()
+        object.__setattr__(self, "_spark", spark)
+        object.__setattr__(self, "_dir", sf_dir)
+        object.__setattr__(self, "_names", tuple(names))
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._names:
+            raise AttributeError(name)
+        df = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        object.__setattr__(self, name, df)
+        return df
+
+
+def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> Tables:
+    return Tables(spark, sf_dir, names)
 
 
 def sql(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:

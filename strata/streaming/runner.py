@@ -35,6 +35,7 @@ def await_run(q: StreamingQuery, continuous: bool = False, timeout_s: float | No
     t0 = time.time()
     try:
         if continuous:
+            # returns once a trigger finds no new input: at most one interval after the data
             q.processAllAvailable()
             q.stop()
         else:
