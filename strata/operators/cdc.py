@@ -157,6 +157,8 @@ class ChangeApplier:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         ev = self.spec.flags(batch).persist()
         try:
+            if ev.isEmpty():
+                return
             if self.scd_type == 1:
                 self._merge_scd1(ev, batch_id)
             else:

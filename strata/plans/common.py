@@ -12,7 +12,8 @@ from .finance import LINE_SCHEMA, enrich_lines, write_arrivals
 from .workspace import Workspace
 
 # Arrival split of the order lines: two runs' worth of files.
-LINE_PARTS = [F.col("l_orderkey") % 2 == 0, F.col("l_orderkey") % 2 == 1]
+def halves(key: str = "l_orderkey"):
+    return [F.col(key) % 2 == 0, F.col(key) % 2 == 1]
 
 
 def setup(spark: SparkSession, sf_dir: str, params: dict | None = None):
@@ -24,10 +25,10 @@ def view(spark: SparkSession, t, name: str) -> DataFrame:
     return fixtures.view(spark, name, t)
 
 
-def line_files(ws: Workspace, t, parts=LINE_PARTS, name: str = "lineitem") -> str:
+def line_files(ws: Workspace, t, parts=None, name: str = "lineitem") -> str:
     """Order lines written as CSV files under the workspace, in arrival order."""
     path = f"{ws.root}/files/{name}"
-    write_arrivals(t.lineitem.select(*LINE_SCHEMA.fieldNames()), path, parts, header=True)
+    write_arrivals(t.lineitem.select(*LINE_SCHEMA.fieldNames()), path, parts or halves(), header=True)
     return path
 
 

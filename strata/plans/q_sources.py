@@ -15,7 +15,8 @@ from .registry import query
 
 LINES_ORACLE = "SELECT " + ", ".join(LINE_SCHEMA.fieldNames()) + " FROM lineitem"
 ORDERS_ORACLE = "SELECT * FROM orders"
-THIRDS = [F.col("o_orderkey") % 3 == 0, F.col("o_orderkey") % 3 == 1, F.col("o_orderkey") % 3 == 2]
+def thirds():
+    return [F.col("o_orderkey") % 3 == k for k in range(3)]
 
 
 # -- A: sources --------------------------------------------------------------------------
@@ -69,7 +70,7 @@ def scan_csv_stream(spark, sf_dir):
     """A4: ``STREAM read_files(...)`` into a streaming table; files arrive in three parts."""
     t, ws = setup(spark, sf_dir)
     path = f"{ws.root}/files/orders"
-    write_arrivals(t.orders, path, THIRDS, header=True)
+    write_arrivals(t.orders, path, thirds(), header=True)
     src = read_files_stream(spark, path, t.orders.schema, "csv", header=True, mode="PERMISSIVE")
     ws.streaming_table_as("b_orders", src)
     return ws.read("b_orders")
@@ -215,7 +216,7 @@ def _orders_flows(spark, t, ws, permute: bool = True, drop: str | None = None):
     """Three order sources: main, a new business unit (columns reordered, maybe one
     missing), and a history backfill."""
     paths = []
-    for k, cond in enumerate(THIRDS):
+    for k, cond in enumerate(thirds()):
         df = t.orders.where(cond)
         if k == 1 and permute:
             df = df.select(*reversed(df.columns))

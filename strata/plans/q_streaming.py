@@ -68,11 +68,9 @@ SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1
   count(*) AS events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
 FROM events {where} GROUP BY 1, 2"""
 
-EVENT_AGGS = {"events": F.count(F.lit(1)), "__total": F.sum(F.col("value").cast("decimal(18,2)"))}
-
-
 def _events_by_day(df):
-    return windowed_aggregate(df, "ts", "1 day", EVENT_AGGS, delay="1 hour") \
+    aggs = {"events": F.count(F.lit(1)), "__total": F.sum(F.col("value").cast("decimal(18,2)"))}
+    return windowed_aggregate(df, "ts", "1 day", aggs, delay="1 hour") \
         .withColumn("total_value", F.col("__total").cast("double")).drop("__total")
 
 
