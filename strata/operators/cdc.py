@@ -236,8 +236,12 @@ class ChangeApplier:
             cur = cur.where(F.col(BUCKET).isin(touched)) if touched else None
         u = new if cur is None else cur.select(*cols, DELETED, BUCKET).unionByName(new) \
             .dropDuplicates(spec.keys + order)
-        seq = spec.sequence[0]
-        v = (next_in_order(u, spec.keys, order, value=seq, out=VALID_TO)
-             .withColumn(VALID_FROM, F.col(seq))
-             .select(*cols, VALID_FROM, VALID_TO, DELETED, BUCKET))
-        self._overwrite(v, self.data, BUCKET)
+        u = u.persist()  # read by the cut sampling and by the merge itself
+        try:
+            seq = spec.sequence[0]
+            v = (next_in_order(u, spec.keys, order, value=seq, out=VALID_TO)
+                 .withColumn(VALID_FROM, F.col(seq))
+                 .select(*cols, VALID_FROM, VALID_TO, DELETED, BUCKET))
+            self._overwrite(v, self.data, BUCKET)
+        finally:
+            u.unpersist()

@@ -84,16 +84,20 @@ class Layout:
     def arrange(self, df: DataFrame) -> DataFrame:
         """Co-locate rows: range partitions on the cluster keys (or the Z-order code),
         sorted within each file. The number of ranges is left to AQE."""
+        # A row hash ends every range key: rows sharing one hot key value can still be
+        # split over several ranges (files), so no task writes a whole hot key.
+        spread = F.xxhash64(*[F.col(c) for c in df.columns])
         if self.zorder_by:
             code = "__zorder"
             df = df.withColumn(code, zorder_code(df, self.zorder_by))
             keys = [*self.partition_by, code]
-            return df.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(code)
+            return df.repartitionByRange(*keys, spread).sortWithinPartitions(*keys).drop(code)
         if self.cluster_by:
             keys = [*self.partition_by, *self.cluster_by]
-            return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+            return df.repartitionByRange(*keys, spread).sortWithinPartitions(*keys)
         if self.partition_by:
-            return df.repartition(*self.partition_by)
+            # AQE rebalances the write: skewed partitions are split, small ones merged
+            return df.hint("rebalance", *self.partition_by)
         return df
 
     def writer_options(self, columns: list[str]) -> dict:

@@ -1,34 +1,94 @@
 """Per-key ordered operators that stay balanced when one key holds a large share of rows.
 
-``Window.partitionBy(key)`` sends every row of a key to one task. Here rows are
-range-partitioned on ``(key, order)`` instead, so a hot key is spread over many
-tasks in order; each task works locally and only the rows at a task boundary take
-a value from the next task that holds the same key (one small aggregate).
+``Window.partitionBy(key)`` sends every row of a key to one task. Here the
+``(key, order)`` space is cut into ranges ("blocks") at points drawn from a sample,
+so a hot key is spread over many blocks in order; each block works locally and only
+the last row of a key in a block takes its value from the next block holding the key
+(a small aggregate). The cut points are computed once and become literals, so the
+block of a row never depends on how or how often the plan is executed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+SAMPLE_PER_BLOCK = 20
 
-def next_in_order(df: DataFrame, keys, order, value: str, out: str) -> DataFrame:
+
+def _literal(v, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.lit(v.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(v).cast(dtype)
+
+
+def _sort_key(row) -> tuple:
+    return tuple((v is not None, v) for v in row)  # NULL first, as in ORDER BY
+
+
+def range_cuts(df: DataFrame, cols: list[str], blocks: int) -> list[tuple]:
+    """Up to ``blocks - 1`` increasing cut tuples of ``cols``, from a sample whose size
+    is bounded by ``SAMPLE_PER_BLOCK * blocks`` rows on average."""
+    if blocks <= 1:
+        return []
+    total = df.count()
+    if total == 0:
+        return []
+    fraction = min(1.0, SAMPLE_PER_BLOCK * blocks / total)
+    rows = [tuple(r) for r in df.select(*cols).sample(False, fraction, seed=17).collect()]
+    rows.sort(key=_sort_key)
+    cuts: list[tuple] = []
+    for i in range(1, blocks):
+        if not rows:
+            break
+        c = rows[min(len(rows) - 1, i * len(rows) // blocks)]
+        if not cuts or _sort_key(c) > _sort_key(cuts[-1]):
+            cuts.append(c)
+    return cuts
+
+
+def _less(df: DataFrame, cols: list[str], cut: tuple) -> Column:
+    """``(cols) < cut`` lexicographically, NULL lowest."""
+    cond = None
+    for c, v in reversed(list(zip(cols, cut))):
+        col = F.col(c)
+        if v is None:
+            lt, eq = F.lit(False), col.isNull()
+        else:
+            lit = _literal(v, df.schema[c].dataType)
+            lt, eq = col.isNull() | (col < lit), col == lit
+        cond = lt if cond is None else lt | (F.coalesce(eq, F.lit(False)) & cond)
+    return cond
+
+
+def block_of(df: DataFrame, cols: list[str], cuts: list[tuple], lo: int = 0, hi: int | None = None) -> Column:
+    """Number of cuts at or below the row's ``cols`` tuple (a binary search as CASE)."""
+    hi = len(cuts) if hi is None else hi
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(_less(df, cols, cuts[mid]), block_of(df, cols, cuts, lo, mid)) \
+        .otherwise(block_of(df, cols, cuts, mid + 1, hi))
+
+
+def next_in_order(df: DataFrame, keys, order, value: str, out: str, blocks: int | None = None) -> DataFrame:
     """``lead(value) OVER (PARTITION BY keys ORDER BY order)``, computed skew-safe.
 
     ``order`` must be a total order within a key (add a tie-break column)."""
     keys = list(keys)
     order = list(order)
-    part = "__strata_part"
-    ranged = df.repartitionByRange(*keys, *order).withColumn(part, F.spark_partition_id())
-    local = ranged.withColumn(out, F.lead(value).over(Window.partitionBy(part, *keys).orderBy(*order)))
-    # first value of each key in each task, then the first value in the next task holding the key
-    firsts = (ranged.groupBy(*keys, part)
-              .agg(F.min_by(F.col(value), F.struct(*order)).alias("__first")))
-    bridge = (firsts.withColumn("__bridge", F.lead("__first").over(Window.partitionBy(*keys).orderBy(part)))
-              .select(*keys, part, "__bridge"))
-    return (local.join(bridge, [*keys, part], "left")
+    n = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    b = "__strata_block"
+    d = df.withColumn(b, block_of(df, keys + order, range_cuts(df, keys + order, n)))
+    local = d.withColumn(out, F.lead(value).over(Window.partitionBy(*keys, b).orderBy(*order)))
+    # first value of each key in each block, then the first value in the next block of the key
+    firsts = d.groupBy(*keys, b).agg(F.min_by(F.col(value), F.struct(*order)).alias("__first"))
+    bridge = (firsts.withColumn("__bridge", F.lead("__first").over(Window.partitionBy(*keys).orderBy(b)))
+              .select(*keys, b, "__bridge"))
+    return (local.join(bridge, [*keys, b], "left")
             .withColumn(out, F.coalesce(F.col(out), F.col("__bridge")))
-            .drop(part, "__bridge"))
+            .drop(b, "__bridge"))
 
 
 def latest_per_key(df: DataFrame, keys, order) -> DataFrame:
