@@ -140,7 +140,9 @@ class ChangeApplier:
 
     @staticmethod
     def _overwrite(df: DataFrame, path: str, partition: str) -> None:
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # rebalance on the partition column: few files per bucket, and AQE splits a
+        # bucket that a hot key made large
+        (df.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition).parquet(path))
 
     def read(self) -> DataFrame | None:

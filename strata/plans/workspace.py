@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..fs import exists
+from ..fs import exists, mkdirs
 from ..functions.params import Params
 from ..operators import cdc as cdc_ops
 from ..operators.layout import Layout
@@ -68,13 +68,15 @@ class TableInfo:
 
 class Workspace:
     def __init__(self, spark: SparkSession, root: str | None = None, pipeline_id: str | None = None,
-                 params: dict | None = None, buckets: int = 64):
+                 params: dict | None = None, buckets: int | None = None):
         prepare(spark)
         self.spark = spark
         self.root = (root or new_scratch(spark, "pipeline")).rstrip("/")
         self.pipeline_id = pipeline_id or str(uuid.uuid4())
         self.params = Params(params or {})
-        self.buckets = buckets
+        # change targets: one bucket per shuffle partition by default, so bucket size
+        # follows the cluster's sizing of partitions
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.log = EventLog(spark, f"{self.root}/_event_log", self.pipeline_id)
         self.catalog: dict[str, TableInfo] = {}
         if root is not None:  # an existing workspace: its tables and versions
@@ -273,8 +275,7 @@ class Workspace:
 
     def _create_empty(self, i: TableInfo) -> None:
         # makes the directory exist so streams can start on it before any flow ran
-        empty = self.spark.createDataFrame([], self._stored_schema(i))
-        empty.write.mode("append").partitionBy(FLOW, BATCH).parquet(self.data_path(i.name))
+        mkdirs(self.spark, self.data_path(i.name))
 
     def _flow_writer(self, i: TableInfo, flow: str):
         layout = i.layout()
