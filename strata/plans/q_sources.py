@@ -244,9 +244,10 @@ def append_flow_by_name(spark, sf_dir):
 def append_flow_backfill(spark, sf_dir):
     """A one-time backfill flow: a second update neither reruns nor doubles it."""
     t, ws = setup(spark, sf_dir)
-    for _ in range(2):
-        with ws.update():
-            _orders_flows(spark, t, ws) if _ == 0 else _rerun_orders_flows(spark, t, ws)
+    with ws.update():
+        _orders_flows(spark, t, ws)
+    with ws.update():
+        _rerun_orders_flows(spark, t, ws)
     return ws.read("b_orders")
 
 
