@@ -36,7 +36,8 @@ def range_cuts(df: DataFrame, cols: list[str], blocks: int) -> list[tuple]:
     if total == 0:
         return []
     fraction = min(1.0, SAMPLE_PER_BLOCK * blocks / total)
-    rows = [tuple(r) for r in df.select(*cols).sample(False, fraction, seed=17).collect()]
+    sample = df.select(*cols).sample(False, fraction, seed=17).limit(2 * SAMPLE_PER_BLOCK * blocks)
+    rows = [tuple(r) for r in sample.collect()]  # a hard bound on what reaches the driver
     rows.sort(key=_sort_key)
     cuts: list[tuple] = []
     for i in range(1, blocks):
