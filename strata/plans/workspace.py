@@ -38,6 +38,7 @@ from .eventlog import EventLog
 FLOW, BATCH = "flow", "batch"
 RESET_ALLOWED = "pipelines.reset.allowed"
 TRIGGER_INTERVAL = "pipelines.trigger.interval"
+TABLE_STATE = "table_state"
 
 
 @dataclass
@@ -94,20 +95,20 @@ class Workspace:
     def checkpoint_path(self, name: str, flow: str) -> str:
         return f"{self.root}/checkpoints/{name}/g{self.catalog[name].generation}/{flow}"
 
-    def _catalog_path(self) -> str:
-        return f"{self.root}/_catalog"
-
     def _load_catalog(self) -> None:
-        if not exists(self.spark, self._catalog_path()):
+        """The latest ``table_state`` event of each table in the run log."""
+        if not exists(self.spark, self.log.path):
             return
-        rows = self.spark.read.text(self._catalog_path()).collect()  # one row per table
-        for r in rows:
-            d = json.loads(r[0])
-            self.catalog[d["name"]] = TableInfo(**d)
+        states = (self.log.read().where(F.col("event_type") == TABLE_STATE)
+                  .groupBy("table_name")
+                  .agg(F.max_by("details", F.struct("timestamp", "sequence")).alias("d")))
+        for r in states.collect():  # one row per table
+            self.catalog[r["table_name"]] = TableInfo(**json.loads(r["d"]))
 
     def _save_catalog(self) -> None:
-        rows = [(json.dumps(asdict(i)),) for i in self.catalog.values()]
-        self.spark.createDataFrame(rows, "v string").coalesce(1).write.mode("overwrite").text(self._catalog_path())
+        """Table states go to the run log with the update's other events (one write)."""
+        for i in self.catalog.values():
+            self.log.emit(TABLE_STATE, asdict(i), self.update_id, table=i.name)
 
     def _declare(self, name: str, kind: str, comment=None, properties=None, schema=None,
                  partition_by=(), cluster_by=()) -> TableInfo:
@@ -460,6 +461,7 @@ class Workspace:
             i.version = cur
             raise
         self._save_catalog()
+        self.log.flush()
         return self.read(name)
 
     def tables(self) -> DataFrame:
