@@ -60,3 +60,23 @@ def test_stream_merge_independent_of_batches(spark, cuts, reverse):
     assert _rows(ws.read("t1"), cols1) == _rows(scd1(feed, spec), cols1)
     cols2 = cols1 + ["valid_from", "valid_to"]
     assert _rows(ws.read("t2"), cols2) == _rows(scd2(feed, spec), cols2)
+
+
+def test_hot_key_history_and_latest_match_brute_force(spark):
+    """One key holds a third of the change rows: type 1 and type 2 still equal the
+    plain window computation."""
+    from conftest import MEDIUM
+    t, _ = setup(spark, MEDIUM)
+    feed = view(spark, t, "cdc_feed").withColumn(
+        "id", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")))
+    spec = ChangeSpec(SPEC["keys"], SPEC["sequence_by"], SPEC["delete_when"], tie_break=SPEC["tie_break"])
+    w = Window.partitionBy("id").orderBy("update_date", "event_id")
+    want2 = (feed.withColumn("valid_from", F.col("update_date"))
+             .withColumn("valid_to", F.lead("update_date").over(w)).where("update_type <> 'DELETE'"))
+    cols2 = ["id", "update_date", "event_id", "value", "update_type", "valid_from", "valid_to"]
+    assert _rows(scd2(feed, spec), cols2) == _rows(want2, cols2)
+    last = feed.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy(
+        F.col("update_date").desc(), F.col("event_id").desc())))
+    want1 = last.where("r = 1 AND update_type <> 'DELETE'")
+    cols1 = cols2[:5]
+    assert _rows(scd1(feed, spec), cols1) == _rows(want1, cols1)
