@@ -13,6 +13,7 @@ from .registry import query
 
 DELETE_WHEN = "update_type = 'DELETE'"
 TRUNCATE_WHEN = "value >= 450"
+RECENT_TIES = ["order_id", "line", "item_id", "qty_ordered"]
 MID = "2024-01-15"
 
 SCD1_ORACLE = cte("cdc_feed") + """
@@ -180,14 +181,16 @@ def stream_skip_changes(spark, sf_dir):
 @query("cdc_recent_customer_orders", cte("s_orders") + """
 SELECT order_id, line, order_date, customer_id, customer_name, item_id, item_description, unit_price,
   qty_ordered, total_price FROM (
-  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY order_date DESC, order_id DESC, line DESC) AS r
+  SELECT *, row_number() OVER (PARTITION BY customer_id
+    ORDER BY order_date DESC, order_id DESC, line DESC, item_id DESC, qty_ordered DESC) AS r
   FROM s_orders) WHERE r = 1""")
 def cdc_recent_customer_orders(spark, sf_dir):
     """L1 on the sales stream: ``g_recent_customer_orders``, ``APPLY CHANGES ... FROM
-    STREAM(s_orders) KEYS (customer_id) SEQUENCE BY order_date``."""
+    STREAM(s_orders) KEYS (customer_id) SEQUENCE BY order_date`` (order lines repeat
+    ``(order_id, line)``, so the item and quantity break the remaining ties)."""
     from .common import s_orders_pipeline  # noqa: PLC0415
     _, ws = s_orders_pipeline(spark, sf_dir)
     with ws.update():
         ws.apply_changes("g_recent_customer_orders", ws.read_stream("s_orders"), keys=["customer_id"],
-                         sequence_by="order_date", tie_break=["order_id", "line"])
+                         sequence_by="order_date", tie_break=RECENT_TIES)
     return ws.read("g_recent_customer_orders")

@@ -96,7 +96,7 @@ def run(ws: Workspace, t, files: dict, full_refresh: bool = False) -> None:
         ws.apply_changes("s_suppliers", ws.read_stream("b_suppliers_cdc"), keys=["id"], sequence_by="update_date",
                          delete_when="update_type = 'DELETE'", tie_break=["event_id"], scd_type=2)
         ws.apply_changes("g_recent_customer_orders", ws.read_stream("s_orders"), keys=["customer_id"],
-                         sequence_by="order_date", tie_break=["order_id", "line"])
+                         sequence_by="order_date", tie_break=["order_id", "line", "item_id", "qty_ordered"])
 
         # notebook 4: layout, properties, parameters
         ws.materialized_view("c_orders_liquid_clustered", ws.read("s_orders"),
