@@ -39,8 +39,9 @@ def ingest_lines(ws: Workspace, path: str, table: str = "b_orders", **opts):
 
 
 def build_s_orders(ws: Workspace, t, source: str = "b_orders", table: str = "s_orders"):
-    """``s_orders``: stream of new lines joined to the static orders, customers and items."""
-    s = enrich_lines(ws.read_stream(source), t.orders, t.customer, t.part)
+    """``s_orders``: stream of new lines joined to the static orders, customers and items;
+    lines left out by the inner join are counted in the run log."""
+    s = enrich_lines(ws.read_stream(source), t.orders, t.customer, t.part, observe=f"lookup_{table}")
     return ws.streaming_table_as(table, s, comment="Sales order lines with customer and item information")
 
 

@@ -31,15 +31,28 @@ def write_arrivals(df: DataFrame, path: str, parts: list, format: str = "csv", *
         write_files(df.where(cond), path, format=format, mode="append", **options)
 
 
-def enrich_lines(lines: DataFrame, orders: DataFrame, customers: DataFrame, items: DataFrame) -> DataFrame:
+def enrich_lines(lines: DataFrame, orders: DataFrame, customers: DataFrame, items: DataFrame,
+                 observe: str | None = None) -> DataFrame:
     """``s_orders``: order lines with their order date, customer and item (stream-static
-    or static-static). Each dimension is broadcast only if measured small enough."""
+    or static-static). Each dimension is broadcast only if measured small enough.
+
+    Inner-join semantics. With ``observe`` the lines that find no order, customer or item
+    are counted under that name (``unmatched_*``) before they are left out, so the run
+    log shows what the inner join lost."""
     o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     c = customers.select("c_custkey", "c_name")
     p = items.select("p_partkey", "p_name", "p_retailprice")
-    j = lookup(lines, o, lines["l_orderkey"] == o["o_orderkey"])
-    j = lookup(j, c, j["o_custkey"] == c["c_custkey"])
-    j = lookup(j, p, j["l_partkey"] == p["p_partkey"])
+    how = "left" if observe else "inner"
+    if observe:
+        o, c, p = (d.withColumn(m, F.lit(True)) for d, m in ((o, "__m_o"), (c, "__m_c"), (p, "__m_p")))
+    j = lookup(lines, o, lines["l_orderkey"] == o["o_orderkey"], how)
+    j = lookup(j, c, j["o_custkey"] == c["c_custkey"], how)
+    j = lookup(j, p, j["l_partkey"] == p["p_partkey"], how)
+    if observe:
+        j = j.observe(observe, F.count_if(F.col("__m_o").isNull()).alias("unmatched_orders"),
+                      F.count_if(F.col("__m_c").isNull()).alias("unmatched_customers"),
+                      F.count_if(F.col("__m_p").isNull()).alias("unmatched_items"))
+        j = j.where(F.col("__m_o") & F.col("__m_c") & F.col("__m_p"))
     unit = F.col("p_retailprice").cast("decimal(10,2)")
     qty = F.col("l_quantity").cast("int")
     return j.select(

@@ -20,7 +20,8 @@ def _logged(spark, sf_dir):
     path = line_files(ws, t)
     with ws.update():
         ingest_lines(ws, path)
-        ws.streaming_table_as("s_orders", enrich_lines(ws.read_stream("b_orders"), t.orders, t.customer, t.part))
+        ws.streaming_table_as("s_orders", enrich_lines(ws.read_stream("b_orders"), t.orders, t.customer, t.part,
+                                                       observe="lookup_s_orders"))
         ws.materialized_view("s_items", view(spark, t, "dq_items"),
                              expectations=[expect("valid_unit_price", VALID_PRICE)])
         ws.materialized_view("g_sales_summary_by_customer", sales_by_customer(ws.read("s_orders")))

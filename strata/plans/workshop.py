@@ -64,7 +64,8 @@ def run(ws: Workspace, t, files: dict, full_refresh: bool = False) -> None:
         cust = b_customers.select(F.col("id").alias("c_custkey"), F.col("customer_name").alias("c_name"))
         part = b_items.select(F.col("id").alias("p_partkey"), F.col("description").alias("p_name"),
                               F.col("unit_price").cast("double").alias("p_retailprice"))
-        ws.streaming_table_as("s_orders", enrich_lines(ws.read_stream("b_orders"), t.orders, cust, part),
+        ws.streaming_table_as("s_orders", enrich_lines(ws.read_stream("b_orders"), t.orders, cust, part,
+                                                       observe="lookup_s_orders"),
                               comment="Sales orders with customer and item information")
         ws.aggregate_table("g_sales_summary_by_customer", sales_by_customer(ws.read_stream("s_orders")), "complete")
         by_day = windowed_aggregate(ws.read_stream("s_orders"), "order_date", "1 day", sales_by_day_aggs(),

@@ -334,6 +334,9 @@ class Workspace:
             m = res.observed.get(dq_name, {})
             report = expectation_report(m, rules, i.name)
             metrics["dropped_records"] = int(m.get("rows", 0)) - metrics["num_output_rows"]
+        for name, vals in res.observed.items():  # other named counts of the flow's plan
+            if name not in (dq_name, out_name):
+                metrics.update({k: int(v) for k, v in vals.items()})
         if flow not in i.flows:
             i.flows.append(flow)
         if once and flow not in i.once_done:

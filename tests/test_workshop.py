@@ -30,3 +30,22 @@ def test_workshop_end_to_end(spark):
     workshop.run(ws, t, files)
     assert ws.read("b_orders").count() == n_lines
     assert ws.read("g_sales_summary_by_customer").agg(F.sum("total_orders")).first()[0] == n_lines
+
+
+def test_inner_join_losses_are_logged(spark):
+    from conftest import SMALL
+    from strata.plans import eventlog as L
+    from strata.plans.common import ingest_lines, line_files
+    from strata.plans.finance import enrich_lines
+    t, ws = setup(spark, SMALL)
+    path = line_files(ws, t)
+    few_items = t.part.where("p_partkey % 2 = 0")  # half the items are missing
+    with ws.update():
+        ingest_lines(ws, path)
+        ws.streaming_table_as("s_orders", enrich_lines(ws.read_stream("b_orders"), t.orders, t.customer,
+                                                       few_items, observe="lookup_s_orders"))
+    m = L.flow_progress(ws.log.read()).where("table_name = 's_orders'")
+    lost = ws.log.read().where("event_type = 'flow_progress' AND table_name = 's_orders'") \
+        .select(L.detail("flow_progress:metrics:unmatched_items").cast("long").alias("n")).first()["n"]
+    assert lost == t.lineitem.where("l_partkey % 2 = 1").count()
+    assert m.first()["num_output_rows"] == t.lineitem.count() - lost
