@@ -387,7 +387,13 @@ class Workspace:
                               "truncate_when": truncate_when, "scd_type": scd_type, "tie_break": tie_break,
                               "except_columns": list(except_columns), "buckets": buckets or self.buckets}
             applier = self._applier(i)
+            spec = applier.spec
+            unusable = F.lit(False)
+            for c in spec.keys + spec.sequence:
+                unusable = unusable | F.col(c).isNull()
+            # change rows without a key or sequence value cannot be applied: counted, left out
             w = (df.observe(f"out_{target}", F.count(F.lit(1)).alias("rows"))
+                 .observe(f"cdc_{target}", F.count_if(unusable).alias("null_key_or_sequence"))
                  .writeStream.foreachBatch(applier)
                  .option("checkpointLocation", self.checkpoint_path(target, "apply_changes"))
                  .queryName(f"{target}.apply_changes.{uuid.uuid4().hex[:6]}"))

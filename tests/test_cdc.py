@@ -80,3 +80,20 @@ def test_hot_key_history_and_latest_match_brute_force(spark):
     want1 = last.where("r = 1 AND update_type <> 'DELETE'")
     cols1 = cols2[:5]
     assert _rows(scd1(feed, spec), cols1) == _rows(want1, cols1)
+
+
+def test_rows_without_key_are_counted_not_applied(spark):
+    from conftest import SMALL
+    from strata.plans import eventlog as L
+    t, ws = setup(spark, SMALL)
+    feed = view(spark, t, "cdc_feed").withColumn(
+        "id", F.when(F.col("event_id") % 10 == 0, F.lit(None)).otherwise(F.col("id")))
+    path = f"{ws.root}/files/feed"
+    write_arrivals(feed, path, [F.lit(True)], format="parquet")
+    ws.apply_changes("t", read_files_stream(spark, path, feed.schema, "parquet"), **SPEC)
+    spec = ChangeSpec(SPEC["keys"], SPEC["sequence_by"], SPEC["delete_when"], tie_break=SPEC["tie_break"])
+    cols = ["id", "update_date", "event_id", "value", "update_type"]
+    assert _rows(ws.read("t"), cols) == _rows(scd1(feed, spec), cols)
+    n = ws.log.read().where("event_type = 'flow_progress' AND table_name = 't'") \
+        .select(L.detail("flow_progress:metrics:null_key_or_sequence").cast("long")).first()[0]
+    assert n == feed.where("id IS NULL").count() > 0
