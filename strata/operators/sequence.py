@@ -17,12 +17,6 @@ from pyspark.sql import types as T
 SAMPLE_PER_BLOCK = 20
 
 
-def _literal(v, dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.TimestampNTZType):
-        return F.lit(v.isoformat(sep=" ")).cast("timestamp_ntz")
-    return F.lit(v).cast(dtype)
-
-
 def _sort_key(row) -> tuple:
     return tuple((v is not None, v) for v in row)  # NULL first, as in ORDER BY
 
@@ -49,28 +43,52 @@ def range_cuts(df: DataFrame, cols: list[str], blocks: int) -> list[tuple]:
     return cuts
 
 
-def _less(df: DataFrame, cols: list[str], cut: tuple) -> Column:
-    """``(cols) < cut`` lexicographically, NULL lowest."""
+def _sql_literal(v, dtype: T.DataType) -> str:
+    """A typed SQL literal for a value collected from a column of type ``dtype``."""
+    t = dtype.simpleString()
+    if isinstance(dtype, T.StringType):
+        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(dtype, T.TimestampNTZType):
+        return f"TIMESTAMP_NTZ '{v.isoformat(sep=' ')}'"
+    if isinstance(dtype, T.DateType):
+        return f"DATE '{v.isoformat()}'"
+    if isinstance(dtype, T.BooleanType):
+        return "TRUE" if v else "FALSE"
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        s = "NaN" if v != v else ("Infinity" if v == float("inf") else
+                                  "-Infinity" if v == float("-inf") else repr(float(v)))
+        return f"CAST('{s}' AS {t})"
+    if isinstance(dtype, (T.IntegralType, T.DecimalType)):
+        return f"CAST('{v}' AS {t})"
+    raise TypeError(t)
+
+
+def _less(df: DataFrame, cols: list[str], cut: tuple) -> str:
+    """SQL for ``(cols) < cut`` lexicographically, NULL lowest."""
     cond = None
     for c, v in reversed(list(zip(cols, cut))):
-        col = F.col(c)
+        q = f"`{c}`"
         if v is None:
-            lt, eq = F.lit(False), col.isNull()
+            lt, eq = "FALSE", f"{q} IS NULL"
         else:
-            lit = _literal(v, df.schema[c].dataType)
-            lt, eq = col.isNull() | (col < lit), col == lit
-        cond = lt if cond is None else lt | (F.coalesce(eq, F.lit(False)) & cond)
+            lit = _sql_literal(v, df.schema[c].dataType)
+            lt, eq = f"({q} IS NULL OR {q} < {lit})", f"coalesce({q} = {lit}, FALSE)"
+        cond = lt if cond is None else f"({lt} OR ({eq} AND {cond}))"
     return cond
 
 
-def block_of(df: DataFrame, cols: list[str], cuts: list[tuple], lo: int = 0, hi: int | None = None) -> Column:
-    """Number of cuts at or below the row's ``cols`` tuple (a binary search as CASE)."""
-    hi = len(cuts) if hi is None else hi
+def _block_sql(df: DataFrame, cols: list[str], cuts: list[tuple], lo: int, hi: int) -> str:
     if lo >= hi:
-        return F.lit(lo)
+        return str(lo)
     mid = (lo + hi) // 2
-    return F.when(_less(df, cols, cuts[mid]), block_of(df, cols, cuts, lo, mid)) \
-        .otherwise(block_of(df, cols, cuts, mid + 1, hi))
+    return (f"CASE WHEN {_less(df, cols, cuts[mid])} THEN {_block_sql(df, cols, cuts, lo, mid)} "
+            f"ELSE {_block_sql(df, cols, cuts, mid + 1, hi)} END")
+
+
+def block_of(df: DataFrame, cols: list[str], cuts: list[tuple]) -> Column:
+    """Number of cuts at or below the row's ``cols`` tuple: a binary search written as
+    one nested CASE (log2 of the block count comparisons per row, all in codegen)."""
+    return F.expr(_block_sql(df, cols, cuts, 0, len(cuts)))
 
 
 def next_in_order(df: DataFrame, keys, order, value: str, out: str, blocks: int | None = None) -> DataFrame:
