@@ -17,3 +17,10 @@ def mkdirs(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    """Remove ``path`` and everything under it."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

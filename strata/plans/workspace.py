@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..fs import exists, mkdirs
+from ..fs import delete, exists, mkdirs
 from ..functions.params import Params
 from ..operators import cdc as cdc_ops
 from ..operators.layout import Layout
@@ -473,6 +473,19 @@ class Workspace:
         self.log.flush()
         return self.read(name)
 
+    def vacuum(self, name: str, keep: int = 1) -> list[str]:
+        """Remove old versions of a materialized view, keeping the ``keep`` newest
+        (the current one always stays). Returns the removed directories."""
+        i = self.catalog[name]
+        if i.kind != "mv":
+            raise ValueError("only materialized views keep older versions")
+        gone = []
+        for v in range(0, max(0, i.version - max(1, keep) + 1)):
+            path = f"{self.root}/tables/{name}/g{i.generation}v{v}"
+            if exists(self.spark, path) and delete(self.spark, path):
+                gone.append(path)
+        return gone
+
     def tables(self) -> DataFrame:
         """Catalog of the workspace: name, kind, comment, properties, version."""
         rows = [(i.name, i.kind, i.comment, json.dumps(i.properties, sort_keys=True), i.generation, i.version,

@@ -20,3 +20,13 @@ def test_reopen_restores_catalog_and_continues(spark):
     with again.update():
         ingest_lines(again, path)  # nothing new: the checkpoint remembers the files
     assert again.read("b_orders").count() == n
+
+
+def test_vacuum_keeps_current_version(spark):
+    from conftest import SMALL
+    t, ws = setup(spark, SMALL)
+    for _ in range(3):
+        ws.materialized_view("m", t.part)
+    gone = ws.vacuum("m", keep=1)
+    assert len(gone) == 2
+    assert ws.read("m").count() == t.part.count()
