@@ -69,6 +69,7 @@ class Layout:
     stats_columns: tuple | None = None  # only these get footer min/max
     num_indexed_cols: int | None = None  # or: the first n columns
     bloom_filter_columns: tuple = ()
+    optimize_write: bool = False  # rebalance before writing: fewer, evenly sized files
 
     @staticmethod
     def from_properties(props: dict | None, cluster_by=(), partition_by=()) -> "Layout":
@@ -79,7 +80,8 @@ class Layout:
                       zorder_by=_names(props.get("pipelines.autoOptimize.zOrderCols")),
                       partition_by=_names(partition_by),
                       stats_columns=_names(stats) if stats else None,
-                      num_indexed_cols=int(n) if n is not None else None)
+                      num_indexed_cols=int(n) if n is not None else None,
+                      optimize_write=str(props.get("delta.autoOptimize.optimizeWrite", "false")).lower() == "true")
 
     def arrange(self, df: DataFrame) -> DataFrame:
         """Co-locate rows: range partitions on the cluster keys (or the Z-order code),
@@ -98,6 +100,8 @@ class Layout:
         if self.partition_by:
             # AQE rebalances the write: skewed partitions are split, small ones merged
             return df.hint("rebalance", *self.partition_by)
+        if self.optimize_write:
+            return df.hint("rebalance")
         return df
 
     def writer_options(self, columns: list[str]) -> dict:

@@ -12,6 +12,7 @@ from strata.plans.finance import enrich_lines
 
 
 def _files(path):
+    path = str(path).removeprefix("file:")
     return [f for f in glob.glob(f"{path}/**/*.parquet", recursive=True)]
 
 
@@ -80,3 +81,15 @@ def test_clustered_view_keeps_rows(spark):
     out = ws.materialized_view("c", s, cluster_by=("order_date", "customer_id", "item_id"))
     assert out.count() == s.count()
     assert out.exceptAll(s).count() == 0
+
+
+def test_optimize_write_makes_fewer_files(spark):
+    from conftest import SMALL
+    t, ws = setup(spark, SMALL)
+    s = enrich_lines(t.lineitem, t.orders, t.customer, t.part).repartition(32)
+    ws.materialized_view("plain", s)
+    ws.materialized_view("opt", s, properties={"delta.autoOptimize.optimizeWrite": "true"})
+    n_plain = len(_files(ws.data_path("plain")))
+    n_opt = len(_files(ws.data_path("opt")))
+    assert n_opt < n_plain
+    assert ws.read("opt").count() == ws.read("plain").count()
