@@ -75,3 +75,9 @@ def test_validate_reports_missing_column_without_jobs(spark):
     rows = {(r.dataset, r.check): r.status for r in E.queries()["validate_contracts"](spark, SMALL).collect()}
     assert rows[("validate_customer_names_by_failing", "expectation:valid_customer_id")] == "FAILED"
     assert rows[("s_orders", "definition")] == "OK"
+
+
+def test_bus_source_without_connector_fails_clearly(spark):
+    from strata.sources.files import read_bus_stream
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_bus_stream(spark, "localhost:9092", ["orders_emea", "orders_apac"])
