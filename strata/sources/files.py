@@ -13,6 +13,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..fs import exists, list_files
+
 CORRUPT_COLUMN = "_corrupt_record"
 
 
@@ -93,10 +95,9 @@ class SchemaStore:
         self.path = path
 
     def load(self) -> T.StructType | None:
-        try:
-            rows = self.spark.read.text(self.path).take(1)
-        except Exception:  # noqa: BLE001 - nothing stored yet
-            return None
+        if not exists(self.spark, self.path):
+            return None  # nothing stored yet
+        rows = self.spark.read.text(self.path).take(1)
         return T.StructType.fromJson(json.loads(rows[0][0])) if rows else None
 
     def save(self, schema: T.StructType) -> None:
@@ -104,13 +105,16 @@ class SchemaStore:
             .write.mode("overwrite").text(self.path)
 
     def resolve(self, source_path: str, format: str = "csv", allow_new_columns: bool = False,
-                **read_options) -> T.StructType:
+                max_infer_files: int = 1000, **read_options) -> T.StructType:
         stored = self.load()
         if stored is not None and not allow_new_columns:
             return stored  # no scan once a schema is kept
-        # inference reads a sample, not the whole input
-        read_options.setdefault("samplingRatio", 0.1 if stored is not None else 1.0)
-        inferred = read_files(self.spark, source_path, format, infer_schema=True, **read_options).schema
+        # inference reads a bounded set of files, never the whole input
+        files = list_files(self.spark, source_path, max_infer_files) or [source_path]
+        r = self.spark.read.format(format).options(**_options(
+            format, read_options.pop("header", None), read_options.pop("sep", None), None,
+            read_options.pop("multi_line", None), None, read_options))
+        inferred = (r.option("inferSchema", "true") if format in ("csv", "json", "xml") else r).load(files).schema
         if stored is None:
             self.save(inferred)
             return inferred

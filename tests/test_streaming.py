@@ -81,3 +81,19 @@ def test_bus_source_without_connector_fails_clearly(spark):
     from strata.sources.files import read_bus_stream
     with pytest.raises(Exception, match="(?i)kafka"):
         read_bus_stream(spark, "localhost:9092", ["orders_emea", "orders_apac"])
+
+
+def test_schema_inferred_once_from_bounded_files(spark):
+    from conftest import SMALL
+    from strata.sources.files import SchemaStore, write_files
+    t, ws = setup(spark, SMALL)
+    path = f"{ws.root}/files/customers"
+    write_files(t.customer, path, "json")
+    store = SchemaStore(spark, f"{ws.root}/schemas/c")
+    first = store.resolve(path, "json", max_infer_files=1)
+    assert set(first.fieldNames()) == set(t.customer.columns)
+    write_files(t.customer.withColumn("extra", F.lit(1)), path, "json", mode="append")
+    assert store.resolve(path, "json") == first  # kept, no new scan
+    grown = store.resolve(path, "json", allow_new_columns=True)
+    assert grown.fieldNames()[: len(first.fieldNames())] == first.fieldNames()
+    assert set(grown.fieldNames()) == set(t.customer.columns) | {"extra"}
