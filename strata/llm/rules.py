@@ -100,14 +100,14 @@ def _repeated(width: int) -> Column:
         lambda a: a["n"]))
 
 
-def learn(labelled: DataFrame, cuts: int = 32, max_rules: int = 8, max_conditions: int = 3,
+def learn(labelled: DataFrame, cuts: int = 64, max_rules: int = 8, max_conditions: int = 3,
           precision: float = 0.95, min_cover: int = 5) -> DecisionList:
     """Decision list from ``labelled``: columns of FEATURES (as from ``with_stats``), ``bad``
     (0 or 1) and ``prune`` (boolean: the row is for pruning). An empty table gives no rules.
     A rule must cover ``min_cover`` bad rows of the pruning part and be right on a share of
     ``precision`` of what it covers there (smoothed by one row)."""
     names = [f"__{f}" for f in FEATURES]
-    at = [i / cuts for i in range(1, cuts)]
+    at = [i / cuts for i in range(cuts + 1)]
     qs = labelled.groupBy("bad").agg(*[F.percentile_approx(n, at, 10000).alias(n) for n in names]).collect()
     if len(qs) < 2:
         return DecisionList(())

@@ -115,7 +115,7 @@ def _scan(met: DataFrame, edges: dict[int, np.ndarray], k: int, final: bool) ->
                     if now is not None and not final:
                         yield lows()
                     now, qids = key, np.asarray(r.column(5)[0].values.to_numpy(zero_copy_only=False))
-                    qvs = r.column(6)[0].values.values.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, key[0])
+                    qvs = r.column(6)[0].values.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, key[0])
                     least = r.column(7)[0].values.to_numpy(zero_copy_only=False)
                     best = np.full((len(qids), k), -np.inf)
                 ids = np.frombuffer(r.column(3)[0].as_py(), "<i8")
