@@ -26,18 +26,11 @@ def delete(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def list_files(spark: SparkSession, path: str, limit: int) -> list[str]:
-    """Up to ``limit`` data files directly under ``path`` (names starting with ``_`` or
-    ``.`` are metadata and skipped). The listing is read as an iterator and stops at
-    ``limit``, so a directory of millions of files costs the driver ``limit`` entries."""
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; the parents of ``target`` are made, ``target`` must not exist."""
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    out: list[str] = []
-    it = fs.listStatusIterator(p)
-    while it.hasNext() and len(out) < limit:
-        st = it.next()
-        name = st.getPath().getName()
-        if st.isFile() and not name.startswith(("_", ".")):
-            out.append(st.getPath().toString())
-    return out
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs = b.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(b.getParent())
+    if not fs.rename(a, b):
+        raise OSError(f"could not move {source} to {target}")

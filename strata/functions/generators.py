@@ -1,6 +1,6 @@
 """Test-data generation as Spark jobs over the ids of a given table.
 
-Every value is integer arithmetic on the row id (``mix(id, salt)``), so the same
+Every value is computed from a digest of the row id and a salt (``mix``), so the same
 numbers can be recomputed by any SQL engine, and a generator grows with the table
 it is keyed on. A generator is immutable: deriving one (other columns, other
 ranges) never changes the one it came from.
@@ -16,21 +16,20 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MIX_MOD, MIX_MUL, MIX_SALT, MIX_RANGE = 1000003, 48271, 7919, 2147483647
-
-
 def mix(salt: int, id_col: str = "id") -> Column:
-    """Deterministic spread of the id: ``((id % 1000003) * 48271 + salt * 7919) % 2147483647``."""
-    return ((F.col(id_col) % MIX_MOD) * MIX_MUL + salt * MIX_SALT) % MIX_RANGE
+    """A number below 2 ** 32 from the MD5 digest of ``salt:id``: columns with different salts
+    are independent, and any SQL engine can recompute them."""
+    digest = F.md5(F.concat(F.lit(f"{salt}:"), F.col(id_col).cast("string")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 
 def mix_sql(salt: int, id_col: str = "id") -> str:
-    return f"(({id_col} % {MIX_MOD}) * {MIX_MUL} + {salt} * {MIX_SALT}) % {MIX_RANGE}"
+    return f"CAST('0x' || substr(md5('{salt}:' || CAST({id_col} AS VARCHAR)), 1, 8) AS BIGINT)"
 
 
-def choice(values: list, salt: int) -> Column:
+def choice(values: list, salt: int, id_col: str = "id") -> Column:
     """One of ``values`` per row (``values=[...], random=True``)."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (mix(salt) % len(values) + 1).cast("int"))
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (mix(salt, id_col) % len(values) + 1).cast("int"))
 
 
 def numeric_range(lo, hi, step, salt: int, type_: str = "decimal(10,2)") -> Column:
@@ -66,32 +65,55 @@ NOUNS = ["Analytics", "Builders", "Foods", "Freight", "Holdings", "Labs", "Logis
 SUFFIXES = ["Inc", "LLC", "Group", "Partners", "Co"]
 
 
-def _names(ids: np.ndarray, adj: np.ndarray, noun: np.ndarray, suf: np.ndarray) -> np.ndarray:
-    def h(salt):
-        return ((ids % MIX_MOD) * MIX_MUL + salt * MIX_SALT) % MIX_RANGE
-    return adj[h(11) % len(adj)] + " " + noun[h(12) % len(noun)] + " " + suf[h(13) % len(suf)]
+STREETS = ["Birch Road", "Canal Street", "Dock Lane", "Elm Avenue", "Field Way", "Grove Court"]
+CITIES = ["Ashford", "Brookton", "Clearwater", "Dunmore", "Eastfield", "Fairview", "Glenrock"]
 
 
-def _company_name_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _join_batches(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """Text column from a Python function with one set-up per task, then Arrow batches."""
     adj, noun, suf = (np.array(x, dtype=object) for x in (ADJECTIVES, NOUNS, SUFFIXES))  # set-up
-    for ids in batches:
-        v = ids.to_numpy(dtype="int64", na_value=0)
-        out = pd.Series(_names(v, adj, noun, suf), index=ids.index, dtype=object)
-        yield out.where(ids.notna(), None)
+    for a, n, x in batches:
+        pick = lambda words, k: words[k.to_numpy(dtype="int64", na_value=0) % len(words)]
+        yield pd.Series(pick(adj, a) + " " + pick(noun, n) + " " + pick(suf, x), index=a.index, dtype=object).where(a.notna(), None)
+
+
+def company_name_udf(id_col: str = "id") -> Column:
+    """Company-like name per id, by a vectorised pandas UDF over an iterator of batches."""
+    return F.pandas_udf(_join_batches, "string")(mix(11, id_col), mix(12, id_col), mix(13, id_col))
+
+
+def company_name(id_col: str = "id") -> Column:
+    """The same names from built-in functions (NULL for a NULL id)."""
+    name = F.concat_ws(" ", *[choice(w, salt, id_col) for w, salt in ((ADJECTIVES, 11), (NOUNS, 12), (SUFFIXES, 13))])
+    return F.when(F.col(id_col).isNotNull(), name)
+
+
+def address(salt: int, id_col: str = "id") -> Column:
+    """``number street`` and city on two lines (``multiLine`` CSV needs such a column)."""
+    return F.concat((mix(salt, id_col) % 9900 + 100).cast("string"), F.lit(" "), choice(STREETS, salt + 1, id_col), F.lit("\n"),
+                    choice(CITIES, salt + 2, id_col))
+
+
+def phone(salt: int, id_col: str = "id") -> Column:
+    return F.concat(F.lit("555-"), F.lpad((mix(salt, id_col) % 10000).cast("string"), 4, "0"))
+
+
+def pick_sql(words: list[str], salt: int, id_col: str = "id") -> str:
+    return "list_value(" + ", ".join(f"'{w}'" for w in words) + f")[1 + ({mix_sql(salt, id_col)}) % {len(words)}]"
+
+
+def address_sql(salt: int, id_col: str = "id") -> str:
+    return (f"CAST(({mix_sql(salt, id_col)}) % 9900 + 100 AS VARCHAR) || ' ' || {pick_sql(STREETS, salt + 1, id_col)} || chr(10) || "
+            f"{pick_sql(CITIES, salt + 2, id_col)}")
 
 
-def company_name(id_col: Column) -> Column:
-    """Company-like name per id (vectorised pandas UDF over an iterator of batches)."""
-    return F.pandas_udf(_company_name_batches, "string")(id_col)
+def phone_sql(salt: int, id_col: str = "id") -> str:
+    return f"'555-' || lpad(CAST(({mix_sql(salt, id_col)}) % 10000 AS VARCHAR), 4, '0')"
 
 
 def company_name_sql(id_col: str = "id") -> str:
     """The same names as SQL, for an oracle."""
-    def pick(words, salt):
-        lst = ", ".join(f"'{w}'" for w in words)
-        return f"list_value({lst})[1 + ({mix_sql(salt, id_col)}) % {len(words)}]"
-    return f"{pick(ADJECTIVES, 11)} || ' ' || {pick(NOUNS, 12)} || ' ' || {pick(SUFFIXES, 13)}"
+    return f"{pick_sql(ADJECTIVES, 11, id_col)} || ' ' || {pick_sql(NOUNS, 12, id_col)} || ' ' || {pick_sql(SUFFIXES, 13, id_col)}"
 
 
 class DataGenerator:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def email_from_name(name: str | Column, domain: str = "@example.com") -> Column:
-    """``concat(replace(initcap(regexp_replace(name, "[^0-9A-Za-z]", " ")), " ", ""), domain)``;
-    NULL in gives NULL out."""
+    """Address made from a name: other characters than letters and digits separate its words,
+    each word is capitalised, and they are run together before ``domain``. NULL gives NULL."""
     c = F.col(name) if isinstance(name, str) else name
     cleaned = F.regexp_replace(c, "[^0-9A-Za-z]", " ")
     return F.concat(F.replace(F.initcap(cleaned), F.lit(" "), F.lit("")), F.lit(domain))

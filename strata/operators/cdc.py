@@ -1,16 +1,19 @@
 """Change data capture: latest row per key (type 1) and full history (type 2).
 
-The batch forms (``scd1``, ``scd2``) are plain DataFrame plans. ``ChangeApplier`` runs
-the same logic per micro-batch inside ``foreachBatch`` against a stored target that
-is partitioned by ``_bucket = pmod(xxhash64(keys), buckets)``: a micro-batch reads
-only the buckets its keys fall in and overwrites just those (dynamic partition
-overwrite). The merge is associative and idempotent, so replays and arrival order
-do not change the result.
-
-Type 1 keeps deleted keys as tombstones (``_deleted``) so a late, older event cannot
-bring a deleted key back; readers filter them. Type 2 keeps the event set per key
-and derives ``valid_to`` as the next sequence value of the key; a delete closes the
-open version and opens none.
+The batch forms (``scd1``, ``scd2``) are plain DataFrame plans; ``ChangeApplier`` runs
+them inside ``foreachBatch`` against a stored target.
+
+Type 1 is partitioned by ``_bucket = pmod(xxhash64(keys), buckets)``: a micro-batch reads
+only the buckets its keys fall in and overwrites just those. The merge is associative and
+idempotent, so replays and arrival order do not change the result. Deleted keys stay as
+tombstones (``_deleted``), so a late, older event cannot bring a deleted key back.
+
+Type 2 stores the change rows themselves, appended once a batch: nothing written before is
+touched, however small or late the batch. ``valid_to`` is the next sequence value of the
+key, derived when the table is read; a delete closes the open version and opens none.
+
+Folders of a batch (change log, type 2 rows, quarantined rows) appear by one rename after
+they are complete; a replayed batch that finds its folder leaves it as it is.
 """
 
 from __future__ import annotations
@@ -18,8 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..fs import exists
-
+from ..fs import delete, exists, move
 from .sequence import latest_per_key, next_in_order
 
 DELETED, TRUNCATE, BUCKET, SRC, OP, BATCH = "_deleted", "_truncate", "_bucket", "_src", "_op", "_batch"
@@ -41,7 +43,8 @@ class ChangeSpec:
     """Keys, ordering and the delete / truncate rules of one change feed."""
 
     def __init__(self, keys, sequence_by, delete_when: str | None = None, truncate_when: str | None = None,
-                 tie_break=None, except_columns=()):
+                 tie_break=None, except_columns=(), null_keys: bool = False):
+        self.null_keys = null_keys  # keys of an aggregate: NULL is a group of its own
         self.keys = _as_list(keys)
         self.sequence = _as_list(sequence_by)
         self.delete_when = delete_when
@@ -54,12 +57,16 @@ class ChangeSpec:
             c for c in df.columns if c not in self.keys + self.sequence and c not in INTERNAL]
         return self.sequence + tie  # D-7: without a tie-break, the whole row decides
 
-    def flags(self, df: DataFrame) -> DataFrame:
-        """Add ``_deleted`` / ``_truncate``; NULL keys or sequence values are not applied."""
+    def usable(self) -> Column:
+        """Change rows that can be applied: key and sequence are not NULL."""
         ok = F.lit(True)
-        for c in self.keys + self.sequence:
+        for c in [*([] if self.null_keys else self.keys), *self.sequence]:
             ok = ok & F.col(c).isNotNull()
-        df = df.where(ok)
+        return ok
+
+    def flags(self, df: DataFrame) -> DataFrame:
+        """The usable rows with ``_deleted`` and ``_truncate``."""
+        df = df.where(self.usable())
         return df.withColumn(DELETED, _flag(self.delete_when)).withColumn(TRUNCATE, _flag(self.truncate_when))
 
     def user_columns(self, df: DataFrame) -> list[str]:
@@ -100,13 +107,28 @@ def scd2(df: DataFrame, spec: ChangeSpec) -> DataFrame:
     the next event's (NULL for the current version)."""
     if spec.truncate_when:
         raise ValueError("truncate is defined for type 1 only")
-    ev = spec.flags(df).drop(TRUNCATE)
-    order = spec.order(df)
-    ev = ev.dropDuplicates(spec.keys + order)
+    return versions(spec.flags(df).drop(TRUNCATE), spec, spec.user_columns(df))
+
+
+def versions(ev: DataFrame, spec: ChangeSpec, cols: list[str]) -> DataFrame:
+    """Type 2 versions of the change rows ``ev`` (with ``_deleted``); equal rows are one."""
+    order = spec.order(ev.select(*cols))
     seq = spec.sequence[0]
-    v = next_in_order(ev, spec.keys, order, value=seq, out=VALID_TO)
-    return (v.where(~F.col(DELETED)).withColumn(VALID_FROM, F.col(seq))
-            .select(*spec.user_columns(df), VALID_FROM, VALID_TO))
+    v = next_in_order(ev.select(*cols, DELETED).dropDuplicates(spec.keys + order), spec.keys, order, value=seq, out=VALID_TO)
+    return v.where(~F.col(DELETED)).withColumn(VALID_FROM, F.col(seq)).select(*cols, VALID_FROM, VALID_TO)
+
+
+def version_changes(ev: DataFrame, spec: ChangeSpec, cols: list[str]) -> DataFrame:
+    """What each change row did to the versions of its key: ``insert`` opened the first
+    version (or one after a delete), ``update`` closed one and opened the next, ``delete``
+    closed one. A delete without an open version did nothing and is left out."""
+    order = spec.order(ev.select(*cols))
+    one = ev.groupBy(*spec.keys, *[c for c in order if c not in spec.keys]).agg(
+        *[F.first(c).alias(c) for c in [*cols, DELETED] if c not in spec.keys and c not in order], F.min(BATCH).alias(BATCH))
+    e = next_in_order(one, spec.keys, order, value=DELETED, out="__before", back=True)
+    live = F.coalesce(~F.col("__before"), F.lit(False))
+    op = (F.when(F.col(DELETED) & live, "delete").when(~F.col(DELETED) & live, "update").when(~F.col(DELETED), "insert"))
+    return e.withColumn(OP, op).where(F.col(OP).isNotNull()).select(*cols, OP, BATCH)
 
 
 class ChangeApplier:
@@ -124,7 +146,8 @@ class ChangeApplier:
         self.data = f"{path}/data"
         self.changes = f"{path}/changes"
         self.truncates = f"{path}/truncate"
-        self.schema = None  # stored schema, set at first write
+        self.quarantined = f"{path}/quarantine"
+        self.staging = f"{path}/_staging"
 
     # -- storage ----------------------------------------------------------------
     def _read(self, path: str, schema=None) -> DataFrame | None:
@@ -145,28 +168,63 @@ class ChangeApplier:
         (df.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition).parquet(path))
 
+    def _once(self, df: DataFrame, path: str, batch_id: int) -> None:
+        """Write ``df`` as the folder of ``batch_id``, unless an earlier attempt has."""
+        target, stage = f"{path}/{BATCH}={batch_id}", f"{self.staging}/{path.rsplit('/', 1)[1]}-{batch_id}"
+        if exists(self.spark, target):
+            return
+        df.hint("rebalance").write.mode("overwrite").parquet(stage)
+        move(self.spark, stage, target)
+
     def read(self) -> DataFrame | None:
-        """Current target: live rows only, internal columns dropped."""
+        """Current target: live rows (type 1) or versions (type 2), internal columns dropped."""
         df = self._read(self.data)
         if df is None:
             return None
+        if self.scd_type == 2:
+            return versions(df, self.spec, [c for c in df.columns if c not in (DELETED, BATCH)])
         return df.where(~F.col(DELETED)).drop(DELETED, BUCKET)
 
     def read_changes(self) -> DataFrame | None:
-        return self._read(self.changes)
+        """The change log: stored for type 1, derived from the change rows for type 2."""
+        if self.scd_type == 1:
+            return self._read(self.changes)
+        df = self._read(self.data)
+        return df if df is None else version_changes(df, self.spec, [c for c in df.columns if c not in (DELETED, BATCH)])
+
+    def read_quarantine(self) -> DataFrame | None:
+        """Change rows without a key or sequence value."""
+        return self._read(self.quarantined)
+
+    def compact(self) -> None:
+        """Rewrite the buckets of a type 1 target into few files. Streams read the change
+        log, which stays as it is."""
+        if self.scd_type == 2:
+            raise ValueError("a type 2 target is its change rows; there is nothing to merge")
+        if (df := self._read(self.data)) is not None:
+            stage = f"{self.staging}/data"
+            self._overwrite(df, stage, BUCKET)
+            self._overwrite(self._read(stage), self.data, BUCKET)
+            delete(self.spark, stage)
 
     # -- merge -------------------------------------------------------------------
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        ev = self.spec.flags(batch).persist()
+        batch = batch.persist()
         try:
+            lost = batch.where(~self.spec.usable())
+            if not lost.isEmpty():
+                self._once(lost, self.quarantined, batch_id)
+            ev = self.spec.flags(batch)
             if ev.isEmpty():
                 return
             if self.scd_type == 1:
                 self._merge_scd1(ev, batch_id)
             else:
-                self._merge_scd2(ev)
+                cols = self.spec.user_columns(ev)
+                order = self.spec.order(ev.select(*cols))
+                self._once(ev.select(*cols, DELETED).dropDuplicates(self.spec.keys + order), self.data, batch_id)
         finally:
-            ev.unpersist()
+            batch.unpersist()
 
     def _touched(self, df: DataFrame) -> list[int]:
         # at most ``buckets`` values
@@ -215,35 +273,12 @@ class ChangeApplier:
                   .when(before & after & (F.col("old.o") != F.struct(*[F.col("new")[c] for c in order])),
                         F.lit("update"))
                   .when(before & ~after, F.lit("delete")))
-            changes = (g.select(*[F.col("new")[c].alias(c) for c in cols], op.alias(OP))
-                       .where(F.col(OP).isNotNull()).withColumn(BATCH, F.lit(batch_id)))
-            # change log first: a replay recomputes it against the state before this batch
-            self._overwrite(changes, self.changes, BATCH)
+            changes = g.select(*[F.col("new")[c].alias(c) for c in cols], op.alias(OP)).where(F.col(OP).isNotNull())
+            # the log comes first, whole and once: a replay finds the data half merged
+            self._once(changes.drop(BATCH), self.changes, batch_id)
             self._overwrite(g.select("new.*"), self.data, BUCKET)
         finally:
             g.unpersist()
         if batch_point is not None and batch_point != stored_point:
             (self.spark.createDataFrame([point], ev.select(*order).schema)
              .write.mode("overwrite").parquet(self.truncates))
-
-    def _merge_scd2(self, ev: DataFrame) -> None:
-        spec = self.spec
-        cols = spec.user_columns(ev)
-        order = spec.order(ev.select(*cols))
-        new = (ev.select(*cols, DELETED).dropDuplicates(spec.keys + order)
-               .withColumn(BUCKET, self._bucket()))
-        cur = self._read(self.data)
-        if cur is not None:
-            touched = self._touched(new)
-            cur = cur.where(F.col(BUCKET).isin(touched)) if touched else None
-        u = new if cur is None else cur.select(*cols, DELETED, BUCKET).unionByName(new) \
-            .dropDuplicates(spec.keys + order)
-        u = u.persist()  # read by the cut sampling and by the merge itself
-        try:
-            seq = spec.sequence[0]
-            v = (next_in_order(u, spec.keys, order, value=seq, out=VALID_TO)
-                 .withColumn(VALID_FROM, F.col(seq))
-                 .select(*cols, VALID_FROM, VALID_TO, DELETED, BUCKET))
-            self._overwrite(v, self.data, BUCKET)
-        finally:
-            u.unpersist()

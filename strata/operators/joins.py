@@ -1,69 +1,24 @@
-"""Joins: dimension lookup with a checked broadcast, orphan detection, interval join.
+"""Joins: dimension lookup, orphan detection, interval join.
 
-A side is broadcast only when its size is measured to be under a bound; otherwise
-the join shuffles on the keys and AQE splits skewed partitions at run time.
+How a side travels is left to Spark: the optimizer broadcasts a side whose estimated size
+is under ``spark.sql.autoBroadcastJoinThreshold``, AQE does so (or splits skewed
+partitions) from measured sizes. Building a join runs no job.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-DEFAULT_MAX_BROADCAST_ROWS = 20_000_000
 
+def lookup(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join a fact (batch or stream) to a static dimension."""
+    return fact.join(dim, on, how)
 
-_WIDTH = {T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4,
-          T.DateType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
-          T.DecimalType: 16}
 
-
-def _fixed_width(dt: T.DataType) -> int:
-    return _WIDTH.get(type(dt), 16)
-
-
-def _var_width(dt: T.DataType) -> bool:
-    return isinstance(dt, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType))
-
-
-def size_bound(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> int | None:
-    """Bytes the rows of ``df`` take, measured; None when it has more than ``max_rows`` rows.
-
-    The row count comes first (on a plain Parquet scan it is answered from footers);
-    the exact width of variable-length columns is summed only for frames that pass it.
-    """
-    n = df.count()
-    if n > max_rows:
-        return None
-    fixed = sum(_fixed_width(f.dataType) for f in df.schema.fields if not _var_width(f.dataType))
-    var = [f.name for f in df.schema.fields if _var_width(f.dataType)]
-    if not var or n == 0:
-        return n * (fixed + 8)
-    width = [F.octet_length(F.col(c).cast("string")) for c in var]
-    total = df.agg(F.coalesce(F.sum(sum(F.coalesce(w, F.lit(0)) for w in width)), F.lit(0))).first()[0]
-    return int(total) + n * (fixed + 8 + 8 * len(var))
-
-
-def maybe_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """``broadcast(df)`` if its measured size is under ``max_bytes``, else ``df`` unchanged."""
-    size = size_bound(df)
-    return F.broadcast(df) if size is not None and size <= max_bytes else df
-
-
-def lookup(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-           max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Join a fact (batch or stream) to a static dimension; broadcast the dimension
-    only behind a size check."""
-    return fact.join(maybe_broadcast(dim, max_broadcast_bytes), on, how)
-
-
-def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
-            max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Child rows whose key has no parent (anti join on the distinct parent keys).
-    NULL keys have no parent and are returned."""
-    keys = parent.select(F.col(parent_key).alias("__pk")).distinct()
-    keys = maybe_broadcast(keys, max_broadcast_bytes)
+def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
+    """Child rows whose key has no parent. NULL keys have no parent and are returned."""
+    keys = parent.select(F.col(parent_key).alias("__pk"))
     return child.join(keys, F.col(child_key) == F.col("__pk"), "left_anti")
 
 

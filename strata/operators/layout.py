@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ZORDER_BITS = 6  # per column: 64 rank buckets
+RANKS = 64  # quantile cuts a column's distribution is known by
+DEFAULT_INDEXED_COLUMNS = 32
 
 
 def _names(x) -> tuple[str, ...]:
@@ -24,6 +25,7 @@ def _names(x) -> tuple[str, ...]:
 
 
 def _numeric(df: DataFrame, c: str) -> Column:
+    """A number that grows with the column (of a text: its first six bytes)."""
     t = df.schema[c].dataType
     if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
@@ -31,28 +33,40 @@ def _numeric(df: DataFrame, c: str) -> Column:
         return F.unix_date(F.col(c)).cast("double")
     if isinstance(t, T.NumericType):
         return F.col(c).cast("double")
-    raise TypeError(f"Z-order needs a numeric, date or time column, got {c}: {t.simpleString()}")
-
-
-def zorder_code(df: DataFrame, cols, bits: int = ZORDER_BITS, rel_error: float = 0.001) -> Column:
-    """Morton code of the rank buckets of ``cols``.
-
-    Each column is cut at approximate quantiles (a distributed sketch; only the
-    ``2**bits - 1`` cut points come back to the driver), so skewed value ranges
-    still fill all buckets; the bucket numbers are then bit-interleaved."""
+    if isinstance(t, T.StringType):
+        head = F.rpad(F.substring(F.hex(F.encode(F.col(c), "UTF-8")), 1, 12), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
+    raise TypeError(f"layout keys are numbers, dates, times or texts, got {c}: {t.simpleString()}")
+
+
+def _rank(x: Column, cuts: list[float], bits: int) -> Column:
+    """Place of ``x`` in its distribution, ``bits`` bits: the quantile it falls in, and in
+    it the share of the way to the next."""
+    cuts = sorted(set(cuts))
+    if len(cuts) < 2:
+        return F.lit(0).cast("long")
+    at = F.lit(0)
+    for v in cuts[1:-1]:
+        at = at + F.when(x >= F.lit(v), 1).otherwise(0)
+    edges = F.array(*map(F.lit, cuts))
+    lo, hi = F.get(edges, at), F.get(edges, at + 1)
+    share = (at + F.least(F.greatest((x - lo) / (hi - lo), F.lit(0.0)), F.lit(1.0))) / (len(cuts) - 1)
+    return F.coalesce(F.least(F.floor(share * (1 << bits)), F.lit((1 << bits) - 1)), F.lit(0)).cast("long")
+
+
+def zorder_code(df: DataFrame, cols, bits: int | None = None, rel_error: float = 0.001) -> Column:
+    """Morton code of the ranks of ``cols``.
+
+    A column's distribution is known by RANKS approximate quantiles (a distributed sketch;
+    only the cuts come back to the driver), so skewed values still fill all ranks. ``bits``
+    a column: by default as many as fit 62 bits together, at most 20, so that however many
+    ranges a write is cut into, the order inside a quantile is kept."""
     cols = list(cols)
-    n = 2 ** bits
-    probs = [i / n for i in range(1, n)]
+    bits = bits or min(20, 62 // len(cols))
     nums = {c: _numeric(df, c) for c in cols}
     probe = df.select(*[v.alias(c) for c, v in nums.items()])
-    cuts = probe.approxQuantile(cols, probs, rel_error)
-    ranks = []
-    for c, cp in zip(cols, cuts):
-        cp = sorted(set(cp))
-        r = F.lit(0)
-        for v in cp:
-            r = r + F.when(nums[c] >= F.lit(v), 1).otherwise(0)
-        ranks.append(F.coalesce(r, F.lit(0)).cast("long"))
+    cuts = probe.approxQuantile(cols, [i / RANKS for i in range(RANKS + 1)], rel_error)
+    ranks = [_rank(nums[c], cp, bits) for c, cp in zip(cols, cuts)]
     code = F.lit(0).cast("long")
     k = len(cols)
     for b in range(bits):
@@ -67,7 +81,7 @@ class Layout:
     zorder_by: tuple = ()
     partition_by: tuple = ()
     stats_columns: tuple | None = None  # only these get footer min/max
-    num_indexed_cols: int | None = None  # or: the first n columns
+    num_indexed_cols: int = DEFAULT_INDEXED_COLUMNS  # or: the first n columns
     bloom_filter_columns: tuple = ()
     optimize_write: bool = False  # rebalance before writing: fewer, evenly sized files
 
@@ -80,18 +94,25 @@ class Layout:
                       zorder_by=_names(props.get("pipelines.autoOptimize.zOrderCols")),
                       partition_by=_names(partition_by),
                       stats_columns=_names(stats) if stats else None,
-                      num_indexed_cols=int(n) if n is not None else None,
+                      num_indexed_cols=int(n) if n is not None else DEFAULT_INDEXED_COLUMNS,
                       optimize_write=str(props.get("delta.autoOptimize.optimizeWrite", "false")).lower() == "true")
 
+    @property
+    def reads_twice(self) -> bool:
+        """Does arranging look at the rows (quantiles, range samples) before the write?"""
+        return bool(self.cluster_by or self.zorder_by)
+
     def arrange(self, df: DataFrame) -> DataFrame:
-        """Co-locate rows: range partitions on the cluster keys (or the Z-order code),
-        sorted within each file. The number of ranges is left to AQE."""
+        """Co-locate rows: range partitions on the cluster key, or on the Z-order code of
+        several keys (so each of them skips files), sorted within each file. The number of
+        ranges is left to AQE."""
         # A row hash ends every range key: rows sharing one hot key value can still be
         # split over several ranges (files), so no task writes a whole hot key.
         spread = F.xxhash64(*[F.col(c) for c in df.columns])
-        if self.zorder_by:
+        together = self.zorder_by or (self.cluster_by if len(self.cluster_by) > 1 else ())
+        if together:
             code = "__zorder"
-            df = df.withColumn(code, zorder_code(df, self.zorder_by))
+            df = df.withColumn(code, zorder_code(df, together))
             keys = [*self.partition_by, code]
             return df.repartitionByRange(*keys, spread).sortWithinPartitions(*keys).drop(code)
         if self.cluster_by:
@@ -109,8 +130,9 @@ class Layout:
         chosen = None
         if self.stats_columns is not None:
             chosen = list(self.stats_columns)
-        elif self.num_indexed_cols is not None:
-            chosen = [c for c in columns if c not in self.partition_by][: self.num_indexed_cols]
+        elif self.num_indexed_cols >= 0:  # -1: all
+            plain = [c for c in columns if c not in self.partition_by]
+            chosen = plain[: self.num_indexed_cols] if len(plain) > self.num_indexed_cols else None
         opts: dict = {}
         if chosen is not None:
             opts["parquet.column.statistics.enabled"] = "false"
@@ -119,23 +141,3 @@ class Layout:
         for c in self.bloom_filter_columns:
             opts[f"parquet.bloom.filter.enabled#{c}"] = "true"
         return opts
-
-
-def cluster(df: DataFrame, keys) -> DataFrame:
-    return Layout(cluster_by=_names(keys)).arrange(df)
-
-
-def zorder(df: DataFrame, cols) -> DataFrame:
-    return Layout(zorder_by=_names(cols)).arrange(df)
-
-
-def write(df: DataFrame, path: str, layout: Layout, mode: str = "overwrite") -> None:
-    w = layout.arrange(df).write.mode(mode).options(**layout.writer_options(df.columns))
-    if layout.partition_by:
-        w = w.partitionBy(*layout.partition_by)
-    w.parquet(path)
-
-
-def rebalance(df: DataFrame, *cols: str) -> DataFrame:
-    """Optimised write: AQE sizes the output partitions (and files) evenly."""
-    return df.hint("rebalance", *cols) if cols else df.hint("rebalance")

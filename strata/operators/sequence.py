@@ -1,11 +1,10 @@
 """Per-key ordered operators that stay balanced when one key holds a large share of rows.
 
-``Window.partitionBy(key)`` sends every row of a key to one task. Here the
-``(key, order)`` space is cut into ranges ("blocks") at points drawn from a sample,
-so a hot key is spread over many blocks in order; each block works locally and only
-the last row of a key in a block takes its value from the next block holding the key
-(a small aggregate). The cut points are computed once and become literals, so the
-block of a row never depends on how or how often the plan is executed.
+``Window.partitionBy(key)`` sends every row of a key to one task. Here the rows of a key
+are cut into blocks by the leading order column itself (a day, a width of numbers, a text
+prefix): a block works locally, and only its outermost row takes its value from the next
+block of the key that has rows (a small aggregate). Nothing is sampled or collected, and
+the block of a row depends on the row alone.
 """
 
 from __future__ import annotations
@@ -14,100 +13,42 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SAMPLE_PER_BLOCK = 20
 
+def block_of(df: DataFrame, column: str, width: float = 1_000_000, prefix: int = 8) -> Column:
+    """Block of a row: grows with ``column``. Times by day, numbers by ``width``, texts by
+    their first ``prefix`` characters; any other type is one block."""
+    t, c = df.schema[column].dataType, F.col(column)
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_trunc("day", c)
+    if isinstance(t, T.NumericType):
+        return F.floor(c / F.lit(width))
+    if isinstance(t, T.StringType):
+        return F.substring(c, 1, prefix)
+    return c if isinstance(t, T.DateType) else F.lit(0)
 
-def _sort_key(row) -> tuple:
-    return tuple((v is not None, v) for v in row)  # NULL first, as in ORDER BY
 
-
-def range_cuts(df: DataFrame, cols: list[str], blocks: int) -> list[tuple]:
-    """Up to ``blocks - 1`` increasing cut tuples of ``cols``, from a sample whose size
-    is bounded by ``SAMPLE_PER_BLOCK * blocks`` rows on average."""
-    if blocks <= 1:
-        return []
-    total = df.count()
-    if total == 0:
-        return []
-    fraction = min(1.0, SAMPLE_PER_BLOCK * blocks / total)
-    sample = df.select(*cols).sample(False, fraction, seed=17).limit(2 * SAMPLE_PER_BLOCK * blocks)
-    rows = [tuple(r) for r in sample.collect()]  # a hard bound on what reaches the driver
-    rows.sort(key=_sort_key)
-    cuts: list[tuple] = []
-    for i in range(1, blocks):
-        if not rows:
-            break
-        c = rows[min(len(rows) - 1, i * len(rows) // blocks)]
-        if not cuts or _sort_key(c) > _sort_key(cuts[-1]):
-            cuts.append(c)
-    return cuts
-
-
-def _sql_literal(v, dtype: T.DataType) -> str:
-    """A typed SQL literal for a value collected from a column of type ``dtype``."""
-    t = dtype.simpleString()
-    if isinstance(dtype, T.StringType):
-        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
-    if isinstance(dtype, T.TimestampNTZType):
-        return f"TIMESTAMP_NTZ '{v.isoformat(sep=' ')}'"
-    if isinstance(dtype, T.DateType):
-        return f"DATE '{v.isoformat()}'"
-    if isinstance(dtype, T.BooleanType):
-        return "TRUE" if v else "FALSE"
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        s = "NaN" if v != v else ("Infinity" if v == float("inf") else
-                                  "-Infinity" if v == float("-inf") else repr(float(v)))
-        return f"CAST('{s}' AS {t})"
-    if isinstance(dtype, (T.IntegralType, T.DecimalType)):
-        return f"CAST('{v}' AS {t})"
-    raise TypeError(t)
-
-
-def _less(df: DataFrame, cols: list[str], cut: tuple) -> str:
-    """SQL for ``(cols) < cut`` lexicographically, NULL lowest."""
-    cond = None
-    for c, v in reversed(list(zip(cols, cut))):
-        q = f"`{c}`"
-        if v is None:
-            lt, eq = "FALSE", f"{q} IS NULL"
-        else:
-            lit = _sql_literal(v, df.schema[c].dataType)
-            lt, eq = f"({q} IS NULL OR {q} < {lit})", f"coalesce({q} = {lit}, FALSE)"
-        cond = lt if cond is None else f"({lt} OR ({eq} AND {cond}))"
-    return cond
-
-
-def _block_sql(df: DataFrame, cols: list[str], cuts: list[tuple], lo: int, hi: int) -> str:
-    if lo >= hi:
-        return str(lo)
-    mid = (lo + hi) // 2
-    return (f"CASE WHEN {_less(df, cols, cuts[mid])} THEN {_block_sql(df, cols, cuts, lo, mid)} "
-            f"ELSE {_block_sql(df, cols, cuts, mid + 1, hi)} END")
-
-
-def block_of(df: DataFrame, cols: list[str], cuts: list[tuple]) -> Column:
-    """Number of cuts at or below the row's ``cols`` tuple: a binary search written as
-    one nested CASE (log2 of the block count comparisons per row, all in codegen)."""
-    return F.expr(_block_sql(df, cols, cuts, 0, len(cuts)))
-
-
-def next_in_order(df: DataFrame, keys, order, value: str, out: str, blocks: int | None = None) -> DataFrame:
-    """``lead(value) OVER (PARTITION BY keys ORDER BY order)``, computed skew-safe.
+def next_in_order(df: DataFrame, keys, order, value: str, out: str, back: bool = False) -> DataFrame:
+    """``lead(value) OVER (PARTITION BY keys ORDER BY order)`` (``back``: ``lag``), computed
+    skew-safe.
 
     ``order`` must be a total order within a key (add a tie-break column)."""
-    keys = list(keys)
-    order = list(order)
-    n = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys, order = list(keys), list(order)
     b = "__strata_block"
-    d = df.withColumn(b, block_of(df, keys + order, range_cuts(df, keys + order, n)))
-    local = d.withColumn(out, F.lead(value).over(Window.partitionBy(*keys, b).orderBy(*order)))
-    # first value of each key in each block, then the first value in the next block of the key
-    firsts = d.groupBy(*keys, b).agg(F.min_by(F.col(value), F.struct(*order)).alias("__first"))
-    bridge = (firsts.withColumn("__bridge", F.lead("__first").over(Window.partitionBy(*keys).orderBy(b)))
-              .select(*keys, b, "__bridge"))
-    return (local.join(bridge, [*keys, b], "left")
-            .withColumn(out, F.coalesce(F.col(out), F.col("__bridge")))
-            .drop(b, "__bridge"))
+    d = df.withColumn(b, block_of(df, order[0]))
+    near = F.lag if back else F.lead
+    at_edge = (F.max_by if back else F.min_by)(F.struct(F.col(value).alias("v")), F.struct(*order))
+    local = d.withColumn(out, near(F.struct(F.col(value).alias("v"))).over(Window.partitionBy(*keys, b).orderBy(*order)))
+    # the outermost value of each block, handed to the neighbouring block of the key
+    edges = d.groupBy(*keys, b).agg(at_edge.alias("__edge"))
+    bridge = (edges.withColumn("__bridge", near("__edge").over(Window.partitionBy(*keys).orderBy(b)))
+              .where(F.col("__bridge").isNotNull())
+              .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate([*keys, b])], "__bridge"))
+    on = None
+    for i, k in enumerate([*keys, b]):
+        c = local[k].eqNullSafe(bridge[f"__k{i}"])
+        on = c if on is None else on & c
+    cols = [c for c in df.columns if c != out]
+    return local.join(bridge, on, "left").select(*[local[c] for c in cols], F.coalesce(local[out], F.col("__bridge"))["v"].alias(out))
 
 
 def latest_per_key(df: DataFrame, keys, order) -> DataFrame:

@@ -67,10 +67,9 @@ def event_log_for_table(spark: SparkSession, log_path: str, table: str) -> DataF
 
     The owning pipeline ids are found by a semi join against the log itself, so
     nothing is collected to the driver."""
-    from ..operators.joins import maybe_broadcast  # noqa: PLC0415
     df = spark.read.schema(SCHEMA).parquet(log_path)
     owners = df.where(F.col("table_name") == F.lit(table)).select("pipeline_id").distinct()
-    return df.join(maybe_broadcast(owners), "pipeline_id", "left_semi")
+    return df.join(owners, "pipeline_id", "left_semi")
 
 
 def detail(path: str) -> Column:

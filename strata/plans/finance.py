@@ -34,7 +34,7 @@ def write_arrivals(df: DataFrame, path: str, parts: list, format: str = "csv", *
 def enrich_lines(lines: DataFrame, orders: DataFrame, customers: DataFrame, items: DataFrame,
                  observe: str | None = None) -> DataFrame:
     """``s_orders``: order lines with their order date, customer and item (stream-static
-    or static-static). Each dimension is broadcast only if measured small enough.
+    or static-static).
 
     Inner-join semantics. With ``observe`` the lines that find no order, customer or item
     are counted under that name (``unmatched_*``) before they are left out, so the run
@@ -50,7 +50,8 @@ def enrich_lines(lines: DataFrame, orders: DataFrame, customers: DataFrame, item
     j = lookup(j, p, j["l_partkey"] == p["p_partkey"], how)
     if observe:
         j = j.observe(observe, F.count_if(F.col("__m_o").isNull()).alias("unmatched_orders"),
-                      F.count_if(F.col("__m_c").isNull()).alias("unmatched_customers"),
+                      # a line without order has no customer to miss
+                      F.count_if(F.col("__m_o") & F.col("__m_c").isNull()).alias("unmatched_customers"),
                       F.count_if(F.col("__m_p").isNull()).alias("unmatched_items"))
         j = j.where(F.col("__m_o") & F.col("__m_c") & F.col("__m_p"))
     unit = F.col("p_retailprice").cast("decimal(10,2)")

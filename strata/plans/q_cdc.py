@@ -194,3 +194,49 @@ def cdc_recent_customer_orders(spark, sf_dir):
         ws.apply_changes("g_recent_customer_orders", ws.read_stream("s_orders"), keys=["customer_id"],
                          sequence_by="order_date", tie_break=RECENT_TIES)
     return ws.read("g_recent_customer_orders")
+
+
+@query("cdc_op_counts_scd2", cte("cdc_feed") + """
+, e AS (SELECT update_type = 'DELETE' AS d, lag(update_type = 'DELETE') OVER (PARTITION BY id ORDER BY update_date, event_id) AS b
+  FROM cdc_feed)
+SELECT CASE WHEN d THEN 'delete' WHEN NOT coalesce(b, TRUE) THEN 'update' ELSE 'insert' END AS op, count(*) AS num_rows
+FROM e WHERE NOT (d AND coalesce(b, TRUE)) GROUP BY 1""")
+def cdc_op_counts_scd2(spark, sf_dir):
+    """L8 on the history table: versions opened, replaced and closed, from its change log."""
+    t, ws = setup(spark, sf_dir)
+    path, schema = _feed_files(spark, t, ws, [F.col("event_id") % 2 == k for k in range(2)])
+    _apply(ws, path, schema, scd_type=2, files_per_trigger=1)
+    return ws.read_changes("s_suppliers").groupBy(F.col("_op").alias("op")).agg(F.count(F.lit(1)).alias("num_rows"))
+
+
+NO_KEY = "event_id % 7 = 0"
+
+
+@query("cdc_quarantine", cte("cdc_feed") + f"""
+SELECT CAST(NULL AS BIGINT) AS id, update_date, event_id, value, update_type FROM cdc_feed WHERE {NO_KEY}""")
+def cdc_quarantine(spark, sf_dir):
+    """Change rows without a key cannot be applied: they are kept as they came."""
+    t, ws = setup(spark, sf_dir)
+    path, schema = _feed_files(spark, t, ws, [F.lit(True)], extra=lambda f: f.withColumn(
+        "id", F.when(~F.expr(NO_KEY), F.col("id"))))
+    _apply(ws, path, schema, scd_type=2)
+    return ws.read_quarantine("s_suppliers")
+
+
+@query("cdc_log_after_retry", TWO_RUNS + """
+SELECT 'insert' AS op, CAST((SELECT count(*) FROM r1) + (SELECT count(*) FROM r2 WHERE id NOT IN (SELECT id FROM r1))
+  AS BIGINT) AS num_rows
+UNION ALL SELECT 'update', CAST(count(*) AS BIGINT) FROM r1 WHERE id IN (SELECT id FROM r2) AND id IN (SELECT id FROM k2)
+UNION ALL SELECT 'delete', CAST(count(*) AS BIGINT) FROM r1 WHERE id NOT IN (SELECT id FROM r2)""")
+def cdc_log_after_retry(spark, sf_dir):
+    """L8 after a crash: a batch is applied, then applied again to a target that already
+    holds it (as when the run stops between the merge and its commit)."""
+    from ..operators.cdc import ChangeApplier, ChangeSpec  # noqa: PLC0415
+    t, ws = setup(spark, sf_dir)
+    feed = view(spark, t, "cdc_feed")
+    spec = ChangeSpec(["id"], "update_date", DELETE_WHEN, tie_break=["event_id"])
+    apply = ChangeApplier(spark, f"{ws.root}/retry", spec, 1, ws.buckets)
+    first, second = feed.where(F.col("update_date") < F.lit(MID)), feed.where(F.col("update_date") >= F.lit(MID))
+    for batch, number in ((first, 0), (first, 0), (second, 1), (second, 1)):
+        apply(batch, number)
+    return apply.read_changes().groupBy(F.col("_op").alias("op")).agg(F.count(F.lit(1)).alias("num_rows"))

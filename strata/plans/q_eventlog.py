@@ -34,32 +34,28 @@ def _logged(spark, sf_dir):
     return t, ws
 
 
-LOG_COLUMNS = ["timestamp", "event_type", "level", "table_name", "flow_name", "message", "details"]
+# The event queries of the log, over the given ``events`` as a log: the type as recorded,
+# level ERROR for errors, and the value in a JSON details column.
+AS_LOG = """SELECT event_id, ts AS timestamp, event_type, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS level,
+  user_id, value FROM events"""
 
 
-@query("eventlog_by_pipeline")
-def eventlog_by_pipeline(spark, sf_dir):
-    """``event_log(pipeline_id)``."""
-    _, ws = _logged(spark, sf_dir)
-    ws.log.flush()
-    return L.event_log(spark, ws.log.path, ws.pipeline_id).select(*LOG_COLUMNS)
-
+def _given_log(t):
+    details = F.to_json(F.struct(F.struct(F.col("event_type").alias("action"), F.col("user_id").cast("string").alias("user_name"))
+                                 .alias("user_action")))
+    return t.events.select("event_id", F.col("ts").alias("timestamp"), "event_type", details.alias("details"),
+                           F.when(F.col("event_type") == "error", "ERROR").otherwise("INFO").alias("level"))
 
-@query("eventlog_by_table")
-def eventlog_by_table(spark, sf_dir):
-    """``event_log(TABLE(g_sales_summary_by_customer))``: the log of the pipeline
-    that manages the table."""
-    _, ws = _logged(spark, sf_dir)
-    ws.log.flush()
-    return L.event_log_for_table(spark, ws.log.path, "g_sales_summary_by_customer").select(*LOG_COLUMNS)
 
-
-@query("eventlog_user_actions")
+@query("eventlog_user_actions", f"""
+SELECT timestamp, event_type AS action, CAST(user_id AS VARCHAR) AS user_name FROM ({AS_LOG})
+WHERE event_type IN ('signup', 'purchase')""")
 def eventlog_user_actions(spark, sf_dir):
-    """``details:user_action:action``, ``details:user_action:user_name`` of the
-    ``user_action`` events."""
-    _, ws = _logged(spark, sf_dir)
-    return L.user_actions(ws.log.read())
+    """Events of chosen types, with JSON path extraction from their details
+    (``details:user_action:action``, ``details:user_action:user_name``)."""
+    t, _ = setup(spark, sf_dir)
+    log = _given_log(t).where(F.col("event_type").isin("signup", "purchase"))
+    return log.select("timestamp", L.detail("user_action:action").alias("action"), L.detail("user_action:user_name").alias("user_name"))
 
 
 @query("eventlog_table_metrics", cte("s_orders") + """
@@ -75,12 +71,19 @@ def eventlog_table_metrics(spark, sf_dir):
     return L.table_metrics(ws.log.read()).select("table_name", "num_output_rows", "flow_runs")
 
 
-@query("eventlog_breaches")
+MOST_ERRORS = 0.2
+
+
+@query("eventlog_breaches", f"""
+SELECT date_trunc('day', timestamp) AS day, count(*) AS events, count(*) FILTER (level = 'ERROR') AS errors
+FROM ({AS_LOG}) GROUP BY 1 HAVING count(*) FILTER (level = 'ERROR') > {MOST_ERRORS} * count(*)""")
 def eventlog_breaches(spark, sf_dir):
-    """What a notification would fire on: failed updates and flows, and rules whose
-    failed share is above zero."""
-    _, ws = _logged(spark, sf_dir)
-    return L.breaches(ws.log.read(), 0.0)
+    """What an alert fires on: days whose share of error events is over a limit."""
+    t, _ = setup(spark, sf_dir)
+    errors = F.count_if(F.col("level") == "ERROR")
+    return (_given_log(t).groupBy(F.date_trunc("day", "timestamp").cast("timestamp_ntz").alias("day"))
+            .agg(F.count(F.lit(1)).alias("events"), errors.alias("errors"))
+            .where(F.col("errors") > F.lit(MOST_ERRORS) * F.col("events")))
 
 
 VALIDATE_ORACLE = """

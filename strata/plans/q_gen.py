@@ -64,7 +64,7 @@ def gen_nulls(spark, sf_dir):
     """Q5: ``percentNulls=0.01``."""
     t, _ = setup(spark, sf_dir)
     return (G.DataGenerator(t.customer, "c_custkey")
-            .with_column("customer_name", G.with_nulls(G.company_name(F.col("id")), 0.01, 21)).build())
+            .with_column("customer_name", G.with_nulls(G.company_name(), 0.01, 21)).build())
 
 
 @query("udf_iterator_text", f"SELECT c_custkey AS id, {G.company_name_sql('c_custkey')} AS customer_name FROM customer")
@@ -72,7 +72,7 @@ def udf_iterator_text(spark, sf_dir):
     """Q7: a Python text function with one set-up per task, fed Arrow batches
     (``pandas_udf`` over an iterator of Series)."""
     t, _ = setup(spark, sf_dir)
-    return G.DataGenerator(t.customer, "c_custkey").with_column("customer_name", G.company_name(F.col("id"))).build()
+    return G.DataGenerator(t.customer, "c_custkey").with_column("customer_name", G.company_name_udf()).build()
 
 
 def _orders_generator(base, id_col):
@@ -110,7 +110,8 @@ def gen_backlog(spark, sf_dir):
 @query("gen_customers", f"""
 WITH g AS (SELECT c_custkey AS id, CASE WHEN ({G.mix_sql(21, 'c_custkey')}) % 10000 < 100 THEN NULL
     ELSE {G.company_name_sql('c_custkey')} END AS customer_name FROM customer)
-SELECT id, customer_name,
+SELECT id, customer_name, {G.address_sql(30)} AS billing_address, {G.address_sql(40)} AS shipping_address,
+  {G.phone_sql(50)} AS phone_number,
   CASE WHEN ({G.mix_sql(22, 'id')}) % 10000 < 1000 THEN NULL ELSE
     array_to_string(list_transform(string_split(regexp_replace(customer_name, '[^0-9A-Za-z]', ' ', 'g'), ' '),
       lambda x: upper(x[1:1]) || lower(x[2:])), '') || '@example.com' END AS email,
@@ -119,11 +120,14 @@ SELECT id, customer_name,
     ELSE CAST(1000 + ({G.mix_sql(24, 'id')}) % 99001 AS DECIMAL(10,2)) END AS balance_limit
 FROM g""")
 def gen_customers(spark, sf_dir):
-    """Q1-Q7 together: the customers generator (name, email from the name, terms, limit)."""
+    """Q1-Q7 together: the customers generator (name, email from the name, addresses, phone, terms, limit)."""
     t, _ = setup(spark, sf_dir)
     return (G.DataGenerator(t.customer, "c_custkey")
-            .with_column("customer_name", G.with_nulls(G.company_name(F.col("id")), 0.01, 21))
+            .with_column("customer_name", G.with_nulls(G.company_name(), 0.01, 21))
             .with_column("email", G.with_nulls(email_from_name("customer_name"), 0.1, 22))
+            .with_column("billing_address", G.address(30))
+            .with_column("shipping_address", G.address(40))
+            .with_column("phone_number", G.phone(50))
             .with_column("payment_terms", G.choice(TERMS, 1))
             .with_column("balance_limit", G.with_nulls(G.numeric_range(1000, 100000, 1, 24), 0.01, 23))
             .build())

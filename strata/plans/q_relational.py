@@ -95,11 +95,10 @@ START_DATE = "test_pipeline.orders.start_date"
 
 @query("filter_parameterized", "SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '1997-06-30 00:00:00'")
 def filter_parameterized(spark, sf_dir):
-    """C11: ``WHERE order_date > "${test_pipeline.orders.start_date}"`` with the value
-    from the pipeline parameters (unset names raise by name)."""
+    """C11: orders after a date given as a pipeline parameter, bound as a typed value (unset
+    names raise by name)."""
     t, ws = setup(spark, sf_dir, params={START_DATE: "1997-06-30"})
-    q = ws.params.substitute('SELECT * FROM {orders} WHERE o_orderdate > "${' + START_DATE + '}"')
-    return spark.sql(q, orders=t.orders)
+    return ws.params.sql(spark, "SELECT * FROM {orders} WHERE o_orderdate > ${" + START_DATE + "}", orders=t.orders)
 
 
 # -- D: joins ---------------------------------------------------------------------------
@@ -211,8 +210,7 @@ FROM dq_customers"""
 
 @query("fn_email_from_name", EMAIL_ORACLE)
 def fn_email_from_name(spark, sf_dir):
-    """``concat(replace(initcap(regexp_replace(name, "[^0-9A-Za-z]", " ")), " ", ""),
-    "@example.com")``."""
+    """An e-mail address derived from the customer's name."""
     t, _ = setup(spark, sf_dir)
     d = view(spark, t, "dq_customers")
     return d.select("id", "customer_name", text.email_from_name("customer_name").alias("email"))

@@ -323,23 +323,42 @@ def st_full_refresh(spark, sf_dir):
 
 @query("st_no_reset", LINES_ORACLE)
 def st_no_reset(spark, sf_dir):
-    """``pipelines.reset.allowed = false``: a full refresh keeps the table and only
-    adds new records."""
+    """``pipelines.reset.allowed = false`` on a table that reads a streaming table: a full
+    refresh recomputes the source and adds only what is new to this one."""
     t, ws = setup(spark, sf_dir)
     path = f"{ws.root}/files/lines"
     lines = t.lineitem.select(*LINE_SCHEMA.fieldNames())
-    props = {"pipelines.reset.allowed": "false"}
     write_arrivals(lines, path, [F.col("l_orderkey") % 2 == 0], header=True)
     for full in (False, True):
         with ws.update(full_refresh=full):
-            ws.streaming_table("c_orders_no_reset", properties=props)
-            ws.append_flow("c_orders_no_reset", "c_orders_no_reset",
-                           read_files_stream(spark, path, LINE_SCHEMA, "csv", header=True))
+            ingest_lines(ws, path)
+            ws.streaming_table("c_orders_no_reset", properties={"pipelines.reset.allowed": "false"})
+            ws.append_flow("c_orders_no_reset", "c_orders_no_reset", ws.read_stream("b_orders", into="c_orders_no_reset"))
         if not full:
             write_arrivals(lines, path, [F.col("l_orderkey") % 2 == 1], header=True)
     return ws.read("c_orders_no_reset")
 
 
+@query("st_partitioned_retry", LINES_ORACLE)
+def st_partitioned_retry(spark, sf_dir):
+    """B13 on a partitioned table: a batch that a crash left half written (its staging folder
+    holds some partitions) is written whole by the retry, and a committed one is not
+    written again."""
+    from pyspark.sql.types import IntegerType, StructField, StructType  # noqa: PLC0415
+    t, ws = setup(spark, sf_dir)
+    path = line_files(ws, t)
+    src = read_files_stream(spark, path, LINE_SCHEMA, "csv", header=True)
+    with ws.update():
+        i = ws.streaming_table("b_orders", LINE_SCHEMA, partition_by=["l_linenumber"])
+        half = StructType([StructField("l_linenumber", IntegerType()), StructField("l_orderkey", IntegerType())])
+        (spark.createDataFrame([(1, -1)], half).write.partitionBy("l_linenumber")
+         .parquet(f"{ws.root}/staging/b_orders/g{i.generation}/b_orders-0"))
+        ws.append_flow("b_orders", "b_orders", src)
+        write = ws._flow_writer(i, "b_orders", [], {})
+        write(t.lineitem.select(*LINE_SCHEMA.fieldNames()), 0)  # the same batch once more
+    return ws.read("b_orders")
+
+
 @query("st_idempotent_retry", LINES_ORACLE)
 def st_idempotent_retry(spark, sf_dir):
     """An update fails inside a micro-batch (a FAIL rule), the next update retries

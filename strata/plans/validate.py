@@ -50,7 +50,7 @@ def validate(spark: SparkSession, definitions: list[Definition], sources: dict[s
             reader.plans[d.name] = df
             rows.append((d.name, "definition", "OK", ""))
         except (AnalysisException, MissingDataset) as e:
-            rows.append((d.name, "definition", "FAILED", _short(e)))
+            rows.append((d.name, "definition", "FAILED", str(e)))
             continue
         for e in d.expectations:
             try:
@@ -59,14 +59,9 @@ def validate(spark: SparkSession, definitions: list[Definition], sources: dict[s
                 rows.append((d.name, f"expectation:{e.name}", "OK" if ok else "FAILED",
                              "" if ok else f"not a boolean rule: {t}"))
             except AnalysisException as x:
-                rows.append((d.name, f"expectation:{e.name}", "FAILED", _short(x)))
+                rows.append((d.name, f"expectation:{e.name}", "FAILED", str(x)))
     return spark.createDataFrame(rows, "dataset string, check string, status string, message string")
 
 
-def _short(e: Exception) -> str:
-    s = str(e)
-    return s.split("\n", 1)[0][:300]
-
-
 def failures(report: DataFrame) -> DataFrame:
     return report.where(F.col("status") != "OK")

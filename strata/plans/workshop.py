@@ -47,14 +47,14 @@ def run(ws: Workspace, t, files: dict, full_refresh: bool = False) -> None:
     with ws.update(full_refresh=full_refresh):
         # notebook 1: ingestion
         items = read_files(spark, files["items"], "csv", schema=files["items_schema"], header=True)
-        ws.materialized_view("b_items", items, comment="Raw inventory item data from csv files")
+        ws.materialized_view("b_items", items, comment="Items as delivered (csv)")
         customers = read_files(spark, files["customers"], "csv", schema=files["customers_schema"], header=True,
                                sep="|", multi_line=True)
-        ws.materialized_view("b_customers", customers, comment="Raw customer data from | delimited files")
+        ws.materialized_view("b_customers", customers, comment="Customers as delivered, | between fields")
 
         def lines(key):
             return read_files_stream(spark, files[key], LINE_SCHEMA, "csv", header=True, mode="PERMISSIVE")
-        ws.streaming_table_as("b_orders", lines("orders"), comment="Raw order data; processed incrementally")
+        ws.streaming_table_as("b_orders", lines("orders"), comment="Orders as delivered; only new files are read")
         # notebook 3: more flows into b_orders
         ws.append_flow("b_orders", "b_orders_new_bu", lines("orders_new"))
         ws.append_flow("b_orders", "b_orders_history", lines("orders_backlog"), once=True)
@@ -66,11 +66,11 @@ def run(ws: Workspace, t, files: dict, full_refresh: bool = False) -> None:
                               F.col("unit_price").cast("double").alias("p_retailprice"))
         ws.streaming_table_as("s_orders", enrich_lines(ws.read_stream("b_orders"), t.orders, cust, part,
                                                        observe="lookup_s_orders"),
-                              comment="Sales orders with customer and item information")
+                              comment="Order lines joined to their customer and item")
         # no watermark: every customer stays in state; update mode writes only the
         # customers a micro-batch changed, upserted into the bucketed summary
         ws.aggregate_table("g_sales_summary_by_customer", sales_by_customer(ws.read_stream("s_orders")), "update",
-                           keys=["customer_id"])  # the name follows the id
+                           keys=["customer_id", "customer_name"])
         by_day = windowed_aggregate(ws.read_stream("s_orders"), "order_date", "1 day", sales_by_day_aggs(),
                                     delay="1 hour")
         ws.aggregate_table("g_sales_summary_by_day", finish_day_summary(by_day), "append")

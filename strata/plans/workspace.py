@@ -4,9 +4,10 @@
   directory; the catalog points at it only after the write succeeds, so a failed
   refresh (e.g. a FAIL expectation) leaves the old version readable.
 * Streaming table: appended by one or more flows. Each flow is a streaming query
-  with its own checkpoint whose ``foreachBatch`` writes one partition
-  ``flow=<f>/batch=<id>``. A replayed batch whose partition exists is skipped, so
-  retries neither double rows nor make new files for downstream streams.
+  with its own checkpoint whose ``foreachBatch`` writes one folder
+  ``flow=<f>/batch=<id>``, renamed into place when complete. A replayed batch whose
+  folder exists is skipped, so retries neither lose nor double rows nor make new files
+  for downstream streams.
 * Change target: ``apply_changes`` (type 1 / type 2), see ``operators.cdc``.
 
 All paths are under one root in the shared checkpoint folder. Full refresh starts a
@@ -20,19 +21,20 @@ import json
 import time
 import uuid
 from contextlib import contextmanager
+from copy import deepcopy
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..fs import delete, exists, mkdirs
+from ..fs import delete, exists, mkdirs, move
 from ..functions.params import Params
 from ..operators import cdc as cdc_ops
 from ..operators.layout import Layout
-from ..operators.quality import enforce, expectation_report
+from ..operators.quality import DROP, enforce, expectation_report, metric_columns
 from ..session import new_scratch, prepare
-from ..streaming.runner import RunResult, await_run, with_trigger
+from ..streaming.runner import RunResult, await_run, start
 from .eventlog import EventLog
 
 FLOW, BATCH = "flow", "batch"
@@ -55,6 +57,8 @@ class TableInfo:
     flows: list = field(default_factory=list)
     once_done: list = field(default_factory=list)
     cdc: dict = field(default_factory=dict)
+    sources: dict = field(default_factory=dict)  # no-reset table: source -> generation it has read
+    compacted: dict = field(default_factory=dict)  # streaming table: {"path", "upto": {flow: batch}}
 
     @property
     def reset_allowed(self) -> bool:
@@ -86,6 +90,7 @@ class Workspace:
         self._full_refresh = False
         self._continuous = False
         self._touched: set[str] = set()
+        self._before: dict[str, TableInfo] = {}  # reset in this update and not refilled yet
 
     # -- paths and catalog ---------------------------------------------------------
     def data_path(self, name: str) -> str:
@@ -134,20 +139,23 @@ class Workspace:
         if not self._full_refresh or i.name in self._touched:
             return
         self._touched.add(i.name)
+        if i.kind == "mv":
+            return  # every refresh is a new version; the catalog moves after the write
         if not i.reset_allowed:
             self.log.emit("flow_progress", {"flow_progress": {"status": "RESET_SKIPPED"}},
                           self.update_id, table=i.name)
             return
+        self._before[i.name] = deepcopy(i)
         i.generation += 1
         i.version = 0
-        i.flows, i.once_done = [], []
+        i.flows, i.once_done, i.compacted = [], [], {}
 
     # -- updates -------------------------------------------------------------------
     @contextmanager
     def update(self, full_refresh: bool = False, continuous: bool = False, user: str | None = None):
         """One pipeline update: every definition run inside it shares the update id."""
         self.update_id = str(uuid.uuid4())
-        self._full_refresh, self._continuous, self._touched = full_refresh, continuous, set()
+        self._full_refresh, self._continuous, self._touched, self._before = full_refresh, continuous, set(), {}
         user = user or self.spark.sparkContext.sparkUser()
         self.log.emit("user_action", {"user_action": {"action": "START", "user_name": user}}, self.update_id)
         self.log.emit("create_update", {"create_update": {"full_refresh": full_refresh,
@@ -158,8 +166,9 @@ class Workspace:
         try:
             yield self
         except Exception as e:  # noqa: BLE001 - logged, then raised
+            self.catalog.update(self._before)  # reset tables without a finished flow keep their old content
             self.log.emit("update_progress", {"update_progress": {"state": "FAILED"}}, self.update_id,
-                          level="ERROR", message=str(e)[:2000])
+                          level="ERROR", message=str(e))
             raise
         else:
             self.log.emit("update_progress", {"update_progress": {"state": "COMPLETED"}}, self.update_id)
@@ -200,30 +209,68 @@ class Workspace:
             return self.spark.createDataFrame([], i.struct())
         if i.kind == "st":
             df = self.spark.read.schema(self._stored_schema(i)).parquet(path)
+            if i.compacted:
+                late = F.lit(True)
+                for flow, batch in i.compacted["upto"].items():
+                    late = late & ((F.col(FLOW) != flow) | (F.col(BATCH) > batch))
+                done = self.spark.read.schema(i.struct()).parquet(i.compacted["path"])
+                return done.unionByName(df.where(late).select(*i.struct().fieldNames()))
         else:
             df = self.spark.read.parquet(path)
         return df.select(*i.struct().fieldNames())
 
-    def read_stream(self, name: str, **options) -> DataFrame:
-        """New rows since the reading query's last commit (``STREAM(LIVE.t)``)."""
+    def read_stream(self, name: str, into: str | None = None, **options) -> DataFrame:
+        """New rows since the reading query's last commit (``STREAM(LIVE.t)``).
+
+        ``into``: the reading table, if it keeps its rows in a full refresh
+        (``pipelines.reset.allowed = false``). When the source was recomputed since that
+        table read it, rows equal to rows of the generation it had read are replays and
+        are left out (an anti join on all columns; texts equal in every column to an
+        earlier row count as replayed)."""
         i = self.catalog[name]
         if i.kind != "st":
             raise ValueError(f"{name} is a {i.kind}; only streaming tables are append-only sources")
-        return (self.spark.readStream.schema(self._stored_schema(i)).options(**options)
-                .parquet(self.data_path(name)).select(*i.struct().fieldNames()))
+        cols = i.struct().fieldNames()
+        df = (self.spark.readStream.schema(self._stored_schema(i)).options(**options)
+              .parquet(self.data_path(name)).select(*cols))
+        reader = self.catalog.get(into) if into else None
+        if reader is None or reader.reset_allowed:
+            return df
+        before = reader.sources.get(name, i.generation)
+        reader.sources[name] = i.generation
+        old = f"{self.root}/tables/{name}/g{before}v{i.version}"
+        if before == i.generation or not exists(self.spark, old):
+            return df
+        seen = self.spark.read.schema(self._stored_schema(i)).parquet(old).select(*[F.col(c).alias(f"__{c}") for c in cols]).distinct()
+        on = F.lit(True)
+        for c in cols:
+            on = on & df[c].eqNullSafe(seen[f"__{c}"])
+        return df.join(seen, on, "left_anti")
 
     def read_changes(self, name: str, stream: bool = False) -> DataFrame:
         """Change log of a change target (op, values, batch): inserts, updates, deletes."""
         i = self.catalog[name]
         path = f"{self.data_path(name)}/changes"
-        schema = T.StructType(i.struct().fields + [T.StructField(cdc_ops.OP, T.StringType()),
-                                                   T.StructField(cdc_ops.BATCH, T.LongType())])
+        plain = [f for f in i.struct().fields if i.cdc["scd_type"] == 1 or f.name not in (cdc_ops.VALID_FROM, cdc_ops.VALID_TO)]
+        schema = T.StructType(plain + [T.StructField(cdc_ops.OP, T.StringType()), T.StructField(cdc_ops.BATCH, T.LongType())])
         if stream:
+            if i.cdc["scd_type"] == 2:
+                raise ValueError("a type 2 change log is derived from all changes of a key; read it as a table")
             return self.spark.readStream.schema(schema).parquet(path)
+        if i.cdc["scd_type"] == 2:
+            df = self._applier(i).read_changes()
+            return self.spark.createDataFrame([], schema) if df is None else df.select(*schema.fieldNames())
         if not exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
+    def read_quarantine(self, name: str) -> DataFrame:
+        """Change rows without a key or sequence value, kept as they came."""
+        i = self.catalog[name]
+        df = self._applier(i).read_quarantine()
+        cols = [f for f in i.struct().fields if f.name not in (cdc_ops.VALID_FROM, cdc_ops.VALID_TO)]
+        return self.spark.createDataFrame([], T.StructType(cols)) if df is None else df.select(*[f.name for f in cols])
+
     def _stored_schema(self, i: TableInfo) -> T.StructType:
         s = i.struct()
         return T.StructType(s.fields + [T.StructField(FLOW, T.StringType()), T.StructField(BATCH, T.LongType())])
@@ -245,14 +292,19 @@ class Workspace:
             i.version = prev_version + 1
             path = self.data_path(name)
             try:
-                w = layout.arrange(out).write.mode("overwrite").options(**layout.writer_options(out.columns))
+                if layout.reads_twice:
+                    out = out.persist()  # counted once, whatever the layout samples
+                w = (layout.arrange(out).write.mode("overwrite").option("partitionOverwriteMode", "static")
+                     .options(**layout.writer_options(out.columns)))
                 if layout.partition_by:
                     w = w.partitionBy(*layout.partition_by)
                 w.parquet(path)
             except Exception as e:
                 i.version = prev_version  # the old version stays current
-                self._flow_event(name, name, "FAILED", {}, [], level="ERROR", message=str(e)[:2000])
+                self._flow_event(name, name, "FAILED", {}, [], level="ERROR", message=str(e))
                 raise
+            finally:
+                out.unpersist()
             i.schema = df.schema.json()
             metrics = {"num_output_rows": int(out_obs.get.get("rows", 0)),
                        "duration_ms": int((time.time() - t0) * 1000)}
@@ -278,18 +330,34 @@ class Workspace:
         # makes the directory exist so streams can start on it before any flow ran
         mkdirs(self.spark, self.data_path(i.name))
 
-    def _flow_writer(self, i: TableInfo, flow: str):
+    def _flow_writer(self, i: TableInfo, flow: str, rules: list, counts: dict):
+        """The ``foreachBatch`` function of a flow. It applies the rules and adds up what it
+        wrote in ``counts``; the micro-batch's plan runs once, whatever the layout reads."""
         layout = i.layout()
         path = self.data_path(i.name)
         columns = i.struct().fieldNames()
+        kept = F.lit(True)
+        for r in rules:
+            kept = kept & r.holds() if r.action == DROP else kept
 
         def write(df: DataFrame, batch_id: int) -> None:
-            if exists(self.spark, f"{path}/{FLOW}={flow}/{BATCH}={batch_id}"):
-                return  # committed by an earlier attempt of this batch
-            out = df.withColumn(FLOW, F.lit(flow)).withColumn(BATCH, F.lit(batch_id).cast("long"))
-            w = (layout.arrange(out).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .options(**layout.writer_options(columns)).partitionBy(FLOW, BATCH, *layout.partition_by))
-            w.parquet(path)
+            target = f"{path}/{FLOW}={flow}/{BATCH}={batch_id}"
+            stage = f"{self.root}/staging/{i.name}/g{i.generation}/{flow}-{batch_id}"
+            df = df.persist()
+            try:
+                m = df.agg(*metric_columns(rules), F.count_if(kept).alias("out")).first().asDict()
+                out = enforce(df, rules, i.name)
+                if not exists(self.spark, target):  # else committed by an earlier attempt
+                    w = (layout.arrange(out).write.mode("overwrite").option("partitionOverwriteMode", "static")
+                         .options(**layout.writer_options(columns)))
+                    if layout.partition_by:
+                        w = w.partitionBy(*layout.partition_by)
+                    w.parquet(stage)
+                    move(self.spark, stage, target)
+                for k, v in m.items():
+                    counts[k] = counts.get(k, 0) + (v or 0)
+            finally:
+                df.unpersist()
         return write
 
     def append_flow(self, target: str, flow: str, df: DataFrame, once: bool = False, expectations=(),
@@ -308,35 +376,32 @@ class Workspace:
                 i.schema = df.schema.json()
                 self._create_empty(i)
             df = self._by_name(df, i, allow_new_columns)
-            rules = list(expectations)
-            df = enforce(df, rules, target, f"dq_{target}_{flow}" if rules else None)
-            df = df.observe(f"out_{target}_{flow}", F.count(F.lit(1)).alias("rows"))
+            rules, counts = list(expectations), {}
             interval = i.properties.get(TRIGGER_INTERVAL)
-            w = (df.writeStream.foreachBatch(self._flow_writer(i, flow))
+            w = (df.writeStream.foreachBatch(self._flow_writer(i, flow, rules, counts))
                  .option("checkpointLocation", self.checkpoint_path(target, flow))
                  .queryName(f"{target}.{flow}.{uuid.uuid4().hex[:6]}"))
-            q = with_trigger(w, self._continuous, interval).start()
+            q = start(self.spark, w, self._continuous, interval)
             try:
-                res = await_run(q, self._continuous)
+                res = await_run(self.spark, q, self._continuous)
             except Exception as e:
-                self._flow_event(target, flow, "FAILED", {}, [], level="ERROR", message=str(e)[:2000])
+                self._flow_event(target, flow, "FAILED", {}, [], level="ERROR", message=str(e))
                 raise
-            self._record_flow(i, flow, once, res, rules, f"dq_{target}_{flow}", f"out_{target}_{flow}")
+            self._record_flow(i, flow, once, res, rules, counts)
             return res
 
-    def _record_flow(self, i: TableInfo, flow: str, once: bool, res: RunResult, rules, dq_name, out_name):
-        out = res.observed.get(out_name, {})
-        metrics = {"num_output_rows": int(out.get("rows", 0)), "num_input_rows": res.input_rows,
+    def _record_flow(self, i: TableInfo, flow: str, once: bool, res: RunResult, rules=(), counts: dict | None = None):
+        self._before.pop(i.name, None)  # the new generation has content: it stays
+        counts = counts or {}
+        metrics = {"num_output_rows": int(counts.get("out", 0)), "num_input_rows": res.input_rows,
                    "batches": res.batches, "duration_ms": res.duration_ms,
                    "num_rows_dropped_by_watermark": res.dropped_by_watermark}
         report = []
         if rules:
-            m = res.observed.get(dq_name, {})
-            report = expectation_report(m, rules, i.name)
-            metrics["dropped_records"] = int(m.get("rows", 0)) - metrics["num_output_rows"]
-        for name, vals in res.observed.items():  # other named counts of the flow's plan
-            if name not in (dq_name, out_name):
-                metrics.update({k: int(v) for k, v in vals.items()})
+            report = expectation_report(counts, rules, i.name)
+            metrics["dropped_records"] = int(counts.get("rows", 0)) - metrics["num_output_rows"]
+        for vals in res.observed.values():  # named counts of the flow's plan
+            metrics.update({k: int(v) for k, v in vals.items()})
         if flow not in i.flows:
             i.flows.append(flow)
         if once and flow not in i.once_done:
@@ -367,7 +432,7 @@ class Workspace:
     def _applier(self, i: TableInfo) -> cdc_ops.ChangeApplier:
         c = i.cdc
         spec = cdc_ops.ChangeSpec(c["keys"], c["sequence_by"], c.get("delete_when"), c.get("truncate_when"),
-                                  c.get("tie_break"), c.get("except_columns", ()))
+                                  c.get("tie_break"), c.get("except_columns", ()), c.get("null_keys", False))
         return cdc_ops.ChangeApplier(self.spark, self.data_path(i.name), spec, c["scd_type"], c["buckets"])
 
     def apply_changes(self, target: str, df: DataFrame, keys, sequence_by, delete_when: str | None = None,
@@ -386,24 +451,20 @@ class Workspace:
             i.cdc = i.cdc or {"keys": keys, "sequence_by": sequence_by, "delete_when": delete_when,
                               "truncate_when": truncate_when, "scd_type": scd_type, "tie_break": tie_break,
                               "except_columns": list(except_columns), "buckets": buckets or self.buckets}
-            applier = self._applier(i)
-            spec = applier.spec
-            unusable = F.lit(False)
-            for c in spec.keys + spec.sequence:
-                unusable = unusable | F.col(c).isNull()
-            # change rows without a key or sequence value cannot be applied: counted, left out
-            w = (df.observe(f"out_{target}", F.count(F.lit(1)).alias("rows"))
-                 .observe(f"cdc_{target}", F.count_if(unusable).alias("null_key_or_sequence"))
+            applier, counts = self._applier(i), {}
+            # change rows without a key or sequence value are quarantined and counted
+            w = (df.observe(f"cdc_{target}", F.count_if(~applier.spec.usable()).alias("null_key_or_sequence"))
                  .writeStream.foreachBatch(applier)
                  .option("checkpointLocation", self.checkpoint_path(target, "apply_changes"))
                  .queryName(f"{target}.apply_changes.{uuid.uuid4().hex[:6]}"))
-            q = with_trigger(w, self._continuous, i.properties.get(TRIGGER_INTERVAL)).start()
+            q = start(self.spark, w, self._continuous, i.properties.get(TRIGGER_INTERVAL))
             try:
-                res = await_run(q, self._continuous)
+                res = await_run(self.spark, q, self._continuous)
             except Exception as e:
-                self._flow_event(target, "apply_changes", "FAILED", {}, [], level="ERROR", message=str(e)[:2000])
+                self._flow_event(target, "apply_changes", "FAILED", {}, [], level="ERROR", message=str(e))
                 raise
-            self._record_flow(i, "apply_changes", False, res, [], "", f"out_{target}")
+            counts["out"] = self.read(target).count()  # rows of the target, not of the feed
+            self._record_flow(i, "apply_changes", False, res, (), counts)
             return res
 
     # -- streaming aggregates ------------------------------------------------------------
@@ -413,7 +474,8 @@ class Workspace:
 
         * ``append``: finalised groups only (needs a watermark), appended;
         * ``complete``: the whole result, overwritten each micro-batch;
-        * ``update``: changed groups, upserted by ``keys`` (latest batch wins)."""
+        * ``update``: changed groups, upserted by ``keys`` (all group columns, NULL is a
+          key like any other; latest batch wins)."""
         with self._implicit_update():
             if output_mode == "append":
                 self.streaming_table(name, None, comment, properties)
@@ -423,7 +485,7 @@ class Workspace:
                 i = self._declare(name, "cdc", comment, properties)
                 i.schema = i.schema or df.schema.json()
                 i.cdc = i.cdc or {"keys": list(keys), "sequence_by": cdc_ops.BATCH, "tie_break": [],
-                                  "scd_type": 1, "buckets": self.buckets}
+                                  "scd_type": 1, "buckets": self.buckets, "null_keys": True}
                 applier = self._applier(i)
 
                 def upsert(batch: DataFrame, batch_id: int) -> None:
@@ -433,42 +495,52 @@ class Workspace:
                 keyed = df
                 i = self._declare(name, "mv", comment, properties)
                 i.schema = i.schema or df.schema.json()
-                i.version = max(i.version, 1)
-                path = self.data_path(name)
 
                 def overwrite(batch: DataFrame, batch_id: int) -> None:
-                    batch.write.mode("overwrite").parquet(path)
+                    # a new version each time: the last whole result stays until this one is
+                    path = f"{self.root}/tables/{name}/g{i.generation}v{i.version + 1}"
+                    batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+                    i.version += 1
                 fn, ckpt_flow = overwrite, "complete"
             else:
                 raise ValueError(f"unknown output mode {output_mode}")
             w = (keyed.writeStream.outputMode(output_mode).foreachBatch(fn)
                  .option("checkpointLocation", self.checkpoint_path(name, ckpt_flow))
                  .queryName(f"{name}.{ckpt_flow}.{uuid.uuid4().hex[:6]}"))
-            q = with_trigger(w, self._continuous, i.properties.get(TRIGGER_INTERVAL)).start()
-            res = await_run(q, self._continuous)
-            self._record_flow(i, name, False, res, [], "", "")
+            q = start(self.spark, w, self._continuous, i.properties.get(TRIGGER_INTERVAL))
+            res = await_run(self.spark, q, self._continuous)
+            self._record_flow(i, name, False, res, (), {"out": self.read(name).count()})
             return res
 
     # -- maintenance ---------------------------------------------------------------------
+    def _arranged(self, i: TableInfo, df: DataFrame, path: str) -> None:
+        layout = i.layout()
+        arranged = layout.arrange(df) if (layout.cluster_by or layout.zorder_by) else df.hint("rebalance")
+        w = (arranged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+             .options(**layout.writer_options(df.columns)))
+        if layout.partition_by:
+            w = w.partitionBy(*layout.partition_by)
+        w.parquet(path)
+
     def compact(self, name: str) -> DataFrame:
-        """Rewrite a materialized view with its layout into a new version (few, clustered
-        files). Readers move to it atomically with the catalog."""
+        """Rewrite a table with its layout into few, clustered files. Readers move to them
+        with the catalog. A materialized view gets a new version; a streaming table a
+        compacted copy of its batches so far, beside them (streams go on reading the
+        batches, so nothing is read again); a type 1 change target its buckets anew."""
         i = self.catalog[name]
-        if i.kind != "mv":
-            raise ValueError("compaction rewrites materialized views; streams keep their files")
+        if i.kind == "cdc":
+            self._applier(i).compact()
+            return self.read(name)
         df = self.read(name)
-        layout = i.layout()
-        cur = i.version
-        i.version = cur + 1
-        try:
-            arranged = layout.arrange(df) if (layout.cluster_by or layout.zorder_by) else df.hint("rebalance")
-            w = arranged.write.mode("overwrite").options(**layout.writer_options(df.columns))
-            if layout.partition_by:
-                w = w.partitionBy(*layout.partition_by)
-            w.parquet(self.data_path(name))
-        except Exception:
-            i.version = cur
-            raise
+        if i.kind == "st":
+            upto = {r[FLOW]: r["upto"] for r in (self.spark.read.schema(self._stored_schema(i)).parquet(self.data_path(name))
+                                                 .groupBy(FLOW).agg(F.max(BATCH).alias("upto")).collect())}  # one row a flow
+            path = f"{self.root}/compacted/{name}/{uuid.uuid4().hex[:12]}"
+            self._arranged(i, df, path)
+            i.compacted = {"path": path, "upto": upto}
+        else:
+            self._arranged(i, df, f"{self.root}/tables/{name}/g{i.generation}v{i.version + 1}")
+            i.version += 1
         self._save_catalog()
         self.log.flush()
         return self.read(name)

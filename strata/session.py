@@ -20,7 +20,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # streaming state (windows, joins, summaries) kept in RocksDB, not on the JVM heap
     "spark.sql.streaming.stateStore.providerClass":
@@ -44,21 +43,23 @@ def build_session(app: str = "strata", cpus: str | int = "*", shuffle_partitions
 
 
 def prepare(spark: SparkSession) -> None:
-    """Pin the settings results depend on (UTC for windows and NTZ casts)."""
+    """Pin the setting results depend on (UTC for windows and NTZ casts). Writers that
+    need dynamic partition overwrite ask for it themselves."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
 
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for tables and stream checkpoints.
 
     Taken from the session (``spark.checkpoint.dir`` / ``setCheckpointDir``); only
-    when neither is set, as in local tests, a folder of our own is set.
+    when neither is set, and only in local mode (tests), a folder of our own is set.
     """
     d = spark.sparkContext.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             d = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir() or d

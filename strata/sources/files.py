@@ -13,7 +13,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..fs import exists, list_files
+from ..fs import exists
 
 CORRUPT_COLUMN = "_corrupt_record"
 
@@ -74,8 +74,9 @@ def read_files_stream(spark: SparkSession, path: str, schema: T.StructType | str
 
 def write_files(df: DataFrame, path: str, format: str = "csv", header: bool = True, sep: str = ",",
                 mode: str = "overwrite", partition_by=None, **options) -> None:
-    """Directory writer (CSV with header and delimiter, or any format)."""
-    w = df.write.format(format).mode(mode)
+    """Directory writer (CSV with header and delimiter, or any format). Overwriting replaces
+    the whole directory, partitions that the new rows lack included."""
+    w = df.write.format(format).mode(mode).option("partitionOverwriteMode", "static")
     if format == "csv":
         w = w.option("header", "true" if header else "false").option("sep", sep)
     if partition_by:
@@ -83,11 +84,25 @@ def write_files(df: DataFrame, path: str, format: str = "csv", header: bool = Tr
     w.options(**{k: str(v) for k, v in options.items()}).save(path)
 
 
+_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def _wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """A type that holds the values of both: the wider number, else text."""
+    x, y = a.simpleString(), b.simpleString()
+    if x == y or isinstance(b, T.NullType):
+        return a
+    if x in _NUMERIC and y in _NUMERIC:
+        return a if _NUMERIC.index(x) > _NUMERIC.index(y) else b
+    return T.StringType()
+
+
 class SchemaStore:
     """Infer a source schema once, keep it as JSON beside the table, reuse it on later runs.
 
-    A column that appears later is an error unless ``allow_new_columns``; then the stored
-    schema grows by the new columns (by name, types as inferred).
+    Inference is one distributed pass over all files. A column that appears later is an
+    error unless ``allow_new_columns``; then the stored schema grows by the new columns (by
+    name), and columns whose files now need a wider type get it.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -105,25 +120,22 @@ class SchemaStore:
             .write.mode("overwrite").text(self.path)
 
     def resolve(self, source_path: str, format: str = "csv", allow_new_columns: bool = False,
-                max_infer_files: int = 1000, **read_options) -> T.StructType:
+                **read_options) -> T.StructType:
         stored = self.load()
         if stored is not None and not allow_new_columns:
             return stored  # no scan once a schema is kept
-        # inference reads a bounded set of files, never the whole input
-        files = list_files(self.spark, source_path, max_infer_files) or [source_path]
         r = self.spark.read.format(format).options(**_options(
             format, read_options.pop("header", None), read_options.pop("sep", None), None,
             read_options.pop("multi_line", None), None, read_options))
-        inferred = (r.option("inferSchema", "true") if format in ("csv", "json", "xml") else r).load(files).schema
+        inferred = (r.option("inferSchema", "true") if format in ("csv", "json", "xml") else r).load(source_path).schema
         if stored is None:
             self.save(inferred)
             return inferred
-        new = [f for f in inferred.fields if f.name not in stored.fieldNames()]
-        if new and not allow_new_columns:
-            raise ValueError(f"source {source_path} has columns not in the stored schema: "
-                             f"{[f.name for f in new]}")
-        if new:
-            stored = T.StructType(list(stored.fields) + new)
+        now = {f.name: f for f in inferred.fields}
+        grown = [T.StructField(f.name, _wider(f.dataType, now[f.name].dataType)) if f.name in now else f for f in stored.fields]
+        grown += [f for f in inferred.fields if f.name not in stored.fieldNames()]
+        if T.StructType(grown) != stored:
+            stored = T.StructType(grown)
             self.save(stored)
         return stored
 

@@ -7,11 +7,13 @@ bounded (tests, one-shot jobs), stops once all input is processed.
 
 from __future__ import annotations
 
+import threading
 import time
+from collections import defaultdict
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql import SparkSession
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 
 @dataclass
@@ -21,17 +23,58 @@ class RunResult:
     dropped_by_watermark: int = 0
     duration_ms: int = 0
     observed: dict = field(default_factory=dict)  # name -> summed metrics
-    progress: list = field(default_factory=list)
 
 
-def with_trigger(w: DataStreamWriter, continuous: bool = False, interval: str | None = None) -> DataStreamWriter:
-    if continuous:
-        return w.trigger(processingTime=interval or "0 seconds")
-    return w.trigger(availableNow=True)
+class _Progress(StreamingQueryListener):
+    """Sums every progress report of every run (a query object keeps only its latest)."""
 
+    def __init__(self):
+        self.runs: dict[str, RunResult] = defaultdict(RunResult)
+        self.ended: dict[str, threading.Event] = defaultdict(threading.Event)
 
-def await_run(q: StreamingQuery, continuous: bool = False, timeout_s: float | None = None) -> RunResult:
-    """Wait for a triggered run to end, or bound a continuous one, then sum its progress."""
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        res = self.runs[str(p.runId)]
+        res.batches += 1
+        res.input_rows += int(p.numInputRows or 0)
+        for s in p.stateOperators or []:
+            res.dropped_by_watermark += int(s.numRowsDroppedByWatermark or 0)
+        for name, row in (p.observedMetrics or {}).items():
+            acc = res.observed.setdefault(name, {})
+            for k, v in row.asDict().items():
+                acc[k] = acc.get(k, 0) + (v or 0)
+
+    def onQueryTerminated(self, event):
+        self.ended[str(event.runId)].set()
+
+
+_LISTENERS: dict[str, _Progress] = {}
+
+
+def _progress(spark: SparkSession) -> _Progress:
+    """The listener of the session's application, added once."""
+    key = f"{spark.sparkContext.applicationId}/{id(spark._jsparkSession)}"
+    if key not in _LISTENERS:
+        _LISTENERS[key] = _Progress()
+        spark.streams.addListener(_LISTENERS[key])
+    return _LISTENERS[key]
+
+
+def start(spark: SparkSession, w: DataStreamWriter, continuous: bool = False, interval: str | None = None) -> StreamingQuery:
+    """Start a triggered or continuous run whose progress is summed from its first report."""
+    _progress(spark)
+    w = w.trigger(processingTime=interval or "0 seconds") if continuous else w.trigger(availableNow=True)
+    return w.start()
+
+
+def await_run(spark: SparkSession, q: StreamingQuery, continuous: bool = False, timeout_s: float | None = None) -> RunResult:
+    """Wait for a triggered run to end, or bound a continuous one; returns what it did."""
     t0 = time.time()
     try:
         if continuous:
@@ -47,29 +90,10 @@ def await_run(q: StreamingQuery, continuous: bool = False, timeout_s: float | No
         exc = q.exception()
     if exc is not None:
         raise exc
-    res = RunResult(duration_ms=int((time.time() - t0) * 1000))
-    for p in q.recentProgress:
-        n = int(p.numInputRows or 0)
-        if p.batchId is None:
-            continue
-        res.batches += 1
-        res.input_rows += n
-        for s in p.stateOperators or []:
-            res.dropped_by_watermark += int(s.numRowsDroppedByWatermark or 0)
-        for name, row in (p.observedMetrics or {}).items():
-            acc = res.observed.setdefault(name, {})
-            for k, v in row.asDict().items():
-                acc[k] = acc.get(k, 0) + (v or 0)
-        res.progress.append(p)
+    seen, run = _progress(spark), str(q.runId)
+    if not seen.ended[run].wait(60):  # reports come in order: after the last one, all are in
+        raise TimeoutError(f"the progress of stream {q.name} did not arrive")
+    seen.ended.pop(run)
+    res = seen.runs.pop(run, RunResult())
+    res.duration_ms = int((time.time() - t0) * 1000)
     return res
-
-
-def run_to_memoryless_sink(df: DataFrame, fn, checkpoint: str, name: str | None = None,
-                           continuous: bool = False, interval: str | None = None,
-                           output_mode: str = "append") -> RunResult:
-    """Run ``df`` through ``foreachBatch(fn)`` with a checkpoint, to completion."""
-    w = df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint).outputMode(output_mode)
-    if name:
-        w = w.queryName(name)
-    q = with_trigger(w, continuous, interval).start()
-    return await_run(q, continuous)

@@ -93,3 +93,28 @@ def test_optimize_write_makes_fewer_files(spark):
     n_opt = len(_files(ws.data_path("opt")))
     assert n_opt < n_plain
     assert ws.read("opt").count() == ws.read("plain").count()
+
+
+def test_each_of_three_cluster_keys_skips_most_files(spark, tmp_path):
+    from conftest import MEDIUM
+    t, _ = setup(spark, MEDIUM)
+    df = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "l_partkey", "l_shipdate", "p_name")
+    keys, path = ("l_orderkey", "l_shipdate", "p_name"), str(tmp_path / "c")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        Layout(cluster_by=keys).arrange(df).write.parquet(path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    n = len(_files(path))
+    rows = df.orderBy(F.xxhash64(*df.columns)).limit(10).collect()
+    for k in ("l_orderkey", "l_shipdate"):
+        hits = [_files_hit(path, k, r[k]) for r in rows]
+        assert sum(hits) / len(hits) < n / 2, (k, n, hits)
+
+
+def test_statistics_on_the_first_32_columns_by_default(spark, tmp_path):
+    wide = spark.range(10).select(*[F.col("id").alias(f"c{i}") for i in range(40)])
+    wide.write.options(**Layout.from_properties({}).writer_options(wide.columns)).parquet(str(tmp_path / "w"))
+    assert all(_stats_columns(f) == {f"c{i}" for i in range(32)} for f in _files(str(tmp_path / "w")))

@@ -1,6 +1,5 @@
-"""Plan shapes: filters and projections reach the Parquet scan, small dimensions are
-broadcast only when measured, large ones are not, and no window is keyed by the
-change key alone."""
+"""Plan shapes: filters and projections reach the Parquet scan, building a join runs no
+job and leaves the strategy to Spark, and no window is keyed by the change key alone."""
 
 import io
 from contextlib import redirect_stdout
@@ -29,26 +28,31 @@ def test_filter_and_projection_pushed_to_scan(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in p2
 
 
-def test_broadcast_only_under_the_measured_bound(spark):
+def test_join_strategy_is_left_to_the_optimizer(spark):
     from conftest import SMALL
     t, _ = setup(spark, SMALL)
-    small = _plan(joins.lookup(t.lineitem, t.part, t.lineitem["l_partkey"] == t.part["p_partkey"]))
-    assert "BroadcastHashJoin" in small
+    join = lambda: joins.lookup(t.lineitem, t.part, t.lineitem["l_partkey"] == t.part["p_partkey"])
+    assert "BroadcastHashJoin" in _plan(join())
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        big = _plan(joins.lookup(t.lineitem, t.part, t.lineitem["l_partkey"] == t.part["p_partkey"],
-                                 max_broadcast_bytes=10))
-        assert "BroadcastHashJoin" not in big and "SortMergeJoin" in big
+        p = _plan(join())
+        assert "BroadcastHashJoin" not in p and "SortMergeJoin" in p
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-def test_size_bound_counts_string_bytes(spark):
-    df = spark.createDataFrame([("abc",), ("de",)], "s string")
-    assert joins.size_bound(df) >= 5
-    assert joins.size_bound(df, max_rows=1) is None
+def test_building_joins_runs_no_job(spark):
+    """Only the schema of a Parquet file may be read (one task each) before an action."""
+    import __spark_entry__ as E
+    from conftest import SMALL
+    status = spark.sparkContext.statusTracker()
+    for key in ("join_static_static", "join_anti_fk", "validate_contracts"):
+        spark.sparkContext.setJobGroup(f"build-{key}", key)
+        E.queries()[key](spark, SMALL)
+        jobs = status.getJobIdsForGroup(f"build-{key}")
+        stages = [s for j in jobs for s in status.getJobInfo(j).stageIds]
+        assert all(status.getStageInfo(s).numTasks == 1 and status.getStageInfo(s).name.startswith("parquet") for s in stages)
+    spark.sparkContext.setJobGroup("rest", "rest")
 
 
 def test_history_window_is_not_keyed_by_the_change_key_alone(spark):

@@ -45,7 +45,7 @@ def test_replayed_batch_is_skipped(spark):
     with ws.update():
         ingest_lines(ws, path)
     i = ws.catalog["b_orders"]
-    writer = ws._flow_writer(i, "b_orders")
+    writer = ws._flow_writer(i, "b_orders", [], {})
     before = ws.read("b_orders").count()
     batch0 = spark.read.schema(LINE_SCHEMA).option("header", True).csv(path)
     writer(batch0, 0)  # the committed batch 0 again: skipped
@@ -83,17 +83,85 @@ def test_bus_source_without_connector_fails_clearly(spark):
         read_bus_stream(spark, "localhost:9092", ["orders_emea", "orders_apac"])
 
 
-def test_schema_inferred_once_from_bounded_files(spark):
+def test_schema_is_inferred_over_all_files_and_widened(spark):
     from conftest import SMALL
     from strata.sources.files import SchemaStore, write_files
     t, ws = setup(spark, SMALL)
     path = f"{ws.root}/files/customers"
     write_files(t.customer, path, "json")
     store = SchemaStore(spark, f"{ws.root}/schemas/c")
-    first = store.resolve(path, "json", max_infer_files=1)
+    first = store.resolve(path, "json")
     assert set(first.fieldNames()) == set(t.customer.columns)
-    write_files(t.customer.withColumn("extra", F.lit(1)), path, "json", mode="append")
+    later = t.customer.limit(1).withColumn("extra", F.lit(1)).withColumn("c_custkey", F.lit("x1"))
+    write_files(later, path, "json", mode="append")
     assert store.resolve(path, "json") == first  # kept, no new scan
     grown = store.resolve(path, "json", allow_new_columns=True)
-    assert grown.fieldNames()[: len(first.fieldNames())] == first.fieldNames()
     assert set(grown.fieldNames()) == set(t.customer.columns) | {"extra"}
+    assert grown["c_custkey"].dataType.simpleString() == "string"
+    assert SchemaStore(spark, f"{ws.root}/schemas/d").resolve(path, "json")["c_custkey"].dataType.simpleString() == "string"
+
+
+def test_every_batch_is_logged_and_counted_once(spark):
+    """More batches than a query object keeps reports of, and layouts that read rows twice."""
+    from conftest import SMALL
+    from strata.operators.quality import expect
+    t, ws = setup(spark, SMALL)
+    lines = t.lineitem.select(*LINE_SCHEMA.fieldNames())
+    path = f"{ws.root}/files/lines"
+    write_arrivals(lines, path, [F.col("l_orderkey") % 5 == k for k in range(5)], header=True)
+    n, bad = lines.count(), lines.where("l_quantity >= 30").count()
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        with ws.update():
+            for name, props, keys in (("plain", {}, ()), ("clustered", {}, ("l_partkey", "l_shipdate")),
+                                      ("zordered", {"pipelines.autoOptimize.zOrderCols": "l_partkey, l_suppkey"}, ())):
+                ws.streaming_table(name, properties=props, cluster_by=keys)
+                src = read_files_stream(spark, path, LINE_SCHEMA, "csv", header=True, max_files_per_trigger=1)
+                res = ws.append_flow(name, name, src, expectations=[expect("small", "l_quantity < 30")])
+                assert res.batches >= 5 and res.input_rows == n
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    logged = {r.table_name: r.num_output_rows for r in L.table_metrics(ws.log.read()).collect()}
+    assert logged == {k: n for k in ("plain", "clustered", "zordered")}
+    rules = {r.dataset: r.failed_records for r in L.expectation_metrics(ws.log.read()).collect()}
+    assert rules == {k: bad for k in ("plain", "clustered", "zordered")}
+
+
+def test_failed_full_refresh_keeps_the_old_rows(spark):
+    from conftest import SMALL
+    from strata.operators.quality import expect_or_fail
+    t, ws = setup(spark, SMALL)
+    path = line_files(ws, t)
+    with ws.update():
+        ws.materialized_view("items", t.part)
+        ingest_lines(ws, path)
+    n, m = ws.read("items").count(), ws.read("b_orders").count()
+    src = read_files_stream(spark, path, LINE_SCHEMA, "csv", header=True)
+    for name in ("items", "b_orders"):
+        with pytest.raises(Exception):
+            with ws.update(full_refresh=True):
+                if name == "items":
+                    ws.materialized_view("items", t.part, expectations=[expect_or_fail("no", "p_size < 0")])
+                else:
+                    ws.streaming_table("b_orders")
+                    ws.append_flow("b_orders", "b_orders", src, expectations=[expect_or_fail("no", "l_quantity < 0")])
+        assert (ws.read("items").count(), ws.read("b_orders").count()) == (n, m)
+
+
+def test_compacted_stream_is_not_read_again(spark):
+    from conftest import SMALL
+    t, ws = setup(spark, SMALL)
+    path = f"{ws.root}/files/lines"
+    lines = t.lineitem.select(*LINE_SCHEMA.fieldNames())
+    for k in range(3):
+        write_arrivals(lines, path, [F.col("l_orderkey") % 3 == k], header=True)
+        with ws.update():
+            ingest_lines(ws, path)
+            res = ws.streaming_table_as("copy", ws.read_stream("b_orders"))
+        if k == 1:
+            assert ws.compact("b_orders").count() == lines.where("l_orderkey % 3 < 2").count()
+    assert res.input_rows == lines.where("l_orderkey % 3 = 2").count()
+    for name in ("b_orders", "copy"):
+        assert ws.read(name).exceptAll(lines).count() == 0 and ws.read(name).count() == lines.count()
+    again = ws.__class__(spark, root=ws.root)
+    assert again.read("b_orders").count() == lines.count()
