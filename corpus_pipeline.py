@@ -10,9 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.fs import delete
 from strata.llm import mixing, packing, pii, rules, simhash
-from strata.llm.common import keep, table
+from strata.llm.common import scratch, table
 from strata.llm.queries import tokenizer
+from strata.session import new_scratch
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -59,8 +61,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; returns the last one's rows."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; returns the last one's rows. What a stage keeps for
+    itself is deleted when its result is written, that result when the next one is."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = keep(stage(spark, docs, sf_dir), name)
+        path = new_scratch(spark, f"pipeline-{name}")
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

@@ -2,23 +2,46 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..fs import delete
 from ..session import new_scratch
 
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``keep`` writes inside are deleted at the end. What comes out must have
+    been written elsewhere (or kept outside) by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            delete(spark, path)
+
+
 def keep(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet under the session's shared folder and read it back.
 
     Cuts the lineage: a lost executor costs at most the tasks that read the table, never
     the work that made it, and what was drawn once (row numbers, samples) stays fixed.
+    The table stays there until the enclosing ``scratch`` ends; without one, until the
+    caller clears the folder (results that are still lazy read it).
     """
     path = new_scratch(df.sparkSession, f"llm-{tag}")
     df.write.parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -16,6 +16,8 @@ that is run again draws the same.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,24 +45,28 @@ def sources(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
                     F.least(F.col("cap").cast("double"), F.col("level") * F.col("weight")).alias("target"))
 
 
-def _permuted(x: Column, n: Column, *seed: Column) -> Column:
-    """A pseudorandom permutation of 0..n-1 that ``seed`` picks, at ``x``: rounds that add a
-    hash of one coordinate to the other on a grid of about the root of n by the root of n,
-    walked on from the few places of the grid that are not below n."""
-    side = F.ceil(F.sqrt(n)).cast("long")
+def _step(v: Column, n: Column, side: Column, *seed: Column) -> Column:
+    """Rounds that add a hash of one coordinate to the other, on a grid of ``side`` columns
+    and as many rows as n needs."""
     rows = F.ceil(n / side).cast("long")
-
-    def step(v: Column) -> Column:
-        a, b = v % side, F.floor(v / side).cast("long")
-        for r in range(3):
-            a = F.pmod(a + F.pmod(F.xxhash64(F.lit(2 * r), *seed, b), side), side)
-            b = F.pmod(b + F.pmod(F.xxhash64(F.lit(2 * r + 1), *seed, a), rows), rows)
-        return a + b * side
-
-    first = step(x)
+    a, b = v % side, F.floor(v / side).cast("long")
+    for r in range(3):
+        a = F.pmod(a + F.pmod(F.xxhash64(F.lit(2 * r), *seed, b), side), side)
+        b = F.pmod(b + F.pmod(F.xxhash64(F.lit(2 * r + 1), *seed, a), rows), rows)
+    return a + b * side
+
+
+def _permuted(df: DataFrame, x: str, n: str, out: str, *seed: Column) -> DataFrame:
+    """``df`` with ``out``: a pseudorandom permutation of 0..n-1, picked by ``seed``, at ``x``.
+    The steps are a permutation of a grid of about the root of n by the root of n; from the
+    few places of the grid that are not below n they are walked on."""
+    side, first = free_name(df, "side"), free_name(df, "first")
+    df = df.withColumn(side, F.ceil(F.sqrt(n)).cast("long"))
+    df = df.withColumn(first, _step(F.col(x), F.col(n), F.col(side), *seed))
     # the grid has fewer than ``side`` places too many, so ``side`` steps always come home
-    walk = lambda v: F.aggregate(F.sequence(F.lit(1).cast("long"), side), v, lambda y, _: F.when(y < n, y).otherwise(step(y)))
-    return F.element_at(F.transform(F.array(first), lambda v: F.when(v < n, v).otherwise(walk(v))), 1)
+    walked = F.aggregate(F.sequence(F.lit(1).cast("long"), F.col(side)), F.col(first), lambda y, _: F.when(y < F.col(n), y)
+                         .otherwise(_step(y, F.col(n), F.col(side), *seed)))
+    return df.withColumn(out, F.when(F.col(first) < F.col(n), F.col(first)).otherwise(walked)).drop(side, first)
 
 
 def _draws(s: DataFrame, block: int, shard_slots: int, most: int, seed: int) -> DataFrame:
@@ -76,11 +82,14 @@ def _draws(s: DataFrame, block: int, shard_slots: int, most: int, seed: int) ->
     rest, n = s.agg(F.max("hi"), F.count(F.lit(1))).first()
     n_draws = round(rest or 0.0)
 
-    # whole parts: shard h has slots h * whole ... of each source (numbers made in two steps)
-    part = 4096
+    # whole parts: shard h has slots h * whole ... of each source. Numbers are made in three
+    # steps, dealt out after each to a set number of tasks: the few rows they start from
+    # would else be one task's.
+    part, tasks = 4096, int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = (s.select("sid", "blocks", "whole", F.explode(F.sequence(F.lit(0), F.lit((shards - 1) // part))).alias("part"))
-            .repartition("sid", "part").withColumn("shard", F.explode(F.sequence(
-                F.col("part").cast("long") * part, F.least(F.col("part").cast("long") * part + part, F.lit(shards)) - 1))))
+            .repartition(tasks, "sid", "part").withColumn("shard", F.explode(F.sequence(
+                F.col("part").cast("long") * part, F.least(F.col("part").cast("long") * part + part, F.lit(shards)) - 1)))
+            .repartition(tasks, "sid", "shard"))
     slots = rows.where("whole > 0").select("sid", "blocks", "shard", F.explode(F.sequence(
         F.col("shard") * F.col("whole"), (F.col("shard") + 1) * F.col("whole") - 1)).alias("j"))
     if n_draws:
@@ -96,15 +105,15 @@ def _draws(s: DataFrame, block: int, shard_slots: int, most: int, seed: int) ->
         number = F.row_number().over(Window.partitionBy("sid").orderBy("shard", "draw")) - 1
         slots = slots.unionByName(drawn.select("sid", "blocks", "shard", (F.col("first") + number).alias("j")))
     slots = slots.withColumn("epoch", F.floor(F.col("j") / F.col("blocks")).cast("int")).where(F.col("epoch") < most)
-    index = _permuted(F.col("j") % F.col("blocks"), F.col("blocks"), F.lit(seed), F.col("sid"), F.col("epoch"))
-    return slots.select("sid", index.alias("index"), "epoch", "shard")
+    slots = _permuted(slots.withColumn("x", F.col("j") % F.col("blocks")), "x", "blocks", "index", F.lit(seed), F.col("sid"), F.col("epoch"))
+    return slots.select("sid", "index", "epoch", "shard")
 
 
-def _placed(rows: DataFrame, s: DataFrame, seed: int, bucket_rows: int) -> DataFrame:
+def _placed(rows: DataFrame, s: DataFrame, seed: int) -> DataFrame:
     """``rows(rid, id, source, size)`` with words -> ``(rid, sid, size, at)``, ``at`` the place
-    of its first word in its source's stream."""
-    n = rows.count()
-    buckets = max(1, -(-n // bucket_rows))
+    of its first word in its source's stream. Sums by bucket come first, then places in a
+    bucket; with the root of the rows as buckets, neither is long for a hot source."""
+    buckets = max(1, math.isqrt(rows.count()))
     d = (rows.where("size > 0").join(s.select("sid", F.col("source").alias("s")), F.col("source").eqNullSafe(F.col("s")))
          .withColumn("h", F.xxhash64(F.lit(seed), "id", "size")).withColumn("bucket", F.pmod("h", F.lit(buckets)))
          .select("rid", "id", "sid", "size", "h", "bucket"))
@@ -116,11 +125,12 @@ def _placed(rows: DataFrame, s: DataFrame, seed: int, bucket_rows: int) -> DataF
     return d.join(sums, ["sid", "bucket"]).select("rid", "sid", "size", (F.col("before") + F.col("own")).alias("at"))
 
 
-def _pieces(rows: DataFrame, s: DataFrame, block: int, shard_slots: int, most: int, seed: int, bucket_rows: int) -> DataFrame:
+def _pieces(rows: DataFrame, s: DataFrame, block: int, shard_slots: int, most: int, seed: int) -> DataFrame:
     """What the mix takes of each row: ``(rid, size, epoch, start, length)`` in words."""
-    d = _placed(rows, s, seed, bucket_rows)
+    d = _placed(rows, s, seed)
     d = d.withColumn("index", F.explode(F.sequence(F.floor(F.col("at") / block), F.floor((F.col("at") + F.col("size") - 1) / block))))
-    taken = d.join(_draws(s, block, shard_slots, most, seed), ["sid", "index"])
+    # draws come out of numbers that are made after a small shuffle, which makes them look small
+    taken = d.join(_draws(s, block, shard_slots, most, seed).hint("shuffle_merge"), ["sid", "index"])
     start = F.greatest(F.col("index") * block - F.col("at"), F.lit(0))
     stop = F.least((F.col("index") + 1) * block - F.col("at"), F.col("size"))
     return taken.select("rid", "size", "epoch", start.alias("start"), (stop - start).alias("length"))
@@ -134,7 +144,7 @@ def _rows(docs: DataFrame, id_col: str, source: str, text: str, number: Column)
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text",
         weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: int = 2, block: int = 64,
-        shard_slots: int = 16384, seed: int = 7, bucket_rows: int = 50_000) -> DataFrame:
+        shard_slots: int = 16384, seed: int = 7) -> DataFrame:
     """One row for each row of ``docs``: id, ``size`` (words), ``source_size``, ``target`` of
     its source, and ``taken``, the words that the mix takes of it (repeats counted).
 
@@ -144,14 +154,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: s
     """
     rows = keep(_rows(docs, id_col, source, text, F.monotonically_increasing_id()), "sizes")
     s = keep(sources(rows, weights, share, most), "targets")
-    taken = _pieces(rows, s, block, shard_slots, most, seed, bucket_rows).groupBy("rid").agg(F.sum("length").alias("taken"))
+    taken = _pieces(rows, s, block, shard_slots, most, seed).groupBy("rid").agg(F.sum("length").alias("taken"))
     return (rows.join(taken, "rid", "left").join(s.select(F.col("source").alias("s"), "source_size", "target"), F.col("source").eqNullSafe(F.col("s")))
             .select(F.col("id").alias(id_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text",
                     weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: int = 2, block: int = 64,
-                    shard_slots: int = 16384, seed: int = 7, bucket_rows: int = 50_000) -> DataFrame:
+                    shard_slots: int = 16384, seed: int = 7) -> DataFrame:
     """The mix as documents: for every epoch a row of each document of which that epoch
     takes words. A document taken whole keeps its text; else its text is the taken words,
     in order, joined by spaces. Columns are unchanged; documents without words are left
@@ -160,7 +170,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source: str = "sour
     marked = keep(docs.withColumn(rid, F.monotonically_increasing_id()), "numbered")
     rows = keep(_rows(marked, id_col, source, text, F.col(rid)), "sizes")
     s = keep(sources(rows, weights, share, most), "targets")
-    taken = (_pieces(rows, s, block, shard_slots, most, seed, bucket_rows).groupBy(F.col("rid").alias("__rid"), F.col("epoch").alias("__epoch"))
+    taken = (_pieces(rows, s, block, shard_slots, most, seed).groupBy(F.col("rid").alias("__rid"), F.col("epoch").alias("__epoch"))
              .agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("__parts"), (F.sum("length") == F.first("size")).alias("__whole")))
     cut = F.array_join(F.flatten(F.transform("__parts", lambda p: F.slice("__words", p["start"].cast("int") + 1, p["length"].cast("int")))), " ")
     out = (marked.join(taken, F.col(rid) == F.col("__rid")).withColumn("__words", words(text_of(text)))

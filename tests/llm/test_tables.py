@@ -114,8 +114,8 @@ def test_targets_with_null_and_empty_sources(spark):
 
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 17, 100, 1009])
 def test_permutations(spark, n):
-    x = F.col("id")
-    p = [r[0] for r in spark.range(n).orderBy("id").select(mixing._permuted(x, F.lit(n).cast("long"), F.lit(1), F.lit(4))).collect()]
+    d = spark.range(n).withColumn("n", F.lit(n).cast("long"))
+    p = [r.p for r in mixing._permuted(d, "id", "n", "p", F.lit(1), F.lit(4)).orderBy("id").collect()]
     assert sorted(p) == list(range(n)) and (n < 10 or p != list(range(n)))
 
 
