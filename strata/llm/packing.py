@@ -13,7 +13,9 @@ their place. A document's pieces depend on nothing but its place.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -28,34 +30,79 @@ from pyspark.sql import types as T
 from .common import keep, text_of
 
 DIMS, BITS, FEATURES = 3, 16, 256
-MOST_WORDS = 200_000  # words a task remembers the ids of
+MOST_WORDS = 250_000  # words (and parts of words) whose ids a Python worker remembers, twice
 LONG_WORD = 200  # longer words are not remembered
 
+# Fixed values of the vocabulary's own format: how it splits a text, and the part of that
+# which can be said over lower-case ASCII and Latin-1 words.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PART = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+
+
+class _Remembered(dict):
+    """Values by key, made when missing; keeps between one and two times MOST_WORDS, those
+    used last."""
+
+    def __init__(self, make):
+        self.make, self.old = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+            if len(key) > LONG_WORD:
+                return value
+        if len(self) >= MOST_WORDS:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
 
 class _Tokens:
     """Token ids by word. White space separates tokens in these vocabularies, so the ids of
-    a text are those of its words, and a corpus has few words beside its length."""
+    a text are those of its words, and most words of a corpus come again. A word of simple
+    letters is made of its parts (letters, a digit, other signs), which come again still
+    more often, where the file splits words as SPLIT says."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.of = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.of.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as f:
+            how = json.load(f)
+        first = (how.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
+        lowers = [n.get("type") for n in (how.get("normalizer") or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+        self.by_part = lowers and first.get("pattern", {}).get("Regex") == SPLIT
+        self.parts, self.words = _Remembered(self._part), _Remembered(self._word)
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return np.asarray(ids, self.kind).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        if part.isascii():  # letters of the byte alphabet stand for themselves
+            return self._packed([t.id for t in self.of.model.tokenize(part)])
+        return self._packed(self.of.encode(part, add_special_tokens=False).ids)
+
+    def _word(self, word: str) -> bytes:
+        if self.by_part and SIMPLE.fullmatch(word) and "<|" not in word:
+            return b"".join(map(self.parts.__getitem__, PART.findall(word.lower())))
+        return self._packed(self.of.encode(word, add_special_tokens=False).ids)
 
     def encode(self, text: str, end: int) -> bytes:
-        ws = text.replace("\n", " ").split(" ")
-        known = self.known
-        new = [w for w in set(ws) if w not in known]
-        own = known
-        if new:
-            if len(known) > MOST_WORDS:
-                known.clear()
-                new = list(set(ws))
-            got = {w: np.asarray(e.ids, self.kind).tobytes() for w, e in zip(new, self.of.encode_batch(new, add_special_tokens=False))}
-            known.update((w, x) for w, x in got.items() if len(w) <= LONG_WORD)
-            own = {**known, **got} if any(len(w) > LONG_WORD for w in got) else known
-        return b"".join(map(own.__getitem__, ws)) + np.asarray([end], self.kind).tobytes()
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" "))) + self._packed([end])
+
+
+_LOADED: dict[str, _Tokens] = {}
+
+
+def _tokens(path: str) -> _Tokens:
+    """The tokenizer, loaded once in each Python worker."""
+    if path not in _LOADED:
+        _LOADED[path] = _Tokens(path)
+    return _LOADED[path]
 
 
 def _projection() -> tuple[np.ndarray, np.ndarray]:
@@ -73,7 +120,7 @@ def tokenize(docs: DataFrame, tokenizer: str, id_col: str, text: str, end: int)
                            T.StructField("ids", T.BinaryType()), *[T.StructField(f"p{i}", T.DoubleType()) for i in range(DIMS)]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, (bucket, to) = _Tokens(tokenizer), _projection()
+        tok, (bucket, to) = _tokens(tokenizer), _projection()
         rid = TaskContext.get().partitionId() << 40
         for b in batches:
             for at in range(0, b.num_rows, 512):

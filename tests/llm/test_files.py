@@ -124,12 +124,21 @@ def test_packing_odd_rows(spark, odd_docs, no_docs):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(max_size=80) | st.text(alphabet=" \n\t\x0b\x1c\x85\u00a0\u0301\u0345aAÀΣς'srevmld1²<|>!.", max_size=60))
+@given(st.text(max_size=80) | st.text(alphabet=" \n\t\x0b\x1c\x85\u00a0\u0301\u0345aAÀÿß×÷µªΣς'srevmld1²<|>!.\x7f\xa0\xad", max_size=60))
 def test_ids_by_word_are_the_text_s(t):
-    own = packing._Tokens(TOKENIZER)
+    own = packing._tokens(TOKENIZER)
+    assert own.by_part
     assert np.frombuffer(own.encode(t, 2), own.kind).tolist() == brute_ids({0: t})[0]
 
 
+def test_words_are_forgotten_in_turn(monkeypatch):
+    monkeypatch.setattr(packing, "MOST_WORDS", 3)
+    made = []
+    r = packing._Remembered(lambda k: made.append(k) or k.encode())
+    assert [r[k] for k in "abcabcdeabz"] == [k.encode() for k in "abcabcdeabz"] and len(r) + len(r.old) <= 6
+    assert made == list("abcdez")
+
+
 def test_hilbert_curve_visits_neighbours():
     bits = 3
     grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * 3, indexing="ij"), -1).reshape(-1, 3)
