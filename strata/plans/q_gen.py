@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import generators as G
 from ..functions.text import email_from_name
+from ..sources.files import read_files, write_files
 from .common import setup
 from .registry import query
 
@@ -107,10 +108,10 @@ def gen_backlog(spark, sf_dir):
     return backlog.build()
 
 
-@query("gen_customers", f"""
+CUSTOMERS = f"""
 WITH g AS (SELECT c_custkey AS id, CASE WHEN ({G.mix_sql(21, 'c_custkey')}) % 10000 < 100 THEN NULL
     ELSE {G.company_name_sql('c_custkey')} END AS customer_name FROM customer)
-SELECT id, customer_name, {G.address_sql(30)} AS billing_address, {G.address_sql(40)} AS shipping_address,
+SELECT id, customer_name, {G.address_sql(30)} AS billing_address, {G.address_sql(40)} AS mailing_address,
   {G.phone_sql(50)} AS phone_number,
   CASE WHEN ({G.mix_sql(22, 'id')}) % 10000 < 1000 THEN NULL ELSE
     array_to_string(list_transform(string_split(regexp_replace(customer_name, '[^0-9A-Za-z]', ' ', 'g'), ' '),
@@ -118,16 +119,48 @@ SELECT id, customer_name, {G.address_sql(30)} AS billing_address, {G.address_sql
   {_list(TERMS)}[1 + ({G.mix_sql(1, 'id')}) % 5] AS payment_terms,
   CASE WHEN ({G.mix_sql(23, 'id')}) % 10000 < 100 THEN NULL
     ELSE CAST(1000 + ({G.mix_sql(24, 'id')}) % 99001 AS DECIMAL(10,2)) END AS balance_limit
-FROM g""")
+FROM g"""
+
+
+@query("gen_customers", CUSTOMERS)
 def gen_customers(spark, sf_dir):
     """Q1-Q7 together: the customers generator (name, email from the name, addresses, phone, terms, limit)."""
     t, _ = setup(spark, sf_dir)
+    return _customers(t)
+
+
+def _customers(t):
     return (G.DataGenerator(t.customer, "c_custkey")
             .with_column("customer_name", G.with_nulls(G.company_name(), 0.01, 21))
             .with_column("email", G.with_nulls(email_from_name("customer_name"), 0.1, 22))
             .with_column("billing_address", G.address(30))
-            .with_column("shipping_address", G.address(40))
+            .with_column("mailing_address", G.address(40))
             .with_column("phone_number", G.phone(50))
             .with_column("payment_terms", G.choice(TERMS, 1))
             .with_column("balance_limit", G.with_nulls(G.numeric_range(1000, 100000, 1, 24), 0.01, 23))
             .build())
+
+
+@query("s_orders_wide", f"""
+WITH b_customers AS ({CUSTOMERS})
+SELECT o_orderkey AS order_id, o_orderdate AS order_date, o_custkey AS customer_id, customer_name, billing_address,
+  mailing_address, phone_number, email, payment_terms, o_orderpriority AS description, p_partkey AS item_id,
+  p_name AS item_description, CAST(p_retailprice AS DECIMAL(10,2)) AS unit_price, CAST(l_quantity AS INTEGER) AS qty_ordered,
+  CAST(CAST(l_quantity AS INTEGER) * CAST(p_retailprice AS DECIMAL(10,2)) AS DECIMAL(21,2)) AS total_price
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN b_customers c ON c.id = o_custkey JOIN part ON p_partkey = l_partkey""")
+def s_orders_wide(spark, sf_dir):
+    """C2/D3 with every column of the joined sales table: generated customers written as
+    ``|`` delimited CSV (their addresses hold line breaks), read back, and joined."""
+    t, ws = setup(spark, sf_dir)
+    path = f"{ws.root}/files/customers"
+    made = _customers(t)
+    write_files(made, path, "csv", header=True, sep="|")
+    c = read_files(spark, path, "csv", schema=made.schema, header=True, sep="|", multi_line=True)
+    unit, qty = F.col("p_retailprice").cast("decimal(10,2)"), F.col("l_quantity").cast("int")
+    j = (t.lineitem.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey")).join(c, F.col("id") == F.col("o_custkey"))
+         .join(t.part, F.col("p_partkey") == F.col("l_partkey")))
+    return j.select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("order_date"), F.col("o_custkey").alias("customer_id"),
+        "customer_name", "billing_address", "mailing_address", "phone_number", "email", "payment_terms",
+        F.col("o_orderpriority").alias("description"), F.col("p_partkey").alias("item_id"), F.col("p_name").alias("item_description"),
+        unit.alias("unit_price"), qty.alias("qty_ordered"), (qty * unit).cast("decimal(21,2)").alias("total_price"))

@@ -91,6 +91,7 @@ class Workspace:
         self._continuous = False
         self._touched: set[str] = set()
         self._before: dict[str, TableInfo] = {}  # reset in this update and not refilled yet
+        self._running: list[tuple] = []  # flows of a continuous update
 
     # -- paths and catalog ---------------------------------------------------------
     def data_path(self, name: str) -> str:
@@ -165,6 +166,8 @@ class Workspace:
         self.log.emit("update_progress", {"update_progress": {"state": "RUNNING"}}, self.update_id)
         try:
             yield self
+            for run in self._running:  # in order, so a flow waits for those it reads from
+                self._finish(*run)
         except Exception as e:  # noqa: BLE001 - logged, then raised
             self.catalog.update(self._before)  # reset tables without a finished flow keep their old content
             self.log.emit("update_progress", {"update_progress": {"state": "FAILED"}}, self.update_id,
@@ -173,6 +176,10 @@ class Workspace:
         else:
             self.log.emit("update_progress", {"update_progress": {"state": "COMPLETED"}}, self.update_id)
         finally:
+            for _, _, q, _ in self._running:
+                if q.isActive:
+                    q.stop()
+            self._running = []
             self._save_catalog()
             self.log.flush()
             self.update_id = None
@@ -186,6 +193,23 @@ class Workspace:
             with self.update():
                 yield
 
+    def _drive(self, table: str, flow: str, q, record) -> RunResult | None:
+        """Run a started flow to its end and record it. In a continuous update it goes on
+        beside the others; they are bounded and recorded together when the update ends."""
+        if self._continuous:
+            self._running.append((table, flow, q, record))
+            return None
+        return self._finish(table, flow, q, record)
+
+    def _finish(self, table: str, flow: str, q, record) -> RunResult:
+        try:
+            res = await_run(self.spark, q, self._continuous)
+        except Exception as e:
+            self._flow_event(table, flow, "FAILED", {}, [], level="ERROR", message=str(e))
+            raise
+        record(res)
+        return res
+
     def _flow_event(self, table: str, flow: str, status: str, metrics: dict, expectations: list,
                     level: str = "INFO", message: str = "") -> None:
         d = {"flow_progress": {"status": status, "metrics": metrics}}
@@ -382,13 +406,7 @@ class Workspace:
                  .option("checkpointLocation", self.checkpoint_path(target, flow))
                  .queryName(f"{target}.{flow}.{uuid.uuid4().hex[:6]}"))
             q = start(self.spark, w, self._continuous, interval)
-            try:
-                res = await_run(self.spark, q, self._continuous)
-            except Exception as e:
-                self._flow_event(target, flow, "FAILED", {}, [], level="ERROR", message=str(e))
-                raise
-            self._record_flow(i, flow, once, res, rules, counts)
-            return res
+            return self._drive(target, flow, q, lambda res: self._record_flow(i, flow, once, res, rules, counts))
 
     def _record_flow(self, i: TableInfo, flow: str, once: bool, res: RunResult, rules=(), counts: dict | None = None):
         self._before.pop(i.name, None)  # the new generation has content: it stays
@@ -451,21 +469,16 @@ class Workspace:
             i.cdc = i.cdc or {"keys": keys, "sequence_by": sequence_by, "delete_when": delete_when,
                               "truncate_when": truncate_when, "scd_type": scd_type, "tie_break": tie_break,
                               "except_columns": list(except_columns), "buckets": buckets or self.buckets}
-            applier, counts = self._applier(i), {}
+            applier = self._applier(i)
             # change rows without a key or sequence value are quarantined and counted
             w = (df.observe(f"cdc_{target}", F.count_if(~applier.spec.usable()).alias("null_key_or_sequence"))
                  .writeStream.foreachBatch(applier)
                  .option("checkpointLocation", self.checkpoint_path(target, "apply_changes"))
                  .queryName(f"{target}.apply_changes.{uuid.uuid4().hex[:6]}"))
             q = start(self.spark, w, self._continuous, i.properties.get(TRIGGER_INTERVAL))
-            try:
-                res = await_run(self.spark, q, self._continuous)
-            except Exception as e:
-                self._flow_event(target, "apply_changes", "FAILED", {}, [], level="ERROR", message=str(e))
-                raise
-            counts["out"] = self.read(target).count()  # rows of the target, not of the feed
-            self._record_flow(i, "apply_changes", False, res, (), counts)
-            return res
+            # rows of the target, not of the feed
+            return self._drive(target, "apply_changes", q, lambda res: self._record_flow(
+                i, "apply_changes", False, res, (), {"out": self.read(target).count()}))
 
     # -- streaming aggregates ------------------------------------------------------------
     def aggregate_table(self, name: str, df: DataFrame, output_mode: str, keys=(), comment: str | None = None,
@@ -508,9 +521,7 @@ class Workspace:
                  .option("checkpointLocation", self.checkpoint_path(name, ckpt_flow))
                  .queryName(f"{name}.{ckpt_flow}.{uuid.uuid4().hex[:6]}"))
             q = start(self.spark, w, self._continuous, i.properties.get(TRIGGER_INTERVAL))
-            res = await_run(self.spark, q, self._continuous)
-            self._record_flow(i, name, False, res, (), {"out": self.read(name).count()})
-            return res
+            return self._drive(name, name, q, lambda res: self._record_flow(i, name, False, res, (), {"out": self.read(name).count()}))
 
     # -- maintenance ---------------------------------------------------------------------
     def _arranged(self, i: TableInfo, df: DataFrame, path: str) -> None:

@@ -97,3 +97,44 @@ def test_rows_without_key_are_counted_not_applied(spark):
     n = ws.log.read().where("event_type = 'flow_progress' AND table_name = 't'") \
         .select(L.detail("flow_progress:metrics:null_key_or_sequence").cast("long")).first()[0]
     assert n == feed.where("id IS NULL").count() > 0
+
+
+def test_history_of_any_sequence_type_without_tie_break(spark):
+    """TIMESTAMP, TIMESTAMP_NTZ, date, number and text sequences; the whole row is the tie."""
+    from conftest import SMALL
+    t, ws = setup(spark, SMALL)
+    feed = view(spark, t, "cdc_feed").dropDuplicates(["id", "update_date"])
+    for k, type_ in enumerate(("timestamp", "timestamp_ntz", "string")):
+        typed = feed.withColumn("update_date", F.col("update_date").cast(type_))
+        path = f"{ws.root}/files/feed{k}"
+        write_arrivals(typed, path, [F.col("event_id") % 2 == i for i in (1, 0)], format="parquet")
+        src = read_files_stream(spark, path, typed.schema, "parquet", max_files_per_trigger=1)
+        ws.apply_changes(f"h{k}", src, keys=["id"], sequence_by="update_date", delete_when="update_type = 'DELETE'", scd_type=2)
+        w = Window.partitionBy("id").orderBy("update_date")
+        want = typed.withColumn("valid_to", F.lead("update_date").over(w)).where("update_type <> 'DELETE'")
+        cols = ["event_id", "update_date", "valid_to"]
+        key = lambda rows: sorted(map(str, rows))
+        assert key(tuple(r) for r in ws.read(f"h{k}").select(*cols).collect()) == key(tuple(r) for r in want.select(*cols).collect())
+
+
+def test_neighbours_by_number_and_backwards(spark):
+    d = spark.range(3000).select((F.col("id") % 3).alias("k"), (F.col("id") * 7919 % 3000 * 1500).alias("x"), "id")
+    for back, near in ((False, F.lead), (True, F.lag)):
+        got = next_in_order(d, ["k"], ["x", "id"], "id", "n", back=back)
+        want = d.withColumn("n", near("id").over(Window.partitionBy("k").orderBy("x", "id")))
+        assert _rows(got.fillna(-1), ["k", "x", "n"]) == _rows(want.fillna(-1), ["k", "x", "n"])
+
+
+def test_small_batch_leaves_closed_versions_alone(spark):
+    import glob
+    from conftest import SMALL
+    t, ws = setup(spark, SMALL)
+    feed = view(spark, t, "cdc_feed")
+    path = f"{ws.root}/files/feed"
+    seen = {}
+    for cond in (F.col("event_id") % 50 != 0, F.col("event_id") % 50 == 0):
+        write_arrivals(feed, path, [cond], format="parquet")
+        ws.apply_changes("h", read_files_stream(spark, path, feed.schema, "parquet"), scd_type=2, **SPEC)
+        files = set(glob.glob(ws.data_path("h").removeprefix("file:") + "/data/**/*.parquet", recursive=True))
+        assert set(seen) <= files
+        seen = dict.fromkeys(files)

@@ -165,3 +165,17 @@ def test_compacted_stream_is_not_read_again(spark):
         assert ws.read(name).exceptAll(lines).count() == 0 and ws.read(name).count() == lines.count()
     again = ws.__class__(spark, root=ws.root)
     assert again.read("b_orders").count() == lines.count()
+
+
+def test_flows_of_a_continuous_update_run_together(spark):
+    from conftest import SMALL
+    t, ws = setup(spark, SMALL)
+    path = line_files(ws, t)
+    with ws.update(continuous=True):
+        ws.streaming_table_as("a", read_files_stream(spark, path, LINE_SCHEMA, "csv", header=True))
+        ws.streaming_table_as("b", ws.read_stream("a").where("l_quantity > 10"))
+        assert len([q for q in spark.streams.active if q.name.startswith(("a.", "b."))]) == 2
+    assert not [q for q in spark.streams.active if q.name.startswith(("a.", "b."))]
+    assert ws.read("a").count() == t.lineitem.count()
+    assert ws.read("b").count() == t.lineitem.where("l_quantity > 10").count()
+    assert L.flow_progress(ws.log.read()).count() == 2
