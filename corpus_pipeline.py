@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from strata.fs import delete
 from strata.llm import mixing, packing, pii, rules, simhash
 from strata.llm.common import scratch, table
-from strata.llm.queries import tokenizer
 from strata.session import new_scratch
 
 
@@ -44,7 +43,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents in sequences of 4096 tokens, as operator 9 returns them."""
-    return packing.pack(docs, tokenizer(), length=4096, end=2)
+    return packing.pack(docs, packing.public_tokenizer(), length=4096, end=2)
 
 
 STAGES = [

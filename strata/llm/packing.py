@@ -95,6 +95,12 @@ class _Tokens:
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" "))) + self._packed([end])
 
 
+def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
+    """Path of one of the installed public vocabularies."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 _LOADED: dict[str, _Tokens] = {}
 
 

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import chat, mixing, packing, pii, rules, secret, simhash, topk, urls, warc
 from .common import table
 
@@ -104,15 +106,9 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-def tokenizer() -> str:
-    """File of the tokenizer that the packing query uses."""
-    import public_tokenizers
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
 @_query()
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer(), length=4096, end=2)
+    return packing.pack(table(spark, sf_dir, "documents"), packing.public_tokenizer(), length=4096, end=2)
 
 
 @_query("""
@@ -132,11 +128,6 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
 
 
-def _add_pipeline() -> None:
-    import corpus_pipeline
-    QUERIES["pipeline"] = corpus_pipeline.run
-    if corpus_pipeline.ORACLE_SQL:
-        ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
-
-
-_add_pipeline()
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
