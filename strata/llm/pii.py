@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, keep, let, text_of
+from .common import keep, let, text_of
 from .spans import Kind, covers, find, matches, written
 
 # A run of local characters starts a match only where no such character (or the end of the
@@ -85,10 +85,9 @@ def _found(docs: DataFrame, text: str, context: int, carry: list[str]) -> DataFr
     no_pairs = F.expr("cast(array() as array<struct<c:bigint,t:string>>)")
     d = (d.withColumn("__pairs", F.when(F.size(base) > 0, pairs).otherwise(no_pairs))
          .withColumn("__terms", F.array_distinct(F.transform("__pairs", lambda p: p["t"]))))
-    near = F.transform(
-        F.filter(F.transform(matches(t, TERM), lambda x: F.struct(F.lower(x["m"]).alias("t"), x["m"].alias("m"), x["start"].alias("start"), x["end"].alias("end"))),
-                 lambda x: F.array_contains("__terms", x["t"]) & ~covers(base, x["start"], x["end"])),
-        lambda x: x)
+    placed = F.transform(matches(t, TERM), lambda x: F.struct(
+        F.lower(x["m"]).alias("t"), x["m"].alias("m"), x["start"].alias("start"), x["end"].alias("end")))
+    near = F.filter(placed, lambda x: F.array_contains("__terms", x["t"]) & ~covers(base, x["start"], x["end"]))
     none = F.expr("cast(array() as array<struct<t:string,m:string,start:int,end:int>>)")
     return d.select(
         *carry, F.when(F.size("__pairs") > 0, F.md5("__t")).alias("__key"),
@@ -98,7 +97,6 @@ def _found(docs: DataFrame, text: str, context: int, carry: list[str]) -> DataFr
 
 def _disclosing(found: DataFrame, docs: DataFrame, text: str, generalise_at: float, min_texts: int) -> DataFrame:
     """``(key, hits)``: for each text with candidates its disclosing terms ``(t, share)``."""
-    spark = docs.sparkSession
     pairs = (found.where(F.size("__pairs") > 0).select("__key", F.explode("__pairs").alias("p"))
              .groupBy("__key", F.col("p.c").alias("c"), F.col("p.t").alias("t")).agg(F.count(F.lit(1)).alias("n")))
     pairs = keep(pairs, "pairs")
@@ -107,15 +105,13 @@ def _disclosing(found: DataFrame, docs: DataFrame, text: str, generalise_at: flo
     entities = pairs.groupBy("c", "__key").agg(F.max("n").alias("n")).groupBy("c").agg(F.sum("n").alias("d_c"))
     term = F.explode(F.array_distinct(F.split(F.lower(text_of(text)), r"[^\p{L}\p{N}]+", -1)))
     terms = docs.select(term.alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("d_t"))
-    n = docs.count()
+    n = float(docs.count())
     rated = (together.join(entities, "c").join(terms, "t")
              .withColumn("d_t", F.greatest("d_t", "d_ct")).where(F.col("d_c") < n)
-             .withColumn("share", F.log2(F.lit(float(n)) * F.col("d_ct") / (F.col("d_c") * F.col("d_t")))
-                         / F.log2(F.lit(float(n)) / F.col("d_c")))
+             .withColumn("share", F.log2(n * F.col("d_ct") / (F.col("d_c") * F.col("d_t"))) / F.log2(n / F.col("d_c")))
              .where(F.col("share") >= generalise_at).select("c", "t", "share"))
     hits = pairs.join(rated, ["c", "t"]).groupBy("__key", "t").agg(F.max("share").alias("share"))
-    hits = hits.groupBy("__key").agg(F.collect_list(F.struct("t", "share")).alias("__hits"))
-    return spark.createDataFrame([], hits.schema) if n == 0 else hits
+    return hits.groupBy("__key").agg(F.collect_list(F.struct("t", "share")).alias("__hits"))
 
 
 def _spans(docs: DataFrame, text: str, carry: list[str], context: int, generalise_at: float, remove_at: float,
@@ -183,8 +179,6 @@ def redact(docs: DataFrame, text: str = "text", context: int = 80, generalise_at
            remove_at: float = 0.95, min_texts: int = 3) -> DataFrame:
     """``docs`` with base matches and disclosing terms replaced in ``text``. Rows and
     columns stay; a null text stays null."""
-    own = free_name(docs, "text_in")
-    d = docs.withColumn(own, text_of(text))
-    d = _spans(d, own, d.columns, context, generalise_at, remove_at, min_texts)
-    new = F.when(F.col(text).isNotNull(), _redacted(F.col(own), F.col("__spans")))
+    d = _spans(docs, text, docs.columns, context, generalise_at, remove_at, min_texts)
+    new = F.when(F.col(text).isNotNull(), _redacted(F.col(text), F.col("__spans")))
     return d.select(*[new.alias(c) if c == text else F.col(c) for c in docs.columns])
