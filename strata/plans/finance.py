@@ -74,7 +74,7 @@ def sales_by_customer(s_orders: DataFrame) -> DataFrame:
                  F.min("total_price").alias("min_order_amount"),
                  F.max("total_price").alias("max_order_amount"))
             .select("customer_id", "customer_name", "total_orders",
-                    F.col("__sum").cast("double").alias("total_sales"),
+                    F.col("__sum").cast("decimal(38,2)").alias("total_sales"),
                     (F.col("__sum").cast("double") / F.col("__n")).alias("avg_sales"),
                     "min_order_amount", "max_order_amount"))
 
@@ -87,6 +87,6 @@ def sales_by_day_aggs() -> dict:
 
 def finish_day_summary(df: DataFrame) -> DataFrame:
     return df.select("window_start", "window_end", "total_orders",
-                     F.col("__sum").cast("double").alias("total_sales"),
+                     F.col("__sum").cast("decimal(38,2)").alias("total_sales"),
                      (F.col("__sum").cast("double") / F.col("__n")).alias("avg_sales"),
                      "min_order_amount", "max_order_amount")

@@ -137,7 +137,7 @@ def agg_by_customer(spark, sf_dir):
 
 DAY_ORACLE = cte("s_orders") + """
 SELECT date_trunc('day', order_date) AS window_start, date_trunc('day', order_date) + INTERVAL 1 DAY AS window_end,
-  count(order_id) AS total_orders, CAST(sum(total_price) AS DOUBLE) AS total_sales,
+  count(order_id) AS total_orders, CAST(sum(total_price) AS DECIMAL(38,2)) AS total_sales,
   CAST(sum(total_price) AS DOUBLE) / count(total_price) AS avg_sales,
   min(total_price) AS min_order_amount, max(total_price) AS max_order_amount
 FROM s_orders GROUP BY 1, 2"""
