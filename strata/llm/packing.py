@@ -16,7 +16,9 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +32,7 @@ from pyspark.sql import types as T
 from .common import keep, text_of
 
 DIMS, BITS, FEATURES = 3, 16, 256
-MOST_WORDS = 250_000  # words (and parts of words) whose ids a Python worker remembers, twice
+MOST_WORDS, MOST_PARTS = 80_000, 100_000  # whose ids a Python worker remembers (up to twice as many)
 LONG_WORD = 200  # longer words are not remembered
 
 # Fixed values of the vocabulary's own format: how it splits a text, and the part of that
@@ -40,12 +42,19 @@ PART = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-ö
 SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in byte-level vocabularies: printable Latin-1
+    characters for themselves, the other bytes, in order, for those from U+0100 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    return {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in own)}
+
+
 class _Remembered(dict):
-    """Values by key, made when missing; keeps between one and two times MOST_WORDS, those
+    """Values by key, made when missing; keeps between one and two times ``most``, those
     used last."""
 
-    def __init__(self, make):
-        self.make, self.old = make, {}
+    def __init__(self, make, most: int):
+        self.make, self.most, self.old = make, most, {}
 
     def __missing__(self, key: str) -> bytes:
         value = self.old.get(key)
@@ -53,7 +62,7 @@ class _Remembered(dict):
             value = self.make(key)
             if len(key) > LONG_WORD:
                 return value
-        if len(self) >= MOST_WORDS:
+        if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
         self[key] = value
@@ -76,15 +85,18 @@ class _Tokens:
         first = (how.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
         lowers = [n.get("type") for n in (how.get("normalizer") or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
         self.by_part = lowers and first.get("pattern", {}).get("Regex") == SPLIT
-        self.parts, self.words = _Remembered(self._part), _Remembered(self._word)
+        self.letters, self.code = _byte_letters(), "H" if self.kind.itemsize == 2 else "I"
+        self.parts, self.words = _Remembered(self._part, MOST_PARTS), _Remembered(self._word, MOST_WORDS)
 
     def _packed(self, ids: list[int]) -> bytes:
-        return np.asarray(ids, self.kind).tobytes()
+        out = array(self.code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
     def _part(self, part: str) -> bytes:
-        if part.isascii():  # letters of the byte alphabet stand for themselves
-            return self._packed([t.id for t in self.of.model.tokenize(part)])
-        return self._packed(self.of.encode(part, add_special_tokens=False).ids)
+        part = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+        return self._packed([t.id for t in self.of.model.tokenize(part)])
 
     def _word(self, word: str) -> bytes:
         if self.by_part and SIMPLE.fullmatch(word) and "<|" not in word:

@@ -131,10 +131,9 @@ def test_ids_by_word_are_the_text_s(t):
     assert np.frombuffer(own.encode(t, 2), own.kind).tolist() == brute_ids({0: t})[0]
 
 
-def test_words_are_forgotten_in_turn(monkeypatch):
-    monkeypatch.setattr(packing, "MOST_WORDS", 3)
+def test_words_are_forgotten_in_turn():
     made = []
-    r = packing._Remembered(lambda k: made.append(k) or k.encode())
+    r = packing._Remembered(lambda k: made.append(k) or k.encode(), 3)
     assert [r[k] for k in "abcabcdeabz"] == [k.encode() for k in "abcabcdeabz"] and len(r) + len(r.old) <= 6
     assert made == list("abcdez")
 
