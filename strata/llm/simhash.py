@@ -169,6 +169,6 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "t
     fps = marked.select(F.col(id_col).alias("id"), F.col(fp).alias("fp"))
     chosen = (fps.join(_classes(fps, max_bits, agree), "fp").groupBy("root")
               .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp")).alias("first"))
-              .select(F.col("first.id").alias("first_id"), F.col("first.fp").alias("first_fp")))
-    same = F.col(id_col).eqNullSafe(F.col("first_id")) & (F.col(fp) == F.col("first_fp"))
+              .select(F.col("first.id").alias("__first_id"), F.col("first.fp").alias("__first_fp")))
+    same = F.col(id_col).eqNullSafe(F.col("__first_id")) & (F.col(fp) == F.col("__first_fp"))
     return marked.join(chosen, same, "left_semi").dropDuplicates([id_col, fp]).select(*docs.columns)
