@@ -164,11 +164,13 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "t
     """``docs`` with one document of each component: that with the smallest id (a null id
     only where there is no other; among equal ids the smallest fingerprint, then any one
     of the rows, which have the same fingerprint). Columns are unchanged."""
-    fp = free_name(docs, "fp")
-    marked = keep(with_fingerprint(docs, text, fp, shingle), "marked")
-    fps = marked.select(F.col(id_col).alias("id"), F.col(fp).alias("fp"))
+    fp, key = free_name(docs, "fp"), free_name(docs, "key")
+    id_key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    fps = keep(with_fingerprint(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")), shingle=shingle)
+               .select("id", "fp"), "fingerprints")
     chosen = (fps.join(_classes(fps, max_bits, agree), "fp").groupBy("root")
               .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp")).alias("first"))
-              .select(F.col("first.id").alias("__first_id"), F.col("first.fp").alias("__first_fp")))
-    same = F.col(id_col).eqNullSafe(F.col("__first_id")) & (F.col(fp) == F.col("__first_fp"))
-    return marked.join(chosen, same, "left_semi").dropDuplicates([id_col, fp]).select(*docs.columns)
+              .select(id_key("first.id").alias(key), F.col("first.fp").alias(fp)))
+    # fingerprints are made again beside the texts, which so need not be written
+    marked = with_fingerprint(docs, text, fp, shingle).withColumn(key, id_key(id_col))
+    return marked.join(chosen, [key, fp], "left_semi").dropDuplicates([key, fp]).select(*docs.columns)
