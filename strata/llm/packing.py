@@ -16,9 +16,8 @@ from __future__ import annotations
 import json
 import os
 import re
-import sys
+import struct
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,14 +31,25 @@ from pyspark.sql import types as T
 from .common import keep, text_of
 
 DIMS, BITS, FEATURES = 3, 16, 256
-MOST_WORDS, MOST_PARTS = 80_000, 100_000  # whose ids a Python worker remembers (up to twice as many)
+MOST_WORDS, MOST_PARTS = 40_000, 120_000  # whose ids a Python worker remembers (up to twice as many)
 LONG_WORD = 200  # longer words are not remembered
+STRETCH = 1 << 14  # characters of a text looked at together: bounds memory, not the text
 
 # Fixed values of the vocabulary's own format: how it splits a text, and the part of that
 # which can be said over lower-case ASCII and Latin-1 words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PART = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
-SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+SIMPLE = re.compile(r"[\n -~À-ÖØ-öø-ÿ]*")
+GAP = re.compile("[\n ]")
+
+
+def _stretches(text: str) -> Iterator[str]:
+    """``text`` in stretches that end at white space (which has no ids, and is left out)."""
+    at = 0
+    while len(text) - at > STRETCH and (gap := GAP.search(text, at + STRETCH)):
+        yield text[at:gap.start()]
+        at = gap.end()
+    yield text[at:] if at else text
 
 
 def _byte_letters() -> dict[int, int]:
@@ -70,10 +80,10 @@ class _Remembered(dict):
 
 
 class _Tokens:
-    """Token ids by word. White space separates tokens in these vocabularies, so the ids of
-    a text are those of its words, and most words of a corpus come again. A word of simple
+    """Token ids. White space separates tokens in these vocabularies, so the ids of a text
+    are those of its words, and most words of a corpus come again. A stretch of simple
     letters is made of its parts (letters, a digit, other signs), which come again still
-    more often, where the file splits words as SPLIT says."""
+    more often, where the file splits texts as SPLIT says."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -86,25 +96,28 @@ class _Tokens:
         lowers = [n.get("type") for n in (how.get("normalizer") or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
         self.by_part = lowers and first.get("pattern", {}).get("Regex") == SPLIT
         self.letters, self.code = _byte_letters(), "H" if self.kind.itemsize == 2 else "I"
+        self.model = self.of.model
         self.parts, self.words = _Remembered(self._part, MOST_PARTS), _Remembered(self._word, MOST_WORDS)
 
     def _packed(self, ids: list[int]) -> bytes:
-        out = array(self.code, ids)
-        if sys.byteorder == "big":
-            out.byteswap()
-        return out.tobytes()
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
     def _part(self, part: str) -> bytes:
         part = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
-        return self._packed([t.id for t in self.of.model.tokenize(part)])
+        return self._packed([t.id for t in self.model.tokenize(part)])
 
     def _word(self, word: str) -> bytes:
-        if self.by_part and SIMPLE.fullmatch(word) and "<|" not in word:
-            return b"".join(map(self.parts.__getitem__, PART.findall(word.lower())))
         return self._packed(self.of.encode(word, add_special_tokens=False).ids)
 
+    def _ids(self, stretch: str) -> bytes:
+        if self.by_part and SIMPLE.fullmatch(stretch) and "<|" not in stretch:
+            return b"".join(map(self.parts.__getitem__, PART.findall(stretch.lower())))
+        if GAP.search(stretch):  # only the words that are not simple need the whole tokenizer
+            return b"".join(map(self._ids, GAP.split(stretch)))
+        return self.words[stretch]
+
     def encode(self, text: str, end: int) -> bytes:
-        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" "))) + self._packed([end])
+        return b"".join(map(self._ids, _stretches(text))) + self._packed([end])
 
 
 def public_tokenizer(name: str = "word_bpe_49k.json") -> str:

@@ -127,6 +127,10 @@ def test_packing_odd_rows(spark, odd_docs, no_docs):
 @given(st.text(max_size=80) | st.text(alphabet=" \n\t\x0b\x1c\x85\u00a0\u0301\u0345aAÀÿß×÷µªΣς'srevmld1²<|>!.\x7f\xa0\xad", max_size=60))
 def test_ids_by_word_are_the_text_s(t):
     own = packing._tokens(TOKENIZER)
+    for text in ("It's  <|x|> don't\tstop 'S 're''ve", "İstanbul ǅ éte ÀÉ ß \x85 \x1c x\x00y", " \n ", "a" * 50000,
+                 "x " * 40000 + "あい <|endoftext|> tail", "\n".join(["1234 ab'll"] * 9000), "µ ª º ÷ × ¿¡"):
+        got = np.frombuffer(own.encode(text, 2), own.kind).tolist()
+        assert got == [*own.of.encode(text, add_special_tokens=False).ids, 2]
     assert own.by_part
     assert np.frombuffer(own.encode(t, 2), own.kind).tolist() == brute_ids({0: t})[0]
 
