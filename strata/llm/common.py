@@ -18,15 +18,27 @@ WORD = r"[^\x20\x09-\x0D]+"
 _SCOPES: list[list[str]] = []
 
 
+@contextmanager
+def kept_in(paths: list[str]) -> Iterator[None]:
+    """Adds to ``paths`` the tables that ``keep`` writes inside; their deletion is left to
+    the caller."""
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables that ``keep`` writes inside are deleted at the end. What comes out must have
     been written elsewhere (or kept outside) by then."""
-    _SCOPES.append([])
+    paths: list[str] = []
     try:
-        yield
+        with kept_in(paths):
+            yield
     finally:
-        for path in _SCOPES.pop():
+        for path in paths:
             delete(spark, path)
 
 

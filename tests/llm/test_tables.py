@@ -221,6 +221,8 @@ def test_pipeline_stages(spark):
     for name, stage in P.STAGES:
         steps[name] = (docs, keep(stage(spark, docs, SMALL), "test"))
         docs = steps[name][1]
+        places = {at for at, _ in P._OWN.kept}
+        assert places <= {len(steps) - 1}  # the tables of the stages before are gone
         assert name == P.STAGES[-1][0] or docs.columns == columns
     before, after = steps["quality_rules"]
     kept = {r.doc_id for r in rules.judge_quality(before, labels).where("kept").collect()}
