@@ -3,11 +3,13 @@
 Base: assignments to a secret-like name, cloud access keys and long hex runs.
 
 Method. Two first-order Markov chains over characters, one of random strings and one of
-ordinary identifiers, are counted from labelled samples: what the patterns catch in the
-corpus is labelled secret, the other identifiers of all documents ordinary (each distinct
-string once). A candidate is a long unbroken token outside the base spans; it is reported
-when its mean log-likelihood ratio a character (bits) is above ``margin`` and above what
-all but ``false_rate`` of the ordinary identifiers of that length reach.
+ordinary ones, are counted from labelled samples (each distinct string once): what the
+patterns catch in the corpus is labelled secret; ordinary are the unbroken tokens of all
+documents, outside the patterns, that are too short to be judged. A candidate is a token
+of ``min_chars`` or more outside the base spans; it is reported when its mean
+log-likelihood ratio a character (bits) is above ``margin`` and above what all but
+``false_rate`` of the ordinary strings reach, each half of them scored by the counts of the
+other. No string under judgment is a sample, so findings have no share as their limit.
 
 Size. Counting is a distinct and two grouped counts; the model is a table of the alphabet
 squared (some 4,600 numbers), which goes into the plan as a literal.
@@ -62,32 +64,42 @@ def _score(token: Column, ratios: tuple[float, ...]) -> Column:
 
 def train(samples: DataFrame, min_chars: int = 16, margin: float = 0.5, false_rate: float = 0.001) -> Model | None:
     """Model from ``samples(token, secret)``; each distinct token counts once, one that is
-    labelled both ways as secret. None without samples of both kinds."""
-    samples = keep(samples.where(F.length("token") > 1).groupBy("token").agg(F.max("secret").alias("secret")), "samples")
+    labelled both ways as secret. Each half of the ordinary tokens is scored by the
+    counts of the other half; of these scores, those of ``min_chars`` or more set the ratio
+    to exceed (where there are none, those of half that). None without samples of both kinds."""
+    samples = samples.where(F.length("token") > 1).groupBy("token").agg(F.max("secret").alias("secret"))
+    samples = keep(samples.withColumn("part", F.pmod(F.xxhash64("token"), F.lit(2)).cast("int")), "samples")
     step = F.explode(let(_chars(F.col("token")), lambda cs: F.transform(
         F.sequence(F.lit(0), F.size(cs) - 2), lambda i: F.get(cs, i) * SIDE + F.get(cs, i + 1))))
-    counts = samples.select("secret", step.alias("pair")).groupBy("secret", "pair").count().collect()  # alphabet squared, twice
-    seen = {True: [0.0] * SIDE * SIDE, False: [0.0] * SIDE * SIDE}
+    counts = samples.select("secret", "part", step.alias("pair")).groupBy("secret", "part", "pair").count().collect()  # alphabet squared, four times
+    seen = {(kind, part): [0.0] * SIDE * SIDE for kind in (True, False) for part in (0, 1)}
     for r in counts:
-        seen[r["secret"]][r["pair"]] = float(r["count"])
-    if not all(map(any, seen.values())):
+        seen[r["secret"], r["part"]][r["pair"]] = float(r["count"])
+    both = {kind: [x + y for x, y in zip(seen[kind, 0], seen[kind, 1])] for kind in (True, False)}
+    if not all(map(any, both.values())):
         return None
 
     def logs(n: list[float]) -> list[float]:
         rows = [sum(n[a * SIDE:(a + 1) * SIDE]) for a in range(SIDE)]
         return [math.log2((x + 1) / (rows[i // SIDE] + SIDE)) for i, x in enumerate(n)]
 
-    ratios = tuple(a - b for a, b in zip(logs(seen[True]), logs(seen[False])))
-    ordinary = samples.where(~F.col("secret") & (F.length("token") >= min_chars))
-    at = ordinary.agg(F.percentile_approx(_score(F.col("token"), ratios), 1 - false_rate, 10000)).first()[0]
+    ratios_to = lambda ordinary: tuple(a - b for a, b in zip(logs(both[True]), logs(ordinary)))
+    token = F.col("token")
+    unseen = F.when(F.col("part") == 0, _score(token, ratios_to(seen[False, 1]))).otherwise(_score(token, ratios_to(seen[False, 0])))
+    level = lambda least: F.percentile_approx(F.when(F.length(token) >= least, F.col("score")), 1 - false_rate, 10000)
+    at = (samples.where("NOT secret").select("token", unseen.alias("score"))
+          .agg(F.coalesce(level(min_chars), level(min_chars // 2))).first()[0])
+    ratios = ratios_to(both[False])
     return Model(ratios, max(margin, at if at is not None else margin))
 
 
-def _samples(docs: DataFrame, found: DataFrame) -> DataFrame:
+def _samples(docs: DataFrame, found: DataFrame, min_chars: int) -> DataFrame:
     value = lambda s: F.when(s["kind"] == 0, F.regexp_extract(s["m"], ASSIGN, 2)).otherwise(s["m"])
     secret = found.select(F.explode(F.transform("__base", value)).alias("token"), F.lit(True).alias("secret"))
-    ordinary = docs.select(F.explode(F.regexp_extract_all(
-        text_of("text"), F.lit(r"(?<![A-Za-z0-9_])[A-Za-z_][A-Za-z0-9_]{7,}"), F.lit(0))).alias("token"), F.lit(False).alias("secret"))
+    # tokens cut as the candidates are, from half their least length up to it
+    short = rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{min_chars // 2},{min_chars - 1}}}(?![A-Za-z0-9+/_-])"
+    rest = F.regexp_replace(text_of("text"), "|".join([ASSIGN, *(k.pattern for k in KINDS[1:])]), " ")
+    ordinary = docs.select(F.explode(F.regexp_extract_all(rest, F.lit(short), F.lit(0))).alias("token"), F.lit(False).alias("secret"))
     return secret.union(ordinary.distinct())
 
 
@@ -103,7 +115,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text", mi
     found = keep(d.select("id", "__base", F.when(
         t.rlike(loose), F.filter(matches(t, loose), lambda x: ~covers(F.col("__base"), x["start"], x["end"])))
         .otherwise(none).alias("__loose")), "secrets")
-    model = model or train(_samples(docs, found), min_chars, margin, false_rate)
+    model = model or train(_samples(docs, found, min_chars), min_chars, margin, false_rate)
     span = lambda s, kind: F.struct(s["start"].alias("start"), kind.alias("kind"), s["end"].alias("end"))
     base = F.transform("__base", lambda s: span(s, s["kind"]))
     if model:

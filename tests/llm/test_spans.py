@@ -167,3 +167,15 @@ def test_character_chains_tell_random_strings(spark):
     found = secret.find_secrets(spark.createDataFrame([(1, f"use {noise()} for get_user_name_list"), (2, "get_user_name_list")], "doc_id long, text string"), model=model)
     assert {r.doc_id: r.n_random for r in found.collect()} == {1: 1, 2: 0}
     assert secret.train(spark.createDataFrame(rows[:5], "token string, secret boolean")) is None
+
+
+def test_secrets_of_a_corpus_are_not_capped_by_themselves(spark, docs):
+    rnd = random.Random(8)
+    noise = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    own = sum(r.n_random for r in secret.find_secrets(docs).collect())
+    for planted in (20, 400):
+        more = [(10**7 + i, "use ghp_" + "".join(rnd.choices(noise, k=36)) + " to log in") for i in range(planted)]
+        both = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+        got = {r.doc_id: r.n_random for r in secret.find_secrets(both).collect()}
+        assert sum(got[i] for i, _ in more) >= 0.85 * planted
+        assert sum(n for i, n in got.items() if i < 10**7) <= own + 2
