@@ -3,7 +3,8 @@
 Method. The words of each source, its documents in a fixed pseudorandom order, are one
 stream cut into blocks of ``block`` words. Each output shard holds a number of slots for
 every source: the whole part of its expected share, and multinomial draws for the
-fractional rest. The slots of a source are numbered over the shards; number j of a source
+fractional rest (in turn one draw more or less a shard, so that over all shards they add
+up to it). The slots of a source are numbered over the shards; number j of a source
 with n blocks goes through that source's pseudorandom permutation of 0..n-1 for epoch
 j / n, and blocks are joined by that index. So a block is taken once an epoch, and never
 more often than ``most`` times (slots beyond are left out: the cap of the targets).
@@ -80,7 +81,7 @@ def _draws(s: DataFrame, block: int, shard_slots: int, most: int, seed: int) ->
     up_to = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, 0)
     s = keep(s.withColumn("hi", F.sum("rest").over(up_to)), "sources")
     rest, n = s.agg(F.max("hi"), F.count(F.lit(1))).first()
-    n_draws = round(rest or 0.0)
+    n_draws = round(shards * (rest or 0.0))
 
     # whole parts: shard h has slots h * whole ... of each source. Numbers are made in three
     # steps, dealt out after each to a set number of tasks: the few rows they start from
@@ -93,13 +94,15 @@ def _draws(s: DataFrame, block: int, shard_slots: int, most: int, seed: int) ->
     slots = rows.where("whole > 0").select("sid", "blocks", "shard", F.explode(F.sequence(
         F.col("shard") * F.col("whole"), (F.col("shard") + 1) * F.col("whole") - 1)).alias("j"))
     if n_draws:
-        # the rest: n_draws multinomial draws a shard, looked up in cells of the unit range
+        # the rest: n_draws multinomial draws, dealt evenly over the shards, looked up in cells of the unit range
         unit = lambda c: F.col(c) / F.lit(rest)
         cells = s.where("rest > 0").select(
             "sid", "blocks", (F.lit(shards) * F.col("whole")).alias("first"), (F.col("hi") - F.col("rest")).alias("lo"), "hi")
         cells = cells.withColumn("cell", F.explode(F.sequence(F.floor(unit("lo") * n), F.floor(unit("hi") * n))))
         u = F.pmod(F.xxhash64(F.lit(seed), "shard", "draw"), F.lit(1 << 53)) / float(1 << 53) * F.lit(rest)
-        drawn = (spark.range(shards).select(F.col("id").alias("shard"), F.explode(F.sequence(F.lit(1), F.lit(n_draws))).alias("draw"))
+        upto = lambda h: F.floor(h * F.lit(rest) + 0.5)
+        drawn = (spark.range(shards).select(F.col("id").alias("shard"), (upto(F.col("id") + 1) - upto(F.col("id"))).cast("int").alias("own"))
+                 .where("own > 0").select("shard", F.explode(F.sequence(F.lit(1), F.col("own"))).alias("draw"))
                  .withColumn("u", u).withColumn("cell", F.floor(unit("u") * n)))
         drawn = drawn.join(cells, "cell").where("u >= lo AND u < hi")
         number = F.row_number().over(Window.partitionBy("sid").orderBy("shard", "draw")) - 1

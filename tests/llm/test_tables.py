@@ -112,6 +112,17 @@ def test_targets_with_null_and_empty_sources(spark):
     assert [r.source for r in sorted(s, key=lambda r: r.sid)] == ["Z", "a", "b", "z", "é", None]
 
 
+@pytest.mark.parametrize("small", [150, 300, 700, 1200])
+def test_a_small_source_gets_its_share_over_many_shards(spark, small):
+    sizes = {"a": 64 * 30000, "b": 64 * 10000, "c": 64 * small}
+    s = mixing.sources(spark.createDataFrame(list(sizes.items()), "source string, size long"))
+    want = {r.sid: r.target / 64 for r in s.collect()}
+    got = {r.sid: r["count"] for r in mixing._draws(s, 64, 128, 2, 7).groupBy("sid").count().collect()}
+    assert max(r.shard for r in mixing._draws(s, 64, 128, 2, 7).select("shard").distinct().collect()) > 300
+    assert abs(sum(got.values()) - sum(want.values())) <= 0.01 * sum(want.values())
+    assert all(abs(got.get(i, 0) - w) <= max(4 * w ** 0.5, 2) for i, w in want.items())
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 17, 100, 1009])
 def test_permutations(spark, n):
     d = spark.range(n).withColumn("n", F.lit(n).cast("long"))
