@@ -3,10 +3,11 @@
 Method (path-template tree). A path is cut into segments; runs of digits and long hex
 strings inside a segment become placeholders. Down the tree of each host, a segment
 
-* that is rare among many siblings is variable and becomes the wildcard ``*``;
-* whose labelled pages are bad at a rate not significantly different from its siblings'
-  (two-proportion z-test; no labels: no difference) is merged with them under ``*``;
-* else stays a branch of its own.
+* whose labelled pages are bad at a rate significantly different from its siblings' stays
+  a branch of its own, however rare it is (two-proportion z-test; for one that is rare
+  among many siblings, where labels are few and tests many, the Chernoff bound of the
+  binomial tail, times the number of siblings);
+* else (no labels: no difference) is merged with its siblings under ``*``.
 
 The path of nodes is a URL's template. A template's purity is the smoothed share of good
 pages among its labelled ones; templates below ``purity`` are rejected.
@@ -18,6 +19,8 @@ the shuffle; AQE splits their joins.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,7 +73,13 @@ def templates(nodes: DataFrame, depth: int = 6, many: int = 20, rare: float = 0.
         apart = F.abs(F.col("bad") / a - (F.col("all_bad") - F.col("bad")) / b)
         differs = F.when((a > 0) & (b > 0), apart > z * F.sqrt(pooled * (1 - pooled) * (1 / a + 1 / b))).otherwise(False)
         variable = (F.col("kids") > many) & (F.col("n") < rare * F.col("all_n"))
-        node = F.when((F.col("kids") > 1) & (variable | ~differs), "*").otherwise(F.col("seg"))
+        # of labelled pages as bad as all of the node's, so many or more (or fewer) by chance
+        share = F.col("bad") / a
+        part = lambda x, q: F.when(x > 0, x * F.log(x / q)).otherwise(0.0)
+        chance = a * (part(share, F.col("all_bad") / (a + b)) + part(1 - share, F.col("all_good") / (a + b)))
+        certain = F.when((a > 0) & (b > 0), chance > F.log(F.col("kids") / F.lit(math.erfc(z / math.sqrt(2))))).otherwise(False)
+        own = F.when(variable, certain).otherwise(differs)
+        node = F.when((F.col("kids") > 1) & ~own, "*").otherwise(F.col("seg"))
         named = kids.join(all_kids, ["host", "template"]).select("host", "template", "seg", node.alias("node"))
         on = ["host", "template", "seg"]
         t = keep(t.withColumn("seg", F.coalesce(seg, F.lit(""))).join(named, on, "left")
