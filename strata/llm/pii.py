@@ -3,19 +3,21 @@
 Base: e-mail addresses, IP addresses, card and phone numbers, by pattern and check.
 
 Method (information-theoretic sanitisation). Every base match names a protected entity c.
-A term t found near c discloses it as far as the corpus says that seeing t makes c likely:
+A term t of a document that holds c discloses it as far as the corpus says that seeing t
+makes c likely:
 
     PMI(c, t) = log2(N * D(c, t) / (D(c) * D(t))),   IC(c) = log2(N / D(c)),
 
-with D counted over all N documents (D(c, t): t within ``context`` code points of c). The
-share PMI / IC is 1 when t says as much as c itself. In documents that hold c, terms near
-it with a share of ``generalise_at`` or more are generalised to a class of their shape, of
-``remove_at`` or more removed, wherever they stand in the document. A pair counts as
-evidence only when seen in ``min_texts`` different texts (copies are one observation).
+with D counted over all N documents, whole texts each. The share PMI / IC is 1 when t says
+as much as c itself. In documents that hold c, terms with a share of ``generalise_at`` or
+more are generalised to a class of their shape, of ``remove_at`` or more removed, wherever
+they stand. A pair counts as evidence only when seen in ``min_texts`` different texts
+(copies are one observation).
 
-Size. Pairs are bounded by the base matches and their contexts; entities and terms are
-joined on their keys, nothing is gathered by entity, and the documents' texts are not
-shuffled by the search (by the redaction only those of documents with candidates).
+Size. Entities of fewer texts than that are dropped before pairs are made; the others meet
+the distinct terms of their texts, each text once. Entities and terms are joined on their
+keys, nothing is gathered by entity, and the documents' texts are not shuffled by the
+search (by the redaction only those of documents with matches).
 """
 
 from __future__ import annotations
@@ -63,46 +65,35 @@ NAMES = [k.name for k in KINDS] + ["term"]
 LABELS = ["[EMAIL]", "[IP]", "[CARD]", "[PHONE]"]
 
 
-def _found(docs: DataFrame, text: str, context: int, carry: list[str]) -> DataFrame:
-    """``carry`` columns, ``key`` (of the text), ``base`` spans, ``pairs`` of entity and
-    near term, and the ``near`` terms' places in the whole text."""
+def _found(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
+    """``carry`` columns, ``key`` (of the text), ``base`` spans, ``ents`` (entities), and of
+    texts with any the ``near`` terms' places, outside the base."""
     t = text_of(text)
     d = docs.select(*carry, t.alias("__t")).withColumn("__base", find(F.col("__t"), KINDS))
     t, base = F.col("__t"), F.col("__base")
-
-    def terms_near(s: Column) -> Column:
-        left = F.regexp_extract_all(F.substring(t, F.greatest(s["start"] - context, F.lit(0)) + 1, F.least(s["start"], F.lit(context))),
-                                    F.lit(TERM), F.lit(0))
-        right = F.regexp_extract_all(F.substring(t, s["end"] + 1, F.lit(context)), F.lit(TERM), F.lit(0))
-        # the outermost term of a side may be cut
-        cut_l = F.when((s["start"] > context) & (F.size(left) > 0), F.slice(left, 2, F.size(left))).otherwise(left)
-        cut_r = let(right, lambda r: F.when(F.size(r) > 0, F.slice(r, 1, F.size(r) - 1)).otherwise(r))
-        return F.transform(F.concat(cut_l, cut_r), F.lower)
-
     entity = lambda s: F.xxhash64(s["kind"], F.when(s["kind"] >= 2, _digits(s["m"])).otherwise(F.lower(s["m"])))
-    pairs = F.array_distinct(F.flatten(F.transform(base, lambda s: let(entity(s), lambda c: F.transform(
-        terms_near(s), lambda w: F.struct(c.alias("c"), w.alias("t")))))))
-    no_pairs = F.expr("cast(array() as array<struct<c:bigint,t:string>>)")
-    d = (d.withColumn("__pairs", F.when(F.size(base) > 0, pairs).otherwise(no_pairs))
-         .withColumn("__terms", F.array_distinct(F.transform("__pairs", lambda p: p["t"]))))
     placed = F.transform(matches(t, TERM), lambda x: F.struct(
         F.lower(x["m"]).alias("t"), x["m"].alias("m"), x["start"].alias("start"), x["end"].alias("end")))
-    near = F.filter(placed, lambda x: F.array_contains("__terms", x["t"]) & ~covers(base, x["start"], x["end"]))
+    near = F.filter(placed, lambda x: ~covers(base, x["start"], x["end"]))
     none = F.expr("cast(array() as array<struct<t:string,m:string,start:int,end:int>>)")
     return d.select(
-        *carry, F.when(F.size("__pairs") > 0, F.md5("__t")).alias("__key"),
+        *carry, F.when(F.size("__base") > 0, F.md5("__t")).alias("__key"),
         F.transform("__base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("__base"),
-        "__pairs", F.when(F.size("__terms") > 0, near).otherwise(none).alias("__near"))
+        F.array_distinct(F.transform("__base", entity)).alias("__ents"), F.when(F.size("__base") > 0, near).otherwise(none).alias("__near"))
 
 
 def _disclosing(found: DataFrame, docs: DataFrame, text: str, generalise_at: float, min_texts: int) -> DataFrame:
     """``(key, hits)``: for each text with candidates its disclosing terms ``(t, share)``."""
-    pairs = (found.where(F.size("__pairs") > 0).select("__key", F.explode("__pairs").alias("p"))
-             .groupBy("__key", F.col("p.c").alias("c"), F.col("p.t").alias("t")).agg(F.count(F.lit(1)).alias("n")))
-    pairs = keep(pairs, "pairs")
+    held = found.where(F.size("__ents") > 0)
+    holds = keep(held.select("__key", F.explode("__ents").alias("c")).groupBy("__key", "c").agg(F.count(F.lit(1)).alias("n")), "entities")
+    entities = (holds.groupBy("c").agg(F.sum("n").alias("d_c"), F.count(F.lit(1)).alias("texts"))
+                .where(F.col("texts") >= min_texts).select("c", "d_c"))
+    holds = holds.join(entities.select("c"), "c", "left_semi")
+    said = (held.join(holds.select("__key").distinct(), "__key", "left_semi")
+            .select("__key", F.explode(F.array_distinct(F.transform("__near", lambda x: x["t"]))).alias("t")).distinct())
+    pairs = keep(holds.join(said, "__key"), "pairs")
     together = (pairs.groupBy("c", "t").agg(F.sum("n").alias("d_ct"), F.count(F.lit(1)).alias("texts"))
                 .where(F.col("texts") >= min_texts).select("c", "t", "d_ct"))
-    entities = pairs.groupBy("c", "__key").agg(F.max("n").alias("n")).groupBy("c").agg(F.sum("n").alias("d_c"))
     term = F.explode(F.array_distinct(F.split(F.lower(text_of(text)), r"[^\p{L}\p{N}]+", -1)))
     terms = docs.select(term.alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("d_t"))
     n = float(docs.count())
@@ -114,10 +105,10 @@ def _disclosing(found: DataFrame, docs: DataFrame, text: str, generalise_at: flo
     return hits.groupBy("__key").agg(F.collect_list(F.struct("t", "share")).alias("__hits"))
 
 
-def _spans(docs: DataFrame, text: str, carry: list[str], context: int, generalise_at: float, remove_at: float,
+def _spans(docs: DataFrame, text: str, carry: list[str], generalise_at: float, remove_at: float,
            min_texts: int) -> DataFrame:
     """``carry`` columns and ``__spans``: ``(kind, start, end, label)`` by kind, then start."""
-    found = keep(_found(docs, text, context, carry), "found")
+    found = keep(_found(docs, text, carry), "found")
     hits = _disclosing(found, docs, text, generalise_at, min_texts)
     base = F.transform("__base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
                                                     F.get(F.array(*map(F.lit, LABELS)), s["kind"]).alias("label")))
@@ -139,7 +130,7 @@ def _spans(docs: DataFrame, text: str, carry: list[str], context: int, generalis
     return clean.unionByName(rest)
 
 
-def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text: str = "text", context: int = 80,
+def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                        generalise_at: float = 0.8, remove_at: float = 0.95, min_texts: int = 3) -> DataFrame:
     """One row for each row of ``docs``: id, ``n_email, n_ip, n_card, n_phone, n_term``,
     ``base_sha256`` (of the base spans as written) and ``spans`` (base, then terms).
@@ -147,7 +138,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     A null text counts as empty and has no spans. Null ids and repeated rows are carried.
     Other columns are not read. An empty table gives an empty table.
     """
-    d = _spans(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")), "text", ["id"], context,
+    d = _spans(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")), "text", ["id"],
                generalise_at, remove_at, min_texts)
     count = lambda k: F.size(F.filter("__spans", lambda s: s["kind"] == k)).cast("long")
     return d.select(
@@ -175,10 +166,10 @@ def _redacted(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) == 0, text).otherwise(let(merged, joined))
 
 
-def redact(docs: DataFrame, text: str = "text", context: int = 80, generalise_at: float = 0.8,
+def redact(docs: DataFrame, text: str = "text", generalise_at: float = 0.8,
            remove_at: float = 0.95, min_texts: int = 3) -> DataFrame:
     """``docs`` with base matches and disclosing terms replaced in ``text``. Rows and
     columns stay; a null text stays null."""
-    d = _spans(docs, text, docs.columns, context, generalise_at, remove_at, min_texts)
+    d = _spans(docs, text, docs.columns, generalise_at, remove_at, min_texts)
     new = F.when(F.col(text).isNotNull(), _redacted(F.col(text), F.col("__spans")))
     return d.select(*[new.alias(c) if c == text else F.col(c) for c in docs.columns])
