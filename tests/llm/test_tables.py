@@ -58,7 +58,7 @@ def test_templates_find_the_bad_branch(spark):
 
 def test_a_bad_section_among_many_stays_a_branch(spark):
     secs = ["casino", *(a + b for a in "bcdfghklmn" for b in ("alpha", "beta", "gamma", "delta", "epsilon", "zeta"))]
-    rows = [(s * 1000 + i, f"http://h.example/{secs[s]}/p{'abcdefghij'[i % 10]}") for s in range(61) for i in range(500 if s == 0 else 200)]
+    rows = [(s * 1000 + i, f"http://h.example/{secs[s]}/p{'abcdefghij'[i % 10]}") for s in range(61) for i in range(500 if s == 0 else 600)]
     bad = [(i, int(i < 498 or i % 100 == 7)) for i, _ in rows if i % 2 == 0 or i < 500]
     out = urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(bad, "id long, bad int"), [])
     by = {(r.path.split("/")[1] == "casino", r.verdict) for r in out.collect()}
