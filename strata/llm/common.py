@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -15,18 +16,23 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-_SCOPES: list[list[str]] = []
+_OF_THREAD = threading.local()  # scopes: lists of paths, the innermost last
+
+
+def _scopes() -> list[list[str]]:
+    return _OF_THREAD.__dict__.setdefault("scopes", [])
 
 
 @contextmanager
 def kept_in(paths: list[str]) -> Iterator[None]:
     """Adds to ``paths`` the tables that ``keep`` writes inside; their deletion is left to
     the caller."""
-    _SCOPES.append(paths)
+    scopes = _scopes()
+    scopes.append(paths)
     try:
         yield
     finally:
-        _SCOPES.pop()
+        scopes.pop()
 
 
 @contextmanager
@@ -42,6 +48,15 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             delete(spark, path)
 
 
+def new_path(spark: SparkSession, tag: str) -> str:
+    """A new path in the session's shared folder, deleted when this thread's enclosing
+    ``scratch`` ends."""
+    path = new_scratch(spark, f"llm-{tag}")
+    if scopes := _scopes():
+        scopes[-1].append(path)
+    return path
+
+
 def keep(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet under the session's shared folder and read it back.
 
@@ -50,10 +65,8 @@ def keep(df: DataFrame, tag: str) -> DataFrame:
     The table stays there until the enclosing ``scratch`` ends; without one, until the
     caller clears the folder (results that are still lazy read it).
     """
-    path = new_scratch(df.sparkSession, f"llm-{tag}")
+    path = new_path(df.sparkSession, tag)
     df.write.parquet(path)
-    if _SCOPES:
-        _SCOPES[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, mixing, packing, pii, rules, secret, simhash, topk, urls, warc
+from . import chat, langid, mixing, packing, phrases, pii, rules, secret, simhash, topk, urls, warc, whitening
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,6 +128,57 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
 
 
+@_query()
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32, scale=64.0, offset=1_000_000)
+
+
+@_query()
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(4))
+    return langid.identify(table(spark, sf_dir, "documents"), learn_from=part != 2)
+
+
+@_query(r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ 	]+'), lambda x: x <> '') AS w FROM p
+), g AS (
+  SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM w
+), h AS (
+  SELECT lang, w[i:i + k - 1] AS w, k FROM g, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE i + k - 1 <= len(w)
+), f AS (
+  SELECT lang, array_to_string(w, ' ') AS phrase, any_value(w) AS w, any_value(k) AS k, count(*) AS f FROM h GROUP BY 1, 2
+), n AS (
+  SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang
+), c AS (
+  SELECT * FROM f WHERE k >= 2 AND f >= 100
+), inside AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(f) AS cover
+  FROM c, (SELECT unnest([1, 2, 3, 4]) AS i), (SELECT unnest([2, 3, 4]) AS m) WHERE m < k AND i + m - 1 <= k GROUP BY 1, 2
+), own AS (
+  SELECT c.* FROM c LEFT JOIN inside USING (lang, phrase) WHERE cover IS NULL OR 100 * cover < 100 * f
+), cut AS (
+  SELECT o.lang, o.phrase, o.f AS a, x.f AS l, y.f AS r, n.n, j,
+         CAST(1000 * CAST(o.f AS HUGEINT) * CAST(n.n AS HUGEINT) // (CAST(x.f AS HUGEINT) * CAST(y.f AS HUGEINT)) AS BIGINT) AS score
+  FROM own o, (SELECT unnest([1, 2, 3, 4]) AS j), f x, f y, n
+  WHERE j < o.k AND n.lang = o.lang AND x.lang = o.lang AND y.lang = o.lang
+    AND x.phrase = array_to_string(o.w[1:j], ' ') AND y.phrase = array_to_string(o.w[j + 1:], ' ')
+), low AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+       CAST(n AS BIGINT) AS n, score
+FROM low QUALIFY rank <= 2000
+""")
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=100, top=2000)
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
