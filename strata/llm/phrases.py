@@ -16,6 +16,7 @@ not occur. Counts stay in tables; the driver sees the filters alone.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -59,6 +60,13 @@ class Filters:
         self.all = np.zeros((LONGEST, 1 << (bits - 3)), np.uint8)
         self.new = np.zeros_like(self.all)
 
+    def __getstate__(self) -> tuple:  # sent with every task's code: few bits are set in small ones
+        return self.bits, *(zlib.compress(x.tobytes(), 1) for x in (self.all, self.new))
+
+    def __setstate__(self, state: tuple) -> None:
+        self.bits = state[0]
+        self.all, self.new = (np.frombuffer(zlib.decompress(x), np.uint8).reshape(LONGEST, -1) for x in state[1:])
+
     def has(self, which: np.ndarray, length: int, h: np.ndarray) -> np.ndarray:
         at = h >> np.uint64(64 - self.bits)
         return (which[length][(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
