@@ -12,6 +12,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder that are not hidden, none if there is no such folder."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(n for n in names if not n.startswith(".") and n != "_SUCCESS")
+
+
 def mkdirs(spark: SparkSession, path: str) -> None:
     """Create ``path`` (and parents) if missing."""
     jvm = spark.sparkContext._jvm

@@ -8,20 +8,24 @@ only the buckets its keys fall in and overwrites just those. The merge is associ
 idempotent, so replays and arrival order do not change the result. Deleted keys stay as
 tombstones (``_deleted``), so a late, older event cannot bring a deleted key back.
 
-Type 2 stores the change rows themselves, appended once a batch: nothing written before is
-touched, however small or late the batch. ``valid_to`` is the next sequence value of the
-key, derived when the table is read; a delete closes the open version and opens none.
+Type 2 is kept by ``operators.history``: versions with their ends, in runs by key bucket. A
+batch touches the open versions of its buckets, a late change besides the one run that holds
+the version it splits; a delete closes the open version and opens none.
 
-Folders of a batch (change log, type 2 rows, quarantined rows) appear by one rename after
-they are complete; a replayed batch that finds its folder leaves it as it is.
+Folders of a batch (change log, quarantined rows) appear by one rename after they are
+complete; a replayed batch that finds its folder leaves it as it is.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..fs import delete, exists, move
+from .history import HistoryStore
 from .sequence import latest_per_key, next_in_order
 
 DELETED, TRUNCATE, BUCKET, SRC, OP, BATCH = "_deleted", "_truncate", "_bucket", "_src", "_op", "_batch"
@@ -148,6 +152,8 @@ class ChangeApplier:
         self.truncates = f"{path}/truncate"
         self.quarantined = f"{path}/quarantine"
         self.staging = f"{path}/_staging"
+        self.path = path
+        self.applied = 0  # changes that batches of this applier brought about
 
     # -- storage ----------------------------------------------------------------
     def _read(self, path: str, schema=None) -> DataFrame | None:
@@ -176,32 +182,54 @@ class ChangeApplier:
         df.hint("rebalance").write.mode("overwrite").parquet(stage)
         move(self.spark, stage, target)
 
+    def history(self, columns: T.StructType | None = None) -> HistoryStore | None:
+        """The store of a type 2 target; its columns are kept beside it by the first batch."""
+        kept = f"{self.path}/columns"
+        if columns is None:
+            if not exists(self.spark, kept):
+                return None
+            columns = T.StructType.fromJson(json.loads(self.spark.read.text(kept).first()[0]))
+        elif not exists(self.spark, kept):
+            stage = f"{self.staging}/columns"
+            self.spark.createDataFrame([(columns.json(),)], "v string").coalesce(1).write.mode("overwrite").text(stage)
+            move(self.spark, stage, kept)
+        order = self.spec.sequence + (self.spec.tie if self.spec.tie is not None else [
+            c for c in columns.fieldNames() if c not in self.spec.keys + self.spec.sequence])
+        return HistoryStore(self.spark, self.path, self.spec.keys, order, columns, self.buckets)
+
     def read(self) -> DataFrame | None:
         """Current target: live rows (type 1) or versions (type 2), internal columns dropped."""
-        df = self._read(self.data)
-        if df is None:
-            return None
         if self.scd_type == 2:
-            return versions(df, self.spec, [c for c in df.columns if c not in (DELETED, BATCH)])
-        return df.where(~F.col(DELETED)).drop(DELETED, BUCKET)
+            store = self.history()
+            return store and store.versions(VALID_FROM, VALID_TO)
+        df = self._read(self.data)
+        return df if df is None else df.where(~F.col(DELETED)).drop(DELETED, BUCKET)
+
+    def read_current(self) -> DataFrame | None:
+        """Live rows: those of a type 1 target, the open versions of a type 2 target."""
+        if self.scd_type == 1:
+            return self.read()
+        store = self.history()
+        return store and store.current(VALID_FROM, VALID_TO)
 
     def read_changes(self) -> DataFrame | None:
         """The change log: stored for type 1, derived from the change rows for type 2."""
         if self.scd_type == 1:
             return self._read(self.changes)
-        df = self._read(self.data)
-        return df if df is None else version_changes(df, self.spec, [c for c in df.columns if c not in (DELETED, BATCH)])
+        store = self.history()
+        return store and version_changes(store.events(), self.spec, store.columns.fieldNames())
 
     def read_quarantine(self) -> DataFrame | None:
         """Change rows without a key or sequence value."""
         return self._read(self.quarantined)
 
     def compact(self) -> None:
-        """Rewrite the buckets of a type 1 target into few files. Streams read the change
-        log, which stays as it is."""
+        """Rewrite the buckets of a type 1 target into few files, merge the runs of a type 2
+        target. Streams read the change log, which stays as it is."""
         if self.scd_type == 2:
-            raise ValueError("a type 2 target is its change rows; there is nothing to merge")
-        if (df := self._read(self.data)) is not None:
+            if store := self.history():
+                store.compact()
+        elif (df := self._read(self.data)) is not None:
             stage = f"{self.staging}/data"
             self._overwrite(df, stage, BUCKET)
             self._overwrite(self._read(stage), self.data, BUCKET)
@@ -221,8 +249,10 @@ class ChangeApplier:
                 self._merge_scd1(ev, batch_id)
             else:
                 cols = self.spec.user_columns(ev)
-                order = self.spec.order(ev.select(*cols))
-                self._once(ev.select(*cols, DELETED).dropDuplicates(self.spec.keys + order), self.data, batch_id)
+                store = self.history(T.StructType([ev.schema[c] for c in cols]))
+                before = store.size()
+                store.apply(ev.select(*cols, DELETED), batch_id)
+                self.applied += store.size() - before
         finally:
             batch.unpersist()
 
@@ -237,12 +267,16 @@ class ChangeApplier:
         stored_point = None
         if spec.truncate_when:
             t = self._read(self.truncates)
-            stored_point = tuple(t.first()) if t is not None and t.take(1) else None
+            top = None if t is None else t.agg(F.max(F.struct(*order)).alias("t")).first()["t"]
+            stored_point = None if top is None else tuple(top)
             batch_point = _truncate_point(ev, order)
             points = [p for p in (stored_point, batch_point) if p is not None]
-            point = max(points) if points else None
+            point = max(points, key=lambda p: [(v is not None, v) for v in p]) if points else None  # NULL comes first
         else:
             point = batch_point = None
+        if batch_point is not None:
+            # kept before the rows change, one folder a batch: a crash leaves no time without it
+            self._once(self.spark.createDataFrame([batch_point], ev.select(*order).schema), self.truncates, batch_id)
         ups = ev.where(~F.col(TRUNCATE)).select(*cols, DELETED)
         if point is not None:
             ups = ups.where(_after(order, point))
@@ -276,9 +310,7 @@ class ChangeApplier:
             changes = g.select(*[F.col("new")[c].alias(c) for c in cols], op.alias(OP)).where(F.col(OP).isNotNull())
             # the log comes first, whole and once: a replay finds the data half merged
             self._once(changes.drop(BATCH), self.changes, batch_id)
+            self.applied += self.spark.read.parquet(f"{self.changes}/{BATCH}={batch_id}").count()  # from the files' footers
             self._overwrite(g.select("new.*"), self.data, BUCKET)
         finally:
             g.unpersist()
-        if batch_point is not None and batch_point != stored_point:
-            (self.spark.createDataFrame([point], ev.select(*order).schema)
-             .write.mode("overwrite").parquet(self.truncates))

@@ -1,40 +1,77 @@
 """Per-key ordered operators that stay balanced when one key holds a large share of rows.
 
 ``Window.partitionBy(key)`` sends every row of a key to one task. Here the rows of a key
-are cut into blocks by the leading order column itself (a day, a width of numbers, a text
-prefix): a block works locally, and only its outermost row takes its value from the next
-block of the key that has rows (a small aggregate). Nothing is sampled or collected, and
-the block of a row depends on the row alone.
+are cut into blocks by the leading order column itself: a block works locally, and only its
+outermost row takes its value from the next block of the key that has rows (a small
+aggregate). How wide blocks are is measured (one aggregate: count, ends and quantiles), so
+that no block is much above ``rows`` rows however the values are spread; the block of a row
+depends on its value alone.
 """
 
 from __future__ import annotations
 
+import os.path
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+CELLS = 64  # quantiles; inside each, blocks of equal width
+ROWS = 200_000  # rows a block is to hold
 
-def block_of(df: DataFrame, column: str, width: float = 1_000_000, prefix: int = 8) -> Column:
-    """Block of a row: grows with ``column``. Times by day, numbers by ``width``, texts by
-    their first ``prefix`` characters; any other type is one block."""
-    t, c = df.schema[column].dataType, F.col(column)
+
+def _number(t: T.DataType, c: Column) -> Column | None:
+    """A number that grows with ``c``, None for types without one."""
     if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_trunc("day", c)
-    if isinstance(t, T.NumericType):
-        return F.floor(c / F.lit(width))
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(t, T.DateType):
+        return F.unix_date(c).cast("double")
+    return c.cast("double") if isinstance(t, T.NumericType) else None
+
+
+def block_of(df: DataFrame, column: str, rows: int = ROWS) -> Column:
+    """Block of a row, an expression on ``column`` that grows with it (null comes first).
+
+    Measured on ``df``, valid for any value. Times, dates and numbers: quantiles, and equal
+    widths between them. Texts: the eight characters behind what all of them begin with.
+    Values of other types, and up to ``rows`` rows, are one block."""
+    t, c = df.schema[column].dataType, F.col(column)
+    x = _number(t, c)
+    if x is not None:
+        at = [k / CELLS for k in range(CELLS + 1)]
+        m = df.agg(F.count(c).alias("n"), F.percentile_approx(x, at, 4 * CELLS).alias("q")).first()
+        if m["n"] <= rows:
+            return F.lit(0)
+        q, parts = m["q"], -(-m["n"] // (rows * CELLS))
+        cuts = F.array(*map(F.lit, q))
+
+        def block(v: Column) -> Column:
+            cell = F.greatest(F.lit(1), F.least(F.lit(CELLS), F.size(F.filter(cuts, lambda k: k <= v))))
+            lo, hi = F.element_at(cuts, cell), F.element_at(cuts, cell + 1)
+            part = F.when(hi > lo, F.floor((v - lo) / (hi - lo) * parts)).otherwise(F.lit(0))
+            return cell * parts + F.greatest(F.lit(0), F.least(F.lit(parts - 1), part))
+
+        return F.when(x.isNull(), F.lit(-1)).otherwise(block(x)).cast("long")
     if isinstance(t, T.StringType):
-        return F.substring(c, 1, prefix)
-    return c if isinstance(t, T.DateType) else F.lit(0)
+        m = df.agg(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).first()
+        if m["n"] <= rows:
+            return F.lit(0)
+        same = len(os.path.commonprefix([m["lo"], m["hi"]]))
+        # values outside the measured ends keep their place beside those inside
+        inside = c.between(F.lit(m["lo"]), F.lit(m["hi"]))
+        return F.when(c < F.lit(m["lo"]), F.lit("")).when(inside, F.concat(F.lit("m"), F.substring(c, same + 1, 8))).when(c > F.lit(m["hi"]), F.lit("z"))
+    return F.lit(0)
 
 
-def next_in_order(df: DataFrame, keys, order, value: str, out: str, back: bool = False) -> DataFrame:
+def next_in_order(df: DataFrame, keys, order, value: str, out: str, back: bool = False, block: Column | None = None) -> DataFrame:
     """``lead(value) OVER (PARTITION BY keys ORDER BY order)`` (``back``: ``lag``), computed
     skew-safe.
 
-    ``order`` must be a total order within a key (add a tie-break column)."""
+    ``order`` must be a total order within a key (add a tie-break column). ``block``: one
+    measured before (``block_of``); else ``df`` is read once to measure it."""
     keys, order = list(keys), list(order)
     b = "__strata_block"
-    d = df.withColumn(b, block_of(df, order[0]))
+    d = df.withColumn(b, block_of(df, order[0]) if block is None else block)
     near = F.lag if back else F.lead
     at_edge = (F.max_by if back else F.min_by)(F.struct(F.col(value).alias("v")), F.struct(*order))
     local = d.withColumn(out, near(F.struct(F.col(value).alias("v"))).over(Window.partitionBy(*keys, b).orderBy(*order)))

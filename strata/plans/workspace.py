@@ -243,6 +243,15 @@ class Workspace:
             df = self.spark.read.parquet(path)
         return df.select(*i.struct().fieldNames())
 
+    def read_current(self, name: str) -> DataFrame:
+        """Live rows of a change target: of a type 2 target the open versions only, read
+        without its history."""
+        i = self.catalog[name]
+        if i.kind != "cdc":
+            return self.read(name)
+        df = self._applier(i).read_current()
+        return self.spark.createDataFrame([], i.struct()) if df is None else df.select(*i.struct().fieldNames())
+
     def read_stream(self, name: str, into: str | None = None, **options) -> DataFrame:
         """New rows since the reading query's last commit (``STREAM(LIVE.t)``).
 
@@ -476,9 +485,9 @@ class Workspace:
                  .option("checkpointLocation", self.checkpoint_path(target, "apply_changes"))
                  .queryName(f"{target}.apply_changes.{uuid.uuid4().hex[:6]}"))
             q = start(self.spark, w, self._continuous, i.properties.get(TRIGGER_INTERVAL))
-            # rows of the target, not of the feed
+            # what the run changed in the target, counted batch by batch
             return self._drive(target, "apply_changes", q, lambda res: self._record_flow(
-                i, "apply_changes", False, res, (), {"out": self.read(target).count()}))
+                i, "apply_changes", False, res, (), {"out": applier.applied}))
 
     # -- streaming aggregates ------------------------------------------------------------
     def aggregate_table(self, name: str, df: DataFrame, output_mode: str, keys=(), comment: str | None = None,
@@ -503,7 +512,7 @@ class Workspace:
 
                 def upsert(batch: DataFrame, batch_id: int) -> None:
                     applier(batch.withColumn(cdc_ops.BATCH, F.lit(batch_id).cast("long")), batch_id)
-                fn, ckpt_flow = upsert, "update"
+                fn, ckpt_flow, written = upsert, "update", lambda: applier.applied
             elif output_mode == "complete":
                 keyed = df
                 i = self._declare(name, "mv", comment, properties)
@@ -514,14 +523,16 @@ class Workspace:
                     path = f"{self.root}/tables/{name}/g{i.generation}v{i.version + 1}"
                     batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
                     i.version += 1
-                fn, ckpt_flow = overwrite, "complete"
+                    counts["out"] = self.spark.read.parquet(path).count()  # from the files' footers
+                counts: dict = {}
+                fn, ckpt_flow, written = overwrite, "complete", lambda: counts.get("out", 0)
             else:
                 raise ValueError(f"unknown output mode {output_mode}")
             w = (keyed.writeStream.outputMode(output_mode).foreachBatch(fn)
                  .option("checkpointLocation", self.checkpoint_path(name, ckpt_flow))
                  .queryName(f"{name}.{ckpt_flow}.{uuid.uuid4().hex[:6]}"))
             q = start(self.spark, w, self._continuous, i.properties.get(TRIGGER_INTERVAL))
-            return self._drive(name, name, q, lambda res: self._record_flow(i, name, False, res, (), {"out": self.read(name).count()}))
+            return self._drive(name, name, q, lambda res: self._record_flow(i, name, False, res, (), {"out": written()}))
 
     # -- maintenance ---------------------------------------------------------------------
     def _arranged(self, i: TableInfo, df: DataFrame, path: str) -> None:
