@@ -2,30 +2,37 @@
 
 Base: e-mail addresses, IP addresses, card and phone numbers, by pattern and check.
 
-Method (information-theoretic sanitisation). Every base match names a protected entity c.
-A term t of a document that holds c discloses it as far as the corpus says that seeing t
-makes c likely:
-
-    PMI(c, t) = log2(N * D(c, t) / (D(c) * D(t))),   IC(c) = log2(N / D(c)),
-
-with D counted over all N documents, whole texts each. The share PMI / IC is 1 when t says
-as much as c itself. In documents that hold c, terms with a share of ``generalise_at`` or
-more are generalised to a class of their shape, of ``remove_at`` or more removed, wherever
-they stand. A pair counts as evidence only when seen in ``min_texts`` different texts
-(copies are one observation).
-
-Size. Entities of fewer texts than that are dropped before pairs are made; the others meet
-the distinct terms of their texts, each text once. Entities and terms are joined on their
-keys, nothing is gathered by entity, and the documents' texts are not shuffled by the
-search (by the redaction only those of documents with matches).
+Method (information-theoretic sanitisation). Every base match names protected entities c: the
+match itself and what it belongs to (mail domain, network, card issuer, number without its
+last four digits), and the name parts of a mail address. A term t of a text that holds c
+discloses it as far as the corpus says that seeing t makes c likely:
+
+    share = log2(P(c | t) / P(c)) / log2(1 / P(c)),
+    P(c) = D(c) / N,  P(c | t) = (D(c, t) + P(c)) / (D(t) + 1),
+
+with D counted over the N different texts, whole texts each (copies are one observation).
+The share nears 1 when t says as much as c itself. In texts that hold c, terms with a share
+of ``generalise_at`` or more are generalised to a class of their shape, of ``remove_at`` or
+more removed, wherever they stand. A pair counts only when its coincidence is significant:
+under independence, D(c, t) of D(t) texts has a chance below 2 ** -(D(t) * KL(D(c, t) / D(t),
+P(c))) (Chernoff), and that, times the number of pairs looked at, must stay below ``error``.
+A term that is itself a name part of an address in the same text was not searched for among
+all pairs; such pairs are a family of their own, so a name in a single text can count.
+
+Size. Classes that no term could be significant for are dropped before pairs are made; the
+others meet the distinct terms of their texts, different texts only, and are added up inside
+each task. Of all documents only terms that may still pass are counted. Terms and classes
+are held by their 64-bit hashes, texts only for documents with a match.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, let, text_of
+from .common import free_name, keep, let, text_of
 from .spans import Kind, covers, find, matches, written
 
 # A run of local characters starts a match only where no such character (or the end of the
@@ -65,86 +72,116 @@ NAMES = [k.name for k in KINDS] + ["term"]
 LABELS = ["[EMAIL]", "[IP]", "[CARD]", "[PHONE]"]
 
 
+def _term(m: Column) -> Column:
+    return F.xxhash64(F.lower(m))
+
+
 def _found(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
-    """``carry`` columns, ``key`` (of the text), ``base`` spans, ``ents`` (entities), and of
-    texts with any the ``near`` terms' places, outside the base."""
-    t = text_of(text)
-    d = docs.select(*carry, t.alias("__t")).withColumn("__base", find(F.col("__t"), KINDS))
-    t, base = F.col("__t"), F.col("__base")
-    entity = lambda s: F.xxhash64(s["kind"], F.when(s["kind"] >= 2, _digits(s["m"])).otherwise(F.lower(s["m"])))
-    placed = F.transform(matches(t, TERM), lambda x: F.struct(
-        F.lower(x["m"]).alias("t"), x["m"].alias("m"), x["start"].alias("start"), x["end"].alias("end")))
-    near = F.filter(placed, lambda x: ~covers(base, x["start"], x["end"]))
-    none = F.expr("cast(array() as array<struct<t:string,m:string,start:int,end:int>>)")
-    return d.select(
-        *carry, F.when(F.size("__base") > 0, F.md5("__t")).alias("__key"),
-        F.transform("__base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("__base"),
-        F.array_distinct(F.transform("__base", entity)).alias("__ents"), F.when(F.size("__base") > 0, near).otherwise(none).alias("__near"))
-
-
-def _disclosing(found: DataFrame, docs: DataFrame, text: str, generalise_at: float, min_texts: int) -> DataFrame:
-    """``(key, hits)``: for each text with candidates its disclosing terms ``(t, share)``."""
-    held = found.where(F.size("__ents") > 0)
-    holds = keep(held.select("__key", F.explode("__ents").alias("c")).groupBy("__key", "c").agg(F.count(F.lit(1)).alias("n")), "entities")
-    entities = (holds.groupBy("c").agg(F.sum("n").alias("d_c"), F.count(F.lit(1)).alias("texts"))
-                .where(F.col("texts") >= min_texts).select("c", "d_c"))
-    holds = holds.join(entities.select("c"), "c", "left_semi")
-    said = (held.join(holds.select("__key").distinct(), "__key", "left_semi")
-            .select("__key", F.explode(F.array_distinct(F.transform("__near", lambda x: x["t"]))).alias("t")).distinct())
-    pairs = keep(holds.join(said, "__key"), "pairs")
-    together = (pairs.groupBy("c", "t").agg(F.sum("n").alias("d_ct"), F.count(F.lit(1)).alias("texts"))
-                .where(F.col("texts") >= min_texts).select("c", "t", "d_ct"))
-    term = F.explode(F.array_distinct(F.split(F.lower(text_of(text)), r"[^\p{L}\p{N}]+", -1)))
-    terms = docs.select(term.alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("d_t"))
-    n = float(docs.count())
-    rated = (together.join(entities, "c").join(terms, "t")
-             .withColumn("d_t", F.greatest("d_t", "d_ct")).where(F.col("d_c") < n)
-             .withColumn("share", F.log2(n * F.col("d_ct") / (F.col("d_c") * F.col("d_t"))) / F.log2(n / F.col("d_c")))
-             .where(F.col("share") >= generalise_at).select("c", "t", "share"))
-    hits = pairs.join(rated, ["c", "t"]).groupBy("__key", "t").agg(F.max("share").alias("share"))
-    return hits.groupBy("__key").agg(F.collect_list(F.struct("t", "share")).alias("__hits"))
-
-
-def _spans(docs: DataFrame, text: str, carry: list[str], generalise_at: float, remove_at: float,
-           min_texts: int) -> DataFrame:
-    """``carry`` columns and ``__spans``: ``(kind, start, end, label)`` by kind, then start."""
+    """``row`` (the ``carry`` columns), ``base`` spans, and of texts with any ``key`` and ``t``
+    (the text)."""
+    row = F.struct(*[F.col(f"`{c}`").alias(c) for c in carry])
+    d = docs.select(row.alias("row"), text_of(F.col(f"`{text}`")).alias("t")).withColumn("base", find(F.col("t"), KINDS))
+    some = F.size("base") > 0
+    return d.select("row", "base", F.when(some, F.md5("t")).alias("key"), F.when(some, F.col("t")).alias("t"))
+
+
+def _entities(s: Column) -> Column:
+    """The match, and what it belongs to."""
+    low, digits = F.lower(s["m"]), _digits(s["m"])
+    whole = F.when(s["kind"] >= 2, digits).otherwise(low)
+    wider = (F.when(s["kind"] == 0, F.substring_index(low, "@", -1)).when(s["kind"] == 1, F.regexp_extract(low, r"^[0-9]+\.[0-9]+", 0))
+             .when(s["kind"] == 2, F.substring(digits, 1, 6)).otherwise(F.substring(digits, F.lit(1), F.length(digits) - 4)))
+    return F.array(F.xxhash64(s["kind"], F.lit(0), whole), F.xxhash64(s["kind"], F.lit(1), wider))
+
+
+def _held(found: DataFrame) -> DataFrame:
+    """Of each different text with a match: its ``classes`` (entities), the ``terms`` outside
+    the base, the name ``parts`` of its addresses."""
+    base = F.col("base")
+    near = F.filter(matches(F.col("t"), TERM), lambda x: ~covers(base, x["start"], x["end"]))
+    names = F.flatten(F.transform(F.filter(base, lambda s: s["kind"] == 0), lambda s: F.filter(
+        F.split(F.substring_index(s["m"], "@", 1), r"[^\p{L}]+"), lambda x: F.length(x) > 1)))
+    one = found.where("key IS NOT NULL").dropDuplicates(["key"])
+    return keep(one.select("key", F.array_distinct(F.flatten(F.transform(base, _entities))).alias("classes"),
+                           F.array_distinct(F.transform(near, lambda x: _term(x["m"]))).alias("terms"),
+                           F.array_distinct(F.transform(names, _term)).alias("parts")), "held")
+
+
+def _disclosing(held: DataFrame, docs: DataFrame, text: str, generalise_at: float, error: float) -> DataFrame:
+    """``(key, hits)``: for each text its disclosing terms ``(t, share)``."""
+    t = text_of(F.col(f"`{text}`"))
+    n = docs.select(F.md5(t).alias("key")).distinct().count()
+    own = held.select("key", F.explode(F.array_intersect("parts", "terms")).alias("t"))
+    sums = held.agg(F.sum(F.size("classes").cast("long") * F.size("terms")).alias("pairs"),
+                    F.sum(F.size(F.array_intersect("parts", "terms"))).alias("own")).first()
+    # bits of surprise that a pair needs, of those looked at in its family
+    need, need_own = (math.log2(max(sums[c] or 0, 1) / error) for c in ("pairs", "own"))
+    ic = -F.log2(F.col("d_c") / n)
+    counted = lambda df, least: df.groupBy("c").agg(F.count(F.lit(1)).alias("d_c")).where((F.col("d_c") < n) & (F.col("d_c") * ic >= least))
+    classes = keep(counted(held.select(F.explode("classes").alias("c")), need), "classes")
+    names = counted(held.select(F.explode("parts").alias("c")), need_own)
+    said = held.select("key", F.explode("classes").alias("c"), "terms").join(classes.select("c"), "c", "left_semi")
+    said = said.select("key", "c", F.explode("terms").alias("t"))
+    # no pair is more surprising than if all texts with t held c
+    pairs = (said.groupBy("c", "t").agg(F.count(F.lit(1)).alias("d_ct")).join(classes, "c").where(F.col("d_ct") * ic >= need)
+             .withColumn("need", F.lit(need)).withColumn("own", F.lit(False)))
+    literal = (own.groupBy("t").agg(F.count(F.lit(1)).alias("d_ct")).withColumn("c", F.col("t")).join(names, "c").where(F.col("d_ct") * ic >= need_own)
+               .withColumn("need", F.lit(need_own)).withColumn("own", F.lit(True)))
+    pairs = keep(pairs.unionByName(literal), "pairs")
+    every = F.array_distinct(F.transform(F.split(t, r"[^\p{L}\p{N}]+", -1), _term))
+    terms = (docs.select(F.md5(t).alias("key"), F.explode(every).alias("t")).join(pairs.select("t").distinct(), "t", "left_semi")
+             .distinct().groupBy("t").agg(F.count(F.lit(1)).alias("d_t")))
+    p, q = F.col("d_c") / n, F.col("d_ct") / F.col("d_t")
+    surprise = F.col("d_t") * (q * F.log2(q / p) + F.when(q < 1, (1 - q) * F.log2((1 - q) / (1 - p))).otherwise(F.lit(0.0)))
+    share = F.log2((F.col("d_ct") + p) / (F.col("d_t") + 1) / p) / ic
+    rated = keep(pairs.join(terms, "t").where((q > p) & (surprise >= F.col("need"))).withColumn("share", share)
+                 .where(F.col("share") >= generalise_at).select("c", "t", "share", "own"), "rated")
+    hits = (said.join(rated.where("NOT own").select("c", "t", "share"), ["c", "t"]).select("key", "t", "share")
+            .unionByName(own.join(rated.where("own").select("t", "share"), "t").select("key", "t", "share")))
+    hits = hits.groupBy("key", "t").agg(F.max("share").alias("share"))
+    return hits.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("t", "share"))).alias("hits"))
+
+
+def _spans(docs: DataFrame, text: str, carry: list[str], generalise_at: float, remove_at: float, error: float) -> DataFrame:
+    """``row`` (the ``carry`` columns) and ``spans``: ``(kind, start, end, label)`` by kind,
+    then start."""
     found = keep(_found(docs, text, carry), "found")
-    hits = _disclosing(found, docs, text, generalise_at, min_texts)
-    base = F.transform("__base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
-                                                    F.get(F.array(*map(F.lit, LABELS)), s["kind"]).alias("label")))
+    hits = _disclosing(_held(found), docs, text, generalise_at, error)
+    base = F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
+                                                  F.get(F.array(*map(F.lit, LABELS)), s["kind"]).alias("label")))
 
     def shape(m: Column) -> Column:
         return (F.when(m.rlike(r"^\p{N}+$"), "[NUMBER]").when(m.rlike(r"^\p{Lu}"), "[NAME]").otherwise("[WORD]"))
 
     def term(x: Column) -> Column:
-        share = F.aggregate("__hits", F.lit(None).cast("double"),
-                            lambda s, h: F.when(h["t"] == x["t"], h["share"]).otherwise(s))
+        share = let(_term(x["m"]), lambda h: F.get(F.filter("hits", lambda k: k["t"] == h), F.lit(0))["share"])
         return let(share, lambda s: F.struct(
             F.when(s.isNotNull(), len(KINDS)).alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
             F.when(s >= remove_at, "").otherwise(shape(x["m"])).alias("label")))
 
-    more = F.filter(F.transform("__near", term), lambda s: s["kind"].isNotNull())
-    clean = found.where(F.size("__near") == 0).select(*carry, base.alias("__spans"))
-    rest = (found.where(F.size("__near") > 0).join(hits, "__key", "left")
-            .select(*carry, F.when(F.col("__hits").isNull(), base).otherwise(F.concat(base, more)).alias("__spans")))
+    placed = F.filter(matches(F.col("t"), TERM), lambda x: ~covers(F.col("base"), x["start"], x["end"]))
+    more = F.filter(F.transform(placed, term), lambda s: s["kind"].isNotNull())
+    clean = found.where("key IS NULL").select("row", base.alias("spans"))
+    rest = (found.where("key IS NOT NULL").join(hits, "key", "left")
+            .select("row", F.when(F.col("hits").isNull(), base).otherwise(F.concat(base, more)).alias("spans")))
     return clean.unionByName(rest)
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
-                       generalise_at: float = 0.8, remove_at: float = 0.95, min_texts: int = 3) -> DataFrame:
+                       generalise_at: float = 0.8, remove_at: float = 0.95, error: float = 0.05) -> DataFrame:
     """One row for each row of ``docs``: id, ``n_email, n_ip, n_card, n_phone, n_term``,
     ``base_sha256`` (of the base spans as written) and ``spans`` (base, then terms).
 
-    A null text counts as empty and has no spans. Null ids and repeated rows are carried.
-    Other columns are not read. An empty table gives an empty table.
+    A null text counts as empty and has no spans. Null ids and repeated rows are carried (a
+    repeated text is one observation of its terms). Other columns are not read. An empty
+    table gives an empty table.
     """
-    d = _spans(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")), "text", ["id"],
-               generalise_at, remove_at, min_texts)
-    count = lambda k: F.size(F.filter("__spans", lambda s: s["kind"] == k)).cast("long")
+    d = _spans(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")), "text", ["id"], generalise_at, remove_at, error)
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
     return d.select(
-        F.col("id").alias(id_col), *[count(i).alias(f"n_{k}") for i, k in enumerate(NAMES)],
-        F.sha2(written(F.filter("__spans", lambda s: s["kind"] < len(KINDS)), NAMES), 256).alias("base_sha256"),
-        written(F.col("__spans"), NAMES).alias("spans"))
+        F.col("row.id").alias(id_col), *[count(i).alias(f"n_{k}") for i, k in enumerate(NAMES)],
+        F.sha2(written(F.filter("spans", lambda s: s["kind"] < len(KINDS)), NAMES), 256).alias("base_sha256"),
+        written(F.col("spans"), NAMES).alias("spans"))
 
 
 def _redacted(text: Column, spans: Column) -> Column:
@@ -166,10 +203,13 @@ def _redacted(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) == 0, text).otherwise(let(merged, joined))
 
 
-def redact(docs: DataFrame, text: str = "text", generalise_at: float = 0.8,
-           remove_at: float = 0.95, min_texts: int = 3) -> DataFrame:
-    """``docs`` with base matches and disclosing terms replaced in ``text``. Rows and
-    columns stay; a null text stays null."""
-    d = _spans(docs, text, docs.columns, generalise_at, remove_at, min_texts)
-    new = F.when(F.col(text).isNotNull(), _redacted(F.col(text), F.col("__spans")))
-    return d.select(*[new.alias(c) if c == text else F.col(c) for c in docs.columns])
+def redact(docs: DataFrame, text: str = "text", generalise_at: float = 0.8, remove_at: float = 0.95,
+           error: float = 0.05) -> DataFrame:
+    """``docs`` with base matches and disclosing terms replaced in ``text``. Rows and columns
+    stay, whatever the columns are called; a null text stays null, an empty one empty,
+    repeated rows are treated alike. An empty table gives an empty table."""
+    d = _spans(docs, text, docs.columns, generalise_at, remove_at, error)
+    row = free_name(docs, "row")
+    own, d = F.col(row)[text], d.withColumnRenamed("row", row)
+    new = F.when(own.isNotNull(), _redacted(own.cast("string"), F.col("spans")))
+    return d.select(*[new.alias(c) if c == text else F.col(row)[c].alias(c) for c in docs.columns])
