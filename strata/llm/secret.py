@@ -7,9 +7,11 @@ ordinary ones, are counted from labelled samples (each distinct string once): wh
 patterns catch in the corpus is labelled secret; ordinary are the unbroken tokens of all
 documents, outside the patterns, that are too short to be judged. A candidate is a token
 of ``min_chars`` or more outside the base spans; it is reported when its mean
-log-likelihood ratio a character (bits) is above ``margin`` and above what all but
-``false_rate`` of the ordinary strings reach, each half of them scored by the counts of the
-other. No string under judgment is a sample, so findings have no share as their limit.
+log-likelihood ratio a character (bits) is above a threshold learned from the samples, each
+half of them scored by the counts of the other: what all but ``false_rate`` of the ordinary
+strings stay below, and where the samples lie apart, the middle between that and what all
+but ``false_rate`` of the secrets exceed. No string under judgment is a sample, so findings
+have no share as their limit.
 
 Size. Counting is a distinct and two grouped counts; the model is a table of the alphabet
 squared (some 4,600 numbers), which goes into the plan as a literal.
@@ -62,11 +64,11 @@ def _score(token: Column, ratios: tuple[float, ...]) -> Column:
     return F.when(F.length(token) > 1, let(_chars(token), pairs))
 
 
-def train(samples: DataFrame, min_chars: int = 16, margin: float = 0.5, false_rate: float = 0.001) -> Model | None:
+def train(samples: DataFrame, min_chars: int = 16, false_rate: float = 0.001) -> Model | None:
     """Model from ``samples(token, secret)``; each distinct token counts once, one that is
-    labelled both ways as secret. Each half of the ordinary tokens is scored by the
-    counts of the other half; of these scores, those of ``min_chars`` or more set the ratio
-    to exceed (where there are none, those of half that). None without samples of both kinds."""
+    labelled both ways as secret. Each half of the tokens is scored by the counts of the
+    other half; of these scores, those of ``min_chars`` or more set the ratio to exceed
+    (where a kind has none, those of half that, then any). None without samples of both kinds."""
     samples = samples.where(F.length("token") > 1).groupBy("token").agg(F.max("secret").alias("secret"))
     samples = keep(samples.withColumn("part", F.pmod(F.xxhash64("token"), F.lit(2)).cast("int")), "samples")
     step = F.explode(let(_chars(F.col("token")), lambda cs: F.transform(
@@ -83,14 +85,18 @@ def train(samples: DataFrame, min_chars: int = 16, margin: float = 0.5, false_ra
         rows = [sum(n[a * SIDE:(a + 1) * SIDE]) for a in range(SIDE)]
         return [math.log2((x + 1) / (rows[i // SIDE] + SIDE)) for i, x in enumerate(n)]
 
-    ratios_to = lambda ordinary: tuple(a - b for a, b in zip(logs(both[True]), logs(ordinary)))
+    ratios_of = lambda part: tuple(a - b for a, b in zip(logs(seen[True, part]), logs(seen[False, part])))
     token = F.col("token")
-    unseen = F.when(F.col("part") == 0, _score(token, ratios_to(seen[False, 1]))).otherwise(_score(token, ratios_to(seen[False, 0])))
-    level = lambda least: F.percentile_approx(F.when(F.length(token) >= least, F.col("score")), 1 - false_rate, 10000)
-    at = (samples.where("NOT secret").select("token", unseen.alias("score"))
-          .agg(F.coalesce(level(min_chars), level(min_chars // 2))).first()[0])
-    ratios = ratios_to(both[False])
-    return Model(ratios, max(margin, at if at is not None else margin))
+    unseen = F.when(F.col("part") == 0, _score(token, ratios_of(1))).otherwise(_score(token, ratios_of(0)))
+    scored = samples.select("secret", F.length(token).alias("size"), unseen.alias("score"))
+
+    def level(secret: bool, at: float) -> Column:
+        of = lambda least: F.percentile_approx(F.when((F.col("secret") == secret) & (F.col("size") >= least), F.col("score")), at, 10000)
+        return F.coalesce(of(min_chars), of(min_chars // 2), of(0))
+
+    top, low = scored.agg(level(False, 1 - false_rate), level(True, false_rate)).first()
+    ratios = tuple(a - b for a, b in zip(logs(both[True]), logs(both[False])))
+    return Model(ratios, max(top, (top + low) / 2))
 
 
 def _samples(docs: DataFrame, found: DataFrame, min_chars: int) -> DataFrame:
@@ -104,7 +110,7 @@ def _samples(docs: DataFrame, found: DataFrame, min_chars: int) -> DataFrame:
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_chars: int = 16,
-                 margin: float = 0.5, false_rate: float = 0.001, model: Model | None = None) -> DataFrame:
+                 false_rate: float = 0.001, model: Model | None = None) -> DataFrame:
     """``id`` and ``spans``: ``(start, kind, end)`` by start, then kind. ``model``: one
     trained before; else it is trained on these documents."""
     docs = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
@@ -115,7 +121,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text", mi
     found = keep(d.select("id", "__base", F.when(
         t.rlike(loose), F.filter(matches(t, loose), lambda x: ~covers(F.col("__base"), x["start"], x["end"])))
         .otherwise(none).alias("__loose")), "secrets")
-    model = model or train(_samples(docs, found, min_chars), min_chars, margin, false_rate)
+    model = model or train(_samples(docs, found, min_chars), min_chars, false_rate)
     span = lambda s, kind: F.struct(s["start"].alias("start"), kind.alias("kind"), s["end"].alias("end"))
     base = F.transform("__base", lambda s: span(s, s["kind"]))
     if model:
