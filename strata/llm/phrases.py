@@ -2,39 +2,45 @@
 
 Method. The corpus lies in ``shards`` that are scanned in turn, over and over. Words are
 counted from the first scan on. As soon as both parts of a phrase (without its last, without
-its first word) have reached the threshold in what was counted so far, the phrase is active:
-it is counted from the next scan on, beside the shorter ones, until each shard has been
-scanned once with it. Scans end when nothing active is left. Counts are kept by shard, so a
-phrase that is counted twice in a shard has the same number there, not a double one.
-
-Size. A scan sends on only windows whose parts are active, added up inside each task. Which
-are active is told to the tasks by bit filters of fixed size: a false yes costs a row, never a
-result, because only windows counted in every shard can reach the threshold; a false no does
-not occur. Counts stay in tables; the driver sees the filters alone.
+its first word) have reached the threshold, the phrase is active: it is counted from the next
+scan on, beside the shorter ones, until each shard has been scanned once with it. Scans end
+when nothing active is left. A part has reached the threshold when it has its share of it,
+``least / shards``, in the shard just scanned: whatever reaches ``least`` in all has its
+share in some shard, so no phrase is missed, and no scan waits for counts of the others.
+
+Size. A scan sends on only windows whose parts are active, added up inside each task, as a
+96-bit hash and a number. Which are active is told to the tasks by two bit filters of fixed
+size: a false yes costs a row, never a result (the phrase's count comes out right or stays
+below the threshold); a false no does not occur. A phrase counted twice in a shard has the
+same number there. Words come back for the frequent phrases at the end, by one more look at
+as few shards as hold them. Counts stay in tables; the driver sees the filters alone.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
+from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..fs import delete
 from .common import keep, new_path, text_of
 
 LONGEST = 5
-TOKENS = 1 << 20  # words a task counts together
+TOKENS = 1 << 18  # words a task looks at together
+ROWS = 1 << 20  # counts a task holds before it adds them up
 END = b"."  # between pieces; no word holds it
 # every piece delimiter becomes END; A-Z become a-z, tab a space
 _BYTES = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\tABCDEFGHIJKLMNOPQRSTUVWXYZ", b"." * 10 + b" abcdefghijklmnopqrstuvwxyz")
-PRIME = np.uint64(0x9E3779B97F4A7C15)
+STEP = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))  # odd numbers, one a hash
+COUNTS = "h1 long, h2 int, n long"  # the last three bits of h2: words in the phrase
 
 
 def tokens(text: str) -> list[bytes]:
@@ -42,168 +48,264 @@ def tokens(text: str) -> list[bytes]:
     return text.encode("utf-8", "replace").translate(_BYTES).replace(b".", b" . ").split()
 
 
-def _mixed(h: np.ndarray, lang: int) -> np.ndarray:
-    h = (h ^ np.uint64(lang)) * PRIME
-    return (h ^ (h >> np.uint64(32))) * PRIME
+def _hash(words: list[bytes], seed: int) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
-def _hash(words: list[bytes]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+def _mixed(h: np.ndarray, lang: str, seed: int) -> np.ndarray:
+    h = (h ^ np.uint64(xxhash.xxh64_intdigest(lang.encode(), seed + 2))) * STEP[seed]
+    return (h ^ (h >> np.uint64(32))) * STEP[seed]
 
 
-class Filters:
-    """Two bit sets a length: phrases that have reached the threshold, and those that did so
-    within the last cycle."""
+class Bits:
+    """A set of hashes as a bit set; it may hold others too."""
 
-    def __init__(self, bits: int):
-        self.bits = bits
-        self.all = np.zeros((LONGEST, 1 << (bits - 3)), np.uint8)
-        self.new = np.zeros_like(self.all)
+    def __init__(self, bits: int, data: np.ndarray | None = None):
+        self.bits, self.data = bits, np.zeros(1 << (bits - 3), np.uint8) if data is None else data
 
     def __getstate__(self) -> tuple:  # sent with every task's code: few bits are set in small ones
-        return self.bits, *(zlib.compress(x.tobytes(), 1) for x in (self.all, self.new))
+        return self.bits, zlib.compress(self.data.tobytes(), 1)
 
     def __setstate__(self, state: tuple) -> None:
-        self.bits = state[0]
-        self.all, self.new = (np.frombuffer(zlib.decompress(x), np.uint8).reshape(LONGEST, -1) for x in state[1:])
+        self.bits, self.data = state[0], np.frombuffer(zlib.decompress(state[1]), np.uint8)
 
-    def has(self, which: np.ndarray, length: int, h: np.ndarray) -> np.ndarray:
+    def __or__(self, other: Bits) -> Bits:
+        return Bits(self.bits, self.data | other.data)
+
+    def has(self, h: np.ndarray) -> np.ndarray:
         at = h >> np.uint64(64 - self.bits)
-        return (which[length][(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        return (self.data[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
+    @staticmethod
+    def of(rows: DataFrame, bits: int) -> Bits:
+        """The hashes ``h1`` of ``rows``; bits are joined by word before they come here."""
+        slot = F.shiftrightunsigned("h1", 64 - bits)
+        got = (rows.groupBy(F.shiftrightunsigned(slot, 6).alias("word"))
+               .agg(F.expr(f"bit_or(shiftleft(1L, CAST(shiftrightunsigned(h1, {64 - bits}) & 63 AS INT)))").alias("bits")).toArrow())
+        out = Bits(bits)
+        out.data.view("<u8")[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
+        return out
 
-def _filters(reached: DataFrame, since: int, bits: int) -> Filters:
-    """From ``reached(lang, phrase, tick)``; the bits are set in the tasks and joined by word."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            words = [p.encode().split(b" ") for p in b.column(1).to_pylist()]
-            h, length = np.zeros(len(words), np.uint64), np.array([len(w) for w in words], np.int32)
-            for k in range(LONGEST):
-                on = np.flatnonzero(length > k)
-                h[on] = h[on] * PRIME + _hash([words[i][k] for i in on])
-            lang = _hash([x.encode() for x in b.column(0).to_pylist()])
-            at = ((h ^ lang) * PRIME)
-            at = ((at ^ (at >> np.uint64(32))) * PRIME) >> np.uint64(64 - bits)
-            yield pa.RecordBatch.from_pydict({"length": pa.array(length), "new": pa.array(b.column(2).to_numpy() >= since), "word": pa.array((at >> np.uint64(6)).astype(np.int64)),
-                                              "bits": pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))})
-
-    rows = (reached.select("lang", "phrase", "tick").mapInArrow(run, "length int, new boolean, word long, bits long").groupBy("length", "word")
-            .agg(F.bit_or("bits").alias("all"), F.coalesce(F.bit_or(F.when(F.col("new"), F.col("bits"))), F.lit(0).cast("long")).alias("new")).toArrow())
-    out = Filters(bits)
-    length, word = rows.column("length").to_numpy(), rows.column("word").to_numpy()
-    for name in ("all", "new"):
-        getattr(out, name).view("<u8")[length, word] = rows.column(name).to_numpy().view(np.uint64)
-    return out
-
-
-class _Counter:
-    """Counts the words and active windows of one language's tokens."""
-
-    def __init__(self, filters: Filters, words: bool):
-        self.filters, self.words = filters, words
-
-    def __call__(self, lang: str, toks: list[bytes]) -> Iterator[tuple[bytes, int, int]]:
+class _Windows:
+    """The hashes of the windows of one language's tokens."""
+
+    def __init__(self, lang: str, toks: list[bytes]):
         number: defaultdict[bytes, int] = defaultdict()
         number.default_factory = number.__len__
         number[END]  # 0
-        ids = np.fromiter(map(number.__getitem__, toks), np.int64, len(toks))
-        names = list(number)
-        if self.words:
-            counts = np.bincount(ids, minlength=1)[1:].tolist()
-            yield b"", 0, sum(counts)
-            yield from ((names[i], 1, c) for i, c in enumerate(counts, 1))
-        f, own = self.filters, xxhash.xxh64_intdigest(lang.encode())
-        if not f.new.any():
-            return
-        word = _hash(names)
-        h, whole = np.zeros(len(ids), np.uint64), np.ones(len(ids), bool)
-        for n in range(1, LONGEST):  # windows of n words tell which of n + 1 are active
-            m = len(ids) - n
+        self.lang, self.ids = lang, np.fromiter(map(number.__getitem__, toks), np.int64, len(toks))
+        self.names = list(number)
+        self.word = [_hash(self.names, seed) for seed in (0, 1)]
+        self.words = int((self.ids != 0).sum())
+
+    def by_length(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, Callable[[np.ndarray], np.ndarray]]]:
+        """``(n, whole, h1, h2)`` for windows of 1 to 5 words: is it inside a piece, its first
+        hash, and a function for the second one at some places."""
+        raw = [np.zeros(len(self.ids), np.uint64) for _ in (0, 1)]
+        whole = np.ones(len(self.ids), bool)
+        for n in range(1, LONGEST + 1):
+            m = len(self.ids) - n + 1
             if m <= 0:
                 return
-            h = h[: m + 1] * PRIME + word[ids[n - 1 :]]
-            whole = whole[: m + 1] & (ids[n - 1 :] != 0)
-            mixed = _mixed(h, own)
-            old, new = whole & f.has(f.all, n, mixed), f.has(f.new, n, mixed)
-            at = np.flatnonzero(old[:-1] & old[1:] & (new[:-1] | new[1:]))
-            if not len(at):
-                continue
-            # one number for each different window: pairs of (number so far, next word)
-            code = ids[at]
-            for k in range(1, n + 1):
-                code = np.unique(code * len(names) + ids[at + k], return_inverse=True)[1]
-            first, counts = np.unique(code, return_index=True, return_counts=True)[1:]
-            for i, c in zip(at[first].tolist(), counts.tolist()):
-                yield b" ".join(names[w] for w in ids[i : i + n + 1]), n + 1, c
-
-
-def _scan(docs: DataFrame, filters: Filters, words: bool) -> DataFrame:
-    """``(lang, phrase, words, n)`` of one shard: words (and under no phrase how many), and
-    windows whose parts are active."""
+            last = self.ids[n - 1 :]
+            raw = [h[:m] * STEP[k] + self.word[k][last] for k, h in enumerate(raw)]
+            whole = whole[:m] & (last != 0)
+
+            def second(at: np.ndarray, raw=raw, n=n) -> np.ndarray:
+                return ((_mixed(raw[1][at], self.lang, 1) >> np.uint64(32)).astype(np.uint32) & np.uint32(0xFFFFFFF8) | np.uint32(n)).view(np.int32)
+
+            yield n, whole, _mixed(raw[0], self.lang, 0), second
+
+    def all(self) -> tuple[np.ndarray, np.ndarray]:
+        """The hash that the number of all words is counted under."""
+        none = np.zeros(1, np.uint64)
+        return _mixed(none, self.lang, 0), (_mixed(none, self.lang, 1) >> np.uint64(32)).astype(np.uint32).view(np.int32) & np.int32(-8)
+
+    def phrase(self, at: int, n: int) -> bytes:
+        return b" ".join(self.names[w] for w in self.ids[at : at + n])
+
+
+def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[_Windows]:
+    """The rows ``(lang, text)`` of a task, about ``TOKENS`` words of a language at a time."""
+    held: defaultdict[str, list[bytes]] = defaultdict(list)
+    size = 0
+    for b in batches:
+        for i in range(b.num_rows):
+            lang, toks = b.column(0)[i].as_py(), tokens(b.column(1)[i].as_py())
+            held[lang] += toks
+            held[lang].append(END)
+            size += len(toks) + 1
+            while size > TOKENS:  # the longest first; what is left is small
+                most = max(held, key=lambda x: len(held[x]))
+                size -= len(held[most])
+                yield _Windows(most, held.pop(most))
+    for lang in list(held):
+        yield _Windows(lang, held.pop(lang))
+
+
+class _Sums:
+    """Counts by hash, added up whenever there are many."""
+
+    def __init__(self):
+        self.held, self.size = [], 0
+
+    def add(self, h1: np.ndarray, h2: np.ndarray, n: np.ndarray | None = None) -> None:
+        self.held.append((h1, h2, np.ones(len(h1), np.int64) if n is None else n))
+        self.size += len(h1)
+
+    def close(self) -> None:
+        """One row a hash."""
+        h1, h2, n = (np.concatenate(x) for x in zip(*self.held))
+        order = np.lexsort((h2, h1))
+        h1, h2 = h1[order], h2[order]
+        first = np.flatnonzero(np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])))
+        self.held = [(h1[first], h2[first], np.add.reduceat(n[order], first))]
+        self.size = len(first)
+
+    def batch(self) -> pa.RecordBatch:
+        h1, h2, n = self.held[0]
+        self.held, self.size = [], 0
+        return pa.RecordBatch.from_pydict({"h1": pa.array(h1.view(np.int64)), "h2": pa.array(h2), "n": pa.array(n)})
+
+
+def _scan(docs: DataFrame, known: Bits, recent: Bits, words: bool) -> DataFrame:
+    """Counts of one shard: of words, and of windows both of whose parts are known, one of
+    them only recently (a cycle ago at most)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, held = _Counter(filters, words), defaultdict(list)
+        sums, some = _Sums(), recent.data.any()
+        for w in _by_language(batches):
+            if words:
+                sums.add(*w.all(), np.array([w.words]))
+            before = None
+            for n, whole, h1, second in w.by_length():
+                at = np.flatnonzero(whole) if n == 1 and words else np.zeros(0, np.int64)
+                if n > 1:
+                    old, new = before
+                    at = np.flatnonzero(old[:-1] & old[1:] & (new[:-1] | new[1:]) & whole)
+                if len(at):
+                    sums.add(h1[at], second(at))
+                if not some:
+                    break
+                old = whole & known.has(h1)
+                before = old, old & recent.has(h1)
+                if not old.any():
+                    break
+            if sums.size > ROWS:
+                sums.close()
+                if sums.size > ROWS // 2:
+                    yield sums.batch()
+        if sums.size:
+            sums.close()
+            yield sums.batch()
+
+    return docs.mapInArrow(run, COUNTS).groupBy("h1", "h2").agg(F.sum("n").alias("n"))
+
+
+def _chosen(counts: DataFrame, chosen: Bits) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(chosen.has(b.column(0).to_numpy().view(np.uint64))))
 
-        def send(lang: str) -> pa.RecordBatch:
-            rows = list(count(lang, held.pop(lang)))
-            return pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(rows), pa.string()), "phrase": pa.array([p.decode() for p, _, _ in rows], pa.string()),
-                                               "words": pa.array([k for _, k, _ in rows], pa.int32()), "n": pa.array([c for _, _, c in rows], pa.int64())})
+    return counts.mapInArrow(run, counts.schema)
 
-        size = 0
-        for b in batches:
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                toks = tokens(text)
-                held[lang] += toks
-                held[lang].append(END)
-                size += len(toks) + 1
-                while size > TOKENS:  # the longest first; what is left is small
-                    most = max(held, key=lambda x: len(held[x]))
-                    size -= len(held[most])
-                    yield send(most)
-        for lang in list(held):
-            yield send(lang)
-
-    return docs.select("lang", "text").mapInArrow(run, "lang string, phrase string, words int, n long").groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
-
-
-def count_phrases(docs: DataFrame, least: int, shards: int = 4, bits: int = 23) -> DataFrame:
+
+def _spelled(docs: DataFrame, frequent: Bits, wanted: Bits) -> DataFrame:
+    """``(h1, h2, lang, phrase)`` of frequent windows that may be wanted, each once a task (and
+    the empty phrase, for the number of all words)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for w in _by_language(batches):
+            h, g, text, ends = array("q"), array("i"), array("b"), array("i", [0])
+
+            def put(h1: int, h2: int, phrase: bytes) -> None:
+                h.append(h1)
+                g.append(h2)
+                text.frombytes(phrase)
+                ends.append(len(text))
+
+            none = w.all()
+            put(int(none[0].view(np.int64)[0]), int(none[1][0]), b"")
+            before = None
+            for n, whole, h1, second in w.by_length():
+                often = whole & frequent.has(h1)
+                if before is not None:  # parts of a frequent phrase are frequent
+                    often &= before[:-1] & before[1:]
+                before, at = often, np.flatnonzero(often & wanted.has(h1))
+                at = at[np.unique(h1[at], return_index=True)[1]]
+                at = at[[x not in seen for x in h1[at].tolist()]] if len(at) else at
+                seen.update(h1[at].tolist())
+                for i, x, y in zip(at.tolist(), h1[at].view(np.int64).tolist(), second(at).tolist()):
+                    put(x, y, w.phrase(i, n))
+            yield pa.RecordBatch.from_pydict({"h1": pa.array(np.frombuffer(h, np.int64)), "h2": pa.array(np.frombuffer(g, np.int32)), "lang": pa.repeat(pa.scalar(w.lang), len(h)),
+                                              "phrase": pa.StringArray.from_buffers(len(h), pa.py_buffer(ends), pa.py_buffer(text))})
+
+    return docs.mapInArrow(run, "h1 long, h2 int, lang string, phrase string").dropDuplicates(["h1", "h2"])
+
+
+def _written(spark: SparkSession, df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    path = new_path(spark, tag)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def count_phrases(docs: DataFrame, least: int, shards: int = 4, bits: int = 24) -> DataFrame:
     """``(lang, phrase, words, n)``: every phrase of 1 to 5 words of ``docs(lang, text)`` that
-    occurs ``least`` times or more, and for each language the number of all words under the
-    empty phrase (0 words)."""
-    spark = docs.sparkSession
-    shelf, counted = new_path(spark, "shards"), None
-    rows = docs.select("lang", "text")
-    rows.withColumn("shard", F.pmod(F.xxhash64("text", F.rand(seed=3)), F.lit(shards))).write.partitionBy("shard").parquet(shelf)
+    occurs ``least`` times or more, and for each language of that many words the number of
+    all words under the empty phrase (0 words)."""
+    spark, gone = docs.sparkSession, []
+    shelf = new_path(spark, "shards")
+    rows = docs.select("lang", "text").withColumn("shard", F.pmod(F.xxhash64("text", F.rand(seed=3)), F.lit(shards)))
+    rows.write.partitionBy("shard").parquet(shelf)
     kept = spark.read.schema("lang string, text string, shard int").parquet(shelf)
-    cols = [f"c{s}" for s in range(shards)]
-    total = sum((F.coalesce(c, F.lit(0)) for c in cols[1:]), F.coalesce(cols[0], F.lit(0)))
-    known, filters, tick = None, Filters(bits), 0
-    while tick < shards or filters.new.any():
-        own = tick % shards
-        now = _scan(kept.where(F.col("shard") == own), filters, words=tick < shards)
-        rows = now.select("lang", "phrase", "words", *((F.col("n") if s == own else F.lit(None).cast("long")).alias(c) for s, c in enumerate(cols)), F.lit(None).cast("int").alias("tick"))
-        if known is not None:
-            rows = known.unionByName(rows)
-        rows = rows.groupBy("lang", "phrase", "words").agg(*(F.max(c).alias(c) for c in cols), F.min("tick").alias("tick"))
-        path, before = new_path(spark, "counts"), counted
-        rows.withColumn("tick", F.coalesce("tick", F.when(total >= least, F.lit(tick)))).write.parquet(path)
-        known, counted = spark.read.schema(rows.schema).parquet(path), path
-        if before:
-            delete(spark, before)
-        filters = _filters(known.where(f"tick IS NOT NULL AND words BETWEEN 1 AND {LONGEST - 1}"), tick + 1 - shards, bits)
-        tick += 1
-    out = keep(known.select("lang", "phrase", "words", total.alias("n")).where((F.col("words") == 0) | (F.col("n") >= least)), "phrases")
-    for path in (shelf, counted):
+    shard = lambda s: kept.where(F.col("shard") == s).select("lang", "text")
+    part = -(-least // shards)  # the share of one shard
+    known, recent, reached, counts, tick = Bits(bits), [Bits(bits)], None, [], 0
+    while tick < shards or any(x.data.any() for x in recent):
+        now, path = _written(spark, _scan(shard(tick % shards), known, recent[0] if len(recent) == 1 else Bits(bits, np.bitwise_or.reduce([x.data for x in recent])), tick < shards), "counts")
+        counts.append(now.withColumn("shard", F.lit(tick % shards)))
+        gone.append(path)
+        first = now.where(F.col("n") >= part).select("h1", "h2")
+        if reached is not None:
+            first = first.join(reached, ["h1", "h2"], "left_anti")
+        first, path = _written(spark, first, "reached")
+        gone.append(path)
+        reached = first if reached is None else reached.unionByName(first)
+        own = Bits.of(first.where(f"(h2 & 7) BETWEEN 1 AND {LONGEST - 1}"), bits)
+        known, recent, tick = known | own, [*recent, own][-shards:], tick + 1
+    every = counts[0]
+    for c in counts[1:]:
+        every = every.unionByName(c)
+    of = [F.coalesce(F.max(F.when(F.col("shard") == s, F.col("n"))), F.lit(0)) for s in range(shards)]
+    total = _chosen(every, Bits.of(reached, bits)).groupBy("h1", "h2").agg(sum(of[1:], of[0]).alias("n"))
+    left, path = _written(spark, total.where(F.col("n") >= least), "frequent")
+    gone.append(path)
+    out, frequent = [], Bits.of(left, bits)
+    for s in range(shards):  # nearly all are in the first
+        found = left.join(_spelled(shard(s), frequent, Bits.of(left, bits)), ["h1", "h2"])
+        found, path = _written(spark, found, "spelled")
+        out.append(found)
+        gone.append(path)
+        left, path = _written(spark, left.join(found.select("h1", "h2"), ["h1", "h2"], "left_anti"), "left")
+        gone.append(path)
+        if left.isEmpty():
+            break
+    every = out[0]
+    for x in out[1:]:
+        every = every.unionByName(x)
+    every = keep(every.select("lang", "phrase", (F.col("h2").bitwiseAND(7)).alias("words"), "n"), "phrases")
+    for path in (shelf, *gone):
         delete(spark, path)
-    return out
+    return every
 
 
 def _part(of: str, first, n) -> Column:
     return F.array_join(F.slice(of, first, n), " ")
 
 
-def collocations(docs: DataFrame, least: int = 100, top: int = 2000, shards: int = 4, bits: int = 23) -> DataFrame:
+def collocations(docs: DataFrame, least: int = 100, top: int = 2000, shards: int = 4, bits: int = 24) -> DataFrame:
     """``(lang, rank, phrase, a, l, r, n, score)``: for each language the ``top`` phrases of 2
     to 5 words by score, ties to the higher count, then to the phrase first in byte order.
 

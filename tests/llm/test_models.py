@@ -246,7 +246,7 @@ def mined(df, **kw):
 ODD = [(None, "A b. A\tb c"), ("und", "a b"), ("x", None), ("x", ""), ("x", ".,;:!?\r\n\v\f"), ("x", "a\x00b é É z a\x00b é"), ("x", "  a \x1c b"), ("x", "a a a a a a a")]
 
 
-@pytest.mark.parametrize("bits", [6, 16])  # 6: the filters say yes to nearly all
+@pytest.mark.parametrize("bits", [7, 16])  # 7: the filters say yes to nearly all
 def test_phrases_match_brute_force(spark, bits):
     r = random.Random(bits)
     vocab = [f"w{i}" for i in range(12)] + ["É", "É"]
@@ -265,5 +265,22 @@ def test_one_long_text_and_empty_tables(spark):
     assert mined(df.where("false"), least=5) == [] and mined(df, least=10**6) == []
 
 
+def test_counts_added_up_on_the_way(spark, monkeypatch):
+    r = random.Random(3)
+    rows = [(r.choice("xy"), " ".join(r.choices("abcde", k=30))) for _ in range(60)]
+    windows = lambda: [phrases._Windows("x", phrases.tokens(t)) for _, t in rows]
+    sums, want = phrases._Sums(), Counter()
+    for w in windows():
+        for _, whole, h1, second in w.by_length():
+            at = np.flatnonzero(whole)
+            sums.add(h1[at], second(at))
+            want.update(zip(h1[at].view(np.int64).tolist(), second(at).tolist()))
+            if sums.size > 500:
+                sums.close()
+    sums.close()
+    b = sums.batch()
+    assert Counter(dict(zip(zip(b.column(0).to_pylist(), b.column(1).to_pylist()), b.column(2).to_pylist()))) == want
+
+
 def test_tokens_end_pieces():
     assert phrases.tokens("A b. c\x0b") == [b"a", b"b", b".", b"c", b"."]
