@@ -33,9 +33,10 @@ class Params(dict):
     def sql(self, spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
         """Run ``text`` with every ``${name}`` bound as a parameter."""
         args: dict = {}
+        keys: dict = {}  # a number a name: names may differ in punctuation alone
 
         def bind(m: re.Match) -> str:
-            key = "p_" + re.sub(r"\W", "_", m.group(1))
+            key = keys.setdefault(m.group(1), f"p{len(keys)}")
             args[key] = self.require(m.group(1))
             return f":{key}"
         return spark.sql(_REF.sub(bind, text), args=args, **frames)

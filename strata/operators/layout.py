@@ -6,8 +6,12 @@ a file, so that min/max statistics in file footers let readers skip files.
 
 from __future__ import annotations
 
+import functools
+import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,40 +43,81 @@ def _numeric(df: DataFrame, c: str) -> Column:
     raise TypeError(f"layout keys are numbers, dates, times or texts, got {c}: {t.simpleString()}")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _rank(x: Column, cuts: list[float], bits: int) -> Column:
     """Place of ``x`` in its distribution, ``bits`` bits: the quantile it falls in, and in
     it the share of the way to the next."""
     cuts = sorted(set(cuts))
     if len(cuts) < 2:
         return F.lit(0).cast("long")
-    at = F.lit(0)
-    for v in cuts[1:-1]:
-        at = at + F.when(x >= F.lit(v), 1).otherwise(0)
+    n, side = len(cuts) - 1, math.isqrt(len(cuts) - 1) + 1
     edges = F.array(*map(F.lit, cuts))
-    lo, hi = F.get(edges, at), F.get(edges, at + 1)
-    share = (at + F.least(F.greatest((x - lo) / (hi - lo), F.lit(0.0)), F.lit(1.0))) / (len(cuts) - 1)
-    return F.coalesce(F.least(F.floor(share * (1 << bits)), F.lit((1 << bits) - 1)), F.lit(0)).cast("long")
+    plus = lambda cols: functools.reduce(lambda a, b: a + b, cols, F.lit(0))
+
+    def placed(v: Column) -> Column:
+        # the quantile by two short searches: every side-th edge, then those between
+        coarse = plus([F.when(v >= F.lit(cuts[k]), 1).otherwise(0) for k in range(side, n, side)])
+        at = _let(coarse * side, lambda c: c + plus([F.when((c + j < n) & (v >= F.get(edges, c + j)), 1).otherwise(0) for j in range(1, side)]))
+        return _let(at, lambda a: _let(F.get(edges, a), lambda lo: (a + F.least(F.greatest((v - lo) / (F.get(edges, a + 1) - lo), F.lit(0.0)), F.lit(1.0))) / n))
+
+    return F.coalesce(F.least(F.floor(_let(x, placed) * (1 << bits)), F.lit((1 << bits) - 1)), F.lit(0)).cast("long")
+
+
+def _spread(rank: Column, bits: int, stride: int) -> Column:
+    """The bits of ``rank``, ``stride`` places apart; five at a time, from a table."""
+    table = F.array(*[F.lit(sum((v >> b & 1) << b * stride for b in range(5))).cast("long") for v in range(32)])
+    parts = [F.shiftleft(F.get(table, F.shiftright(rank, at).bitwiseAND(31).cast("int")), at * stride) for at in range(0, bits, 5)]
+    return functools.reduce(lambda a, b: a.bitwiseOR(b), parts)
+
+
+def quantile_cuts(df: DataFrame, cols, rel_error: float = 0.001) -> list[list[float]]:
+    """RANKS approximate quantiles of each column (a distributed sketch; only the cuts come
+    back to the driver)."""
+    cols = list(cols)
+    probe = df.select(*[_numeric(df, c).alias(c) for c in cols])
+    return probe.approxQuantile(cols, [i / RANKS for i in range(RANKS + 1)], rel_error)
 
 
-def zorder_code(df: DataFrame, cols, bits: int | None = None, rel_error: float = 0.001) -> Column:
+def zorder_code(df: DataFrame, cols, bits: int | None = None, rel_error: float = 0.001, cuts: list | None = None) -> Column:
     """Morton code of the ranks of ``cols``.
 
-    A column's distribution is known by RANKS approximate quantiles (a distributed sketch;
-    only the cuts come back to the driver), so skewed values still fill all ranks. ``bits``
-    a column: by default as many as fit 62 bits together, at most 20, so that however many
-    ranges a write is cut into, the order inside a quantile is kept."""
+    A column's distribution is known by its ``cuts`` (``quantile_cuts``; measured here if not
+    given), so skewed values still fill all ranks. ``bits`` a column: by default as many as
+    fit 62 bits together, at most 20, so that however many ranges a write is cut into, the
+    order inside a quantile is kept."""
     cols = list(cols)
     bits = bits or min(20, 62 // len(cols))
-    nums = {c: _numeric(df, c) for c in cols}
-    probe = df.select(*[v.alias(c) for c, v in nums.items()])
-    cuts = probe.approxQuantile(cols, [i / RANKS for i in range(RANKS + 1)], rel_error)
-    ranks = [_rank(nums[c], cp, bits) for c, cp in zip(cols, cuts)]
-    code = F.lit(0).cast("long")
+    cuts = quantile_cuts(df, cols, rel_error) if cuts is None else cuts
     k = len(cols)
-    for b in range(bits):
-        for i, r in enumerate(ranks):
-            code = code + F.shiftleft(F.shiftright(r, b).bitwiseAND(F.lit(1)), b * k + i)
-    return code
+    codes = [_let(_rank(_numeric(df, c), cp, bits), lambda r: _spread(r, bits, k)) for c, cp in zip(cols, cuts)]
+    return functools.reduce(lambda a, b: a.bitwiseOR(b), [F.shiftleft(c, i) for i, c in enumerate(codes)])
+
+
+def deepest(files: list[tuple], depth: int) -> list[int]:
+    """Which files to rewrite so that no point of the key lies in more than ``depth`` of the
+    others: ``files`` are ``(lo, hi)`` of the code in each; places in the list are returned.
+
+    A sweep over the intervals finds the deepest point; of the files over it the widest go
+    first, as they overlap the most. Files of one code cannot be parted further and do not
+    count."""
+    lo, hi = (np.array([f[k] for f in files], np.int64) for k in (0, 1))
+    rest, taken = lo < hi, []
+    while rest.any():
+        own = np.flatnonzero(rest)
+        at = np.sort(lo[own])  # the depth changes upwards at these points alone
+        over = np.searchsorted(at, at, side="right") - np.searchsorted(np.sort(hi[own]), at, side="left")
+        if over.max() <= depth:
+            break
+        x = at[over.argmax()]
+        there = own[(lo[own] <= x) & (hi[own] >= x)]
+        wide = there[np.argsort(-(hi[there] - lo[there]), kind="stable")][: over.max() - depth]
+        rest[wide] = False
+        taken += wide.tolist()
+    return sorted(taken)
 
 
 @dataclass(frozen=True)

@@ -67,6 +67,37 @@ def cdc_scd2(spark, sf_dir):
     return ws.read("s_suppliers")
 
 
+HISTORY = cte("cdc_feed") + """
+, h AS (SELECT *, update_date AS valid_from,
+    lead(update_date) OVER (PARTITION BY id ORDER BY update_date, event_id) AS valid_to FROM cdc_feed)
+SELECT id, update_date, event_id, value, update_type, valid_from, valid_to FROM h WHERE update_type <> 'DELETE'"""
+
+
+@query("cdc_scd2_current", HISTORY + " AND valid_to IS NULL")
+def cdc_scd2_current(spark, sf_dir):
+    """L2: the open versions of a history table, read without its history."""
+    t, ws = setup(spark, sf_dir)
+    path, schema = _feed_files(spark, t, ws, [F.col("event_id") % 2 == k for k in range(2)])
+    _apply(ws, path, schema, scd_type=2, files_per_trigger=1)
+    return ws.read_current("s_suppliers")
+
+
+@query("cdc_scd2_late", HISTORY)
+def cdc_scd2_late(spark, sf_dir):
+    """The newer part of the feed comes first, then the older one, then changes that
+    fall between both: each splits the version it falls into. At the end the runs are merged."""
+    t, ws = setup(spark, sf_dir)
+    path = f"{ws.root}/files/suppliers_cdc"
+    feed = view(spark, t, "cdc_feed")
+    between = F.col("event_id") % 10 == 0
+    newer = F.col("update_date") >= F.lit(MID)
+    for cond in (newer & ~between, ~newer & ~between, between):
+        write_arrivals(feed, path, [cond], format="parquet")
+        with ws.update():
+            _apply(ws, path, feed.schema, scd_type=2)
+    return ws.compact("s_suppliers")
+
+
 @query("cdc_delete", SCD1_ORACLE)
 def cdc_delete(spark, sf_dir):
     """L3: ``APPLY AS DELETE WHEN update_type = "DELETE"``: the deletes arrive in a later

@@ -45,6 +45,25 @@ def layout_recluster(spark, sf_dir):
     return ws.read("c_orders_clustered")
 
 
+@query("layout_incremental", S_ORDERS_ORACLE)
+def layout_incremental(spark, sf_dir):
+    """M2: after a change of the cluster keys only the files that overlap the most on the new
+    ones are rewritten, and after a further batch only what that made overlap."""
+    t, ws = setup(spark, sf_dir)
+    path = f"{ws.root}/files/lineitem"
+    from .finance import LINE_SCHEMA, write_arrivals  # noqa: PLC0415
+    lines = t.lineitem.select(*LINE_SCHEMA.fieldNames())
+    for k, keys in enumerate([("order_date",), ("customer_id", "item_id"), ("customer_id", "item_id")]):
+        write_arrivals(lines, path, [F.col("l_orderkey") % 3 == k], header=True)
+        with ws.update():
+            ingest_lines(ws, path)
+            ws.streaming_table("c_orders_clustered", cluster_by=keys)
+            ws.append_flow("c_orders_clustered", "c_orders_clustered", _sales_stream(ws, t))
+        if k:
+            ws.cluster("c_orders_clustered", depth=1, rows_per_file=100_000)
+    return ws.read("c_orders_clustered")
+
+
 @query("layout_partitioned", S_ORDERS_ORACLE)
 def layout_partitioned(spark, sf_dir):
     """M3: ``PARTITIONED BY (customer_id)``."""

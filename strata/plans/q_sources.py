@@ -102,6 +102,34 @@ def scan_csv_permissive(spark, sf_dir):
     return ws.read("b_items")
 
 
+RESCUED_ORACLE = """
+SELECT p_partkey AS id, CASE WHEN p_partkey % 3 <> 2 THEN p_name END AS description,
+  CASE WHEN p_partkey % 3 <> 2 OR p_partkey % 2 = 1 THEN CAST(p_retailprice AS DECIMAL(10,2)) END AS unit_price,
+  CASE WHEN p_partkey % 3 = 1 THEN '{"size":"' || p_size || '"}'
+       WHEN p_partkey % 3 = 2 AND p_partkey % 2 = 0 THEN '{"unit_price":"n/a"}' END AS _rescued_data
+FROM part"""
+
+
+@query("scan_rescued", RESCUED_ORACLE)
+def scan_rescued(spark, sf_dir):
+    """Files that differ: as declared; with their columns in another order and one
+    more; with one less and prices that are none. Each is bound by its own header, and what
+    the schema has no place for is kept. The last comes in a later run."""
+    t, ws = setup(spark, sf_dir)
+    path = f"{ws.root}/files/items"
+    item = t.part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("description"),
+                         F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"), F.col("p_size").alias("size"))
+    price = F.when(F.col("id") % 2 == 1, F.col("unit_price").cast("string")).otherwise(F.lit("n/a"))
+    kinds = [item.drop("size"), item.select("size", "unit_price", "description", "id"), item.select(price.alias("unit_price"), "id")]
+    schema = item.drop("size").schema
+    for run in ((0, 1), (2,)):
+        for k in run:
+            write_files(kinds[k].where(F.col("id") % 3 == k), path, "csv", mode="append")
+        with ws.update():
+            ws.ingest_files("b_items", path, schema)
+    return ws.read("b_items")
+
+
 INFER_ORACLE = """
 SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, CAST(c_nationkey AS INTEGER) AS c_nationkey,
   c_acctbal, c_mktsegment FROM customer"""
@@ -321,21 +349,21 @@ def st_full_refresh(spark, sf_dir):
     return ws.read("b_orders")
 
 
-@query("st_no_reset", LINES_ORACLE)
+@query("st_no_reset", LINES_ORACLE + " UNION ALL " + LINES_ORACLE + " WHERE l_orderkey % 6 = 1")
 def st_no_reset(spark, sf_dir):
     """``pipelines.reset.allowed = false`` on a table that reads a streaming table: a full
-    refresh recomputes the source and adds only what is new to this one."""
+    refresh recomputes the source and adds only what is new to this one. Among the new rows
+    are some that equal earlier ones in every column, and each other."""
     t, ws = setup(spark, sf_dir)
     path = f"{ws.root}/files/lines"
     lines = t.lineitem.select(*LINE_SCHEMA.fieldNames())
-    write_arrivals(lines, path, [F.col("l_orderkey") % 2 == 0], header=True)
-    for full in (False, True):
+    parts = [[F.col("l_orderkey") % 6 < 2], [F.col("l_orderkey") % 6 == 1, F.col("l_orderkey") % 6 >= 2], []]
+    for arrivals, full in zip(parts, (False, True, True)):
+        write_arrivals(lines, path, arrivals, header=True)
         with ws.update(full_refresh=full):
             ingest_lines(ws, path)
             ws.streaming_table("c_orders_no_reset", properties={"pipelines.reset.allowed": "false"})
             ws.append_flow("c_orders_no_reset", "c_orders_no_reset", ws.read_stream("b_orders", into="c_orders_no_reset"))
-        if not full:
-            write_arrivals(lines, path, [F.col("l_orderkey") % 2 == 1], header=True)
     return ws.read("c_orders_no_reset")
 
 

@@ -31,9 +31,10 @@ from pyspark.sql import types as T
 from ..fs import delete, exists, mkdirs, move
 from ..functions.params import Params
 from ..operators import cdc as cdc_ops
-from ..operators.layout import Layout
+from ..operators.layout import Layout, deepest, quantile_cuts, zorder_code
 from ..operators.quality import DROP, enforce, expectation_report, metric_columns
 from ..session import new_scratch, prepare
+from ..sources.files import RESCUE_COLUMN, file_stream, read_files_rescued
 from ..streaming.runner import RunResult, await_run, start
 from .eventlog import EventLog
 
@@ -57,8 +58,8 @@ class TableInfo:
     flows: list = field(default_factory=list)
     once_done: list = field(default_factory=list)
     cdc: dict = field(default_factory=dict)
-    sources: dict = field(default_factory=dict)  # no-reset table: source -> generation it has read
     compacted: dict = field(default_factory=dict)  # streaming table: {"path", "upto": {flow: batch}}
+    clustered: dict = field(default_factory=dict)  # {"manifest", "keys", "cuts", "upto": {flow: batch}}
 
     @property
     def reset_allowed(self) -> bool:
@@ -149,7 +150,7 @@ class Workspace:
         self._before[i.name] = deepcopy(i)
         i.generation += 1
         i.version = 0
-        i.flows, i.once_done, i.compacted = [], [], {}
+        i.flows, i.once_done, i.compacted, i.clustered = [], [], {}, {}
 
     # -- updates -------------------------------------------------------------------
     @contextmanager
@@ -231,18 +232,26 @@ class Workspace:
             return df.select(*i.struct().fieldNames())
         if not exists(self.spark, path):
             return self.spark.createDataFrame([], i.struct())
+        if i.clustered:
+            live = [r["file"] for r in self.spark.read.parquet(i.clustered["manifest"]).select("file").collect()]  # as any scan lists its files
+            df = self.spark.read.schema(i.struct()).parquet(*live)
+            return df if i.kind == "mv" else df.unionByName(self._batches(i, i.clustered["upto"]).select(*i.struct().fieldNames()))
         if i.kind == "st":
-            df = self.spark.read.schema(self._stored_schema(i)).parquet(path)
+            df = self._batches(i, i.compacted.get("upto", {}))
             if i.compacted:
-                late = F.lit(True)
-                for flow, batch in i.compacted["upto"].items():
-                    late = late & ((F.col(FLOW) != flow) | (F.col(BATCH) > batch))
                 done = self.spark.read.schema(i.struct()).parquet(i.compacted["path"])
-                return done.unionByName(df.where(late).select(*i.struct().fieldNames()))
+                return done.unionByName(df.select(*i.struct().fieldNames()))
         else:
             df = self.spark.read.parquet(path)
         return df.select(*i.struct().fieldNames())
 
+    def _batches(self, i: TableInfo, upto: dict) -> DataFrame:
+        """Rows of a streaming table's batches after those of ``upto`` (flow -> batch)."""
+        late = F.lit(True)
+        for flow, batch in upto.items():
+            late = late & ((F.col(FLOW) != flow) | (F.col(BATCH) > batch))
+        return self.spark.read.schema(self._stored_schema(i)).parquet(self.data_path(i.name)).where(late)
+
     def read_current(self, name: str) -> DataFrame:
         """Live rows of a change target: of a type 2 target the open versions only, read
         without its history."""
@@ -256,29 +265,72 @@ class Workspace:
         """New rows since the reading query's last commit (``STREAM(LIVE.t)``).
 
         ``into``: the reading table, if it keeps its rows in a full refresh
-        (``pipelines.reset.allowed = false``). When the source was recomputed since that
-        table read it, rows equal to rows of the generation it had read are replays and
-        are left out (an anti join on all columns; texts equal in every column to an
-        earlier row count as replayed)."""
+        (``pipelines.reset.allowed = false``). It then reads by way of a relay: a copy of what
+        it was handed, to which each generation of the source adds only the rows it has more
+        often than the relay (equal rows are told apart by their number)."""
         i = self.catalog[name]
         if i.kind != "st":
             raise ValueError(f"{name} is a {i.kind}; only streaming tables are append-only sources")
-        cols = i.struct().fieldNames()
-        df = (self.spark.readStream.schema(self._stored_schema(i)).options(**options)
-              .parquet(self.data_path(name)).select(*cols))
+        path = self.data_path(name)
         reader = self.catalog.get(into) if into else None
-        if reader is None or reader.reset_allowed:
-            return df
-        before = reader.sources.get(name, i.generation)
-        reader.sources[name] = i.generation
-        old = f"{self.root}/tables/{name}/g{before}v{i.version}"
-        if before == i.generation or not exists(self.spark, old):
-            return df
-        seen = self.spark.read.schema(self._stored_schema(i)).parquet(old).select(*[F.col(c).alias(f"__{c}") for c in cols]).distinct()
-        on = F.lit(True)
-        for c in cols:
-            on = on & df[c].eqNullSafe(seen[f"__{c}"])
-        return df.join(seen, on, "left_anti")
+        if reader is not None and not reader.reset_allowed:
+            path = self._relay(i, into, options)
+        cols = i.struct().fieldNames()
+        return self.spark.readStream.schema(self._stored_schema(i)).options(**options).parquet(path).select(*cols)
+
+    def _relay(self, i: TableInfo, into: str, options: dict) -> str:
+        """Bring the relay from streaming table ``i`` to ``into`` up to date (in a continuous
+        update: start doing so) and return its folder.
+
+        A generation after the first begins with the rows of the relay as a multiset of
+        replays to come. Each micro-batch takes its rows off that multiset and passes on what
+        is left of them; the multiset is written anew beside it, by batch, so a retried batch
+        finds the one it began with."""
+        relay, own = f"{self.root}/relays/{into}/{i.name}", f"g{i.generation}"
+        due = f"{self.root}/relays/{into}/_{i.name}-due/{own}"  # before=<batch>: replays still to come
+        cols, schema = i.struct().fieldNames(), self._stored_schema(i)
+        mkdirs(self.spark, relay)
+        row = F.struct(*cols)  # equal rows, nulls included, are one group
+        counted = lambda df: df.groupBy(F.xxhash64(*cols).alias("_h"), row.alias("_row")).agg(F.count(F.lit(1)).alias("_n"))
+        equal = (F.col("_h") == F.col("_h2")) & F.col("_row").eqNullSafe(F.col("_row2"))
+
+        def pass_on(batch: DataFrame, batch_id: int) -> None:
+            target, stage = f"{relay}/{FLOW}={own}/{BATCH}={batch_id}", f"{self.root}/staging/relay-{into}-{i.name}/{own}-{batch_id}"
+            before, after = f"{due}/before={batch_id}", f"{due}/before={batch_id + 1}"
+            if batch_id == 0 and not exists(self.spark, before):
+                earlier = self.spark.read.schema(schema).parquet(relay).where(F.col(FLOW) != own).select(*cols)
+                self._publish(counted(earlier), f"{stage}-due0", before)
+            rest = self.spark.read.parquet(before)
+            if rest.isEmpty():  # nothing to replay: all rows are new
+                self._publish(rest, f"{stage}-due", after)
+                self._publish(batch.select(*cols), stage, target)
+                return
+            got = counted(batch.select(*cols)).persist()
+            try:
+                known = rest.select(F.col("_h").alias("_h2"), F.col("_row").alias("_row2"), F.col("_n").alias("_due"))
+                both = got.join(known, equal, "left")
+                more = F.col("_n") - F.coalesce(F.col("_due"), F.lit(0))
+                new = both.where(more > 0).select("_row", F.explode(F.sequence(F.lit(1).cast("long"), more)).alias("_k")).select("_row.*")
+                seen = got.select(F.col("_h").alias("_h2"), F.col("_row").alias("_row2"), F.col("_n").alias("_got"))
+                left = rest.join(seen, equal, "left")
+                left = left.withColumn("_n", F.col("_n") - F.coalesce(F.col("_got"), F.lit(0))).where("_n > 0").select("_h", "_row", "_n")
+                self._publish(left, f"{stage}-due", after)
+                self._publish(new, stage, target)
+            finally:
+                got.unpersist()
+
+        w = (self.spark.readStream.schema(schema).options(**options).parquet(self.data_path(i.name)).select(*cols)
+             .writeStream.foreachBatch(pass_on).option("checkpointLocation", f"{self.root}/checkpoints/{into}/relay-{i.name}/{own}")
+             .queryName(f"{into}.relay.{i.name}.{uuid.uuid4().hex[:6]}"))
+        q = start(self.spark, w, self._continuous, None)
+        self._drive(into, f"relay-{i.name}", q, lambda res: None)
+        return relay
+
+    def _publish(self, df: DataFrame, stage: str, target: str) -> None:
+        """Write ``df`` as the folder ``target``, by one rename, unless it is there."""
+        if not exists(self.spark, target):
+            df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(stage)
+            move(self.spark, stage, target)
 
     def read_changes(self, name: str, stream: bool = False) -> DataFrame:
         """Change log of a change target (op, values, batch): inserts, updates, deletes."""
@@ -324,6 +376,7 @@ class Workspace:
             prev_version = i.version
             i.version = prev_version + 1
             path = self.data_path(name)
+            clustered, i.clustered = i.clustered, {}
             try:
                 if layout.reads_twice:
                     out = out.persist()  # counted once, whatever the layout samples
@@ -333,7 +386,7 @@ class Workspace:
                     w = w.partitionBy(*layout.partition_by)
                 w.parquet(path)
             except Exception as e:
-                i.version = prev_version  # the old version stays current
+                i.version, i.clustered = prev_version, clustered  # the old version stays current
                 self._flow_event(name, name, "FAILED", {}, [], level="ERROR", message=str(e))
                 raise
             finally:
@@ -455,6 +508,28 @@ class Workspace:
             self.streaming_table(name, None, comment, properties, partition_by, cluster_by)
             return self.append_flow(name, name, df, expectations=expectations)
 
+    def ingest_files(self, name: str, path: str, schema: T.StructType, format: str = "csv", sep: str = ",", multi_line: bool = False,
+                     max_files_per_trigger: int | None = None, rescue_column: str = RESCUE_COLUMN, expectations=(),
+                     comment: str | None = None, properties: dict | None = None, partition_by=(), cluster_by=(), **options) -> RunResult | None:
+        """Streaming table over CSV or JSON files that binds each file by its own names and
+        keeps in ``rescue_column`` what ``schema`` has no place for. The stream is of files;
+        a micro-batch reads the files that are new to it (``read_files_rescued``)."""
+        with self._implicit_update():
+            full = T.StructType([*[T.StructField(f.name, f.dataType) for f in schema.fields], T.StructField(rescue_column, T.StringType())])
+            i = self.streaming_table(name, full, comment, properties, partition_by, cluster_by)
+            rules, counts = list(expectations), {}
+            write = self._flow_writer(i, name, rules, counts)
+
+            def read_new(files: DataFrame, batch_id: int) -> None:
+                paths = [r["path"] for r in files.select("path").collect()]  # a row a new file
+                if paths:
+                    write(read_files_rescued(self.spark, paths, schema, format, sep, multi_line, rescue_column, **options), batch_id)
+
+            w = (file_stream(self.spark, path, max_files_per_trigger).writeStream.foreachBatch(read_new)
+                 .option("checkpointLocation", self.checkpoint_path(name, name)).queryName(f"{name}.{uuid.uuid4().hex[:6]}"))
+            q = start(self.spark, w, self._continuous, i.properties.get(TRIGGER_INTERVAL))
+            return self._drive(name, name, q, lambda res: self._record_flow(i, name, False, res, rules, counts))
+
     # -- change targets ------------------------------------------------------------------
     def _applier(self, i: TableInfo) -> cdc_ops.ChangeApplier:
         c = i.cdc
@@ -555,18 +630,77 @@ class Workspace:
             return self.read(name)
         df = self.read(name)
         if i.kind == "st":
-            upto = {r[FLOW]: r["upto"] for r in (self.spark.read.schema(self._stored_schema(i)).parquet(self.data_path(name))
-                                                 .groupBy(FLOW).agg(F.max(BATCH).alias("upto")).collect())}  # one row a flow
-            path = f"{self.root}/compacted/{name}/{uuid.uuid4().hex[:12]}"
+            path, upto = f"{self.root}/compacted/{name}/{uuid.uuid4().hex[:12]}", self._upto(i)
             self._arranged(i, df, path)
             i.compacted = {"path": path, "upto": upto}
         else:
             self._arranged(i, df, f"{self.root}/tables/{name}/g{i.generation}v{i.version + 1}")
             i.version += 1
+        i.clustered = {}
         self._save_catalog()
         self.log.flush()
         return self.read(name)
 
+    def _upto(self, i: TableInfo) -> dict:
+        """The last batch of each flow of a streaming table."""
+        rows = self._batches(i, {}).groupBy(FLOW).agg(F.max(BATCH).alias("upto")).collect()  # one row a flow
+        return {r[FLOW]: r["upto"] for r in rows}
+
+    def cluster(self, name: str, depth: int = 2, rows_per_file: int = 1_000_000) -> dict:
+        """Improve the clustering of a table on its present cluster keys by rewriting only the
+        files that overlap the most, until no key value lies in more than ``depth`` of the
+        others (``operators.layout.deepest``). Each file's span of the keys is measured once
+        and kept; after a change of keys all spans are measured anew (a scan of the keys).
+        Readers move with the catalog; streams go on reading the batches. Returns the
+        numbers of ``files`` before and of those ``rewritten`` and ``written``."""
+        i = self.catalog[name]
+        keys = i.layout().zorder_by or i.cluster_by
+        if i.kind not in ("st", "mv") or not keys:
+            raise ValueError(f"{name} is no table with cluster keys")
+        if i.partition_by:
+            raise ValueError(f"{name} is partitioned: its files are clustered inside their partitions when they are written")
+        columns, upto, known = i.struct().fieldNames(), self._upto(i) if i.kind == "st" else {}, i.clustered
+        same = bool(known) and known["keys"] == list(keys)
+        cuts = known["cuts"] if same else quantile_cuts(self.read(name), keys)
+
+        def spans(df: DataFrame) -> DataFrame:
+            code = zorder_code(df, keys, cuts=cuts)
+            return (df.select(F.col("_metadata.file_path").alias("file"), code.alias("code")).groupBy("file")
+                    .agg(F.min("code").alias("lo"), F.max("code").alias("hi"), F.count(F.lit(1)).alias("n")))
+
+        if known:
+            before = self.spark.read.parquet(known["manifest"])
+            if not same:
+                before = spans(self.spark.read.schema(i.struct()).parquet(*[r["file"] for r in before.select("file").collect()]))
+            if i.kind == "st":
+                before = before.unionByName(spans(self._batches(i, known["upto"])))
+        elif i.kind == "st":
+            before = spans(self._batches(i, i.compacted.get("upto", {})))
+            if i.compacted:
+                before = before.unionByName(spans(self.spark.read.schema(i.struct()).parquet(i.compacted["path"])))
+        else:
+            before = spans(self.spark.read.schema(i.struct()).parquet(self.data_path(name)))
+        files = before.collect()  # a row a file
+        chosen = {files[k]["file"] for k in deepest([(r["lo"], r["hi"]) for r in files], depth)}
+        new = []
+        folder = f"{self.root}/clustered/{name}/{uuid.uuid4().hex[:12]}"
+        if chosen:
+            df = self.spark.read.schema(i.struct()).parquet(*sorted(chosen))
+            ranges = max(1, -(-sum(r["n"] for r in files if r["file"] in chosen) // rows_per_file))
+            code = "__code"
+            while code in columns:
+                code += "_"
+            spread = F.xxhash64(*[F.col(c) for c in columns])  # a hot value may fill several files
+            (df.withColumn(code, zorder_code(df, keys, cuts=cuts)).repartitionByRange(ranges, code, spread).sortWithinPartitions(code).drop(code)
+             .write.options(**i.layout().writer_options(columns)).parquet(f"{folder}/rows"))
+            new = spans(self.spark.read.schema(i.struct()).parquet(f"{folder}/rows")).collect()
+        live = [tuple(r) for r in files if r["file"] not in chosen] + [tuple(r) for r in new]
+        self.spark.createDataFrame(live, before.schema).coalesce(1).write.parquet(f"{folder}/manifest")
+        i.clustered = {"manifest": f"{folder}/manifest", "keys": list(keys), "cuts": cuts, "upto": upto}
+        self._save_catalog()
+        self.log.flush()
+        return {"files": len(files), "rewritten": len(chosen), "written": len(new)}
+
     def vacuum(self, name: str, keep: int = 1) -> list[str]:
         """Remove old versions of a materialized view, keeping the ``keep`` newest
         (the current one always stays). Returns the removed directories."""

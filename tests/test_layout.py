@@ -118,3 +118,94 @@ def test_statistics_on_the_first_32_columns_by_default(spark, tmp_path):
     wide = spark.range(10).select(*[F.col("id").alias(f"c{i}") for i in range(40)])
     wide.write.options(**Layout.from_properties({}).writer_options(wide.columns)).parquet(str(tmp_path / "w"))
     assert all(_stats_columns(f) == {f"c{i}" for i in range(32)} for f in _files(str(tmp_path / "w")))
+
+
+def test_codes_are_small_expressions_and_right(spark):
+    from conftest import SMALL
+    from strata.operators.layout import quantile_cuts
+    t, _ = setup(spark, SMALL)
+    keys = ["l_orderkey", "l_shipdate", "l_extendedprice"]
+    df = t.lineitem.withColumn("l_shipdate", F.when(F.col("l_linenumber") != 3, F.col("l_shipdate")))
+    code = zorder_code(df, keys)
+    plan = df.select(code.alias("c"))._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 40000
+    cuts, bits = quantile_cuts(df, keys), 20
+    num = {"l_orderkey": lambda v: float(v), "l_extendedprice": lambda v: float(v), "l_shipdate": None}
+
+    def rank(x, c):
+        c = sorted(set(c))
+        if x is None:
+            return 0
+        a = max(0, min(len(c) - 2, sum(x >= e for e in c[:-1]) - 1))
+        share = (a + min(max((x - c[a]) / (c[a + 1] - c[a]), 0), 1)) / (len(c) - 1)
+        return min(int(share * (1 << bits)), (1 << bits) - 1)
+
+    from strata.operators.layout import _numeric
+    rows = df.select(*[_numeric(df, k).alias(k) for k in keys], code.alias("code")).collect()
+    assert num and len({r.code for r in rows}) > 1000
+    for r in rows[::7]:
+        ranks = [rank(r[k], c) for k, c in zip(keys, cuts)]
+        assert r.code == sum((v >> b & 1) << (b * 3 + i) for i, v in enumerate(ranks) for b in range(bits))
+
+
+def test_the_deepest_files_are_chosen():
+    from strata.operators.layout import deepest
+    tiles = [(k * 10, k * 10 + 9) for k in range(50)]
+    assert deepest(tiles, 1) == [] and deepest([], 1) == [] and deepest([(5, 5)] * 9, 1) == []
+    wide = [(0, 499)] * 3
+    assert deepest(tiles + wide, 1) == [50, 51, 52] and len(deepest(tiles + wide, 2)) == 2
+    picked = deepest(tiles + [(95, 125)], 1)
+    assert picked == [50]  # the one that overlaps, not those it lies over
+
+
+def test_a_key_change_rewrites_few_files_and_lookups_skip(spark):
+    from strata.plans.workspace import Workspace
+    ws, n = Workspace(spark), 60000
+    rows = spark.range(n).select((F.col("id") * 7919 % n).alias("a"), (F.col("id") * 104729 % n).alias("b"), "id")
+    path = f"{ws.root}/files/in"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+
+    def arrive(cond, keys):
+        rows.where(cond).write.mode("append").parquet(path)
+        with ws.update():
+            ws.streaming_table("t", cluster_by=keys)
+            ws.append_flow("t", "t", spark.readStream.schema(rows.schema).parquet(path))
+
+    def hits(column, files):
+        probe = rows.select(column).where("id % 6000 = 17").collect()
+        stats = [pq.ParquetFile(f).metadata for f in files]
+        at = [c.path_in_schema for c in (stats[0].row_group(0).column(i) for i in range(stats[0].num_columns))].index(column)
+        spans = [[(m.row_group(g).column(at).statistics.min, m.row_group(g).column(at).statistics.max) for g in range(m.num_row_groups)] for m in stats]
+        return sum(any(lo <= p[0] <= hi for lo, hi in s) for s in spans for p in probe) / len(probe)
+
+    live = lambda: [r.file.removeprefix("file:").replace("//", "/") for r in spark.read.parquet(ws.catalog["t"].clustered["manifest"]).collect()]
+    try:
+        arrive(F.col("id") % 10 == 0, ("a",))
+        arrive(F.col("id") % 10 > 0, ("b",))  # most rows are written by the new key
+        done = ws.cluster("t", depth=1, rows_per_file=1500)
+        assert done["files"] == 16 and done["rewritten"] == 8  # those of the old key
+        after = hits("b", live())
+        assert ws.read("t").count() == n and ws.read("t").exceptAll(rows).count() == 0
+        again = ws.cluster("t", depth=2, rows_per_file=1500)
+        assert again["rewritten"] == 0
+        arrive(F.lit(False), ("b",))
+        whole = ws.compact("t")
+        assert after <= 2 * hits("b", [f.removeprefix("file:").replace("//", "/") for f in whole.inputFiles()]) + 0.01
+        assert whole.count() == n and ws.catalog["t"].clustered == {}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_clustering_a_view_and_a_second_session(spark):
+    from strata.plans.workspace import Workspace
+    ws = Workspace(spark)
+    rows = spark.range(5000).select("id", (F.col("id") * 7919 % 5000).alias("x"))
+    with ws.update():
+        ws.materialized_view("v", rows.repartition(6))
+        ws.catalog["v"].cluster_by = ["x"]
+    done = ws.cluster("v", depth=1, rows_per_file=1000)
+    assert done["rewritten"] >= 5 and ws.read("v").exceptAll(rows).count() == 0
+    other = Workspace(spark, root=ws.root)
+    assert other.read("v").count() == 5000
+    ws.materialized_view("v", rows.where("id < 10"))
+    assert ws.read("v").count() == 10
