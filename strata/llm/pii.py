@@ -128,9 +128,10 @@ def _disclosing(held: DataFrame, docs: DataFrame, text: str, generalise_at: floa
     literal = (own.groupBy("t").agg(F.count(F.lit(1)).alias("d_ct")).withColumn("c", F.col("t")).join(names, "c").where(F.col("d_ct") * ic >= need_own)
                .withColumn("need", F.lit(need_own)).withColumn("own", F.lit(True)))
     pairs = keep(pairs.unionByName(literal), "pairs")
+    wanted = keep(pairs.select("t").distinct(), "terms")  # by its size Spark sends it around or not
     every = F.array_distinct(F.transform(F.split(t, r"[^\p{L}\p{N}]+", -1), _term))
-    terms = (docs.select(F.md5(t).alias("key"), F.explode(every).alias("t")).join(pairs.select("t").distinct(), "t", "left_semi")
-             .distinct().groupBy("t").agg(F.count(F.lit(1)).alias("d_t")))
+    terms = (docs.select(F.md5(t).alias("key"), every.alias("every")).select("key", F.explode("every").alias("t"))
+             .join(wanted, "t", "left_semi").distinct().groupBy("t").agg(F.count(F.lit(1)).alias("d_t")))
     p, q = F.col("d_c") / n, F.col("d_ct") / F.col("d_t")
     surprise = F.col("d_t") * (q * F.log2(q / p) + F.when(q < 1, (1 - q) * F.log2((1 - q) / (1 - p))).otherwise(F.lit(0.0)))
     share = F.log2((F.col("d_ct") + p) / (F.col("d_t") + 1) / p) / ic
@@ -212,4 +213,5 @@ def redact(docs: DataFrame, text: str = "text", generalise_at: float = 0.8, remo
     row = free_name(docs, "row")
     own, d = F.col(row)[text], d.withColumnRenamed("row", row)
     new = F.when(own.isNotNull(), _redacted(own.cast("string"), F.col("spans")))
-    return d.select(*[new.alias(c) if c == text else F.col(row)[c].alias(c) for c in docs.columns])
+    fresh = free_name(docs, "new")
+    return d.select(row, new.alias(fresh)).select(*[F.col(fresh).alias(c) if c == text else F.col(row)[c].alias(c) for c in docs.columns])
