@@ -22,7 +22,7 @@ import math
 import zlib
 from array import array
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +48,10 @@ def tokens(text: str) -> list[bytes]:
     return text.encode("utf-8", "replace").translate(_BYTES).replace(b".", b" . ").split()
 
 
-def _hash(words: list[bytes], seed: int) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
+def _hash(words: list[bytes]) -> np.ndarray:
+    """Two hashes of each word, one a row."""
+    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), "<u8").reshape(-1, 2)
+    return np.ascontiguousarray(both.T)
 
 
 def _mixed(h: np.ndarray, lang: str, seed: int) -> np.ndarray:
@@ -88,39 +90,54 @@ class Bits:
 
 
 class _Windows:
-    """The hashes of the windows of one language's tokens."""
+    """The windows of one language's tokens, by their hashes."""
 
     def __init__(self, lang: str, toks: list[bytes]):
         number: defaultdict[bytes, int] = defaultdict()
         number.default_factory = number.__len__
         number[END]  # 0
-        self.lang, self.ids = lang, np.fromiter(map(number.__getitem__, toks), np.int64, len(toks))
+        self.lang, self.ids = lang, np.fromiter(map(number.__getitem__, toks), np.int32, len(toks))
         self.names = list(number)
-        self.word = [_hash(self.names, seed) for seed in (0, 1)]
-        self.words = int((self.ids != 0).sum())
-
-    def by_length(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, Callable[[np.ndarray], np.ndarray]]]:
-        """``(n, whole, h1, h2)`` for windows of 1 to 5 words: is it inside a piece, its first
-        hash, and a function for the second one at some places."""
-        raw = [np.zeros(len(self.ids), np.uint64) for _ in (0, 1)]
-        whole = np.ones(len(self.ids), bool)
-        for n in range(1, LONGEST + 1):
-            m = len(self.ids) - n + 1
-            if m <= 0:
+        self.word = _hash(self.names)
+        self.words = int(np.count_nonzero(self.ids))
+
+    def _second(self, raw: np.ndarray, n: int) -> np.ndarray:
+        return ((_mixed(raw, self.lang, 1) >> np.uint64(32)).astype(np.uint32) & np.uint32(0xFFFFFFF8) | np.uint32(n)).view(np.int32)
+
+    def second(self, at: np.ndarray, n: int) -> np.ndarray:
+        """The second hash of the windows of ``n`` words at these places."""
+        raw = self.word[1][self.ids[at]]
+        for k in range(1, n):
+            raw = raw * STEP[1] + self.word[1][self.ids[at + k]]
+        return self._second(raw, n)
+
+    def by_length(self, known: Bits | None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """``(n, at, h1, old)`` for 1 to 5 words: windows inside a piece whose parts are both
+        known (words: all; without ``known`` all windows), their first hash, and which of
+        them are known. What has an unknown part is unknown, so windows get fewer."""
+        first = _mixed(self.word[0], self.lang, 0)  # by word, not by place
+        own = np.ones(len(first), bool) if known is None else known.has(first)
+        own[0] = False
+        at = np.flatnonzero(self.ids)
+        old, raw = own[self.ids], np.zeros(len(self.ids), np.uint64)
+        raw[at] = self.word[0][self.ids[at]]
+        yield 1, at, first[self.ids[at]], old[at]
+        for n in range(2, LONGEST + 1):
+            at = np.flatnonzero(old[:-1] & old[1:])
+            if not len(at):
                 return
-            last = self.ids[n - 1 :]
-            raw = [h[:m] * STEP[k] + self.word[k][last] for k, h in enumerate(raw)]
-            whole = whole[:m] & (last != 0)
-
-            def second(at: np.ndarray, raw=raw, n=n) -> np.ndarray:
-                return ((_mixed(raw[1][at], self.lang, 1) >> np.uint64(32)).astype(np.uint32) & np.uint32(0xFFFFFFF8) | np.uint32(n)).view(np.int32)
-
-            yield n, whole, _mixed(raw[0], self.lang, 0), second
+            r = raw[at] * STEP[0] + self.word[0][self.ids[at + n - 1]]
+            h1 = _mixed(r, self.lang, 0)
+            now = np.ones(len(at), bool) if known is None or n == LONGEST else known.has(h1)
+            yield n, at, h1, now
+            old = np.zeros(len(old) - 1, bool)
+            old[at] = now
+            raw[at] = r
 
     def all(self) -> tuple[np.ndarray, np.ndarray]:
         """The hash that the number of all words is counted under."""
         none = np.zeros(1, np.uint64)
-        return _mixed(none, self.lang, 0), (_mixed(none, self.lang, 1) >> np.uint64(32)).astype(np.uint32).view(np.int32) & np.int32(-8)
+        return _mixed(none, self.lang, 0), self._second(none, 0)
 
     def phrase(self, at: int, n: int) -> bytes:
         return b" ".join(self.names[w] for w in self.ids[at : at + n])
@@ -157,10 +174,15 @@ class _Sums:
     def close(self) -> None:
         """One row a hash."""
         h1, h2, n = (np.concatenate(x) for x in zip(*self.held))
-        order = np.lexsort((h2, h1))
-        h1, h2 = h1[order], h2[order]
-        first = np.flatnonzero(np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])))
-        self.held = [(h1[first], h2[first], np.add.reduceat(n[order], first))]
+        order = np.argsort(h1)
+        k1, k2 = h1[order], h2[order]
+        same = k1[1:] == k1[:-1]
+        if (same & (k2[1:] != k2[:-1])).any():  # first hashes that meet: order by both
+            order = np.lexsort((h2, h1))
+            k1, k2 = h1[order], h2[order]
+            same = (k1[1:] == k1[:-1]) & (k2[1:] == k2[:-1])
+        first = np.flatnonzero(np.append(True, ~same))
+        self.held = [(k1[first], k2[first], np.add.reduceat(n[order], first))]
         self.size = len(first)
 
     def batch(self) -> pa.RecordBatch:
@@ -178,20 +200,19 @@ def _scan(docs: DataFrame, known: Bits, recent: Bits, words: bool) -> DataFrame:
         for w in _by_language(batches):
             if words:
                 sums.add(*w.all(), np.array([w.words]))
-            before = None
-            for n, whole, h1, second in w.by_length():
-                at = np.flatnonzero(whole) if n == 1 and words else np.zeros(0, np.int64)
-                if n > 1:
-                    old, new = before
-                    at = np.flatnonzero(old[:-1] & old[1:] & (new[:-1] | new[1:]) & whole)
-                if len(at):
-                    sums.add(h1[at], second(at))
+            new = np.zeros(len(w.ids), bool)
+            for n, at, h1, old in w.by_length(known):
+                if n == 1:
+                    on = np.full(len(at), words)
+                else:
+                    on = new[at] | new[at + 1]
+                if on.any():
+                    sums.add(h1[on], w.second(at[on], n))
                 if not some:
                     break
-                old = whole & known.has(h1)
-                before = old, old & recent.has(h1)
-                if not old.any():
-                    break
+                new = np.zeros(len(new), bool)
+                if n < LONGEST:
+                    new[at[old]] = recent.has(h1[old])
             if sums.size > ROWS:
                 sums.close()
                 if sums.size > ROWS // 2:
@@ -228,16 +249,15 @@ def _spelled(docs: DataFrame, frequent: Bits, wanted: Bits) -> DataFrame:
 
             none = w.all()
             put(int(none[0].view(np.int64)[0]), int(none[1][0]), b"")
-            before = None
-            for n, whole, h1, second in w.by_length():
-                often = whole & frequent.has(h1)
-                if before is not None:  # parts of a frequent phrase are frequent
-                    often &= before[:-1] & before[1:]
-                before, at = often, np.flatnonzero(often & wanted.has(h1))
-                at = at[np.unique(h1[at], return_index=True)[1]]
-                at = at[[x not in seen for x in h1[at].tolist()]] if len(at) else at
-                seen.update(h1[at].tolist())
-                for i, x, y in zip(at.tolist(), h1[at].view(np.int64).tolist(), second(at).tolist()):
+            for n, at, h1, _ in w.by_length(frequent):
+                hit = wanted.has(h1)
+                at, h1 = at[hit], h1[hit]
+                h1, k = np.unique(h1, return_index=True)
+                at = at[k]
+                fresh = np.fromiter((x not in seen for x in h1.tolist()), bool, len(h1))
+                at, h1 = at[fresh], h1[fresh]
+                seen.update(h1.tolist())
+                for i, x, y in zip(at.tolist(), h1.view(np.int64).tolist(), w.second(at, n).tolist()):
                     put(x, y, w.phrase(i, n))
             yield pa.RecordBatch.from_pydict({"h1": pa.array(np.frombuffer(h, np.int64)), "h2": pa.array(np.frombuffer(g, np.int32)), "lang": pa.repeat(pa.scalar(w.lang), len(h)),
                                               "phrase": pa.StringArray.from_buffers(len(h), pa.py_buffer(ends), pa.py_buffer(text))})

@@ -271,10 +271,9 @@ def test_counts_added_up_on_the_way(spark, monkeypatch):
     windows = lambda: [phrases._Windows("x", phrases.tokens(t)) for _, t in rows]
     sums, want = phrases._Sums(), Counter()
     for w in windows():
-        for _, whole, h1, second in w.by_length():
-            at = np.flatnonzero(whole)
-            sums.add(h1[at], second(at))
-            want.update(zip(h1[at].view(np.int64).tolist(), second(at).tolist()))
+        for n, at, h1, _ in w.by_length(None):
+            sums.add(h1, w.second(at, n))
+            want.update(zip(h1.view(np.int64).tolist(), w.second(at, n).tolist()))
             if sums.size > 500:
                 sums.close()
     sums.close()
