@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, keep, text_of, words
+from .common import SPACE, WORD, free_name, keep, let, text_of, words
 
 WEIGHTS = (5.0, 2.0, 1.0)
 
@@ -166,16 +166,24 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source: str = "sour
                     weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: int = 2, block: int = 64,
                     shard_slots: int = 16384, seed: int = 7) -> DataFrame:
     """The mix as documents: for every epoch a row of each document of which that epoch
-    takes words. A document taken whole keeps its text; else its text is the taken words,
-    in order, joined by spaces. Columns are unchanged; documents without words are left
-    out. Rows of both epochs have the same id."""
-    rid = free_name(docs, "rid")
-    marked = keep(docs.withColumn(rid, F.monotonically_increasing_id()), "numbered")
-    rows = keep(_rows(marked, id_col, source, text, F.col(rid)), "sizes")
+    takes words. A document taken whole keeps its text; else its text is what was taken of
+    it, in order: stretches of the text as they stand, white space and line breaks inside
+    them included. Columns stay, whatever they are called; documents without words are left
+    out. Rows of both epochs have the same id; repeated rows and null ids are mixed like any
+    other, a null source is the last one. An empty table gives an empty table."""
+    row = free_name(docs, "row")
+    one = F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns])
+    marked = keep(docs.select(one.alias(row), F.monotonically_increasing_id().alias("rid")), "numbered")
+    own = lambda c: F.col(row)[c]
+    rows = keep(marked.select("rid", own(id_col).alias("id"), own(source).alias("source"),
+                              F.size(words(text_of(own(text)))).cast("long").alias("size")), "sizes")
     s = keep(sources(rows, weights, share, most), "targets")
-    taken = (_pieces(rows, s, block, shard_slots, most, seed).groupBy(F.col("rid").alias("__rid"), F.col("epoch").alias("__epoch"))
-             .agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("__parts"), (F.sum("length") == F.first("size")).alias("__whole")))
-    cut = F.array_join(F.flatten(F.transform("__parts", lambda p: F.slice("__words", p["start"].cast("int") + 1, p["length"].cast("int")))), " ")
-    out = (marked.join(taken, F.col(rid) == F.col("__rid")).withColumn("__words", words(text_of(text)))
-           .withColumn("__text", F.when(F.col("__whole"), F.col(text)).otherwise(cut)))
-    return out.select(*[F.col("__text").alias(c) if c == text else F.col(c) for c in docs.columns])
+    taken = (_pieces(rows, s, block, shard_slots, most, seed).groupBy("rid", "epoch")
+             .agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("parts"), (F.sum("length") == F.first("size")).alias("whole")))
+    # each word with the white space behind it, so stretches of them are stretches of the text
+    each = F.regexp_extract_all(text_of(own(text)), F.lit(f"{WORD}+{SPACE[:-1]}*+"), F.lit(0))
+    cut = let(each, lambda w: F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(w, p["start"].cast("int") + 1, p["length"].cast("int")))), ""))
+    new = F.when(F.col("whole"), own(text)).otherwise(F.regexp_replace(cut, f"{SPACE}$", ""))
+    fresh = free_name(docs, "new")
+    out = marked.join(taken, "rid").select(row, new.alias(fresh))
+    return out.select(*[F.col(fresh).alias(c) if c == text else own(c).alias(c) for c in docs.columns])

@@ -4,7 +4,9 @@ Method (sequential covering). Statistics of each labelled document are cut at qu
 A rule grows by adding the threshold condition with the largest information gain on the
 growing part of the labels, is pruned to the prefix of conditions that does best on the
 pruning part, and joins the list if it is precise enough there; what it covers is set
-aside, and the next rule is grown. The list is emitted as one ordered Spark conditional
+aside, and the next rule is grown. A rule that fails there only sets its growing rows aside,
+so that another one can grow; the list ends when none does, or after some failures in a
+row. The list is emitted as one ordered Spark conditional
 expression, first rule that holds decides.
 
 Size. Labelled rows are reduced to counts by cut number once; every step is one grouped
@@ -20,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, let, text_of, words
+from .common import free_name, keep, let, text_of, words
 
 FEATURES = ("mean_word", "symbol_share", "dup_line_share", "repeat_share", "upper_share", "n_words", "mean_line")
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -100,12 +102,25 @@ def _repeated(width: int) -> Column:
         lambda a: a["n"]))
 
 
-def learn(labelled: DataFrame, cuts: int = 64, max_rules: int = 8, max_conditions: int = 3,
-          precision: float = 0.95, min_cover: int = 5) -> DecisionList:
+def _chance(p: int, n: int, base: float) -> float:
+    """Bound on the probability of ``p`` or more hits among ``p + n`` rows of share ``base``."""
+    q = p / (p + n)
+    if q <= base:
+        return 1.0
+    kl = q * math.log(q / base) + ((1 - q) * math.log((1 - q) / (1 - base)) if q < 1 else 0.0)
+    return math.exp(-(p + n) * kl)
+
+
+def learn(labelled: DataFrame, cuts: int = 64, precision: float = 0.95, min_cover: int = 5, min_share: float = 0.002,
+          error: float = 0.05, patience: int = 4) -> DecisionList:
     """Decision list from ``labelled``: columns of FEATURES (as from ``with_stats``), ``bad``
     (0 or 1) and ``prune`` (boolean: the row is for pruning). An empty table gives no rules.
-    A rule must cover ``min_cover`` bad rows of the pruning part and be right on a share of
-    ``precision`` of what it covers there (smoothed by one row)."""
+    A rule must cover ``min_cover`` bad rows of the pruning part, and a share of ``min_share``
+    of them (so a list has a bounded length), and be right on a share of ``precision`` of
+    what it covers there, more often than chance would have it: of the k rules tried so far
+    the last may be as good as it is by chance with a probability of ``error / k / (k + 1)``
+    (Chernoff bound), so all together stay below ``error``. Thresholds are the ``cuts``
+    quantiles of each class; ``patience`` failures in a row end the list."""
     names = [f"__{f}" for f in FEATURES]
     at = [i / cuts for i in range(cuts + 1)]
     qs = labelled.groupBy("bad").agg(*[F.percentile_approx(n, at, 10000).alias(n) for n in names]).collect()
@@ -126,10 +141,13 @@ def learn(labelled: DataFrame, cuts: int = 64, max_rules: int = 8, max_condition
         return out
 
     rest, rules = cells, []
-    while len(rules) < max_rules:
+    good, bad = (cells.where(f"prune AND bad = {y}").agg(F.sum("n")).first()[0] or 0 for y in (0, 1))
+    tried = failed = 0
+    least = max(min_cover, math.ceil(min_share * bad))
+    while True:
         rule: list = []
         best_p = best_n = None
-        while len(rule) < max_conditions:
+        while True:
             one = F.explode(F.array(*[F.struct(F.lit(n).alias("f"), F.col(n).alias("b")) for n in names])).alias("x")
             rows = (rest.where(~F.col("prune") & all_of(rule)).select("bad", "n", one)
                     .groupBy("x.f", "x.b", "bad").agg(F.sum("n").alias("n")).collect())  # statistics x cuts x 2
@@ -146,7 +164,7 @@ def learn(labelled: DataFrame, cuts: int = 64, max_rules: int = 8, max_condition
                     for y in (0, 1):
                         low[y] += count.get((n, cut - 1, y), 0)
                     for above, (neg, pos) in ((False, low), (True, [total[0] - low[0], total[1] - low[1]])):
-                        if pos >= min_cover:
+                        if pos >= least:
                             gain = pos * (math.log2(pos / (pos + neg)) - math.log2(best_p / (best_p + best_n)))
                             if best is None or gain > best[0] + 1e-9:
                                 best = (gain, (n, above, cut), pos, neg)
@@ -163,10 +181,14 @@ def learn(labelled: DataFrame, cuts: int = 64, max_rules: int = 8, max_condition
         r = rest.where("prune").agg(*prefix).first()
         pn = [(r[f"{k}_1"] or 0, r[f"{k}_0"] or 0, k) for k in range(1, len(rule) + 1)]
         p, n, k = max(pn, key=lambda x: ((x[0] - x[1]) / max(x[0] + x[1], 1), x[0], -x[2]))
-        if p < min_cover or (p + 0.5) / (p + n + 1) < precision:
-            break
-        rules.append(rule[:k])
-        rest = rest.where(~all_of(rule[:k]))
+        tried += 1
+        if p >= least and p >= precision * (p + n) and _chance(p, n, bad / (good + bad)) <= error / tried / (tried + 1):
+            rules.append(rule[:k])
+            rest, failed = rest.where(~all_of(rule[:k])), 0
+        else:  # what it covers of the growing part no longer attracts rules
+            rest, failed = rest.where(F.col("prune") | ~all_of(rule)), failed + 1
+            if failed == patience:
+                break
     return DecisionList(tuple(tuple(Condition(f[2:], above, edges[f][cut - 1]) for f, above, cut in rule) for rule in rules))
 
 
@@ -179,10 +201,10 @@ def _labelled(stats: DataFrame, id_col: str, labels: DataFrame) -> DataFrame:
             .select(*names, "bad", (F.pmod(F.xxhash64("__id"), F.lit(3)) == 0).alias("prune")))
 
 
-def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text: str, carry_text: bool = True, **options) -> DataFrame:
-    """``docs`` (written and reread) with the statistics, ``__base_failed`` and ``__rule``."""
-    stats = with_stats(docs, text)
-    stats = keep(stats if carry_text else stats.drop(text), "stats")
+def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text: str, **options) -> DataFrame:
+    """``docs`` (written and reread, without the text) with the statistics, ``__base_failed``
+    and ``__rule``."""
+    stats = keep(with_stats(docs, text).drop(text), "stats")
     floor = (F.col("__n_words") < 10) | (100 * F.col("__n_repeat_words") > 20 * F.col("__n_words"))
     listed = learn(_labelled(stats.where(~floor), id_col, labels), **options)
     return stats.withColumn("__base_failed", floor).withColumn("__rule", listed.rule_number())
@@ -197,13 +219,17 @@ def judge_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     An empty table gives an empty table. Other columns are not read.
     """
     d = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    d = _judged(d, labels, "id", "text", carry_text=False, **options)
+    d = _judged(d, labels, "id", "text", **options)
     return d.select(F.col("id").alias(id_col), *[F.col(f"__{s}").alias(s) for s in STATS],
                     F.col("__base_failed").alias("base_failed"),
                     (~F.col("__base_failed") & F.col("__rule").isNull()).alias("kept"), F.col("__rule").alias("rule"))
 
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that are kept, columns unchanged."""
-    d = _judged(docs, labels, id_col, text, **options)
-    return d.where(~F.col("__base_failed") & F.col("__rule").isNull()).select(*docs.columns)
+    """The rows of ``docs`` that ``judge_quality`` keeps. Columns are unchanged, whatever they
+    are called; repeated rows stay; an empty table gives an empty table."""
+    row = free_name(docs, "row")
+    one = F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns])
+    d = docs.select(one.alias(row), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    d = _judged(d, labels, "id", "text", **options).where(~F.col("__base_failed") & F.col("__rule").isNull())
+    return d.select(*[F.col(row)[c].alias(c) for c in docs.columns])

@@ -1,6 +1,7 @@
 """URL templates, mixing, quality rules, chat and the pipeline against brute-force versions."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -191,6 +192,95 @@ def test_learned_list_on_held_out_rows(spark):
     assert rules.learn(noise).rules == ()
 
 
+def brute_list(rows, edges, precision=0.95, least=5, error=0.05):
+    """Sequential covering over plain rows ``(values, bad, prune)``, thresholds from ``edges``."""
+    grow, prune = [r for r in rows if not r[2]], [r for r in rows if r[2]]
+    base, tried, failed, out = sum(r[1] for r in prune) / len(prune), 0, 0, []
+    conds = [(f, above, cut) for f in range(len(edges)) for cut in edges[f] for above in (False, True)]
+    holds = lambda r, c: (r[0][c[0]] >= c[2]) == c[1]
+    while True:
+        rule, left = [], grow
+        while True:
+            p0, n0 = sum(r[1] for r in left), sum(1 - r[1] for r in left)
+            if not p0 or not n0 and rule:
+                break
+            best = None
+            for c in conds:
+                hit = [r[1] for r in left if holds(r, c)]
+                p = sum(hit)
+                if p >= least:
+                    gain = p * (math.log2(p / len(hit)) - math.log2(p0 / (p0 + n0)))
+                    if best is None or gain > best[0] + 1e-9:
+                        best = (gain, c)
+            if best is None or best[0] <= 1e-9:
+                break
+            rule.append(best[1])
+            left = [r for r in left if holds(r, best[1])]
+            if all(r[1] for r in left):
+                break
+        if not rule:
+            return out
+        covers = lambda r, k: all(holds(r, c) for c in rule[:k])
+        pn = [(sum(r[1] for r in prune if covers(r, k)), sum(1 - r[1] for r in prune if covers(r, k)), k) for k in range(1, len(rule) + 1)]
+        p, n, k = max(pn, key=lambda x: ((x[0] - x[1]) / max(x[0] + x[1], 1), x[0], -x[2]))
+        tried += 1
+        if p >= least and p >= precision * (p + n) and rules._chance(p, n, base) <= error / tried / (tried + 1):
+            out.append(rule[:k])
+            failed = 0
+            grow, prune = [r for r in grow if not covers(r, k)], [r for r in prune if not covers(r, k)]
+        else:
+            grow, failed = [r for r in grow if not covers(r, len(rule))], failed + 1
+            if failed == 4:
+                return out
+
+
+def test_covering_matches_brute_force(spark):
+    rnd = random.Random(12)
+    values = lambda: [rnd.randint(0, 5) / 4 for _ in rules.FEATURES]  # noqa: E731  few values: cuts are the values
+    rows = []
+    for i in range(500):
+        x = values()
+        bad = int((x[1] >= 1 and x[4] < 0.5) or x[2] >= 1.25 or rnd.random() < 0.06)
+        rows.append((x, bad, i % 3 == 0))
+    schema = ", ".join(f"__{f} double" for f in rules.FEATURES) + ", bad int, prune boolean"
+    learned = rules.learn(spark.createDataFrame([(*x, b, p) for x, b, p in rows], schema), min_share=0.0)
+    edges = [sorted({r[0][f] for r in rows}) for f in range(len(rules.FEATURES))]
+    want = brute_list(rows, edges)
+    got = [[(rules.FEATURES.index(c.feature), c.above, c.cut) for c in r] for r in learned.rules]
+    assert got == want and len(want) >= 2
+
+
+def test_a_list_is_learned_from_the_given_documents(spark):
+    sf = SMALL.replace("0.001", "0.01")
+    out = rules.judge_quality(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+    assert out.where("rule IS NOT NULL").count() > 0
+
+
+def test_stages_leave_columns_of_any_name(spark):
+    names = ["row", "id", "rid", "__t", "__rid", "__whole", "__words", "__n_words", "__rule", "whole", "parts", "a.b", "doc_id", "source", "text"]
+    text = "one two\n\nthree  four five six\tseven eight nine ten eleven " + " ".join(f"w{i}\n" for i in range(200))
+    row = tuple([*[f"v{i}" for i in range(12)], "7", "s", text])
+    df = spark.createDataFrame([row, row, tuple([None] * 13 + ["s", text])], ", ".join(f"`{n}` string" for n in names))
+    labels = spark.createDataFrame([("7", 1)], "doc_id string, quality int")
+    out = rules.drop_low_quality(df, labels)
+    assert out.columns == names and sorted(map(str, out.collect())) == sorted(map(str, df.collect()))
+    out = mixing.mixed_documents(df)
+    assert out.columns == names
+    kept = out.collect()
+    assert len(kept) >= 3 and all(set(WORD.findall(r.text)) <= set(WORD.findall(text)) and r.row in ("v0", None) and r["a.b"] in ("v11", None) for r in kept)
+
+
+def test_mixed_texts_are_stretches_of_their_documents(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    was = {r.doc_id: r.text for r in docs.collect()}
+    out = mixing.mixed_documents(docs, block=8).collect()
+    for r in out:
+        words, own = WORD.findall(was[r.doc_id]), WORD.findall(r.text)
+        rest = iter(words)
+        assert all(w in rest for w in own)
+    assert any("\n" in r.text and r.text != was[r.doc_id] for r in out)
+
+
 # --- chat
 
 def brute_chat(turns):
@@ -268,6 +358,6 @@ def test_pipeline_stages(spark):
     assert Counter(r.doc_id for r in after.where("start = 0").collect()) == Counter(r.doc_id for r in before.collect())
 
 
-def test_all_eleven_are_registered():
+def test_all_are_registered():
     import __spark_entry__ as E
-    assert {k for k in E.queries() if k == "pipeline" or re.match(r"op\d+_", k)} == set(QUERIES) and len(QUERIES) == 11
+    assert {k for k in E.queries() if k == "pipeline" or re.match(r"op\d+_", k)} == set(QUERIES) and len(QUERIES) == 14
