@@ -30,6 +30,8 @@ from .sequence import latest_per_key, next_in_order
 
 DELETED, TRUNCATE, BUCKET, SRC, OP, BATCH = "_deleted", "_truncate", "_bucket", "_src", "_op", "_batch"
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
+WAS = "_was_deleted"
+OLD, SIGN = "_old", "_sign"  # of a change log: the row before the change; +1 a row that came, -1 one that went
 INTERNAL = (DELETED, TRUNCATE, BUCKET, SRC)
 
 
@@ -135,6 +137,14 @@ def version_changes(ev: DataFrame, spec: ChangeSpec, cols: list[str]) -> DataFra
     return e.withColumn(OP, op).where(F.col(OP).isNotNull()).select(*cols, OP, BATCH)
 
 
+def signed(changes: DataFrame, cols: list[str]) -> DataFrame:
+    """A change log with the rows before (``_old``) as signed rows: an update takes one back
+    and brings one."""
+    image = lambda sign, of: F.struct(F.lit(sign).alias(SIGN), *[of(c).alias(c) for c in cols])
+    both = F.array(F.when(F.col(OP) != "insert", image(-1, lambda c: F.col(OLD)[c])), F.when(F.col(OP) != "delete", image(1, F.col)))
+    return changes.select(F.explode(F.filter(both, lambda r: r.isNotNull())).alias("_r")).select("_r.*")
+
+
 class ChangeApplier:
     """``foreachBatch`` function applying a change feed to a bucketed Parquet target."""
 
@@ -287,18 +297,19 @@ class ChangeApplier:
                 touched = self._touched(red)
                 cur = cur.where(F.col(BUCKET).isin(touched)) if touched else None
             if cur is not None and point is not None:
-                # rows at or before the truncate become tombstones
-                cur = cur.withColumn(DELETED, F.col(DELETED) | ~_after(order, point))
+                # rows at or before the truncate become tombstones (and are logged as deleted)
+                cur = cur.withColumn(WAS, F.col(DELETED)).withColumn(DELETED, F.col(DELETED) | ~_after(order, point))
         if cur is None:
-            u = red.withColumn(SRC, F.lit(1))
+            u = red.withColumn(WAS, F.col(DELETED)).withColumn(SRC, F.lit(1))
         else:
-            u = cur.select(*cols, DELETED, BUCKET).withColumn(SRC, F.lit(0)) \
-                .unionByName(red.withColumn(SRC, F.lit(1)))
+            was = cur if WAS in cur.columns else cur.withColumn(WAS, F.col(DELETED))
+            u = was.select(*cols, DELETED, BUCKET, WAS).withColumn(SRC, F.lit(0)) \
+                .unionByName(red.withColumn(WAS, F.col(DELETED)).withColumn(SRC, F.lit(1)))
         state = [*cols, DELETED, BUCKET]
         g = (u.groupBy(*spec.keys)
              .agg(F.max_by(F.struct(*state), F.struct(*order, SRC)).alias("new"),
-                  F.max(F.when(F.col(SRC) == 0, F.struct(F.col(DELETED).alias("d"),
-                                                         F.struct(*order).alias("o")))).alias("old"))
+                  F.max(F.when(F.col(SRC) == 0, F.struct(F.col(WAS).alias("d"),
+                                                         F.struct(*order).alias("o"), F.struct(*cols).alias("r")))).alias("old"))
              .persist())
         try:
             before = F.col("old").isNotNull() & ~F.col("old.d")
@@ -307,7 +318,8 @@ class ChangeApplier:
                   .when(before & after & (F.col("old.o") != F.struct(*[F.col("new")[c] for c in order])),
                         F.lit("update"))
                   .when(before & ~after, F.lit("delete")))
-            changes = g.select(*[F.col("new")[c].alias(c) for c in cols], op.alias(OP)).where(F.col(OP).isNotNull())
+            changes = (g.select(*[F.col("new")[c].alias(c) for c in cols], op.alias(OP), F.when(before, F.col("old.r")).alias(OLD))
+                       .where(F.col(OP).isNotNull()))
             # the log comes first, whole and once: a replay finds the data half merged
             self._once(changes.drop(BATCH), self.changes, batch_id)
             self.applied += self.spark.read.parquet(f"{self.changes}/{BATCH}={batch_id}").count()  # from the files' footers

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..fixtures import cte
+from ..operators.partials import Measure
 from ..sources.files import read_files_stream
 from .common import setup, view
 from .finance import write_arrivals
@@ -209,6 +210,24 @@ def stream_skip_changes(spark, sf_dir):
     return ws.read("new_suppliers")
 
 
+@query("agg_retractions", TWO_RUNS + """
+SELECT update_type, count(*) AS suppliers, sum(CAST(value AS DECIMAL(18,2))) AS total_value,
+  CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS avg_value FROM r2 GROUP BY 1""")
+def agg_retractions(spark, sf_dir):
+    """A summary over a change target that follows its updates and deletes: each change
+    takes the row it replaces back from its group."""
+    t, ws = setup(spark, sf_dir)
+    path = f"{ws.root}/files/suppliers_cdc"
+    feed, value = view(spark, t, "cdc_feed"), "CAST(value AS DECIMAL(18,2))"
+    measures = [Measure("suppliers", "count"), Measure("total_value", "total", value), Measure("avg_value", "mean", value)]
+    for cond in (F.col("update_date") < F.lit(MID), F.col("update_date") >= F.lit(MID)):
+        write_arrivals(feed, path, [cond], format="parquet")
+        with ws.update():
+            _apply(ws, path, feed.schema)
+            ws.signed_aggregate("g_suppliers_by_type", "s_suppliers", ["update_type"], measures)
+    return ws.read("g_suppliers_by_type").withColumn("total_value", F.col("total_value").cast("decimal(38,2)"))
+
+
 @query("cdc_recent_customer_orders", cte("s_orders") + """
 SELECT order_id, line, order_date, customer_id, customer_name, item_id, item_description, unit_price,
   qty_ordered, total_price FROM (

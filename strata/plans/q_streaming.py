@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from ..fixtures import cte
 from ..operators.joins import interval_join
+from ..operators.partials import Measure, finish, merge, partial
 from ..sources.files import read_files_stream
 from ..streaming.event_time import to_event_time, watermarked, windowed_aggregate
-from .common import build_s_orders, ingest_lines, s_orders_pipeline, setup
+from .common import build_s_orders, ingest_lines, s_orders_pipeline, setup, view
 from .finance import write_arrivals
 from .finance import LINE_SCHEMA, finish_day_summary, sales_by_customer, sales_by_day_aggs
 from .registry import query
@@ -137,6 +138,58 @@ def stream_late_data(spark, sf_dir):
     return ws.read("g_events_by_day")
 
 
+EVENT_MEASURES = [Measure("events", "count"), Measure("total_value", "total", "CAST(value AS DECIMAL(18,2))")]
+
+
+def _half_month_runs(spark, sf_dir):
+    """The second half of the month first, the first half in the next run: late for windows
+    that are closed by then."""
+    t, ws = setup(spark, sf_dir)
+    path = f"{ws.root}/files/events"
+    for cond in (F.col("ts") >= F.lit("2024-01-15"), F.col("ts") < F.lit("2024-01-15")):
+        write_arrivals(t.events, path, [cond], format="parquet")
+        with ws.update():
+            src = read_files_stream(spark, path, t.events.schema, "parquet")
+            ws.window_table("g_events_by_day", src, "ts", "1 day", "1 HOUR", EVENT_MEASURES)
+    return ws
+
+
+@query("stream_late_rows", "SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00'")
+def stream_late_rows(spark, sf_dir):
+    """Rows that come after their window was closed are kept in a side table."""
+    return _half_month_runs(spark, sf_dir).read_late("g_events_by_day")
+
+
+@query("stream_late_repaired", f"""
+SELECT * FROM ({EVENTS_BY_DAY.format(where="")}) WHERE window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""")
+def stream_late_repaired(spark, sf_dir):
+    """The windows of the late rows are reopened from the side table: the table then
+    equals the aggregate over all rows. A second repair changes nothing."""
+    ws = _half_month_runs(spark, sf_dir)
+    ws.repair("g_events_by_day")
+    ws.repair("g_events_by_day")
+    return ws.read("g_events_by_day").withColumn("total_value", F.col("total_value").cast("double"))
+
+
+@query("agg_day_from_hours", cte("s_orders") + """
+SELECT date_trunc('day', order_date) AS window_start, count(order_id) AS total_orders,
+  CAST(sum(total_price) AS DECIMAL(38,2)) AS total_sales, CAST(sum(total_price) AS DOUBLE) / count(total_price) AS avg_sales,
+  min(total_price) AS min_order_amount, max(total_price) AS max_order_amount
+FROM s_orders GROUP BY 1""")
+def agg_day_from_hours(spark, sf_dir):
+    """The day's summary put together from stored partials of its hours; the order lines
+    are read once, for the hours."""
+    t, ws = setup(spark, sf_dir)
+    price = "total_price"
+    measures = [Measure("total_orders", "count", "order_id"), Measure("total_sales", "total", price), Measure("avg_sales", "mean", price),
+                Measure("min_order_amount", "least", price), Measure("max_order_amount", "most", price)]
+    hours = partial(view(spark, t, "s_orders"), [F.date_trunc("hour", "order_date").alias("hour")], measures)
+    ws.materialized_view("g_sales_by_hour", hours)
+    day = F.date_trunc("day", "hour").cast("timestamp_ntz").alias("window_start")
+    out = finish(merge(ws.read("g_sales_by_hour"), [day], measures), ["window_start"], measures)
+    return out.withColumn("total_sales", F.col("total_sales").cast("decimal(38,2)"))
+
+
 @query("stream_filter", S_ORDERS_ORACLE.replace("SELECT * FROM s_orders",
                                                 "SELECT * FROM s_orders WHERE order_date > TIMESTAMP '1997-06-30 00:00:00'"))
 def stream_filter(spark, sf_dir):

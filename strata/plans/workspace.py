@@ -28,10 +28,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..fs import delete, exists, mkdirs, move
+from ..fs import children, delete, exists, mkdirs, move
 from ..functions.params import Params
 from ..operators import cdc as cdc_ops
 from ..operators.layout import Layout, deepest, quantile_cuts, zorder_code
+from ..operators.partials import Measure, PartialStore, finish, partial
 from ..operators.quality import DROP, enforce, expectation_report, metric_columns
 from ..session import new_scratch, prepare
 from ..sources.files import RESCUE_COLUMN, file_stream, read_files_rescued
@@ -59,6 +60,7 @@ class TableInfo:
     once_done: list = field(default_factory=list)
     cdc: dict = field(default_factory=dict)
     compacted: dict = field(default_factory=dict)  # streaming table: {"path", "upto": {flow: batch}}
+    partials: dict = field(default_factory=dict)  # kind agg: {"keys", "measures", "window"}
     clustered: dict = field(default_factory=dict)  # {"manifest", "keys", "cuts", "upto": {flow: batch}}
 
     @property
@@ -230,6 +232,9 @@ class Workspace:
             if df is None:
                 return self.spark.createDataFrame([], i.struct())
             return df.select(*i.struct().fieldNames())
+        if i.kind == "agg":
+            df = self._closed(i)
+            return self.spark.createDataFrame([], i.struct()) if df is None else df.select(*i.struct().fieldNames())
         if not exists(self.spark, path):
             return self.spark.createDataFrame([], i.struct())
         if i.clustered:
@@ -349,6 +354,17 @@ class Workspace:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
+    def read_signed(self, name: str) -> DataFrame:
+        """Stream of a type 1 target's changes as signed rows (``_sign``): +1 a row that came,
+        -1 one that an update or delete took back."""
+        i = self.catalog[name]
+        if i.kind != "cdc" or i.cdc["scd_type"] != 1:
+            raise ValueError(f"{name} is no type 1 change target")
+        path, row = f"{self.data_path(name)}/changes", i.struct()
+        mkdirs(self.spark, path)
+        schema = T.StructType([*row.fields, T.StructField(cdc_ops.OP, T.StringType()), T.StructField(cdc_ops.OLD, row), T.StructField(cdc_ops.BATCH, T.LongType())])
+        return cdc_ops.signed(self.spark.readStream.schema(schema).parquet(path), row.fieldNames())
+
     def read_quarantine(self, name: str) -> DataFrame:
         """Change rows without a key or sequence value, kept as they came."""
         i = self.catalog[name]
@@ -609,6 +625,116 @@ class Workspace:
             q = start(self.spark, w, self._continuous, i.properties.get(TRIGGER_INTERVAL))
             return self._drive(name, name, q, lambda res: self._record_flow(i, name, False, res, (), {"out": written()}))
 
+    # -- aggregates kept as partials -------------------------------------------------------
+    def _store(self, i: TableInfo) -> PartialStore:
+        return PartialStore(self.spark, self.data_path(i.name), i.partials["keys"], [Measure(*m) for m in i.partials["measures"]])
+
+    def _partial_table(self, name: str, keys: list[str], measures: list[Measure], window: dict | None, sample: DataFrame,
+                       comment: str | None, properties: dict | None) -> TableInfo:
+        i = self._declare(name, "agg", comment, properties)
+        i.partials = i.partials or {"keys": list(keys), "measures": [list(m) for m in measures], "window": window}
+        if i.schema is None:  # the types of the result, from its plan
+            none = self.spark.createDataFrame([], sample.schema)
+            i.schema = finish(partial(none, keys, measures), list(keys), measures).schema.json()
+        return i
+
+    def _run_partials(self, i: TableInfo, df: DataFrame, take) -> RunResult | None:
+        w = (df.writeStream.foreachBatch(take).option("checkpointLocation", self.checkpoint_path(i.name, "partials"))
+             .queryName(f"{i.name}.partials.{uuid.uuid4().hex[:6]}"))
+        q = start(self.spark, w, self._continuous, i.properties.get(TRIGGER_INTERVAL))
+
+        def record(res: RunResult) -> None:
+            self._store(i).fold()
+            self._record_flow(i, i.name, False, res)
+        return self._drive(i.name, i.name, q, record)
+
+    def signed_aggregate(self, name: str, source: str, keys, measures: list[Measure], comment: str | None = None,
+                         properties: dict | None = None) -> RunResult | None:
+        """Aggregate by ``keys`` over a type 1 change target that follows its updates and
+        deletes: each batch adds the partials of its signed rows, so a group's values and the
+        groups there are stay those of the target as it is. Counts, totals and means."""
+        with self._implicit_update():
+            keys = list(keys)
+            for m in measures:
+                m.parts(F.lit(1))  # can it be taken back?
+            df = self.read_signed(source)
+            i = self._partial_table(name, keys, measures, None, self.spark.createDataFrame([], self.catalog[source].struct()), comment, properties)
+            store = self._store(i)
+            return self._run_partials(i, df, lambda batch, n: store.add(batch, n, sign=cdc_ops.SIGN))
+
+    def window_table(self, name: str, df: DataFrame, time: str, size: str, delay: str, measures: list[Measure], keys=(),
+                     comment: str | None = None, properties: dict | None = None) -> RunResult | None:
+        """Tumbling windows of ``size`` over ``time`` that are read once they are closed, i.e.
+        end at or before the greatest time of earlier batches less ``delay``. Rows that come
+        for a closed window are kept (``read_late``), not dropped; ``repair`` takes them in.
+
+        Windows are kept as partials by batch; the watermark is a row a batch beside them, so
+        a retried batch finds the one it began with."""
+        with self._implicit_update():
+            keys = ["window_start", "window_end", *keys]
+
+            def windowed(rows: DataFrame) -> DataFrame:
+                w = F.window(F.col(time).cast("timestamp"), size)
+                return rows.withColumn("window_start", w["start"].cast("timestamp_ntz")).withColumn("window_end", w["end"].cast("timestamp_ntz"))
+
+            sample = windowed(self.spark.createDataFrame([], df.schema))
+            i = self._partial_table(name, keys, measures, {"delay": delay, "schema": df.schema.json()}, sample, comment, properties)
+            store = self._store(i)
+
+            def take(batch: DataFrame, n: int) -> None:
+                rows = windowed(batch).persist()
+                try:
+                    mark = self._mark(i, n)
+                    closed = F.lit(False) if mark is None else F.col("window_end") <= mark - F.expr(f"INTERVAL {delay}")
+                    known = F.col("window_start").isNotNull()  # a row without a time is in no window
+                    store.publish(rows.where(closed & known), f"late/batch-{n}")
+                    store.add(rows.where(~closed & known), n)
+                    seen = rows.agg(F.max(F.col(time).cast("timestamp_ntz")).alias("mark"))
+                    if mark is not None:
+                        seen = seen.select(F.greatest("mark", mark).alias("mark"))
+                    store.publish(seen.coalesce(1), f"marks/before-{n + 1}")
+                finally:
+                    rows.unpersist()
+            return self._run_partials(i, df, take)
+
+    def _mark(self, i: TableInfo, before: int | None = None):
+        """The greatest event time of the batches before one (of all without one)."""
+        numbers = sorted(int(n.split("-")[1]) for n in children(self.spark, f"{self.data_path(i.name)}/marks"))
+        numbers = [n for n in numbers if before is None or n <= before]
+        if not numbers:
+            return None
+        mark = self.spark.read.parquet(f"{self.data_path(i.name)}/marks/before-{numbers[-1]}").first()["mark"]
+        return None if mark is None else F.lit(str(mark)).cast("timestamp_ntz")  # a text: no time zone comes in between
+
+    def _closed(self, i: TableInfo) -> DataFrame | None:
+        df = self._store(i).read()
+        if df is None or not i.partials["window"]:
+            return df
+        mark = self._mark(i)
+        delay = F.expr(f"INTERVAL {i.partials['window']['delay']}")
+        return df.where(F.lit(False) if mark is None else F.col("window_end") <= mark - delay)
+
+    def read_late(self, name: str) -> DataFrame:
+        """Rows that came for a window after it was closed, as they came."""
+        i = self.catalog[name]
+        schema = T.StructType.fromJson(json.loads(i.partials["window"]["schema"]))
+        base = f"{self.data_path(name)}/late"
+        paths = [f"{base}/{n}" for n in children(self.spark, base)]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def repair(self, name: str) -> int:
+        """Reopen the windows that late rows belong to: their partials are added to those of
+        the table. Returns the number of late batches taken in; each is so once."""
+        i, done = self.catalog[name], 0
+        store, base = self._store(i), f"{self.data_path(name)}/late"
+        last = max((int(n.rsplit("-", 1)[1]) for n in children(self.spark, f"{store.path}/parts") if n.startswith("late-")), default=-1)
+        _, upto = store._folded()
+        for n in sorted(int(x.split("-")[1]) for x in children(self.spark, base)):
+            if n > max(last, upto.get("late", -1)):
+                store.add(self.spark.read.parquet(f"{base}/batch-{n}"), n, "late")
+                done += 1
+        return done
+
     # -- maintenance ---------------------------------------------------------------------
     def _arranged(self, i: TableInfo, df: DataFrame, path: str) -> None:
         layout = i.layout()
