@@ -63,5 +63,36 @@ def validate(spark: SparkSession, definitions: list[Definition], sources: dict[s
     return spark.createDataFrame(rows, "dataset string, check string, status string, message string")
 
 
+def rule_counts(definitions: list[Definition], sources: dict[str, DataFrame]) -> DataFrame:
+    """Rows that pass and fail each rule of each definition that resolves: ``(dataset,
+    expectation, passed, failed)``, one aggregate a dataset. A NULL verdict is a failure;
+    definitions and rules that do not resolve are left to ``validate``."""
+    reader, out = Reader(sources), None
+    for d in definitions:
+        try:
+            df = d.build(reader)
+            df.schema  # analysis only
+        except (AnalysisException, MissingDataset):
+            continue
+        reader.plans[d.name] = df
+        rules = []
+        for e in d.expectations:
+            try:
+                df.select(e.column()).schema  # noqa: B018
+                rules.append(e)
+            except AnalysisException:
+                continue
+        if not rules:
+            continue
+        held = [F.count_if(F.coalesce(e.column(), F.lit(False))).alias(f"p{k}") for k, e in enumerate(rules)]
+        one = df.agg(F.count(F.lit(1)).alias("n"), *held)
+        each = F.explode(F.array(*[F.struct(F.lit(e.name).alias("expectation"), F.col(f"p{k}").alias("passed")) for k, e in enumerate(rules)]))
+        one = one.select("n", each.alias("r")).select(F.lit(d.name).alias("dataset"), "r.expectation", "r.passed", (F.col("n") - F.col("r.passed")).alias("failed"))
+        out = one if out is None else out.unionByName(one)
+    if out is None:
+        raise ValueError("no rule resolves")
+    return out
+
+
 def failures(report: DataFrame) -> DataFrame:
     return report.where(F.col("status") != "OK")

@@ -7,7 +7,7 @@ from contextlib import redirect_stdout
 from pyspark.sql import functions as F
 
 from strata.operators import joins
-from strata.operators.sequence import next_in_order
+from strata.operators.sequence import block_of, next_in_order
 from strata.plans.common import setup
 
 
@@ -58,6 +58,7 @@ def test_building_joins_runs_no_job(spark):
 def test_history_window_is_not_keyed_by_the_change_key_alone(spark):
     from conftest import SMALL
     t, _ = setup(spark, SMALL)
-    p = _plan(next_in_order(t.events, ["user_id"], ["ts", "event_id"], "ts", "nxt"))
+    blocks = block_of(t.events, "ts", rows=100)  # as for a table of more rows than one block holds
+    p = _plan(next_in_order(t.events, ["user_id"], ["ts", "event_id"], "ts", "nxt", block=blocks))
     # the raw rows are windowed per (key, block); only the per-block firsts per key
     assert "hashpartitioning(user_id#" in p and "__strata_block" in p

@@ -72,7 +72,10 @@ def test_full_refresh_resets_but_no_reset_table_keeps_rows(spark):
 def test_validate_reports_missing_column_without_jobs(spark):
     import __spark_entry__ as E
     from conftest import SMALL
-    rows = {(r.dataset, r.check): r.status for r in E.queries()["validate_contracts"](spark, SMALL).collect()}
+    from strata.plans.q_eventlog import contracts
+    from strata.plans.validate import validate
+    E.queries()
+    rows = {(r.dataset, r.check): r.status for r in validate(spark, *contracts(spark, SMALL)).collect()}
     assert rows[("validate_customer_names_by_failing", "expectation:valid_customer_id")] == "FAILED"
     assert rows[("s_orders", "definition")] == "OK"
 
