@@ -260,9 +260,7 @@ class ChangeApplier:
             else:
                 cols = self.spec.user_columns(ev)
                 store = self.history(T.StructType([ev.schema[c] for c in cols]))
-                before = store.size()
-                store.apply(ev.select(*cols, DELETED), batch_id)
-                self.applied += store.size() - before
+                self.applied += store.apply(ev.select(*cols, DELETED), batch_id)
         finally:
             batch.unpersist()
 

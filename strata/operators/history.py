@@ -109,12 +109,13 @@ class HistoryStore:
     def _at(self) -> Column:
         return F.struct(*self.order)
 
-    def apply(self, changes: DataFrame, batch_id: int) -> None:
+    def apply(self, changes: DataFrame, batch_id: int) -> int:
         """Take ``changes`` (the store's columns and ``_deleted``) in as batch ``batch_id``.
-        Changes that the store has already are left out; a batch it has taken is skipped."""
+        Changes that the store has already are left out; a batch it has taken is skipped.
+        Returns by how many versions the table grew."""
         newest, live = self._live()
         if batch_id <= max((r["batch"] for r in live), default=-1):
-            return
+            return 0
         names = self.columns.fieldNames()
         ev = (changes.select(*names, DELETED).dropDuplicates([*self.keys, *(c for c in self.order if c not in self.keys)])
               .withColumn(BATCH, F.lit(batch_id).cast("long")).withColumn(BUCKET, self._bucket()).persist())
@@ -122,9 +123,8 @@ class HistoryStore:
             touched = [r[0] for r in ev.select(BUCKET).distinct().collect()]  # at most ``buckets``
             opened = [r for r in live if r[KIND] == OPEN and r[BUCKET] in set(touched)]
             if touched and not live:
-                self._commit(self._merged(ev, None), newest + 1, batch_id, live, set())
-            elif touched:
-                self._take(ev, batch_id, newest, live, opened)
+                return self._commit(self._merged(ev, None), newest + 1, batch_id, live, set())
+            return self._take(ev, batch_id, newest, live, opened) if touched else 0
         finally:
             ev.unpersist()
 
@@ -159,7 +159,7 @@ class HistoryStore:
         blocks = block_of(ev, self.order[0])
         return next_in_order(rows, self.keys, self.order, "_at", NEXT, block=blocks).where(F.col(_RANK) > 0).drop("_at")
 
-    def _take(self, ev: DataFrame, batch_id: int, newest: int, live: list, opened: list) -> None:
+    def _take(self, ev: DataFrame, batch_id: int, newest: int, live: list, opened: list) -> int:
         names, keys = self.columns.fieldNames(), self.keys
         open_rows = self._read(opened)
         mine = open_rows.join(ev.select(*keys).distinct(), keys, "left_semi")
@@ -192,14 +192,15 @@ class HistoryStore:
                     w = w.join(gone, (F.col("_h") == F.col("_h1")) & F.col("_id").eqNullSafe(F.col("_id1")), "left_anti")
                     out = out.unionByName(w.select(*out.columns))
                 gone_folders = moved | {(r[RUN], r[KIND], r[BUCKET]) for r in opened}
-                self._commit(out, newest + 1, batch_id, live, gone_folders)
+                return self._commit(out, newest + 1, batch_id, live, gone_folders)
             finally:
                 merged.unpersist()
         finally:
             late.unpersist()
 
-    def _commit(self, rows: DataFrame, run: int, batch_id: int, live: list, gone: set) -> None:
-        """Write a run and the manifest that names it in place of the folders that are gone."""
+    def _commit(self, rows: DataFrame, run: int, batch_id: int, live: list, gone: set) -> int:
+        """Write a run and the manifest that names it in place of the folders that are gone.
+        Returns by how many versions the table grew."""
         entries = [r.asDict() | {"batch": max(r["batch"], batch_id)} for r in live if (r[RUN], r[KIND], r[BUCKET]) not in gone]
         target, stage = f"{self.rows}/{RUN}={run}", f"{self.staging}/run-{run}"
         if exists(self.spark, target):  # of an attempt that did not reach its manifest
@@ -222,6 +223,7 @@ class HistoryStore:
         data = [tuple(e[f] for f in schema.fieldNames()) for e in entries]
         self.spark.createDataFrame(data, schema).coalesce(1).write.mode("overwrite").parquet(stage)
         move(self.spark, stage, f"{self.manifests}/n={run}")
+        return sum(e["versions"] for e in entries) - sum(r["versions"] for r in live)
 
     # -- upkeep ------------------------------------------------------------------------------
     def compact(self, runs: int = 1) -> None:
