@@ -34,24 +34,30 @@ from ..fs import delete
 from .common import keep, new_path, text_of
 
 LONGEST = 5
-TOKENS = 1 << 18  # words a task looks at together
+BYTES = 1 << 20  # of text that a task looks at together
 ROWS = 1 << 20  # counts a task holds before it adds them up
-END = b"."  # between pieces; no word holds it
-# every piece delimiter becomes END; A-Z become a-z, tab a space
+END, SPACE = ord("."), ord(" ")
+# every piece delimiter becomes END, which no word holds; A-Z become a-z, tab a space
 _BYTES = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\tABCDEFGHIJKLMNOPQRSTUVWXYZ", b"." * 10 + b" abcdefghijklmnopqrstuvwxyz")
 STEP = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))  # odd numbers, one a hash
 COUNTS = "h1 long, h2 int, n long"  # the last three bits of h2: words in the phrase
+# a number for each byte and hash; bytes between words count nothing
+_VALUE = np.random.default_rng(2).integers(1, 1 << 63, (2, 256), dtype=np.uint64)
+_VALUE[:, [END, SPACE]] = 0
 
 
-def tokens(text: str) -> list[bytes]:
-    """The words of a text, with END between pieces."""
-    return text.encode("utf-8", "replace").translate(_BYTES).replace(b".", b" . ").split()
+def plain(text: str) -> bytes:
+    """A text with its pieces ended by END and words parted by spaces."""
+    return text.encode("utf-8", "replace").translate(_BYTES) + b"."
 
 
-def _hash(words: list[bytes]) -> np.ndarray:
-    """Two hashes of each word, one a row."""
-    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), "<u8").reshape(-1, 2)
-    return np.ascontiguousarray(both.T)
+def _powers(n: int) -> np.ndarray:
+    out = np.empty((2, n), np.uint64)
+    for k in (0, 1):
+        out[k, 0] = 1
+        out[k, 1:] = STEP[1 - k]
+        np.multiply.accumulate(out[k], out=out[k])
+    return out
 
 
 def _mixed(h: np.ndarray, lang: str, seed: int) -> np.ndarray:
@@ -90,43 +96,50 @@ class Bits:
 
 
 class _Windows:
-    """The windows of one language's tokens, by their hashes."""
-
-    def __init__(self, lang: str, toks: list[bytes]):
-        number: defaultdict[bytes, int] = defaultdict()
-        number.default_factory = number.__len__
-        number[END]  # 0
-        self.lang, self.ids = lang, np.fromiter(map(number.__getitem__, toks), np.int32, len(toks))
-        self.names = list(number)
-        self.word = _hash(self.names)
-        self.words = int(np.count_nonzero(self.ids))
+    """The windows of some plain text of one language, by their hashes. A word's hash is the
+    sum of its bytes' numbers, each times a power of its place."""
+
+    def __init__(self, lang: str, text: bytes):
+        b = np.frombuffer(text, np.uint8)
+        end = b == END
+        inside = ~end & (b != SPACE)
+        begins = end.copy()
+        begins[1:] |= inside[1:] & ~inside[:-1]
+        begins[0] |= inside[0]
+        self.start = np.flatnonzero(begins)
+        b = b[self.start[0] :]
+        place = np.arange(len(b), dtype=np.int32) - np.repeat((self.start - self.start[0]).astype(np.int32), np.diff(np.append(self.start, len(text))))
+        power = _powers(int(place.max()) + 1)
+        self.lang, self.text = lang, text
+        self.word = [np.add.reduceat(_VALUE[k][b] * power[k][place], self.start - self.start[0]) for k in (0, 1)]
+        self.is_word = ~end[self.start]
+        self.words = int(np.count_nonzero(self.is_word))
 
     def _second(self, raw: np.ndarray, n: int) -> np.ndarray:
         return ((_mixed(raw, self.lang, 1) >> np.uint64(32)).astype(np.uint32) & np.uint32(0xFFFFFFF8) | np.uint32(n)).view(np.int32)
 
     def second(self, at: np.ndarray, n: int) -> np.ndarray:
         """The second hash of the windows of ``n`` words at these places."""
-        raw = self.word[1][self.ids[at]]
+        raw = self.word[1][at]
         for k in range(1, n):
-            raw = raw * STEP[1] + self.word[1][self.ids[at + k]]
+            raw = raw * STEP[1] + self.word[1][at + k]
         return self._second(raw, n)
 
     def by_length(self, known: Bits | None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """``(n, at, h1, old)`` for 1 to 5 words: windows inside a piece whose parts are both
         known (words: all; without ``known`` all windows), their first hash, and which of
         them are known. What has an unknown part is unknown, so windows get fewer."""
-        first = _mixed(self.word[0], self.lang, 0)  # by word, not by place
-        own = np.ones(len(first), bool) if known is None else known.has(first)
-        own[0] = False
-        at = np.flatnonzero(self.ids)
-        old, raw = own[self.ids], np.zeros(len(self.ids), np.uint64)
-        raw[at] = self.word[0][self.ids[at]]
-        yield 1, at, first[self.ids[at]], old[at]
+        at, raw = np.flatnonzero(self.is_word), self.word[0].copy()
+        h1 = _mixed(raw[at], self.lang, 0)
+        now = np.ones(len(at), bool) if known is None else known.has(h1)
+        yield 1, at, h1, now
+        old = np.zeros(len(raw), bool)
+        old[at] = now
         for n in range(2, LONGEST + 1):
             at = np.flatnonzero(old[:-1] & old[1:])
             if not len(at):
                 return
-            r = raw[at] * STEP[0] + self.word[0][self.ids[at + n - 1]]
+            r = raw[at] * STEP[0] + self.word[0][at + n - 1]
             h1 = _mixed(r, self.lang, 0)
             now = np.ones(len(at), bool) if known is None or n == LONGEST else known.has(h1)
             yield n, at, h1, now
@@ -140,25 +153,25 @@ class _Windows:
         return _mixed(none, self.lang, 0), self._second(none, 0)
 
     def phrase(self, at: int, n: int) -> bytes:
-        return b" ".join(self.names[w] for w in self.ids[at : at + n])
+        upto = self.start[at + n] if at + n < len(self.start) else len(self.text)
+        return b" ".join(w for w in self.text[self.start[at] : upto].split(b" ") if w)
 
 
 def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[_Windows]:
-    """The rows ``(lang, text)`` of a task, about ``TOKENS`` words of a language at a time."""
+    """The rows ``(lang, text)`` of a task, about ``BYTES`` of a language at a time."""
     held: defaultdict[str, list[bytes]] = defaultdict(list)
-    size = 0
+    size: defaultdict[str, int] = defaultdict(int)
     for b in batches:
         for i in range(b.num_rows):
-            lang, toks = b.column(0)[i].as_py(), tokens(b.column(1)[i].as_py())
-            held[lang] += toks
-            held[lang].append(END)
-            size += len(toks) + 1
-            while size > TOKENS:  # the longest first; what is left is small
-                most = max(held, key=lambda x: len(held[x]))
-                size -= len(held[most])
-                yield _Windows(most, held.pop(most))
+            lang, text = b.column(0)[i].as_py(), plain(b.column(1)[i].as_py())
+            held[lang].append(text)
+            size[lang] += len(text)
+            while sum(size.values()) > BYTES:  # the longest first; what is left is small
+                most = max(size, key=size.get)
+                del size[most]
+                yield _Windows(most, b"".join(held.pop(most)))
     for lang in list(held):
-        yield _Windows(lang, held.pop(lang))
+        yield _Windows(lang, b"".join(held.pop(lang)))
 
 
 class _Sums:
@@ -200,7 +213,7 @@ def _scan(docs: DataFrame, known: Bits, recent: Bits, words: bool) -> DataFrame:
         for w in _by_language(batches):
             if words:
                 sums.add(*w.all(), np.array([w.words]))
-            new = np.zeros(len(w.ids), bool)
+            new = np.zeros(len(w.start), bool)
             for n, at, h1, old in w.by_length(known):
                 if n == 1:
                     on = np.full(len(at), words)

@@ -268,7 +268,7 @@ def test_one_long_text_and_empty_tables(spark):
 def test_counts_added_up_on_the_way(spark, monkeypatch):
     r = random.Random(3)
     rows = [(r.choice("xy"), " ".join(r.choices("abcde", k=30))) for _ in range(60)]
-    windows = lambda: [phrases._Windows("x", phrases.tokens(t)) for _, t in rows]
+    windows = lambda: [phrases._Windows("x", phrases.plain(t)) for _, t in rows]
     sums, want = phrases._Sums(), Counter()
     for w in windows():
         for n, at, h1, _ in w.by_length(None):
@@ -281,5 +281,9 @@ def test_counts_added_up_on_the_way(spark, monkeypatch):
     assert Counter(dict(zip(zip(b.column(0).to_pylist(), b.column(1).to_pylist()), b.column(2).to_pylist()))) == want
 
 
-def test_tokens_end_pieces():
-    assert phrases.tokens("A b. c\x0b") == [b"a", b"b", b".", b"c", b"."]
+def test_words_of_plain_text():
+    w = phrases._Windows("x", phrases.plain("  A  b. c\x0b\té\x00 b,"))
+    assert [w.phrase(i, 1) for i in np.flatnonzero(w.is_word)] == [b"a", b"b", b"c", "é\x00".encode(), b"b"] and w.words == 5
+    assert w.phrase(0, 2) == b"a b" and w.word[0][1] == w.word[0][6] and len(set(w.word[0].tolist())) == 5  # b twice; END is 0
+    lone = phrases._Windows("x", phrases.plain(""))
+    assert lone.words == 0 and [n for n, *_ in lone.by_length(None)] == [1]
