@@ -127,16 +127,18 @@ def _disclosing(held: DataFrame, docs: DataFrame, text: str, generalise_at: floa
              .withColumn("need", F.lit(need)).withColumn("own", F.lit(False)))
     literal = (own.groupBy("t").agg(F.count(F.lit(1)).alias("d_ct")).withColumn("c", F.col("t")).join(names, "c").where(F.col("d_ct") * ic >= need_own)
                .withColumn("need", F.lit(need_own)).withColumn("own", F.lit(True)))
-    pairs = keep(pairs.unionByName(literal), "pairs")
+    p, q = F.col("d_c") / n, F.col("d_ct") / F.col("d_t")
+    surprise = F.col("d_t") * (q * F.log2(q / p) + F.when(q < 1, (1 - q) * F.log2((1 - q) / (1 - p))).otherwise(F.lit(0.0)))
+    share = F.log2((F.col("d_ct") + p) / (F.col("d_t") + 1) / p) / ic
+    passing = lambda df: df.where((q > p) & (surprise >= F.col("need"))).withColumn("share", share).where(F.col("share") >= generalise_at)
+    # both fall as d_t grows, so what fails with the texts that hold a match fails with all
+    near = held.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("d_t"))
+    pairs = keep(passing(pairs.unionByName(literal).join(near, "t")).drop("d_t", "share"), "pairs")
     wanted = keep(pairs.select("t").distinct(), "terms")  # by its size Spark sends it around or not
     every = F.array_distinct(F.transform(F.split(t, r"[^\p{L}\p{N}]+", -1), _term))
     terms = (docs.select(F.md5(t).alias("key"), every.alias("every")).select("key", F.explode("every").alias("t"))
              .join(wanted, "t", "left_semi").distinct().groupBy("t").agg(F.count(F.lit(1)).alias("d_t")))
-    p, q = F.col("d_c") / n, F.col("d_ct") / F.col("d_t")
-    surprise = F.col("d_t") * (q * F.log2(q / p) + F.when(q < 1, (1 - q) * F.log2((1 - q) / (1 - p))).otherwise(F.lit(0.0)))
-    share = F.log2((F.col("d_ct") + p) / (F.col("d_t") + 1) / p) / ic
-    rated = keep(pairs.join(terms, "t").where((q > p) & (surprise >= F.col("need"))).withColumn("share", share)
-                 .where(F.col("share") >= generalise_at).select("c", "t", "share", "own"), "rated")
+    rated = keep(passing(pairs.join(terms, "t")).select("c", "t", "share", "own"), "rated")
     hits = (said.join(rated.where("NOT own").select("c", "t", "share"), ["c", "t"]).select("key", "t", "share")
             .unionByName(own.join(rated.where("own").select("t", "share"), "t").select("key", "t", "share")))
     hits = hits.groupBy("key", "t").agg(F.max("share").alias("share"))
