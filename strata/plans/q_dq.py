@@ -8,7 +8,9 @@ from ..fixtures import cte
 from ..operators.joins import lookup
 from ..operators.quality import (expect, expect_or_drop, expect_or_fail, duplicate_keys, quarantine)
 from ..plans.eventlog import expectation_metrics
+from ..sources.files import read_files_stream
 from .common import setup, view
+from .finance import write_arrivals
 from .registry import query
 
 VALID_PRICE = "unit_price IS NOT NULL AND unit_price > 0"
@@ -97,6 +99,21 @@ def dq_pk_duplicates(spark, sf_dir):
                                 comment="Quarantined primary keys for orders")
 
 
+@query("dq_pk_incremental", cte("dq_orders")
+       + "SELECT id, count(id) AS num_orders FROM dq_orders GROUP BY id HAVING count(id) <> 1")
+def dq_pk_incremental(spark, sf_dir):
+    """K7 as orders arrive: three runs, each reads its own rows and the registry of keys. Repeats
+    come within a run and runs apart."""
+    t, ws = setup(spark, sf_dir)
+    path, orders = f"{ws.root}/files/orders", view(spark, t, "dq_orders")
+    part = F.pmod(F.xxhash64("id", "customer_id"), F.lit(3))
+    for k in range(3):
+        write_arrivals(orders, path, [part == k], format="parquet")
+        with ws.update():
+            ws.key_check("quarantined_order_pks", read_files_stream(spark, path, orders.schema, "parquet"), "id", "num_orders")
+    return ws.read("quarantined_order_pks")
+
+
 @query("dq_fk_orphans", cte("dq_orders") + """
 SELECT o.*, c.c_custkey AS fk_customer_id FROM dq_orders o LEFT JOIN customer c ON c.c_custkey = o.customer_id
 WHERE c.c_custkey IS NULL""")

@@ -8,7 +8,7 @@ from ..fixtures import cte
 from ..operators.joins import interval_join
 from ..operators.partials import Measure, finish, merge, partial
 from ..sources.files import read_files_stream
-from ..streaming.event_time import to_event_time, watermarked, windowed_aggregate
+from ..streaming.event_time import deduplicated, to_event_time, watermarked, windowed_aggregate
 from .common import build_s_orders, ingest_lines, s_orders_pipeline, setup, view
 from .finance import write_arrivals
 from .finance import LINE_SCHEMA, finish_day_summary, sales_by_customer, sales_by_day_aggs
@@ -138,6 +138,21 @@ def stream_late_data(spark, sf_dir):
     return ws.read("g_events_by_day")
 
 
+@query("stream_dedup", "SELECT * FROM events")
+def stream_dedup(spark, sf_dir):
+    """L6 on a stream: events sent again, in the same run and in the next one, are dropped by state
+    that lasts for the delay (not by a merge with the table)."""
+    t, ws = setup(spark, sf_dir)
+    path, first = f"{ws.root}/files/events", F.col("ts") < F.lit("2024-01-16")
+    again = F.col("event_id") % 5 == 0
+    for cond, repeats in ((first, first & again), (~first, again)):
+        write_arrivals(t.events, path, [cond, repeats], format="parquet")
+        with ws.update():
+            src = read_files_stream(spark, path, t.events.schema, "parquet")
+            ws.streaming_table_as("b_events", deduplicated(src, "event_id", "ts", "2 days"))
+    return ws.read("b_events")
+
+
 EVENT_MEASURES = [Measure("events", "count"), Measure("total_value", "total", "CAST(value AS DECIMAL(18,2))")]
 
 

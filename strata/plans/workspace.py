@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from ..fs import children, delete, exists, mkdirs, move
 from ..functions.params import Params
 from ..operators import cdc as cdc_ops
+from ..operators.keyregistry import KeyRegistry
 from ..operators.layout import Layout, deepest, quantile_cuts, zorder_code
 from ..operators.partials import Measure, PartialStore, finish, partial
 from ..operators.quality import DROP, enforce, expectation_report, metric_columns
@@ -232,6 +233,8 @@ class Workspace:
             if df is None:
                 return self.spark.createDataFrame([], i.struct())
             return df.select(*i.struct().fieldNames())
+        if i.kind == "keys":
+            return self._registry(i).duplicates(i.partials["count"])
         if i.kind == "agg":
             df = self._closed(i)
             return self.spark.createDataFrame([], i.struct()) if df is None else df.select(*i.struct().fieldNames())
@@ -644,7 +647,8 @@ class Workspace:
         q = start(self.spark, w, self._continuous, i.properties.get(TRIGGER_INTERVAL))
 
         def record(res: RunResult) -> None:
-            self._store(i).fold()
+            if i.kind == "agg":
+                self._store(i).fold()
             self._record_flow(i, i.name, False, res)
         return self._drive(i.name, i.name, q, record)
 
@@ -662,6 +666,20 @@ class Workspace:
             store = self._store(i)
             return self._run_partials(i, df, lambda batch, n: store.add(batch, n, sign=cdc_ops.SIGN))
 
+    def _registry(self, i: TableInfo) -> KeyRegistry:
+        return KeyRegistry(self.spark, self.data_path(i.name), i.partials["keys"], i.struct(), i.partials["buckets"])
+
+    def key_check(self, name: str, df: DataFrame, keys, count_name: str = "num_rows", comment: str | None = None,
+                  properties: dict | None = None) -> RunResult | None:
+        """Keys of a stream that have come other than once so far, kept up to date by what each
+        run brings (``operators.keyregistry``): the table itself is not read again."""
+        with self._implicit_update():
+            keys = [keys] if isinstance(keys, str) else list(keys)
+            i = self._declare(name, "keys", comment, properties)
+            i.partials = i.partials or {"keys": keys, "count": count_name, "buckets": self.buckets}
+            i.schema = i.schema or T.StructType([T.StructField(k, df.schema[k].dataType) for k in keys] + [T.StructField(count_name, T.LongType())]).json()
+            return self._run_partials(i, df.select(*keys), self._registry(i))
+
     def window_table(self, name: str, df: DataFrame, time: str, size: str, delay: str, measures: list[Measure], keys=(),
                      comment: str | None = None, properties: dict | None = None) -> RunResult | None:
         """Tumbling windows of ``size`` over ``time`` that are read once they are closed, i.e.

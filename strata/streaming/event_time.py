@@ -23,6 +23,15 @@ def watermarked(df: DataFrame, col: str, delay: str) -> DataFrame:
     return to_event_time(df, col).withWatermark(col, delay)
 
 
+def deduplicated(df: DataFrame, keys, time_col: str, delay: str) -> DataFrame:
+    """The first row of each key of a stream, where repeats come within ``delay`` of event time.
+    State is kept for that long only: what repeats later, the watermark drops if it is as old
+    as the first, and else it is a row of its own. Times come back as they were."""
+    kind = df.schema[time_col].dataType
+    out = watermarked(df, time_col, delay).dropDuplicatesWithinWatermark([keys] if isinstance(keys, str) else list(keys))
+    return out.withColumn(time_col, F.col(time_col).cast(kind))
+
+
 def window_columns(window: Column | str = "window") -> list[Column]:
     """Flatten a ``window`` struct into NTZ ``window_start`` / ``window_end``."""
     w = F.col(window) if isinstance(window, str) else window
