@@ -8,21 +8,23 @@ last four digits), and the name parts of a mail address. A term t of a text that
 discloses it as far as the corpus says that seeing t makes c likely:
 
     share = log2(P(c | t) / P(c)) / log2(1 / P(c)),
-    P(c) = D(c) / N,  P(c | t) = (D(c, t) + P(c)) / (D(t) + 1),
-
-with D counted over the N different texts, whole texts each (copies are one observation).
-The share nears 1 when t says as much as c itself. In texts that hold c, terms with a share
-of ``generalise_at`` or more are generalised to a class of their shape, of ``remove_at`` or
-more removed, wherever they stand. A pair counts only when its coincidence is significant:
-under independence, D(c, t) of D(t) texts has a chance below 2 ** -(D(t) * KL(D(c, t) / D(t),
+    P(c) = D(c) / N,  P(c | t) = (T + P(c)) / (E + 1),
+
+with D counted over the N documents, whole texts each, T the number of different texts that
+hold both (copies are one observation), and E = T * D(t) / D(c, t), the texts with t that
+this stands for. The share nears 1 when t says as much as c itself. In texts that hold c,
+terms with a share of ``generalise_at`` or more are generalised to a class of their shape, of
+``remove_at`` or more removed, wherever they stand. A pair counts only when its coincidence
+is significant: under independence, T of E texts have a chance below 2 ** -(E * KL(T / E,
 P(c))) (Chernoff), and that, times the number of pairs looked at, must stay below ``error``.
 A term that is itself a name part of an address in the same text was not searched for among
 all pairs; such pairs are a family of their own, so a name in a single text can count.
 
 Size. Classes that no term could be significant for are dropped before pairs are made; the
-others meet the distinct terms of their texts, different texts only, and are added up inside
-each task. Of all documents only terms that may still pass are counted. Terms and classes
-are held by their 64-bit hashes, texts only for documents with a match.
+others meet the distinct terms of their texts, each different text once. Everything is
+added up inside the tasks before it is sent on; of all documents only a count a term and
+task is. Terms and classes are held by their 64-bit hashes, texts only for documents with a
+match.
 """
 
 from __future__ import annotations
@@ -95,14 +97,14 @@ def _entities(s: Column) -> Column:
 
 
 def _held(found: DataFrame) -> DataFrame:
-    """Of each different text with a match: its ``classes`` (entities), the ``terms`` outside
-    the base, the name ``parts`` of its addresses."""
+    """Of each different text with a match: its copies ``n``, its ``classes`` (entities), the
+    ``terms`` outside the base, the name ``parts`` of its addresses."""
     base = F.col("base")
     near = F.filter(matches(F.col("t"), TERM), lambda x: ~covers(base, x["start"], x["end"]))
     names = F.flatten(F.transform(F.filter(base, lambda s: s["kind"] == 0), lambda s: F.filter(
         F.split(F.substring_index(s["m"], "@", 1), r"[^\p{L}]+"), lambda x: F.length(x) > 1)))
-    one = found.where("key IS NOT NULL").dropDuplicates(["key"])
-    return keep(one.select("key", F.array_distinct(F.flatten(F.transform(base, _entities))).alias("classes"),
+    one = found.where("key IS NOT NULL").groupBy("key").agg(F.first("base").alias("base"), F.first("t").alias("t"), F.count(F.lit(1)).alias("n"))
+    return keep(one.select("key", "n", F.array_distinct(F.flatten(F.transform(base, _entities))).alias("classes"),
                            F.array_distinct(F.transform(near, lambda x: _term(x["m"]))).alias("terms"),
                            F.array_distinct(F.transform(names, _term)).alias("parts")), "held")
 
@@ -110,34 +112,34 @@ def _held(found: DataFrame) -> DataFrame:
 def _disclosing(held: DataFrame, docs: DataFrame, text: str, generalise_at: float, error: float) -> DataFrame:
     """``(key, hits)``: for each text its disclosing terms ``(t, share)``."""
     t = text_of(F.col(f"`{text}`"))
-    n = docs.select(F.md5(t).alias("key")).distinct().count()
-    own = held.select("key", F.explode(F.array_intersect("parts", "terms")).alias("t"))
+    n = docs.count()
+    own = held.select("key", "n", F.explode(F.array_intersect("parts", "terms")).alias("t"))
     sums = held.agg(F.sum(F.size("classes").cast("long") * F.size("terms")).alias("pairs"),
                     F.sum(F.size(F.array_intersect("parts", "terms"))).alias("own")).first()
     # bits of surprise that a pair needs, of those looked at in its family
     need, need_own = (math.log2(max(sums[c] or 0, 1) / error) for c in ("pairs", "own"))
-    ic = -F.log2(F.col("d_c") / n)
-    counted = lambda df, least: df.groupBy("c").agg(F.count(F.lit(1)).alias("d_c")).where((F.col("d_c") < n) & (F.col("d_c") * ic >= least))
-    classes = keep(counted(held.select(F.explode("classes").alias("c")), need), "classes")
-    names = counted(held.select(F.explode("parts").alias("c")), need_own)
-    said = held.select("key", F.explode("classes").alias("c"), "terms").join(classes.select("c"), "c", "left_semi")
-    said = said.select("key", "c", F.explode("terms").alias("t"))
+    ic, texts = -F.log2(F.col("d_c") / n), F.count(F.lit(1))
     # no pair is more surprising than if all texts with t held c
-    pairs = (said.groupBy("c", "t").agg(F.count(F.lit(1)).alias("d_ct")).join(classes, "c").where(F.col("d_ct") * ic >= need)
-             .withColumn("need", F.lit(need)).withColumn("own", F.lit(False)))
-    literal = (own.groupBy("t").agg(F.count(F.lit(1)).alias("d_ct")).withColumn("c", F.col("t")).join(names, "c").where(F.col("d_ct") * ic >= need_own)
-               .withColumn("need", F.lit(need_own)).withColumn("own", F.lit(True)))
+    counted = lambda df, least: (df.groupBy("c").agg(F.sum("n").alias("d_c"), texts.alias("texts"))
+                                 .where((F.col("d_c") < n) & (F.col("texts") * ic >= least)).select("c", "d_c"))
+    both = lambda df, keys: df.groupBy(*keys).agg(F.sum("n").alias("d_ct"), texts.alias("texts"))
+    classes = keep(counted(held.select("n", F.explode("classes").alias("c")), need), "classes")
+    names = counted(held.select("n", F.explode("parts").alias("c")), need_own)
+    said = held.select("key", "n", F.explode("classes").alias("c"), "terms").join(classes.select("c"), "c", "left_semi")
+    said = said.select("key", "n", "c", F.explode("terms").alias("t"))
+    pairs = both(said, ["c", "t"]).join(classes, "c").withColumn("need", F.lit(need)).withColumn("own", F.lit(False))
+    literal = both(own, ["t"]).withColumn("c", F.col("t")).join(names, "c").withColumn("need", F.lit(need_own)).withColumn("own", F.lit(True))
     p, q = F.col("d_c") / n, F.col("d_ct") / F.col("d_t")
-    surprise = F.col("d_t") * (q * F.log2(q / p) + F.when(q < 1, (1 - q) * F.log2((1 - q) / (1 - p))).otherwise(F.lit(0.0)))
-    share = F.log2((F.col("d_ct") + p) / (F.col("d_t") + 1) / p) / ic
+    stands_for = F.col("texts") / q
+    surprise = stands_for * (q * F.log2(q / p) + F.when(q < 1, (1 - q) * F.log2((1 - q) / (1 - p))).otherwise(F.lit(0.0)))
+    share = F.log2((F.col("texts") + p) / (stands_for + 1) / p) / ic
     passing = lambda df: df.where((q > p) & (surprise >= F.col("need"))).withColumn("share", share).where(F.col("share") >= generalise_at)
-    # both fall as d_t grows, so what fails with the texts that hold a match fails with all
-    near = held.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("d_t"))
-    pairs = keep(passing(pairs.unionByName(literal).join(near, "t")).drop("d_t", "share"), "pairs")
-    wanted = keep(pairs.select("t").distinct(), "terms")  # by its size Spark sends it around or not
+    # both fall as D(t) grows, so what fails with the texts that hold a match fails with all
+    near = held.select("n", F.explode("terms").alias("t")).groupBy("t").agg(F.sum("n").alias("d_t"))
+    pairs = pairs.where(F.col("texts") * ic >= F.col("need")).unionByName(literal.where(F.col("texts") * ic >= F.col("need")))
+    pairs = keep(passing(pairs.join(near, "t")).drop("d_t", "share"), "pairs")
     every = F.array_distinct(F.transform(F.split(t, r"[^\p{L}\p{N}]+", -1), _term))
-    terms = (docs.select(F.md5(t).alias("key"), every.alias("every")).select("key", F.explode("every").alias("t"))
-             .join(wanted, "t", "left_semi").distinct().groupBy("t").agg(F.count(F.lit(1)).alias("d_t")))
+    terms = docs.select(F.explode(every).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("d_t"))  # a row a term and task is sent
     rated = keep(passing(pairs.join(terms, "t")).select("c", "t", "share", "own"), "rated")
     hits = (said.join(rated.where("NOT own").select("c", "t", "share"), ["c", "t"]).select("key", "t", "share")
             .unionByName(own.join(rated.where("own").select("t", "share"), "t").select("key", "t", "share")))

@@ -91,8 +91,8 @@ def test_base_of_random_texts(spark, ts):
 def brute_terms(rows, at=0.8, error=0.05):
     """Disclosing terms of each row, straight from the definitions."""
     term = re.compile(r"[^\W_]+")
-    texts = {t for _, t in rows}
-    n = len(texts)
+    copies = Counter(t for _, t in rows)
+    texts, n = set(copies), len(rows)
     digits = lambda m: re.sub("[^0-9]", "", m)
     classes, names, near = {}, {}, {}
     for t in texts:
@@ -107,16 +107,24 @@ def brute_terms(rows, at=0.8, error=0.05):
             if k == "email":
                 names[t] |= {w.lower() for w in re.findall(r"[^\W\d_]+", m.split("@")[0]) if len(w) > 1}
         near[t] = {m[0].lower() for m in term.finditer(t) if not any(a < m.end() and b > m.start() for _, a, b in base)} if base else set()
-    df = Counter(w for t in texts for w in {m[0].lower() for m in term.finditer(t)})
+    df = Counter()
+    for t in texts:
+        for w in {m[0].lower() for m in term.finditer(t)}:
+            df[w] += copies[t]
     bad = defaultdict(set)
     families = [({(c, w): 0 for t in texts for c in classes[t] for w in near[t]}, classes, lambda t: [(c, w) for c in classes[t] for w in near[t]]),
                 ({}, names, lambda t: [(w, w) for w in names[t] & near[t]])]
     for _, held, pairs_of in families:
         looked = sum(len(pairs_of(t)) for t in texts)
-        d_c, d_ct = Counter(c for t in texts for c in held[t]), Counter(p for t in texts for p in pairs_of(t))
-        for (c, w), k in d_ct.items():
-            d_t, p = max(df[w], k), d_c[c] / n
-            q = k / d_t
+        d_c, d_ct, both = Counter(), Counter(), Counter(p for t in texts for p in pairs_of(t))
+        for t in texts:
+            for c in held[t]:
+                d_c[c] += copies[t]
+            for pair in pairs_of(t):
+                d_ct[pair] += copies[t]
+        for (c, w), k in both.items():
+            p, q = d_c[c] / n, d_ct[c, w] / df[w]
+            d_t = k / q
             if p >= 1 or q <= p:
                 continue
             kl = q * math.log2(q / p) + ((1 - q) * math.log2((1 - q) / (1 - p)) if q < 1 else 0)
