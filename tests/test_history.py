@@ -154,3 +154,36 @@ def test_a_truncate_point_outlives_a_crash_before_the_rows_change(spark):
     store(spark.createDataFrame([(9, "a", row(9, 20)[2], 0, "cut", False)], SCHEMA), 3)  # an earlier point, late
     store(spark.createDataFrame([row(5, 45)], SCHEMA), 4)
     assert sorted(r.k1 for r in store.read().collect()) == [2, 4]
+
+
+def test_hot_keys_are_cut_in_the_store_and_the_others_are_not(spark, monkeypatch):
+    """A batch whose keys are small is merged without blocks; hot keys, beside others, by them."""
+    from strata.operators import history
+    cut = []
+    real = history.HistoryStore._merged_cut
+    monkeypatch.setattr(history.HistoryStore, "_merged_cut", lambda self, rows: cut.append(1) or real(self, rows))
+    monkeypatch.setattr(history, "ROWS", 8)
+    rnd = random.Random(11)
+    store = ChangeApplier(spark, new_scratch(spark, "history"), spec(), 2, 4)
+    small = spark.createDataFrame([row(k, s) for k in range(30) for s in (10, 20)], SCHEMA).cache()
+    store(small, 0)
+    assert not cut
+    hot = spark.createDataFrame([row(50, s, s % 2, s % 7 == 0) for s in rnd.sample(range(300), 60)] + [row(3, 15)], SCHEMA).cache()
+    late = spark.createDataFrame([row(50, s, 2) for s in rnd.sample(range(300), 40)] + [row(4, 12), row(70, 1)], SCHEMA).cache()
+    store(hot, 1)
+    store(late, 2)
+    assert len(cut) == 2
+    want = scd2(small.unionByName(hot).unionByName(late), spec())
+    assert rows_of(store.read()) == rows_of(want)
+    assert rows_of(store.read_current()) == rows_of(want.where("valid_to IS NULL"))
+
+
+def test_keys_that_fit_a_task_need_one_window_and_no_join(spark):
+    d = spark.range(3000).select((F.col("id") % 700).alias("k"), (F.col("id") * 7919 % 3000).alias("x"), "id")
+    plan = next_in_order(d, ["k"], ["x", "id"], "id", "n")._jdf.queryExecution().toString()
+    assert "Join" not in plan and "__strata_block" not in plan
+    hot = d.withColumn("k", F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 31 != 0, F.col("k")))  # and keys that are null
+    got = next_in_order(hot, ["k"], ["x", "id"], "id", "n", rows=100)
+    assert "__strata_block" in got._jdf.queryExecution().toString()
+    want = hot.withColumn("n", F.lead("id").over(Window.partitionBy("k").orderBy("x", "id")))
+    assert sorted(map(str, got.select("id", "n").collect())) == sorted(map(str, want.select("id", "n").collect()))
