@@ -32,9 +32,20 @@ def _feed_files(spark, t, ws, parts, name="suppliers_cdc", extra=None):
     return path, feed.schema
 
 
-def _apply(ws, path, schema, scd_type=1, keys=("id",), target="s_suppliers", files_per_trigger=None, **kw):
+def _run_by_part(spark, t, ws, parts, name="suppliers_cdc", **kw):
+    """The parts of the feed arrive one after another; each is applied in an update, and so in
+    a micro-batch, of its own, however many files it comes in."""
+    feed = view(spark, t, "cdc_feed")
+    path = f"{ws.root}/files/{name}"
+    for cond in parts:
+        write_arrivals(feed, path, [cond], format="parquet")
+        with ws.update():
+            _apply(ws, path, feed.schema, **kw)
+
+
+def _apply(ws, path, schema, scd_type=1, keys=("id",), target="s_suppliers", **kw):
     """``b_suppliers_cdc`` (stream of the change files) → ``APPLY CHANGES INTO target``."""
-    src = read_files_stream(ws.spark, path, schema, "parquet", max_files_per_trigger=files_per_trigger)
+    src = read_files_stream(ws.spark, path, schema, "parquet")
     kw.setdefault("delete_when", DELETE_WHEN)
     kw.setdefault("tie_break", ["event_id"])
     return ws.apply_changes(target, src, keys=list(keys), sequence_by="update_date", scd_type=scd_type, **kw)
@@ -45,8 +56,7 @@ def cdc_scd1(spark, sf_dir):
     """L1: ``APPLY CHANGES ... KEYS (id) SEQUENCE BY update_date`` (type 1), fed in three
     micro-batches of interleaved times."""
     t, ws = setup(spark, sf_dir)
-    path, schema = _feed_files(spark, t, ws, [F.col("event_id") % 3 == k for k in range(3)])
-    _apply(ws, path, schema, files_per_trigger=1)
+    _run_by_part(spark, t, ws, [F.col("event_id") % 3 == k for k in range(3)])
     return ws.read("s_suppliers")
 
 
@@ -78,8 +88,7 @@ SELECT id, update_date, event_id, value, update_type, valid_from, valid_to FROM
 def cdc_scd2_current(spark, sf_dir):
     """L2: the open versions of a history table, read without its history."""
     t, ws = setup(spark, sf_dir)
-    path, schema = _feed_files(spark, t, ws, [F.col("event_id") % 2 == k for k in range(2)])
-    _apply(ws, path, schema, scd_type=2, files_per_trigger=1)
+    _run_by_part(spark, t, ws, [F.col("event_id") % 2 == k for k in range(2)], scd_type=2)
     return ws.read_current("s_suppliers")
 
 
@@ -126,8 +135,7 @@ def cdc_truncate(spark, sf_dir):
     """L4: ``APPLY AS TRUNCATE WHEN``: a truncate event empties the target as of its
     sequence; older events arriving later stay out."""
     t, ws = setup(spark, sf_dir)
-    path, schema = _feed_files(spark, t, ws, [F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1])
-    _apply(ws, path, schema, truncate_when=TRUNCATE_WHEN, files_per_trigger=1)
+    _run_by_part(spark, t, ws, [F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1], truncate_when=TRUNCATE_WHEN)
     return ws.read("s_suppliers")
 
 
@@ -254,8 +262,7 @@ FROM e WHERE NOT (d AND coalesce(b, TRUE)) GROUP BY 1""")
 def cdc_op_counts_scd2(spark, sf_dir):
     """L8 on the history table: versions opened, replaced and closed, from its change log."""
     t, ws = setup(spark, sf_dir)
-    path, schema = _feed_files(spark, t, ws, [F.col("event_id") % 2 == k for k in range(2)])
-    _apply(ws, path, schema, scd_type=2, files_per_trigger=1)
+    _run_by_part(spark, t, ws, [F.col("event_id") % 2 == k for k in range(2)], scd_type=2)
     return ws.read_changes("s_suppliers").groupBy(F.col("_op").alias("op")).agg(F.count(F.lit(1)).alias("num_rows"))
 
 

@@ -3,6 +3,7 @@ which order batches arrive; the skew-safe lead equals the window lead."""
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -138,3 +139,16 @@ def test_small_batch_leaves_closed_versions_alone(spark):
         files = set(glob.glob(ws.data_path("h").removeprefix("file:") + "/data/**/*.parquet", recursive=True))
         assert set(seen) <= files
         seen = dict.fromkeys(files)
+
+
+@pytest.mark.parametrize("key,batches", [("cdc_scd1", 3), ("cdc_scd2_current", 2), ("cdc_op_counts_scd2", 2), ("cdc_truncate", 2)])
+def test_the_number_of_batches_does_not_follow_the_number_of_files(spark, tmp_path, monkeypatch, key, batches):
+    import __spark_entry__ as E
+    from conftest import SMALL
+    from strata.operators.cdc import ChangeApplier
+    spark.read.parquet(f"{SMALL}/events.parquet").repartition(5).write.parquet(f"{tmp_path}/events.parquet")
+    calls, real = [], ChangeApplier.__call__
+    monkeypatch.setattr(ChangeApplier, "__call__", lambda self, batch, n: calls.append(n) or real(self, batch, n))
+    got, want = E.queries()[key](spark, str(tmp_path)), E.queries()[key](spark, SMALL)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert len(calls) == 2 * batches
