@@ -209,3 +209,65 @@ def test_clustering_a_view_and_a_second_session(spark):
     assert other.read("v").count() == 5000
     ws.materialized_view("v", rows.where("id < 10"))
     assert ws.read("v").count() == 10
+
+
+def test_very_many_partitions_are_ranges_of_files(spark, tmp_path, monkeypatch):
+    """Partitions get a folder each up to a number of them; beyond it the files do not become
+    as many as the values, and readers still skip the files of other partitions."""
+    from strata.operators import layout as lay
+    monkeypatch.setattr(lay, "MOST_FOLDERS", 20)
+    from conftest import SMALL
+    t, ws = setup(spark, SMALL)
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    want = sorted(map(str, rows.collect()))
+    kinds = {"many": ("o_custkey", {}), "z": ("o_custkey", {"pipelines.autoOptimize.zOrderCols": "o_orderkey, o_orderdate"}), "few": ("o_orderpriority", {})}
+    for name, (by, props) in kinds.items():
+        path = f"{ws.root}/files/{name}"
+        for k in range(2):
+            rows.where(F.col("o_orderkey") % 2 == k).write.mode("append").parquet(path)
+            with ws.update():
+                ws.streaming_table(name, partition_by=[by], properties=props)
+                ws.append_flow(name, name, spark.readStream.schema(rows.schema).parquet(path))
+        assert sorted(map(str, ws.read(name).select(rows.columns).collect())) == want
+        files = glob.glob(ws.data_path(name).removeprefix("file:") + "/**/*.parquet", recursive=True)
+        assert any(f"{by}=" in f for f in files) == (name == "few")
+        if name != "few":
+            assert len(files) <= 2 * 8
+        view = ws.materialized_view(f"mv_{name}", rows, partition_by=[by])
+        assert sorted(map(str, view.select(rows.columns).collect())) == want
+        assert sorted(map(str, ws.compact(name).select(rows.columns).collect())) == want
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        Layout(partition_by=("o_custkey",)).write(rows, str(tmp_path / "ranges"), False)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    stats = [pq.ParquetFile(f).metadata.row_group(0).column(1).statistics for f in glob.glob(str(tmp_path / "ranges/*.parquet"))]
+    assert len(stats) > 4 and sum(s.min <= 70 <= s.max for s in stats) <= 2
+
+
+def test_a_table_with_folders_keeps_them(spark, monkeypatch):
+    from strata.operators import layout as lay
+    from conftest import SMALL
+    t, ws = setup(spark, SMALL)
+    rows = t.orders.select("o_orderkey", "o_custkey")
+    path = f"{ws.root}/files/o"
+    for k in range(2):
+        rows.where(F.col("o_orderkey") % 2 == k).write.mode("append").parquet(path)
+        with ws.update():
+            ws.streaming_table("t", partition_by=["o_custkey"])
+            ws.append_flow("t", "t", spark.readStream.schema(rows.schema).parquet(path))
+        monkeypatch.setattr(lay, "MOST_FOLDERS", 20)
+    assert all("o_custkey=" in f for f in ws.read("t").inputFiles())
+    assert sorted(map(str, ws.read("t").collect())) == sorted(map(str, rows.collect()))
+
+
+def test_a_plain_flow_runs_its_plan_once_and_keeps_nothing_in_memory(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+    from conftest import SMALL
+    t, ws = setup(spark, SMALL)
+    rows = t.orders.select("o_orderkey", "o_custkey")
+    monkeypatch.setattr(DataFrame, "persist", lambda self, *a: (_ for _ in ()).throw(AssertionError("persisted")))
+    counts = {}
+    i = ws.streaming_table("p", rows.schema)
+    ws._flow_writer(i, "f", [], counts)(rows, 0)
+    assert counts["out"] == rows.count() == ws.read("p").count()
