@@ -359,7 +359,7 @@ def st_no_reset(spark, sf_dir):
     lines = t.lineitem.select(*LINE_SCHEMA.fieldNames())
     parts = [[F.col("l_orderkey") % 6 < 2], [F.col("l_orderkey") % 6 == 1, F.col("l_orderkey") % 6 >= 2], []]
     for arrivals, full in zip(parts, (False, True, True)):
-        write_arrivals(lines, path, arrivals, header=True)
+        write_arrivals(lines, path, arrivals, header=True, compression="gzip")
         with ws.update(full_refresh=full):
             ingest_lines(ws, path)
             ws.streaming_table("c_orders_no_reset", properties={"pipelines.reset.allowed": "false"})
