@@ -236,3 +236,21 @@ def test_relay_replays_as_a_multiset_and_copies_no_rows_beside_it(spark):
     assert sorted(map(str, ws.read("keep").collect())) == sorted(map(str, spark.createDataFrame(sum(rows, []), schema).collect()))
     due = [n for g in children(spark, f"{ws.root}/relays/keep/_b-due") for n in children(spark, f"{ws.root}/relays/keep/_b-due/{g}")]
     assert "before=1" in due and "before=0" not in due
+
+
+def test_an_aggregate_with_state_writes_few_files_a_bucket(spark):
+    """Micro-batches with state run without AQE: the first upsert must not write a file of every
+    bucket from every task."""
+    from strata.plans.workspace import Workspace
+    ws = Workspace(spark, buckets=8)
+    rows = spark.range(4000).select((F.col("id") % 1000).alias("k"), "id")
+    path = f"{ws.root}/files/in"
+    for part in range(2):
+        rows.where(F.col("id") % 2 == part).write.mode("append").parquet(path)
+        with ws.update():
+            sums = spark.readStream.schema(rows.schema).parquet(path).groupBy("k").agg(F.sum("id").alias("s"))
+            ws.aggregate_table("sums", sums, "update", keys=["k"])
+        files = spark.read.parquet(f"{ws.data_path('sums')}/data").inputFiles()
+        assert len(files) <= 2 * 8
+    assert ws.read("sums").exceptAll(rows.groupBy("k").agg(F.sum("id"))).count() == 0
+    assert ws.read("sums").count() == 1000
