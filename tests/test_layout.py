@@ -271,3 +271,15 @@ def test_a_plain_flow_runs_its_plan_once_and_keeps_nothing_in_memory(spark, monk
     i = ws.streaming_table("p", rows.schema)
     ws._flow_writer(i, "f", [], counts)(rows, 0)
     assert counts["out"] == rows.count() == ws.read("p").count()
+
+
+def test_codes_are_worked_out_by_the_batch(spark):
+    """No function runs row by row inside the code's expression (``transform`` is not compiled);
+    NULL has the smallest code, NaN the greatest."""
+    rows = spark.range(1000).select(F.expr("CASE WHEN id = 7 THEN NULL WHEN id = 8 THEN double('nan') ELSE double(id) END").alias("x"), "id")
+    code = zorder_code(rows, ["x", "id"])
+    plan = rows.select(code.alias("c"))._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "transform(" not in plan
+    by_x = {r["id"]: r["c"] for r in rows.select("id", zorder_code(rows, ["x"]).alias("c")).collect()}
+    assert by_x[7] == 0 == min(by_x.values()) and by_x[8] == (1 << 20) - 1
+    assert all(by_x[k] < by_x[k + 1] for k in range(9, 998))
