@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from .common import keep
 
 ORDERS = 4  # n-grams of 1 to 4 characters
-PIECE = 1 << 19  # code points looked at together
+PIECE = 1 << 19  # code points without a space looked at together
+HELD = 1 << 16  # code points looked at together where spaces allow
+ROWS = 512  # texts decoded together
 UNKNOWN = "und"
 
 
@@ -48,16 +50,16 @@ def _letters() -> np.ndarray:
 def _pieces(texts: list[str | None]) -> Iterator[tuple[int, str]]:
     """``(row, part of its text)``; long texts are cut at a space, where n-grams end anyway."""
     for i, text in enumerate(texts):
-        at, text = 0, text or ""
-        while len(text) - at > PIECE:
-            cut = text.rfind(" ", at, at + PIECE) + 1 or at + PIECE
+        at, text, held = 0, text or "", min(HELD, PIECE)
+        while len(text) - at > held:
+            cut = text.rfind(" ", at, at + held) + 1 or text.find(" ", at + held, at + PIECE) + 1 or at + PIECE
             yield i, text[at:cut]
             at = cut
         yield i, text[at:]
 
 
 def grams(texts: list[str | None], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """``(row, cell)`` of every n-gram, in runs of about ``PIECE`` code points.
+    """``(row, cell)`` of every n-gram, in runs of about ``HELD`` code points.
 
     Words are runs of letters, lower-cased, with a mark at both ends; an n-gram lies within
     a word and its marks, and is more than a mark."""
@@ -84,7 +86,7 @@ def grams(texts: list[str | None], bits: int) -> Iterator[tuple[np.ndarray, np.n
 
     held, size = [], 0
     for i, piece in _pieces(texts):
-        if held and size + len(piece) > PIECE:
+        if held and size + len(piece) > min(HELD, PIECE):
             yield run(held)
             held, size = [], 0
         held.append((i, piece))
@@ -140,16 +142,24 @@ class Model:
 
 # --- over all rows
 
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, ``ROWS`` at a time: a task holds the Python texts of so many only."""
+    for b in batches:
+        for at in range(0, b.num_rows, ROWS):
+            yield b.slice(at, ROWS)
+
+
 def _count(train: DataFrame, languages: list[str], bits: int) -> DataFrame:
     """``(lang, cell, n)``: n-grams of the training texts, added up inside each task first."""
     number = {x: i for i, x in enumerate(languages)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((len(languages), 1 << bits), np.int64)
-        for b in batches:
+        flat = held.reshape(-1)
+        for b in _few(batches):
             lang = np.array([number[x] for x in b.column(1).to_pylist()], np.int64)
             for rows, cells in grams(b.column(0).to_pylist(), bits):
-                held += np.bincount((lang[rows] << bits) + cells, minlength=held.size).reshape(held.shape)
+                np.add.at(flat, (lang[rows] << bits) + cells, 1)  # in place: no second table
         for i, counts in enumerate(held):
             at = np.flatnonzero(counts)
             yield pa.RecordBatch.from_pydict({"lang": pa.array(np.full(len(at), i, np.int32)), "cell": pa.array(at.astype(np.int32)), "n": pa.array(counts[at])})
@@ -194,7 +204,7 @@ def _scored(docs: DataFrame, model: Model) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _few(batches):
             m, n = model.margins(b.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(b.num_columns) if i != at), pa.array(list(m.astype(np.float32)), pa.list_(pa.float32())), pa.array(n)],
                                              names=[*others, "margins", "grams"])

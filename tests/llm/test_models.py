@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -144,6 +145,17 @@ def test_long_texts_are_read_whole(monkeypatch):
     assert count() == whole
 
 
+def test_few_characters_are_held_at_once():
+    texts = ["two words " * 10_000] * 12 + ["x y " * 100_000]
+    runs = [len(cells) for _, cells in langid.grams(texts, 20)]
+    assert max(runs) <= 5 << 16
+    assert sum(runs) == 12 * 10_000 * len(brute_grams("two words")) + 200_000 * len(brute_grams("x"))
+    assert sum(len(cells) for _, cells in langid.grams(["a" * 300_000 + " b " * 30_000], 20)) == 4 * 300_000 + 30_000 * len(brute_grams("b"))  # the long run is not cut
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([str(i) for i in range(1300)])})
+    parts = list(langid._few([batch]))
+    assert max(p.num_rows for p in parts) <= 512 and [t for p in parts for t in p.column(0).to_pylist()] == batch.column(0).to_pylist()
+
+
 @pytest.mark.parametrize("languages", [2, 3, 4, 5, 6, 20, 40])
 def test_codewords_stand_apart(languages):
     book = langid.codebook(languages)
